@@ -80,3 +80,203 @@ ASOF LEFT JOIN (SELECT user_id, ts AS posted_at, value AS view_value FROM events
 """
 ORACLES["pit_join"] = _PIT_JOIN
 ORACLES["pit_join_bucketed"] = _PIT_JOIN
+
+
+# --- zone-exact time rules -------------------------------------------------------------------
+# The oracle spells the Central-time rule out from DuckDB's UTC -> local conversion (which is
+# unambiguous): the first UTC instant of a local wall clock L is L + 5h when that maps back to
+# L (daylight time), else L + 6h; the second is first + 1h when that also maps back to L.
+
+
+def _local(u: str) -> str:
+    return f"timezone('America/Chicago', timezone('UTC', {u}))"
+
+
+def _first(l: str) -> str:
+    return (f"(CASE WHEN {_local(f'({l}) + INTERVAL 5 HOUR')} = ({l}) THEN ({l}) + INTERVAL 5 HOUR "
+            f"ELSE ({l}) + INTERVAL 6 HOUR END)")
+
+
+def _exists(l: str) -> str:
+    return f"({_local(_first(l))} = ({l}))"
+
+
+def _repeated(l: str) -> str:
+    return f"({_local(_first(l) + ' + INTERVAL 1 HOUR')} = ({l}))"
+
+
+def _to_utc(l: str, flag: str) -> str:
+    return f"(CASE WHEN ({flag}) AND {_repeated(l)} THEN {_first(l)} + INTERVAL 1 HOUR ELSE {_first(l)} END)"
+
+
+def _problem(l: str, flag: str) -> str:
+    txt = f"strftime({l}, '%Y-%m-%d %H:%M')"
+    return (f"(CASE WHEN ({l}) IS NULL THEN 'missing local time' "
+            f"WHEN NOT {_exists(l)} THEN {txt} || ' does not exist (spring-forward gap)' "
+            f"WHEN ({flag}) AND NOT {_repeated(l)} THEN {txt} || ' is flagged as repeated but is not ambiguous' END)")
+
+
+SHIFTED = "(SELECT event_id, ts + INTERVAL 304 DAY AS utc FROM events)"
+
+ORACLES["delivery_date_split"] = f"""
+SELECT event_id, utc, {_local('utc')} AS local_ts, CAST({_local('utc')} AS DATE) AS delivery_date
+FROM {SHIFTED} s
+"""
+
+ORACLES["hour_ending_to_utc"] = f"""
+WITH a AS (
+  SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, CAST(1 + o_orderkey % 24 AS INTEGER) AS he0,
+         o_orderkey % 10 = 0 AS flag FROM orders),
+b AS (
+  SELECT *, CASE WHEN he0 = 3 AND NOT {_exists("CAST(day AS TIMESTAMP) + INTERVAL 2 HOUR")} THEN 2 ELSE he0 END AS he
+  FROM a),
+c AS (SELECT *, CAST(day AS TIMESTAMP) + to_hours(he - 1) AS l FROM b)
+SELECT o_orderkey, {_to_utc('l', 'flag')} AS interval_start,
+       {_problem('l', 'flag')} AS problem
+FROM c
+"""
+
+ORACLES["interval_to_utc"] = f"""
+WITH c AS (
+  SELECT o_orderkey, o_orderkey % 7 = 0 AS flag,
+         CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + to_hours(CAST(o_orderkey % 24 AS INTEGER))
+           + to_minutes(CAST(15 * ((o_orderkey // 24) % 4) AS INTEGER)) AS l
+  FROM orders)
+SELECT o_orderkey, {_to_utc('l', 'flag')} AS interval_start, {_problem('l', 'flag')} AS problem
+FROM c
+"""
+
+ORACLES["stamp_floor"] = f"""
+WITH a AS (
+  SELECT o_orderkey, o_custkey % 9 = 0 AS flag,
+         o_orderdate + to_seconds(CAST((o_orderkey * 37) % 86400 AS BIGINT)) AS t FROM orders),
+c AS (
+  SELECT o_orderkey, flag,
+         date_trunc('hour', t) + to_minutes(CAST(minute(t) - minute(t) % 5 AS INTEGER)) AS l FROM a)
+SELECT o_orderkey, {_to_utc('l', 'flag')} AS interval_start, {_problem('l', 'flag')} AS problem
+FROM c
+"""
+
+ORACLES["repeated_hour_roundtrip"] = f"""
+SELECT event_id, {_local('utc')} AS local_ts, utc,
+       {_local('utc - INTERVAL 1 HOUR')} = {_local('utc')} AS second_pass
+FROM {SHIFTED} s
+"""
+
+WALL = """(SELECT day, hour, CAST(day AS TIMESTAMP) + to_hours(hour) AS l
+          FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders) d,
+               range(0, 24) r(hour))"""
+
+ORACLES["strict_local_time"] = f"""
+SELECT day, CAST(hour AS INTEGER) AS hour, {_to_utc('l', 'hour % 2 = 1')} AS utc,
+       {_problem('l', 'hour % 2 = 1')} AS problem
+FROM {WALL} w
+"""
+
+ORACLES["ambiguous_hours"] = f"""
+SELECT day, CAST(hour AS INTEGER) AS hour, {_exists('l')} AS exists_local, {_repeated('l')} AS is_repeated
+FROM {WALL} w
+"""
+
+ORACLES["nearest_occurrence"] = f"""
+WITH a AS (SELECT day, hour, l, {_first('l')} + to_minutes(CAST(40 * (hour % 3) AS INTEGER)) AS listed_utc
+           FROM {WALL} w)
+SELECT day, CAST(hour AS INTEGER) AS hour, listed_utc,
+       CASE WHEN {_repeated('l')}
+             AND abs(epoch_us({_first('l')} + INTERVAL 1 HOUR) - epoch_us(listed_utc))
+                 < abs(epoch_us({_first('l')}) - epoch_us(listed_utc))
+            THEN {_first('l')} + INTERVAL 1 HOUR ELSE {_first('l')} END AS posted_utc
+FROM a
+"""
+
+ORACLES["dst_day_intervals"] = f"""
+WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders),
+e AS (SELECT day, {_first('CAST(day AS TIMESTAMP)')} AS s,
+             {_first('CAST(day + INTERVAL 1 DAY AS TIMESTAMP)')} AS e FROM d)
+SELECT day, CAST((epoch(e) - epoch(s)) // 900 AS INTEGER) AS n15,
+       CAST((epoch(e) - epoch(s)) // 3600 AS INTEGER) AS n60
+FROM e
+"""
+
+ORACLES["month_edges"] = f"""
+WITH m AS (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders)
+SELECT month, {_first('CAST(month AS TIMESTAMP)')} AS utc_start,
+       {_first('CAST(month + INTERVAL 1 MONTH AS TIMESTAMP)')} AS utc_end
+FROM m
+"""
+
+ORACLES["stamp_roundtrip"] = """
+SELECT event_id, strftime(date_trunc('second', ts), '%Y%m%dT%H%M%SZ') AS stamp,
+       date_trunc('second', ts) AS parsed
+FROM events
+"""
+
+ORACLES["time_styles"] = """
+SELECT event_id, date_trunc('hour', ts + INTERVAL 304 DAY) AS u,
+       date_trunc('hour', ts + INTERVAL 304 DAY) AS he_utc,
+       date_trunc('hour', ts + INTERVAL 304 DAY) AS hi_utc,
+       date_trunc('hour', ts + INTERVAL 304 DAY) AS sced_utc
+FROM events
+"""
+
+ORACLES["parse_numbers"] = """
+WITH a AS (
+  SELECT l_orderkey, l_linenumber, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS q, l_linenumber % 5 AS k
+  FROM lineitem),
+b AS (
+  SELECT l_orderkey, l_linenumber,
+         CASE k WHEN 0 THEN q || '.5' WHEN 1 THEN ' ' || q || ' ' WHEN 2 THEN q || 'd'
+                WHEN 3 THEN '' ELSE 'x' || q END AS cell
+  FROM a)
+SELECT l_orderkey, l_linenumber, cell,
+       CASE WHEN trim(cell) = '' OR regexp_matches(trim(cell), '[dDfF]$') THEN NULL
+            ELSE TRY_CAST(trim(cell) AS DOUBLE) END AS number,
+       CASE WHEN trim(cell) = '' THEN NULL
+            WHEN regexp_matches(trim(cell), '[dDfF]$') OR TRY_CAST(trim(cell) AS DOUBLE) IS NULL
+            THEN 'not a number ' || cell END AS number_problem,
+       CASE WHEN regexp_full_match(trim(cell), '[+-]?[0-9]+') THEN TRY_CAST(trim(cell) AS INTEGER) END AS whole,
+       CASE WHEN regexp_full_match(trim(cell), '[+-]?[0-9]+') AND TRY_CAST(trim(cell) AS INTEGER) IS NOT NULL
+            THEN NULL ELSE 'not an integer ' || cell END AS whole_problem
+FROM b
+"""
+
+ORACLES["parse_timestamps"] = """
+WITH a AS (
+  SELECT event_id,
+         CASE event_id % 4 WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%g')
+                           WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+                           WHEN 2 THEN strftime(ts, '%Y/%m/%d %H:%M')
+                           ELSE 'T' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') END AS cell
+  FROM events)
+SELECT event_id, cell,
+       COALESCE(try_strptime(cell, '%Y-%m-%dT%H:%M:%S.%g'), try_strptime(cell, '%Y-%m-%dT%H:%M:%S')) AS posted_local
+FROM a
+"""
+
+ORACLES["hour_ending_parse"] = """
+WITH a AS (
+  SELECT o_orderkey, o_orderkey % 6 AS k, CAST(1 + o_orderkey % 24 AS VARCHAR) AS h,
+         CAST(o_orderdate AS DATE) AS d FROM orders),
+b AS (
+  SELECT o_orderkey,
+         CASE k WHEN 0 THEN lpad(h, 2, '0') || ':00' WHEN 1 THEN h || ':00' WHEN 2 THEN h
+                WHEN 3 THEN '25:00' WHEN 4 THEN 'x' ELSE ' 7 ' END AS he_text,
+         CASE k WHEN 0 THEN strftime(d, '%Y-%m-%d') WHEN 1 THEN strftime(d, '%m/%d/%Y')
+                WHEN 2 THEN strftime(d, '%-m/%-d/%Y') WHEN 3 THEN strftime(d, '%Y-%-m-%-d')
+                WHEN 4 THEN '13/45/2020' ELSE strftime(d, '%d.%m.%Y') END AS date_text,
+         CASE k WHEN 0 THEN 'Y' WHEN 1 THEN ' n ' WHEN 2 THEN 'TRUE' WHEN 3 THEN ''
+                WHEN 4 THEN 'maybe' ELSE NULL END AS flag_text
+  FROM a)
+SELECT o_orderkey, he_text,
+       CASE WHEN TRY_CAST(split_part(trim(he_text), ':', 1) AS INTEGER) BETWEEN 1 AND 24
+            THEN TRY_CAST(split_part(trim(he_text), ':', 1) AS INTEGER) END AS hour_ending,
+       date_text,
+       CAST(COALESCE(try_strptime(trim(date_text), '%Y-%m-%d'), try_strptime(trim(date_text), '%m/%d/%Y')) AS DATE)
+         AS delivery_date,
+       CASE WHEN upper(trim(flag_text)) IN ('Y', 'TRUE', '1') THEN true
+            WHEN upper(trim(flag_text)) IN ('N', 'FALSE', '0', '') THEN false END AS flag,
+       CASE WHEN flag_text IS NULL THEN 'flag is null'
+            WHEN upper(trim(flag_text)) NOT IN ('Y', 'TRUE', '1', 'N', 'FALSE', '0', '')
+            THEN 'unrecognised flag ' || flag_text END AS flag_problem
+FROM b
+"""

@@ -105,3 +105,178 @@ def pit_join_bucketed(spark, sf):
     decisions, facts = _purchases_and_views(spark, sf)
     return pit.point_in_time_join(decisions, facts, on="user_id", decision_time="decision_ts",
                                   posted="posted_at", value_cols=["view_value"], bucket="1 day")
+
+
+# --- zone-exact time rules (FN01-FN19, WIN02, PRJ09) ----------------------------------------
+
+from asofspark.functions import parse as P  # noqa: E402
+from asofspark.functions import time as T  # noqa: E402
+from asofspark.operators.repeated import resolve_repeated_hour  # noqa: E402
+
+SHIFT_DAYS = 304  # moves January events across the 2024-11-03 fall-back
+
+
+def _shifted_events(spark, sf):
+    e = read(spark, sf, "events")
+    return e.select("event_id", (F.col("ts") + F.make_dt_interval(F.lit(SHIFT_DAYS))).alias("utc"))
+
+
+@query
+def delivery_date_split(spark, sf):
+    e = _shifted_events(spark, sf)
+    return e.select("event_id", "utc", T.utc_to_local("utc").alias("local_ts"),
+                    T.delivery_date("utc").alias("delivery_date"))
+
+
+def _order_days(spark, sf):
+    o = read(spark, sf, "orders")
+    return o.select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+
+
+@query
+def hour_ending_to_utc(spark, sf):
+    o = _order_days(spark, sf)
+    text = o.select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 2 == 0, F.date_format("day", "MM/dd/yyyy"))
+        .otherwise(F.date_format("day", "yyyy-MM-dd")).alias("date_text"),
+        F.concat(F.lpad((1 + F.col("o_orderkey") % 24).cast("string"), 2, "0"), F.lit(":00")).alias("he_text"),
+        (F.col("o_orderkey") % 10 == 0).alias("flag"),
+    )
+    start, problem = T.hour_ending_start(T.parse_delivery_date("date_text"),
+                                         T.parse_hour_ending("he_text"), 60, F.col("flag"))
+    return text.select("o_orderkey", start.alias("interval_start"), problem.alias("problem"))
+
+
+@query
+def interval_to_utc(spark, sf):
+    o = _order_days(spark, sf)
+    hour = (1 + F.col("o_orderkey") % 24).cast("int")
+    interval = (1 + F.floor(F.col("o_orderkey") / 24) % 4).cast("int")
+    flag = F.col("o_orderkey") % 7 == 0
+    start, problem = T.interval_start(F.col("day"), hour, interval, 15, flag)
+    return o.select("o_orderkey", start.alias("interval_start"), problem.alias("problem"))
+
+
+@query
+def stamp_floor(spark, sf):
+    o = read(spark, sf, "orders")
+    local = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
+                                                       (F.col("o_orderkey") * 37) % 86400)
+    text = F.date_format(local, "MM/dd/yyyy HH:mm:ss")
+    start, problem = T.run_stamp_start(text, 5, F.col("o_custkey") % 9 == 0)
+    return o.select("o_orderkey", start.alias("interval_start"), problem.alias("problem"))
+
+
+@query
+def repeated_hour_roundtrip(spark, sf):
+    e = _shifted_events(spark, sf).withColumn("local_ts", T.utc_to_local("utc"))
+    r = resolve_repeated_hour(e.select("event_id", "local_ts"), order="event_id", local="local_ts")
+    return r.select("event_id", "local_ts", F.col("posted_utc").alias("utc"), "second_pass")
+
+
+def _wall_clocks(spark, sf):
+    days = _order_days(spark, sf).select("day").distinct()
+    return days.select("day", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour")).withColumn(
+        "local_ts", T.midnight("day") + F.make_dt_interval(F.lit(0), F.col("hour")))
+
+
+@query
+def strict_local_time(spark, sf):
+    w = _wall_clocks(spark, sf)
+    flag = F.col("hour") % 2 == 1
+    return w.select("day", "hour", T.local_to_utc("local_ts", flag).alias("utc"),
+                    T.local_problem("local_ts", flag).alias("problem"))
+
+
+@query
+def ambiguous_hours(spark, sf):
+    w = _wall_clocks(spark, sf)
+    return w.select("day", "hour", T.exists_local("local_ts").alias("exists_local"),
+                    T.is_repeated("local_ts").alias("is_repeated"))
+
+
+@query
+def nearest_occurrence(spark, sf):
+    w = _wall_clocks(spark, sf)
+    listed = T.first_utc("local_ts") + F.make_dt_interval(F.lit(0), F.lit(0), 40 * (F.col("hour") % 3))
+    return w.select("day", "hour", listed.alias("listed_utc"),
+                    T.nearest_occurrence("local_ts", listed).alias("posted_utc"))
+
+
+@query
+def dst_day_intervals(spark, sf):
+    days = _order_days(spark, sf).select("day").distinct()
+    return days.select("day", F.size(T.day_interval_starts("day", 15)).alias("n15"),
+                       F.size(T.day_interval_starts("day", 60)).alias("n60"))
+
+
+@query
+def month_edges(spark, sf):
+    o = read(spark, sf, "orders")
+    months = o.select(F.trunc(F.to_date("o_orderdate"), "month").alias("month")).distinct()
+    start, end = T.month_edges("month")
+    return months.select("month", start.alias("utc_start"), end.alias("utc_end"))
+
+
+@query
+def stamp_roundtrip(spark, sf):
+    e = read(spark, sf, "events").select("event_id", F.date_trunc("second", "ts").cast("timestamp_ntz").alias("ts"))
+    s = e.withColumn("stamp", T.stamp("ts"))
+    return s.select("event_id", "stamp", T.parse_stamp("stamp").alias("parsed"))
+
+
+@query
+def time_styles(spark, sf):
+    e = _shifted_events(spark, sf).select("event_id", F.date_trunc("hour", "utc").cast("timestamp_ntz").alias("u"))
+    e = e.withColumn("local_ts", T.utc_to_local("u")).withColumn(
+        "second", T.local_to_utc("local_ts", True) == F.col("u"))
+    day = F.to_date("local_ts")
+    he, _ = T.hour_ending_start(day, F.hour("local_ts") + 1, 60, F.col("second") & T.is_repeated("local_ts"))
+    hi, _ = T.interval_start(day, F.hour("local_ts") + 1, F.lit(1), 60, F.col("second") & T.is_repeated("local_ts"))
+    run_text = F.date_format(F.col("local_ts") + F.expr("INTERVAL '00:03:17' HOUR TO SECOND"), "MM/dd/yyyy HH:mm:ss")
+    sc, _ = T.run_stamp_start(run_text, 5, F.col("second") & T.is_repeated("local_ts"))
+    return e.select("event_id", "u", he.alias("he_utc"), hi.alias("hi_utc"), sc.alias("sced_utc"))
+
+
+@query
+def parse_numbers(spark, sf):
+    li = read(spark, sf, "lineitem")
+    q = F.col("l_quantity").cast("bigint").cast("string")
+    k = F.col("l_linenumber") % 5
+    text = (F.when(k == 0, F.concat(q, F.lit(".5"))).when(k == 1, F.concat(F.lit(" "), q, F.lit(" ")))
+            .when(k == 2, F.concat(q, F.lit("d"))).when(k == 3, F.lit("")).otherwise(F.concat(F.lit("x"), q)))
+    opt, opt_problem = P.to_number(text, required=False)
+    whole, whole_problem = P.to_whole(text)
+    return li.select("l_orderkey", "l_linenumber", text.alias("cell"), opt.alias("number"),
+                     opt_problem.alias("number_problem"), whole.alias("whole"),
+                     whole_problem.alias("whole_problem"))
+
+
+@query
+def parse_timestamps(spark, sf):
+    e = read(spark, sf, "events")
+    k = F.col("event_id") % 4
+    ms = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS")
+    text = (F.when(k == 0, ms).when(k == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+            .when(k == 2, F.date_format("ts", "yyyy/MM/dd HH:mm")).otherwise(F.concat(F.lit("T"), ms)))
+    return e.select("event_id", text.alias("cell"), T.parse_post_local(text).alias("posted_local"))
+
+
+@query
+def hour_ending_parse(spark, sf):
+    o = read(spark, sf, "orders")
+    k = F.col("o_orderkey") % 6
+    h = (1 + F.col("o_orderkey") % 24).cast("string")
+    d = F.to_date("o_orderdate")
+    he_text = (F.when(k == 0, F.concat(F.lpad(h, 2, "0"), F.lit(":00"))).when(k == 1, F.concat(h, F.lit(":00")))
+               .when(k == 2, h).when(k == 3, F.lit("25:00")).when(k == 4, F.lit("x")).otherwise(F.lit(" 7 ")))
+    date_text = (F.when(k == 0, F.date_format(d, "yyyy-MM-dd")).when(k == 1, F.date_format(d, "MM/dd/yyyy"))
+                 .when(k == 2, F.date_format(d, "M/d/yyyy")).when(k == 3, F.date_format(d, "yyyy-M-d"))
+                 .when(k == 4, F.lit("13/45/2020")).otherwise(F.date_format(d, "dd.MM.yyyy")))
+    flag_text = (F.when(k == 0, F.lit("Y")).when(k == 1, F.lit(" n ")).when(k == 2, F.lit("TRUE"))
+                 .when(k == 3, F.lit("")).when(k == 4, F.lit("maybe")).otherwise(F.lit(None).cast("string")))
+    flag, flag_problem = P.to_flag(flag_text)
+    return o.select("o_orderkey", he_text.alias("he_text"), T.parse_hour_ending(he_text).alias("hour_ending"),
+                    date_text.alias("date_text"), T.parse_delivery_date(date_text).alias("delivery_date"),
+                    flag.alias("flag"), flag_problem.alias("flag_problem"))
