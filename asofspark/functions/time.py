@@ -135,7 +135,12 @@ def parse_run_stamp(text) -> Column:
 
 def run_stamp_start(text, minutes: int, repeated=None, tz: str = CT):
     """(UTC start, problem) of a run stamp floored to the grain within its hour (FN13)."""
-    local = parse_run_stamp(text)
+    return run_stamp_start_local(parse_run_stamp(text), minutes, repeated, tz)
+
+
+def run_stamp_start_local(local, minutes: int, repeated=None, tz: str = CT):
+    """FN13 from an already parsed local run time."""
+    local = _c(local)
     floored = F.date_trunc("hour", local).cast("timestamp_ntz") + F.make_dt_interval(
         F.lit(0), F.lit(0), F.minute(local) - F.minute(local) % F.lit(minutes)
     )

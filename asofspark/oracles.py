@@ -280,3 +280,129 @@ SELECT o_orderkey, he_text,
             THEN 'unrecognised flag ' || flag_text END AS flag_problem
 FROM b
 """
+
+
+# --- declared transforms ---------------------------------------------------------------------
+
+def _he_local(day: str, he0: str) -> str:
+    """Hour-ending label -> local start, reading HE 3 on the spring-forward day as HE 2."""
+    two = f"CAST({day} AS TIMESTAMP) + INTERVAL 2 HOUR"
+    return (f"CAST({day} AS TIMESTAMP) + to_hours(CAST((CASE WHEN {he0} = 3 AND NOT {_exists(two)} "
+            f"THEN 2 ELSE {he0} END) - 1 AS INTEGER))")
+
+
+_LI_SPP = f"""
+r AS (
+  SELECT CAST(l_orderkey % 400 AS INTEGER) AS posting, l_orderkey, l_linenumber,
+         CAST(l_shipdate AS DATE) AS day,
+         CAST(1 + (l_linenumber * 5 + l_partkey) % 24 AS INTEGER) AS he0,
+         'P' || CAST(l_suppkey AS VARCHAR) AS settlement_point,
+         CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS settlement_point_type,
+         CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS DOUBLE) AS price_mwh,
+         (l_orderkey % 400) % 5 = 0 AND l_linenumber = 7 AS cut,
+         l_partkey % 997 = 0 AS flag_y
+  FROM lineitem),
+l AS (SELECT *, {_he_local('day', 'he0')} AS lt, (NOT cut AND flag_y) AS rep FROM r),
+t AS (
+  SELECT posting, l_orderkey, l_linenumber, {_to_utc('lt', 'rep')} AS interval_start,
+         TIMESTAMP '2024-01-01 00:00:00' + to_hours(posting) AS posted_at,
+         TIMESTAMP '2024-01-01 00:02:00' + to_hours(posting) AS ingested_at,
+         rep AS dst_flag, settlement_point, settlement_point_type, price_mwh, cut,
+         CASE WHEN cut THEN 'flag is null' ELSE {_problem('lt', 'rep')} END AS problem
+  FROM l),
+d AS (
+  SELECT posting, count(*) AS n_rows, CAST(sum(CASE WHEN cut THEN 1 ELSE 0 END) AS BIGINT) AS bad_rows,
+         count(problem) AS n_problems, min(problem) AS row_problem
+  FROM t GROUP BY posting),
+s AS (
+  SELECT *, '' AS missing, CASE WHEN posting % 2 = 1 THEN 'Extra' ELSE '' END AS unexpected,
+         false AS repeated_header,
+         CASE WHEN posting % 2 = 1 THEN 'column drift: missing [] unexpected [Extra]'
+              WHEN bad_rows > 0 THEN 'cell count differs from header on ' || CAST(bad_rows AS VARCHAR) || ' rows'
+              ELSE row_problem END AS problem
+  FROM d)
+"""
+
+ORACLES["declared_transform"] = f"""
+WITH {_LI_SPP}
+SELECT t.posting, interval_start, 60 AS interval_minutes, posted_at, ingested_at, 'archive' AS source,
+       1 AS schema_version, dst_flag, settlement_point, settlement_point_type, price_mwh
+FROM t JOIN s ON t.posting = s.posting
+WHERE s.problem IS NULL
+"""
+
+ORACLES["drift_report"] = f"""
+WITH {_LI_SPP}
+SELECT posting, n_rows, bad_rows, missing, unexpected, repeated_header, n_problems, problem,
+       CASE WHEN problem IS NULL THEN 'ok' ELSE 'failed' END AS status
+FROM s
+"""
+
+ORACLES["spp_from_lineitem"] = f"""
+WITH {_LI_SPP}
+SELECT posting, interval_start, settlement_point, settlement_point_type, price_mwh, dst_flag, problem
+FROM t WHERE posting % 2 = 0
+"""
+
+ORACLES["mcpc_domain"] = f"""
+WITH r AS (
+  SELECT l_orderkey, CAST(l_shipdate AS DATE) AS day, CAST(1 + l_suppkey % 24 AS INTEGER) AS h,
+         CAST(1 + l_partkey % 4 AS INTEGER) AS i,
+         upper(trim(CASE l_linenumber % 6 WHEN 0 THEN ' regup' WHEN 1 THEN 'REGDN ' WHEN 2 THEN 'rrs'
+                                          WHEN 3 THEN 'Ecrs' WHEN 4 THEN 'nspin' ELSE 'other' END)) AS as_type,
+         CAST(CAST(l_quantity AS BIGINT) AS DOUBLE) AS mcpc_mw
+  FROM lineitem),
+l AS (SELECT *, CAST(day AS TIMESTAMP) + to_hours(h - 1) + to_minutes(CAST((i - 1) * 15 AS INTEGER)) AS lt FROM r)
+SELECT l_orderkey, {_to_utc('lt', 'false')} AS interval_start, as_type, mcpc_mw,
+       COALESCE({_problem('lt', 'false')},
+                CASE WHEN as_type NOT IN ('REGUP', 'REGDN', 'RRS', 'ECRS', 'NSPIN')
+                     THEN 'unknown ancillary type ' || as_type END) AS problem
+FROM l
+"""
+
+_LI_SERIES = f"""
+r AS (
+  SELECT l_orderkey, l_linenumber, l_returnflag,
+         l_shipdate + to_minutes(CAST(l_orderkey % 1440 AS INTEGER)) + to_seconds(CAST(l_partkey % 60 AS BIGINT)) AS t,
+         l_quantity, l_extendedprice, l_discount, l_tax
+  FROM lineitem),
+l AS (SELECT *, date_trunc('hour', t) + to_minutes(CAST(minute(t) - minute(t) % 5 AS INTEGER)) AS lt FROM r),
+u AS (
+  SELECT l_orderkey, l_linenumber, l_returnflag, {_to_utc('lt', 'false')} AS interval_start,
+         {_problem('lt', 'false')} AS problem, series, raw
+  FROM l UNPIVOT INCLUDE NULLS (raw FOR series IN (
+      l_quantity AS 'li-measures:quantity', l_extendedprice AS 'li-measures:price',
+      l_discount AS 'li-measures:discount', l_tax AS 'li-measures:tax')))
+"""
+
+ORACLES["melt_series"] = f"""
+WITH {_LI_SERIES}
+SELECT l_orderkey, l_linenumber, interval_start, series,
+       CAST(CAST(round(raw * 100) AS BIGINT) AS DOUBLE) AS value
+FROM u
+"""
+
+ORACLES["melt_skip_blank"] = f"""
+WITH {_LI_SERIES}
+SELECT l_orderkey, l_linenumber, interval_start, series,
+       CAST(CAST(round(raw * 100) AS BIGINT) AS DOUBLE) AS value
+FROM u WHERE raw <> 0
+"""
+
+ORACLES["flag_filter"] = f"""
+WITH {_LI_SERIES}
+SELECT l_orderkey, l_linenumber, series, CAST(CAST(round(raw * 100) AS BIGINT) AS DOUBLE) AS value, problem
+FROM u WHERE l_returnflag = 'R'
+"""
+
+ORACLES["prefix_filter"] = f"""
+WITH r AS (
+  SELECT p_partkey, CAST('2024-03-' || lpad(CAST(1 + p_partkey % 28 AS VARCHAR), 2, '0') AS DATE) AS day,
+         CAST(1 + p_size % 24 AS INTEGER) AS he0, p_brand AS settlement_point,
+         CAST(CAST(round(p_retailprice * 100) AS BIGINT) AS DOUBLE) AS price_mwh
+  FROM part WHERE starts_with(p_brand, 'Brand#1') OR starts_with(p_brand, 'Brand#2')),
+l AS (SELECT *, {_he_local('day', 'he0')} AS lt FROM r)
+SELECT p_partkey, {_to_utc('lt', 'false')} AS interval_start, settlement_point, price_mwh,
+       {_problem('lt', 'false')} AS problem
+FROM l
+"""

@@ -280,3 +280,167 @@ def hour_ending_parse(spark, sf):
     return o.select("o_orderkey", he_text.alias("he_text"), T.parse_hour_ending(he_text).alias("hour_ending"),
                     date_text.alias("date_text"), T.parse_delivery_date(date_text).alias("delivery_date"),
                     flag.alias("flag"), flag_problem.alias("flag_problem"))
+
+
+# --- declared transforms (JOB05 EXT01 PRJ01-PRJ08 FN04) --------------------------------------
+
+from asofspark.plans import transform as TR  # noqa: E402
+from asofspark.plans.declare import Declaration  # noqa: E402
+
+SPP_DECL = Declaration(
+    product="li-prices", table="spp", interval_minutes=60, time_style="hour_ending",
+    columns={"delivery_date": "DeliveryDate", "hour_ending": "HourEnding", "point": "SettlementPoint",
+             "point_type": "SettlementPointType", "price": "SettlementPointPrice",
+             "repeated_flag": "DSTFlag"})
+
+MCPC_DECL = Declaration(
+    product="li-as-prices", table="mcpc", interval_minutes=15, time_style="hour_interval",
+    columns={"delivery_date": "DeliveryDate", "hour_ending": "DeliveryHour", "interval": "DeliveryInterval",
+             "repeated_flag": "RepeatedHourFlag", "as_type": "ASType", "mcpc": "MCPC"})
+
+SERIES_DECL = Declaration(
+    product="li-measures", table="series", interval_minutes=5, time_style="sced_timestamp",
+    columns={"run_stamp": "SCEDTimestamp", "quantity": "Quantity", "price": "ExtendedPrice",
+             "discount": "Discount", "tax": "Tax", "in_use": "InUseFlag"},
+    series={"quantity": "quantity", "price": "price", "discount": "discount", "tax": "tax"})
+
+SERIES_IN_USE = Declaration(
+    product="li-measures", table="series", interval_minutes=5, time_style="sced_timestamp",
+    columns=dict(SERIES_DECL.columns), series=dict(SERIES_DECL.series), keep_flag="in_use")
+
+PREFIX_DECL = Declaration(
+    product="part-prices", table="spp", interval_minutes=60, time_style="hour_ending",
+    columns={"delivery_date": "DeliveryDate", "hour_ending": "HourEnding", "point": "SettlementPoint",
+             "price": "SettlementPointPrice"},
+    keep_point_prefixes=("Brand#1", "Brand#2"))
+
+_SPP_HEADER = ["DeliveryDate", "HourEnding", "SettlementPoint", "SettlementPointType",
+               "SettlementPointPrice", "DSTFlag"]
+
+
+def _li_spp_records(spark, sf):
+    """lineitem as CSV-like postings of an hourly price report; odd postings carry an extra
+    column (drift); in postings divisible by 5, line 7 lost its last cell."""
+    li = read(spark, sf, "lineitem")
+    posting = (F.col("l_orderkey") % 400).cast("int")
+    cells = [
+        F.date_format("l_shipdate", "MM/dd/yyyy"),
+        F.concat(F.lpad((1 + (F.col("l_linenumber") * 5 + F.col("l_partkey")) % 24).cast("string"), 2, "0"), F.lit(":00")),
+        F.concat(F.lit("  P"), F.col("l_suppkey").cast("string")),
+        F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).otherwise(F.lit(" ")),
+        F.concat(F.lit(" "), F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string")),
+        F.when(F.col("l_partkey") % 997 == 0, F.lit("Y")).otherwise(F.lit("N")),
+    ]
+    full = F.array(*cells)
+    short = F.slice(full, 1, 5)
+    extra = F.concat(full, F.array(F.lit("x")))
+    odd = posting % 2 == 1
+    cut = (posting % 5 == 0) & (F.col("l_linenumber") == 7)
+    return li.select(
+        posting.alias("posting"),
+        (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), posting)).alias("posted_at"),
+        (F.lit("2024-01-01 00:02:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), posting)).alias("ingested_at"),
+        F.when(odd, F.array(*[F.lit(h) for h in _SPP_HEADER + ["Extra"]]))
+        .otherwise(F.array(*[F.lit(h) for h in _SPP_HEADER])).alias("header"),
+        F.when(cut, short).when(odd, extra).otherwise(full).alias("cells"),
+        "l_orderkey", "l_linenumber",
+    )
+
+
+def _blank_null(c):
+    return F.when(F.trim(c) != "", F.trim(c))
+
+
+@query
+def declared_transform(spark, sf):
+    rec = _li_spp_records(spark, sf)
+    rows = TR.transform(rec, SPP_DECL).withColumn("settlement_point_type", _blank_null(F.col("settlement_point_type")))
+    status = TR.posting_status(rows, TR.check_columns(rec, SPP_DECL))
+    return TR.accepted(rows, status)
+
+
+@query
+def drift_report(spark, sf):
+    rec = _li_spp_records(spark, sf)
+    rows = TR.transform(rec, SPP_DECL)
+    drift = TR.check_columns(rec, SPP_DECL)
+    status = TR.posting_status(rows, drift)
+    return drift.drop("problem").join(status.select("posting", "n_problems", "problem", "status"), on="posting")
+
+
+@query
+def spp_from_lineitem(spark, sf):
+    rec = _li_spp_records(spark, sf).filter(F.col("posting") % 2 == 0)
+    rows = TR.transform(rec, SPP_DECL)
+    return rows.select("posting", "interval_start", "settlement_point",
+                       _blank_null(F.col("settlement_point_type")).alias("settlement_point_type"),
+                       "price_mwh", "dst_flag", "problem")
+
+
+# Fixed values for the synthetic ancillary-type cells: five known spellings and one unknown.
+_AS_SPELLINGS = (" regup", "REGDN ", "rrs", "Ecrs", "nspin", "other")
+
+
+@query
+def mcpc_domain(spark, sf):
+    li = read(spark, sf, "lineitem")
+    k = F.col("l_linenumber") % 6
+    as_text = F.lit(_AS_SPELLINGS[5])
+    for i in range(5, -1, -1):
+        as_text = F.when(k == i, F.lit(_AS_SPELLINGS[i])).otherwise(as_text)
+    header = F.array(*[F.lit(c) for c in MCPC_DECL.expected_header])
+    cells = F.array(F.date_format("l_shipdate", "yyyy-MM-dd"), (1 + F.col("l_suppkey") % 24).cast("string"),
+                    (1 + F.col("l_partkey") % 4).cast("string"), F.lit("N"), as_text,
+                    F.col("l_quantity").cast("bigint").cast("string"))
+    rec = li.select(F.col("l_orderkey").alias("posting"), F.lit(None).cast("timestamp_ntz").alias("posted_at"),
+                    F.lit(None).cast("timestamp_ntz").alias("ingested_at"), header.alias("header"),
+                    cells.alias("cells"), "l_linenumber")
+    rows = TR.transform(rec, MCPC_DECL)
+    return rows.select(F.col("posting").alias("l_orderkey"), "interval_start", "as_type", "mcpc_mw", "problem")
+
+
+def _li_series_records(spark, sf, blanks: bool):
+    li = read(spark, sf, "lineitem")
+    stamp_ = F.date_format(F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("l_orderkey") % 1440).cast("int"),
+                                                                    (F.col("l_partkey") % 60).cast("int")), "MM/dd/yyyy HH:mm:ss")
+
+    def num(c):
+        txt = F.round(F.col(c) * 100).cast("bigint").cast("string")
+        return F.when(F.col(c) == 0, F.lit("  ")).otherwise(txt) if blanks else txt
+    flag = F.when(F.col("l_returnflag") == "R", F.lit("Y")).when(F.col("l_returnflag") == "A", F.lit("n")).otherwise(F.lit(""))
+    header = F.array(*[F.lit(c) for c in SERIES_DECL.expected_header])
+    cells = F.array(stamp_, num("l_quantity"), num("l_extendedprice"), num("l_discount"), num("l_tax"), flag)
+    return li.select(F.col("l_orderkey").alias("posting"), F.lit(None).cast("timestamp_ntz").alias("posted_at"),
+                     F.lit(None).cast("timestamp_ntz").alias("ingested_at"), header.alias("header"),
+                     cells.alias("cells"), "l_linenumber")
+
+
+@query
+def melt_series(spark, sf):
+    rows = TR.transform(_li_series_records(spark, sf, False), SERIES_DECL, carry=["l_linenumber"])
+    return rows.select(F.col("posting").alias("l_orderkey"), "l_linenumber", "interval_start", "series", "value")
+
+
+@query
+def melt_skip_blank(spark, sf):
+    rows = TR.transform(_li_series_records(spark, sf, True), SERIES_DECL, carry=["l_linenumber"])
+    return rows.select(F.col("posting").alias("l_orderkey"), "l_linenumber", "interval_start", "series", "value")
+
+
+@query
+def flag_filter(spark, sf):
+    rows = TR.transform(_li_series_records(spark, sf, False), SERIES_IN_USE, carry=["l_linenumber"])
+    return rows.select(F.col("posting").alias("l_orderkey"), "l_linenumber", "series", "value", "problem")
+
+
+@query
+def prefix_filter(spark, sf):
+    p = read(spark, sf, "part")
+    header = F.array(*[F.lit(c) for c in PREFIX_DECL.expected_header])
+    cells = F.array(F.concat(F.lit("2024-03-"), F.lpad((1 + F.col("p_partkey") % 28).cast("string"), 2, "0")),
+                    (1 + F.col("p_size") % 24).cast("string"), F.concat(F.lit(" "), F.col("p_brand")),
+                    F.round(F.col("p_retailprice") * 100).cast("bigint").cast("string"))
+    rec = p.select(F.col("p_partkey").alias("posting"), F.lit(None).cast("timestamp_ntz").alias("posted_at"),
+                   F.lit(None).cast("timestamp_ntz").alias("ingested_at"), header.alias("header"), cells.alias("cells"))
+    rows = TR.transform(rec, PREFIX_DECL)
+    return rows.select(F.col("posting").alias("p_partkey"), "interval_start", "settlement_point", "price_mwh", "problem")
