@@ -444,3 +444,360 @@ def prefix_filter(spark, sf):
                    F.lit(None).cast("timestamp_ntz").alias("ingested_at"), header.alias("header"), cells.alias("cells"))
     rows = TR.transform(rec, PREFIX_DECL)
     return rows.select(F.col("posting").alias("p_partkey"), "interval_start", "settlement_point", "price_mwh", "problem")
+
+
+# --- checks, calendars and monitoring (AGG01-AGG12, SET02-SET04, JOB10-JOB18, WIN03-WIN05) ---
+
+from asofspark.operators import alarms as AL  # noqa: E402
+from asofspark.operators import checks as CK  # noqa: E402
+from asofspark.operators import progress as PG  # noqa: E402
+from asofspark.operators.sample import sample as sample_rows  # noqa: E402
+from asofspark.plans import monitor as MO  # noqa: E402
+
+NOW = "2024-01-20 12:00:00"
+END = "2024-01-31 00:00:00"
+
+
+@query
+def repeated_keys(spark, sf):
+    li = read(spark, sf, "lineitem")
+    return CK.repeated_keys(li, key=["l_orderkey", "l_linenumber"], by="l_returnflag")
+
+
+@query
+def duplicate_posting_keys(spark, sf):
+    li = read(spark, sf, "lineitem")
+    return CK.duplicate_keys(li, key=["l_orderkey", "l_linenumber"], posted="l_shipdate", limit=5)
+
+
+@query
+def zone_sum_findings(spark, sf):
+    li = read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("order_key"),
+                                            F.col("l_extendedprice").alias("value"), F.lit("zone").alias("kind"))
+    o = read(spark, sf, "orders").select(F.col("o_orderkey").alias("order_key"),
+                                         F.col("o_totalprice").alias("value"), F.lit("total").alias("kind"))
+    f = CK.sum_findings(li.unionByName(o), by="order_key", part=F.col("kind") == "zone",
+                        total=F.col("kind") == "total", value="value", expected_parts=7)
+    return f.select("order_key", F.round("parts_sum", 2).alias("parts_sum"), "total", "n_parts")
+
+
+def _damaged_lineitem(spark, sf):
+    li = read(spark, sf, "lineitem")
+    return li.select(
+        F.concat(F.lit("year="), F.year("l_shipdate").cast("string")).alias("file"),
+        F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")).alias("l_returnflag"),
+        F.when(F.col("l_discount") != 0.0, F.col("l_discount")).alias("l_discount"),
+        F.when(F.col("l_tax") != 0.08, F.col("l_tax")).alias("l_tax"),
+        "l_quantity",
+    )
+
+
+@query
+def null_audit(spark, sf):
+    return CK.null_audit(_damaged_lineitem(spark, sf), ["l_returnflag", "l_discount", "l_tax", "l_quantity"], by="file")
+
+
+@query
+def version_audit(spark, sf):
+    e = read(spark, sf, "events").select(
+        F.to_date("ts").cast("string").alias("file"),
+        (1 + (F.col("event_id") % 50 == 0).cast("int")).alias("schema_version"))
+    return CK.version_audit(e, supported=(1,), by="file")
+
+
+@query
+def calendar_gaps(spark, sf):
+    o = read(spark, sf, "orders").select(F.to_date("o_orderdate").alias("day"))
+    return CK.calendar_gaps(o, day="day")
+
+
+def _events_present(spark, sf, minutes=15):
+    e = read(spark, sf, "events")
+    sec = minutes * 60
+    slot = F.timestamp_seconds(F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / sec) * sec).cast("timestamp_ntz")
+    return e.select(F.lit("events").alias("product"), slot.alias("interval_start"), "event_type", "ts")
+
+
+def _coverage_15min(spark, sf):
+    present = _events_present(spark, sf)
+    days = present.select(T.delivery_date("interval_start").alias("d")).agg(
+        F.min("d").alias("lo"), F.max("d").alias("hi"))
+    days = days.select(F.lit("events").alias("product"), F.lit(15).alias("interval_minutes"),
+                       F.explode(F.sequence("lo", "hi")).alias("delivery_date"))
+    return MO.coverage(MO.calendar(days), present)
+
+
+@query
+def coverage_15min(spark, sf):
+    return _coverage_15min(spark, sf).select("product", "delivery_date", "expected", "present", "n_missing")
+
+
+@query
+def missing_text(spark, sf):
+    c = _coverage_15min(spark, sf)
+    return c.select("delivery_date", MO.missing_text("missing", 8).alias("missing_text"))
+
+
+@query
+def findings_limit(spark, sf):
+    c = _coverage_15min(spark, sf).filter(F.col("n_missing") > 0)
+    return c.orderBy("delivery_date").limit(5).select("delivery_date", "n_missing",
+                                                      MO.missing_text("missing", 4).alias("missing_text"))
+
+
+# The coverage configuration of the event "products" (name, cadence, grain).
+_EVENT_PRODUCTS = [("click", "intraday", 15), ("view", "hourly", 60), ("purchase", "daily_after", 60),
+                   ("signup", "daily_ahead", 60), ("error", "intraday", 5)]
+
+
+@query
+def coverage_actionable(spark, sf):
+    cfg = spark.createDataFrame(_EVENT_PRODUCTS, "product string, cadence string, interval_minutes int")
+    days = cfg.select("*", F.explode(F.array(*MO.report_days(NOW))).alias("delivery_date"))
+    expected = MO.expected_slots(MO.calendar(days), NOW)
+    e = read(spark, sf, "events")
+    minutes = cfg.select(F.col("product").alias("event_type"), "interval_minutes")
+    sec = F.col("interval_minutes") * 60
+    present = e.join(F.broadcast(minutes), on="event_type").select(  # the config is a handful of rows
+        F.col("event_type").alias("product"),
+        F.timestamp_seconds(F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / sec) * sec).cast("timestamp_ntz").alias("interval_start"))
+    c = MO.coverage(expected, present, now=NOW)
+    return c.select("product", "delivery_date", "unit", "expected", "present", "n_missing",
+                    F.size("actionable").alias("n_actionable"),
+                    MO.missing_text("actionable", 4).alias("actionable_text"))
+
+
+@query
+def posting_hours(spark, sf):
+    e = read(spark, sf, "events")
+    return e.groupBy(F.col("event_type").alias("product"), T.delivery_date("ts").alias("posting_date")).agg(
+        F.count_distinct(F.date_trunc("hour", "ts")).alias("n_hours"))
+
+
+# Freshness thresholds in minutes (one configured name has no data at all).
+_THRESHOLDS = [("click", 60), ("view", 120), ("purchase", 30), ("signup", 1440), ("error", 15), ("refund", 60)]
+
+
+def _freshness(spark, sf):
+    cfg = spark.createDataFrame(_THRESHOLDS, "name string, stale_after_min int").withColumn("kind", F.lit("product"))
+    e = read(spark, sf, "events")
+    seen = e.groupBy(F.col("event_type").alias("name")).agg(F.max("ts").alias("last_seen")).withColumn(
+        "problem", F.lit(None).cast("string"))
+    return MO.freshness(cfg, seen, END)
+
+
+@query
+def freshness(spark, sf):
+    return _freshness(spark, sf)
+
+
+@query
+def stale_count(spark, sf):
+    return MO.freshness_metrics(_freshness(spark, sf))
+
+
+def _postings(spark, sf):
+    e = read(spark, sf, "events")
+    return e.select(F.col("event_type").alias("product"), F.col("event_id").alias("doc_id"),
+                    F.col("ts").alias("posted_at"), (F.col("event_id") % 997 == 0).alias("bad"),
+                    F.get_json_object("props", "$.k").cast("bigint").alias("n_rows"),
+                    T.delivery_date("ts").alias("date"),
+                    F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("interval_start"))
+
+
+@query
+def run_summary(spark, sf):
+    return PG.run_summary(_postings(spark, sf), n_rows="n_rows")
+
+
+@query
+def safe_progress(spark, sf):
+    return PG.safe_progress(_postings(spark, sf))
+
+
+def _nation_state(spark, sf):
+    n = read(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("product"))
+    c = read(spark, sf, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("nc"))
+    s = read(spark, sf, "supplier").groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("ns"))
+    base = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    prev = n.join(c, n.n_nationkey == c.c_nationkey).select(
+        "product", (base + F.make_dt_interval(F.lit(0), F.lit(0), F.col("nc").cast("int"))).alias("last_posted_at"),
+        (base + F.make_dt_interval(F.lit(0), F.lit(1))).alias("last_run_at"),
+        F.when(F.col("nc") % 5 == 0, F.lit("error")).otherwise(F.lit("ok")).alias("status"),
+        F.when(F.col("nc") % 5 == 0, F.concat(F.lit("failed after "), F.col("nc").cast("string"))).alias("error"),
+        "n_nationkey")
+    run = n.join(s, n.n_nationkey == s.s_nationkey).select(
+        "product",
+        F.when(F.col("n_nationkey") % 4 == 0, F.lit(None).cast("timestamp_ntz"))
+        .otherwise(base + F.make_dt_interval(F.lit(0), F.col("ns").cast("int"))).alias("last_posted_at"),
+        (base + F.make_dt_interval(F.lit(1))).alias("run_at"),
+        F.when(F.col("n_nationkey") % 3 == 0, F.lit("error")).otherwise(F.lit("ok")).alias("status"),
+        F.when(F.col("n_nationkey") % 3 == 0, F.lit("drift")).alias("error"),
+        F.col("ns").alias("docs"), "n_nationkey")
+    return prev, run
+
+
+@query
+def watermark_merge(spark, sf):
+    prev, run = _nation_state(spark, sf)
+    return PG.merge_watermarks(prev, run)
+
+
+@query
+def manifest_carry(spark, sf):
+    prev, run = _nation_state(spark, sf)
+    p = prev.select("product", "last_posted_at",
+                    F.col("last_run_at").alias("latest_interval_start"),
+                    F.col("n_nationkey").cast("string").alias("partitions"))
+    r = run.select("product", "run_at", F.when(F.col("n_nationkey") % 2 == 0, F.lit(0)).otherwise(F.col("docs")).alias("docs"),
+                   (F.col("docs") * 10).alias("rows"), "last_posted_at",
+                   F.col("run_at").alias("latest_interval_start"), F.lit("new").alias("partitions"))
+    return PG.carry_manifest(p, r)
+
+
+@query
+def catalog_retire(spark, sf):
+    n = read(spark, sf, "nation")
+    config = n.filter(F.col("n_regionkey") != 0).select(F.col("n_name").alias("product"), F.lit("series").alias("table"))
+    manifests = n.filter(F.col("n_nationkey") % 2 == 0).select(F.col("n_name").alias("product"))
+    previous = n.filter(F.col("n_nationkey") < 10).select(F.col("n_name").alias("product"), F.lit("spp").alias("table"))
+    return PG.build_catalog(config, manifests, previous)
+
+
+@query
+def sample_rule(spark, sf):
+    li = read(spark, sf, "lineitem").select(
+        "l_suppkey", "l_orderkey", "l_linenumber",
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("interval_key"),
+        F.when(F.col("l_partkey") % 10 == 0, F.concat(F.lit("HB_"), F.col("l_partkey").cast("string")))
+        .when(F.col("l_partkey") % 10 == 1, F.concat(F.lit("LZ_"), F.col("l_partkey").cast("string")))
+        .otherwise(F.concat(F.lit("N"), F.col("l_partkey").cast("string"))).alias("point"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line_no"))
+    return sample_rows(li, file="l_suppkey", order="line_no", interval="interval_key", point="point")
+
+
+def _error_log(spark, sf):
+    e = read(spark, sf, "events").filter(F.col("event_type") == "error")
+    raw = F.when(F.col("event_id") % 2 == 0,
+                 F.concat(F.lit('{"level": "ERROR", "message": "run   failed\\tk='),
+                          F.get_json_object("props", "$.k"), F.lit(' for user '), F.col("user_id").cast("string"), F.lit('"}'))
+                 ).otherwise(F.concat(F.lit("plain  error line "), F.col("props")))
+    return e.select(F.col("ts").alias("at"), raw.alias("raw"), "event_id")
+
+
+@query
+def error_digest(spark, sf):
+    return MO.error_digest(_error_log(spark, sf), "2024-01-29 00:00:00", END)
+
+
+def _metrics(spark, sf):
+    e = read(spark, sf, "events")
+    return e.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("at")).agg(
+        F.count(F.lit(1)).alias("invocations"), F.count_if(F.col("event_type") == "error").alias("errors"))
+
+
+@query
+def error_rate(spark, sf):
+    return MO.run_stats(_metrics(spark, sf), "2024-01-24 00:00:00", END)
+
+
+@query
+def closest_to_limit(spark, sf):
+    e = read(spark, sf, "events")
+    peaks = e.groupBy(F.col("event_type").alias("name")).agg(F.max("value").alias("peak"))
+    th = spark.createDataFrame(_THRESHOLDS, "name string, stale_after_min int")
+    return MO.closest_to_limit(peaks, th).select("name", "peak", "stale_after_min", F.round("ratio", 6).alias("ratio"))
+
+
+@query
+def kpis(spark, sf):
+    cov = _coverage_15min(spark, sf)
+    yesterday = F.date_sub(T.delivery_date(F.lit(NOW).cast("timestamp_ntz")), 1)
+    c = cov.filter(F.col("delivery_date") == yesterday).agg(
+        F.sum("expected").alias("e"), F.sum("n_missing").alias("m"), F.first("delivery_date").alias("d"))
+    cov_text = c.filter(F.col("e") > 0).select(F.lit(1).alias("rank"), F.concat(
+        F.lit("coverage "), F.col("d").cast("string"), F.lit(": "),
+        F.format_number(F.bround(100.0 * (F.col("e") - F.col("m")) / F.col("e"), 1), 1), F.lit(" % ("),
+        F.col("m").cast("string"), F.lit(" of "), F.format_number(F.col("e"), 0), F.lit(" missing)")).alias("text"))
+    st = MO.run_stats(_metrics(spark, sf), "2024-01-19 12:00:00", NOW)
+    run_text = st.select(F.lit(2).alias("rank"), F.concat(
+        F.lit("ingest runs, 24 h: "), F.format_number(F.col("invocations"), 0), F.lit(", "),
+        F.col("errors").cast("string"), F.lit(" failed ("),
+        F.format_number(F.bround(F.col("error_rate") * 100, 2), 2), F.lit("%)")).alias("text"))
+    return cov_text.unionByName(run_text)
+
+
+@query
+def alarm_states(spark, sf):
+    e = read(spark, sf, "events").filter(F.col("event_type") == "error")
+    m = e.select(F.lit("ingest-errors").alias("metric"), F.col("ts").alias("at"), "value")
+    return AL.alarm_states(m, period_minutes=5, points=3, threshold=25.0, missing_breaching=True)
+
+
+@query
+def alarm_transitions(spark, sf):
+    e = read(spark, sf, "events").filter(F.col("event_type") == "error")
+    k = F.get_json_object("props", "$.k")
+    data = F.concat(F.lit('{"oldState": {"stateValue": "'),
+                    F.when(F.col("event_id") % 2 == 0, F.lit("OK")).otherwise(F.lit("ALARM")),
+                    F.lit('"}, "newState": {"stateValue": "'),
+                    F.when(F.col("event_id") % 2 == 0, F.lit("ALARM")).otherwise(F.lit("OK")),
+                    F.lit('", "stateReason": "k='), k, F.lit('"}}'))
+    hist = e.select(F.concat(F.when(F.col("user_id") % 3 == 0, F.lit("other-")).otherwise(F.lit("ingest-")),
+                             F.col("user_id").cast("string")).alias("alarm"), F.col("ts").alias("at"), data.alias("data"))
+    return AL.alarm_transitions(hist, "ingest-", "2024-01-10 00:00:00", "2024-01-20 00:00:00")
+
+
+@query
+def newest_batch(spark, sf):
+    e = read(spark, sf, "events").select(
+        T.delivery_date("ts").alias("date"),
+        F.concat(F.lit("part-"), F.date_format(F.date_trunc("hour", "ts"), "yyyyMMdd'T'HHmmss'Z'")).alias("batch")).distinct()
+    w = __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("date")
+    return e.withColumn("newest", F.col("batch") == F.max("batch").over(w))
+
+
+@query
+def union_by_name(spark, sf):
+    s = read(spark, sf, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"),
+                                           F.col("s_nationkey").alias("nationkey"), F.col("s_acctbal").alias("acctbal"))
+    c = read(spark, sf, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"),
+                                           F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nationkey"))
+    return s.unionByName(c, allowMissingColumns=True)
+
+
+@query
+def delivery_range(spark, sf):
+    log = event_log(spark, sf).withColumnRenamed("day", "date")
+    return pit.delivery_between(log, "2024-01-07", "2024-01-09", col="date")
+
+
+@query
+def version_gate(spark, sf):
+    e = read(spark, sf, "events").select((1 + (F.col("event_id") % 50 == 0).cast("int")).alias("schema_version"))
+    return pit.version_counts(e, supported=(1,))
+
+
+@query
+def typed_empty(spark, sf):
+    log = event_log(spark, sf)
+    return pit.latest_as_of(log, key=KEY, posted="posted_at", as_of="2023-12-31 00:00:00")
+
+
+@query
+def quality_rules(spark, sf):
+    ev = _events_present(spark, sf)
+    grid = ev.agg(F.count(F.lit(1)).alias("n_checked"),
+                  F.count_if((F.minute("interval_start") % 15 != 0) | (F.second("interval_start") != 0)).alias("n_failed")
+                  ).select(F.lit("on_grid").alias("rule"), "n_checked", "n_failed")
+    li = read(spark, sf, "lineitem").select("l_orderkey", "l_shipdate", "l_extendedprice")
+    o = read(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    plaus = j.agg(F.count(F.lit(1)).alias("n_checked"),
+                  F.count_if(F.col("l_shipdate") < F.col("o_orderdate")).alias("n_failed")
+                  ).select(F.lit("delivery_after_posting").alias("rule"), "n_checked", "n_failed")
+    per = j.groupBy("o_orderkey").agg(F.sum("l_extendedprice").alias("s"), F.first("o_totalprice").alias("t"))
+    tol = per.agg(F.count(F.lit(1)).alias("n_checked"),
+                  F.count_if(F.abs(F.col("s") - F.col("t")) > F.greatest(F.lit(1.0), F.abs(F.col("t")) * 1e-4)).alias("n_failed")
+                  ).select(F.lit("total_within_tolerance").alias("rule"), "n_checked", "n_failed")
+    return grid.unionByName(plaus).unionByName(tol)
