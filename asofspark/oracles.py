@@ -406,3 +406,375 @@ SELECT p_partkey, {_to_utc('lt', 'false')} AS interval_start, settlement_point,
        {_problem('lt', 'false')} AS problem
 FROM l
 """
+
+
+# --- checks, calendars and monitoring --------------------------------------------------------
+
+ORACLES["repeated_keys"] = """
+SELECT l_returnflag, count(*) AS n_repeated_keys,
+       min(CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)) AS example,
+       max(n) AS max_copies
+FROM (SELECT l_returnflag, l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+      GROUP BY l_returnflag, l_orderkey, l_linenumber HAVING count(*) > 1) d
+GROUP BY l_returnflag
+"""
+
+ORACLES["duplicate_posting_keys"] = """
+SELECT l_orderkey, l_linenumber, l_shipdate, count(*) AS n FROM lineitem
+GROUP BY l_orderkey, l_linenumber, l_shipdate HAVING count(*) > 1
+ORDER BY n DESC, l_orderkey, l_linenumber, l_shipdate LIMIT 5
+"""
+
+ORACLES["zone_sum_findings"] = """
+WITH u AS (SELECT l_orderkey AS order_key, l_extendedprice AS value, 'zone' AS kind FROM lineitem
+           UNION ALL SELECT o_orderkey, o_totalprice, 'total' FROM orders),
+g AS (SELECT order_key, sum(CASE WHEN kind = 'zone' THEN value END) AS parts_sum,
+             max(CASE WHEN kind = 'total' THEN value END) AS total,
+             count(CASE WHEN kind = 'zone' THEN 1 END) AS n_parts
+      FROM u GROUP BY order_key)
+SELECT order_key, round(parts_sum, 2) AS parts_sum, total, n_parts FROM g
+WHERE abs(parts_sum - total) > 1.0 OR n_parts <> 7
+"""
+
+ORACLES["null_audit"] = """
+WITH d AS (
+  SELECT 'year=' || CAST(year(l_shipdate) AS VARCHAR) AS file, NULLIF(l_returnflag, 'R') AS l_returnflag,
+         NULLIF(l_discount, 0.0) AS l_discount, NULLIF(l_tax, 0.08) AS l_tax, l_quantity FROM lineitem),
+w AS (SELECT file, count(*) FILTER (WHERE l_returnflag IS NULL) AS l_returnflag,
+             count(*) FILTER (WHERE l_discount IS NULL) AS l_discount,
+             count(*) FILTER (WHERE l_tax IS NULL) AS l_tax,
+             count(*) FILTER (WHERE l_quantity IS NULL) AS l_quantity FROM d GROUP BY file)
+SELECT file, "column", n_null FROM w
+UNPIVOT (n_null FOR "column" IN (l_returnflag, l_discount, l_tax, l_quantity))
+WHERE n_null > 0
+"""
+
+ORACLES["version_audit"] = """
+WITH d AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS file,
+                  1 + CAST(event_id % 50 = 0 AS INTEGER) AS v FROM events)
+SELECT file, array_to_string(list_sort(list_distinct(list(CAST(v AS VARCHAR)))), ',') AS versions,
+       bool_or(v <> 1) AS unsupported
+FROM d GROUP BY file
+"""
+
+ORACLES["calendar_gaps"] = """
+WITH p AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders),
+c AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM p)
+SELECT day FROM c WHERE day NOT IN (SELECT day FROM p)
+"""
+
+_SLOT15 = "to_timestamp(floor(epoch(ts) / 900) * 900)::TIMESTAMPTZ AT TIME ZONE 'UTC'"
+
+_COV15 = f"""
+p AS (SELECT DISTINCT time_bucket(INTERVAL 15 MINUTE, ts) AS interval_start FROM events),
+b AS (SELECT min(CAST({_local('interval_start')} AS DATE)) AS lo,
+             max(CAST({_local('interval_start')} AS DATE)) AS hi FROM p),
+d AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS delivery_date FROM b),
+e AS (SELECT delivery_date,
+             unnest(generate_series({_first('CAST(delivery_date AS TIMESTAMP)')},
+                                    {_first('CAST(delivery_date + INTERVAL 1 DAY AS TIMESTAMP)')} - INTERVAL 15 MINUTE,
+                                    INTERVAL 15 MINUTE)) AS interval_start FROM d),
+c AS (SELECT e.delivery_date, count(*) AS expected, count(p.interval_start) AS present,
+             list_sort(list(e.interval_start) FILTER (WHERE p.interval_start IS NULL)) AS missing
+      FROM e LEFT JOIN p ON e.interval_start = p.interval_start GROUP BY e.delivery_date)
+"""
+
+
+def _missing_text(arr: str, limit: int) -> str:
+    return (f"(array_to_string(list_transform(coalesce({arr}, [])[1:{limit}], lambda x: strftime({_local('x')}, '%H:%M')), ', ')"
+            f" || CASE WHEN len(coalesce({arr}, [])) > {limit} THEN ' +' || CAST(len({arr}) - {limit} AS VARCHAR) || ' more' ELSE '' END"
+            f" || ' CT')")
+
+
+ORACLES["coverage_15min"] = f"""
+WITH {_COV15}
+SELECT 'events' AS product, delivery_date, expected, present, CAST(len(coalesce(missing, [])) AS INTEGER) AS n_missing FROM c
+"""
+
+ORACLES["missing_text"] = f"""
+WITH {_COV15}
+SELECT delivery_date, {_missing_text('missing', 8)} AS missing_text FROM c
+"""
+
+ORACLES["findings_limit"] = f"""
+WITH {_COV15}
+SELECT delivery_date, CAST(len(missing) AS INTEGER) AS n_missing, {_missing_text('missing', 4)} AS missing_text
+FROM c WHERE len(coalesce(missing, [])) > 0 ORDER BY delivery_date LIMIT 5
+"""
+
+_NOW = "TIMESTAMP '2024-01-20 12:00:00'"
+
+ORACLES["coverage_actionable"] = f"""
+WITH cfg(product, cadence, interval_minutes) AS (
+  VALUES ('click', 'intraday', 15), ('view', 'hourly', 60), ('purchase', 'daily_after', 60),
+         ('signup', 'daily_ahead', 60), ('error', 'intraday', 5)),
+t AS (SELECT CAST({_local(_NOW)} AS DATE) AS today),
+d AS (SELECT cfg.*, CAST(today + to_days(CAST(k AS INTEGER)) AS DATE) AS delivery_date
+      FROM cfg, t, range(-1, 2) r(k)),
+cal AS (SELECT product, cadence, interval_minutes, delivery_date,
+               unnest(generate_series({_first('CAST(delivery_date AS TIMESTAMP)')},
+                                      {_first('CAST(delivery_date + INTERVAL 1 DAY AS TIMESTAMP)')} - to_minutes(interval_minutes),
+                                      to_minutes(interval_minutes))) AS interval_start FROM d),
+e AS (SELECT * FROM cal WHERE CASE
+        WHEN cadence = 'daily_ahead' THEN {_NOW} >= {_first("CAST(delivery_date - INTERVAL 1 DAY AS TIMESTAMP) + INTERVAL 13 HOUR + INTERVAL 30 MINUTE")}
+        WHEN cadence = 'daily_after' THEN {_NOW} >= {_first("CAST(delivery_date + INTERVAL 1 DAY AS TIMESTAMP) + INTERVAL 8 HOUR")}
+        WHEN cadence = 'hourly' THEN interval_start + INTERVAL 1 HOUR + INTERVAL 30 MINUTE <= {_NOW}
+        ELSE interval_start + to_minutes(interval_minutes) + INTERVAL 10 MINUTE <= {_NOW} END),
+p AS (SELECT DISTINCT event_type AS product,
+             to_timestamp(floor(epoch(ts) / (interval_minutes * 60)) * (interval_minutes * 60)) AT TIME ZONE 'UTC' AS interval_start
+      FROM events JOIN cfg ON events.event_type = cfg.product),
+c AS (SELECT e.product, e.delivery_date, first(e.cadence) AS cadence, first(e.interval_minutes) AS interval_minutes,
+             count(*) AS expected, count(p.interval_start) AS present,
+             list_sort(list(e.interval_start) FILTER (WHERE p.interval_start IS NULL)) AS missing
+      FROM e LEFT JOIN p ON e.product = p.product AND e.interval_start = p.interval_start
+      GROUP BY e.product, e.delivery_date),
+a AS (SELECT *, coalesce(missing, []) AS m,
+             CASE WHEN cadence IN ('daily_ahead', 'daily_after') THEN coalesce(missing, [])
+                  WHEN cadence = 'hourly' THEN CASE WHEN len(coalesce(missing, [])) > 2 THEN missing ELSE [] END
+                  ELSE list_filter(coalesce(missing, []), lambda x: x + to_minutes(interval_minutes) + INTERVAL 120 MINUTE <= {_NOW}) END
+               AS actionable
+      FROM c)
+SELECT product, delivery_date, CASE WHEN cadence = 'hourly' THEN 'postings' ELSE 'intervals' END AS unit,
+       expected, present, CAST(len(m) AS INTEGER) AS n_missing, CAST(len(actionable) AS INTEGER) AS n_actionable,
+       {_missing_text('actionable', 4)} AS actionable_text
+FROM a
+"""
+
+ORACLES["posting_hours"] = f"""
+SELECT event_type AS product, CAST({_local('ts')} AS DATE) AS posting_date,
+       count(DISTINCT date_trunc('hour', ts)) AS n_hours
+FROM events GROUP BY ALL
+"""
+
+_FRESH = """
+cfg(name, stale_after_min) AS (VALUES ('click', 60), ('view', 120), ('purchase', 30), ('signup', 1440),
+                                      ('error', 15), ('refund', 60)),
+s AS (SELECT event_type AS name, max(ts) AS last_seen FROM events GROUP BY event_type),
+f AS (SELECT cfg.name, 'product' AS kind, cfg.stale_after_min, s.last_seen,
+             (epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(s.last_seen)) / 60000000.0 AS age_minutes,
+             s.name IS NULL AS absent
+      FROM cfg LEFT JOIN s ON cfg.name = s.name)
+"""
+
+ORACLES["freshness"] = f"""
+WITH {_FRESH}
+SELECT name, kind, stale_after_min, last_seen, age_minutes,
+       age_minutes IS NULL OR age_minutes > stale_after_min AS stale,
+       CASE WHEN absent THEN 'no manifest' WHEN last_seen IS NULL THEN 'no posting yet' END AS problem,
+       CASE WHEN age_minutes IS NULL THEN name || ' (' || CASE WHEN absent THEN 'no manifest' ELSE 'no posting yet' END || ')'
+            ELSE name || ' (' || CAST(CAST(round_even(age_minutes, 0) AS BIGINT) AS VARCHAR) || ' min > '
+                 || CAST(stale_after_min AS VARCHAR) || ')' END AS reason
+FROM f
+"""
+
+ORACLES["stale_count"] = f"""
+WITH {_FRESH}
+SELECT 'FreshnessMinutes' AS metric, name AS dimension, age_minutes AS value FROM f WHERE age_minutes IS NOT NULL
+UNION ALL
+SELECT 'StaleProducts', NULL, CAST(sum(CASE WHEN age_minutes IS NULL OR age_minutes > stale_after_min THEN 1 ELSE 0 END) AS DOUBLE) FROM f
+"""
+
+ORACLES["run_summary"] = f"""
+SELECT event_type AS product, count(DISTINCT event_id) AS docs,
+       CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS rows,
+       count(DISTINCT CAST({_local('ts')} AS DATE)) AS partitions,
+       max(ts) AS last_posted_at, max(date_trunc('hour', ts)) AS latest_interval_start
+FROM events GROUP BY event_type
+"""
+
+ORACLES["safe_progress"] = """
+WITH stop AS (SELECT event_type, min(ts) AS stopped_at FROM events WHERE event_id % 997 = 0 GROUP BY event_type),
+j AS (SELECT e.event_type, e.ts, s.stopped_at,
+             s.stopped_at IS NULL OR e.ts < s.stopped_at AS before FROM events e LEFT JOIN stop s USING (event_type))
+SELECT event_type AS product, max(ts) FILTER (WHERE before) AS watermark, first(stopped_at) AS stopped_at,
+       count(*) FILTER (WHERE before) AS taken, count(*) FILTER (WHERE NOT before) AS held
+FROM j GROUP BY event_type
+"""
+
+_NATION = """
+c AS (SELECT c_nationkey, count(*) AS nc FROM customer GROUP BY c_nationkey),
+s AS (SELECT s_nationkey, count(*) AS ns FROM supplier GROUP BY s_nationkey),
+prev AS (SELECT n_name AS product, TIMESTAMP '2024-01-01' + to_minutes(CAST(nc AS INTEGER)) AS last_posted_at,
+                TIMESTAMP '2024-01-01 01:00:00' AS last_run_at,
+                CASE WHEN nc % 5 = 0 THEN 'error' ELSE 'ok' END AS status,
+                CASE WHEN nc % 5 = 0 THEN 'failed after ' || CAST(nc AS VARCHAR) END AS error, n_nationkey
+         FROM nation JOIN c ON n_nationkey = c_nationkey),
+run AS (SELECT n_name AS product,
+               CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE TIMESTAMP '2024-01-01' + to_hours(CAST(ns AS INTEGER)) END AS last_posted_at,
+               TIMESTAMP '2024-01-02' AS run_at, CASE WHEN n_nationkey % 3 = 0 THEN 'error' ELSE 'ok' END AS status,
+               CASE WHEN n_nationkey % 3 = 0 THEN 'drift' END AS error, ns AS docs, n_nationkey
+        FROM nation JOIN s ON n_nationkey = s_nationkey)
+"""
+
+ORACLES["watermark_merge"] = f"""
+WITH {_NATION}
+SELECT coalesce(prev.product, run.product) AS product,
+       coalesce(run.last_posted_at, prev.last_posted_at) AS last_posted_at,
+       coalesce(run.run_at, prev.last_run_at) AS last_run_at,
+       coalesce(run.status, prev.status) AS status,
+       CASE WHEN run.status = 'ok' THEN NULL WHEN run.status IS NOT NULL THEN run.error ELSE prev.error END AS error
+FROM prev FULL OUTER JOIN run ON prev.product = run.product
+"""
+
+ORACLES["manifest_carry"] = f"""
+WITH {_NATION},
+p AS (SELECT product, last_posted_at, last_run_at AS latest_interval_start, CAST(n_nationkey AS VARCHAR) AS partitions FROM prev),
+r AS (SELECT product, run_at, CASE WHEN n_nationkey % 2 = 0 THEN 0 ELSE docs END AS docs, docs * 10 AS rows,
+             last_posted_at, run_at AS latest_interval_start, 'new' AS partitions FROM run)
+SELECT r.product, r.run_at, r.docs, r.rows,
+       CASE WHEN r.docs = 0 THEN p.last_posted_at ELSE r.last_posted_at END AS last_posted_at,
+       CASE WHEN r.docs = 0 THEN p.latest_interval_start ELSE r.latest_interval_start END AS latest_interval_start,
+       CASE WHEN r.docs = 0 THEN p.partitions ELSE r.partitions END AS partitions,
+       1 AS schema_version
+FROM r LEFT JOIN p ON r.product = p.product
+"""
+
+ORACLES["catalog_retire"] = """
+WITH config AS (SELECT n_name AS product, 'series' AS "table" FROM nation WHERE n_regionkey <> 0),
+manifests AS (SELECT n_name AS product FROM nation WHERE n_nationkey % 2 = 0),
+previous AS (SELECT n_name AS product, 'spp' AS "table" FROM nation WHERE n_nationkey < 10)
+SELECT product, "table", true AS live, 'configured' AS status FROM config
+UNION ALL
+SELECT m.product, p."table", false, 'retired' FROM manifests m JOIN previous p ON m.product = p.product
+WHERE m.product NOT IN (SELECT product FROM config)
+UNION ALL
+SELECT product, CAST(NULL AS VARCHAR), CAST(NULL AS BOOLEAN), 'orphan' FROM manifests
+WHERE product NOT IN (SELECT product FROM config) AND product NOT IN (SELECT product FROM previous)
+"""
+
+ORACLES["sample_rule"] = """
+WITH li AS (
+  SELECT l_suppkey, l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') AS interval_key,
+         CASE WHEN l_partkey % 10 = 0 THEN 'HB_' || CAST(l_partkey AS VARCHAR)
+              WHEN l_partkey % 10 = 1 THEN 'LZ_' || CAST(l_partkey AS VARCHAR)
+              ELSE 'N' || CAST(l_partkey AS VARCHAR) END AS point,
+         l_orderkey * 8 + l_linenumber AS line_no FROM lineitem),
+f AS (SELECT l_suppkey, interval_key, dense_rank() OVER (PARTITION BY l_suppkey ORDER BY min(line_no)) AS rk
+      FROM li GROUP BY l_suppkey, interval_key),
+k AS (SELECT li.*, starts_with(point, 'HB_') OR starts_with(point, 'LZ_') AS hub FROM li
+      JOIN f ON li.l_suppkey = f.l_suppkey AND li.interval_key = f.interval_key WHERE f.rk <= 2),
+n AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey, interval_key, hub ORDER BY line_no) AS rn FROM k)
+SELECT l_suppkey, l_orderkey, l_linenumber, interval_key, point, line_no FROM n WHERE hub OR rn <= 5
+"""
+
+_ERRLOG = """
+lg AS (SELECT ts AS "at",
+              CASE WHEN event_id % 2 = 0
+                   THEN '{"level": "ERROR", "message": "run   failed\\tk=' || json_extract_string(props, '$.k')
+                        || ' for user ' || CAST(user_id AS VARCHAR) || '"}'
+                   ELSE 'plain  error line ' || props END AS raw
+       FROM events WHERE event_type = 'error')
+"""
+
+ORACLES["error_digest"] = f"""
+WITH {_ERRLOG},
+w AS (SELECT * FROM lg WHERE "at" > TIMESTAMP '2024-01-29' AND "at" <= TIMESTAMP '2024-01-31'),
+t AS (SELECT count(*) AS total FROM w),
+n AS (SELECT "at", left(trim(regexp_replace(coalesce(CASE WHEN json_valid(raw) THEN json_extract_string(raw, '$.message') END, raw),
+                                          '\\s+', ' ', 'g')), 240) AS text
+      FROM w ORDER BY "at" DESC LIMIT 25)
+SELECT n."at", n.text, t.total FROM n, t
+"""
+
+_METRICS = """
+m AS (SELECT date_trunc('hour', ts) AS "at", count(*) AS invocations,
+             count(*) FILTER (WHERE event_type = 'error') AS errors FROM events GROUP BY 1)
+"""
+
+ORACLES["error_rate"] = f"""
+WITH {_METRICS},
+g AS (SELECT CAST(coalesce(sum(invocations), 0) AS BIGINT) AS invocations, CAST(coalesce(sum(errors), 0) AS BIGINT) AS errors
+      FROM m WHERE "at" > TIMESTAMP '2024-01-24' AND "at" <= TIMESTAMP '2024-01-31')
+SELECT invocations, errors, CASE WHEN invocations = 0 THEN 0.0 ELSE errors / invocations END AS error_rate FROM g
+"""
+
+ORACLES["closest_to_limit"] = """
+WITH th(name, stale_after_min) AS (VALUES ('click', 60), ('view', 120), ('purchase', 30), ('signup', 1440),
+                                          ('error', 15), ('refund', 60)),
+p AS (SELECT event_type AS name, max(value) AS peak FROM events GROUP BY event_type)
+SELECT p.name, peak, stale_after_min, round(peak / stale_after_min, 6) AS ratio
+FROM p JOIN th ON p.name = th.name ORDER BY peak / stale_after_min DESC, p.name LIMIT 1
+"""
+
+ORACLES["kpis"] = f"""
+WITH {_COV15}, {_METRICS},
+y AS (SELECT CAST({_local(_NOW)} AS DATE) - INTERVAL 1 DAY AS d),
+k AS (SELECT sum(expected) AS e, sum(len(coalesce(missing, []))) AS m, first(delivery_date) AS d
+      FROM c WHERE delivery_date = (SELECT CAST(d AS DATE) FROM y)),
+g AS (SELECT CAST(coalesce(sum(invocations), 0) AS BIGINT) AS inv, CAST(coalesce(sum(errors), 0) AS BIGINT) AS err
+      FROM m WHERE "at" > TIMESTAMP '2024-01-19 12:00:00' AND "at" <= {_NOW})
+SELECT 1 AS rank, 'coverage ' || CAST(d AS VARCHAR) || ': ' || format('{{:,.1f}}', round_even(100.0 * (e - m) / e, 1))
+       || ' % (' || CAST(m AS VARCHAR) || ' of ' || format('{{:,}}', e) || ' missing)' AS text
+FROM k WHERE e > 0
+UNION ALL
+SELECT 2, 'ingest runs, 24 h: ' || format('{{:,}}', inv) || ', ' || CAST(err AS VARCHAR) || ' failed ('
+       || format('{{:,.2f}}', round_even(CASE WHEN inv = 0 THEN 0.0 ELSE err / inv END * 100, 2)) || '%)'
+FROM g
+"""
+
+ORACLES["alarm_states"] = """
+WITH per AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS bucket, max(value) AS stat FROM events
+             WHERE event_type = 'error' GROUP BY 1),
+cal AS (SELECT unnest(generate_series(min(bucket), max(bucket), INTERVAL 5 MINUTE)) AS bucket FROM per),
+s AS (SELECT cal.bucket, per.stat, CASE WHEN per.stat IS NULL THEN true ELSE per.stat > 25.0 END AS breaching,
+             (SELECT min(bucket) FROM per) AS lo
+      FROM cal LEFT JOIN per ON cal.bucket = per.bucket),
+w AS (SELECT *, CASE WHEN bucket >= lo + INTERVAL 10 MINUTE
+                          AND bool_and(breaching) OVER (ORDER BY bucket ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
+                     THEN 'ALARM' ELSE 'OK' END AS state FROM s)
+SELECT 'ingest-errors' AS metric, bucket, stat, breaching, state,
+       coalesce(lag(state) OVER (ORDER BY bucket) <> state, false) AS changed
+FROM w
+"""
+
+ORACLES["alarm_transitions"] = """
+SELECT ts AS at, CASE WHEN user_id % 3 = 0 THEN 'other-' ELSE 'ingest-' END || CAST(user_id AS VARCHAR) AS alarm,
+       CASE WHEN event_id % 2 = 0 THEN 'OK' ELSE 'ALARM' END AS old,
+       CASE WHEN event_id % 2 = 0 THEN 'ALARM' ELSE 'OK' END AS new,
+       'k=' || json_extract_string(props, '$.k') AS reason
+FROM events
+WHERE event_type = 'error' AND user_id % 3 <> 0 AND ts > TIMESTAMP '2024-01-10' AND ts <= TIMESTAMP '2024-01-20'
+"""
+
+ORACLES["newest_batch"] = f"""
+WITH b AS (SELECT DISTINCT CAST({_local('ts')} AS DATE) AS date,
+                  'part-' || strftime(date_trunc('hour', ts), '%Y%m%dT%H%M%SZ') AS batch FROM events)
+SELECT date, batch, batch = max(batch) OVER (PARTITION BY date) AS newest FROM b
+"""
+
+ORACLES["union_by_name"] = """
+SELECT s_suppkey AS key, s_name AS name, s_nationkey AS nationkey, s_acctbal AS acctbal, CAST(NULL AS VARCHAR) AS segment
+FROM supplier
+UNION ALL
+SELECT c_custkey, c_name, c_nationkey, NULL, c_mktsegment FROM customer
+"""
+
+ORACLES["delivery_range"] = f"""
+SELECT day AS date, user_id, event_type, posted_at, event_id, value FROM {LOG} l
+WHERE day BETWEEN DATE '2024-01-07' AND DATE '2024-01-09'
+"""
+
+ORACLES["version_gate"] = """
+SELECT 1 + CAST(event_id % 50 = 0 AS INTEGER) AS schema_version, count(*) AS n_rows,
+       1 + CAST(event_id % 50 = 0 AS INTEGER) = 1 AS supported
+FROM events GROUP BY 1
+"""
+
+ORACLES["typed_empty"] = f"""
+SELECT day, user_id, event_type, posted_at, event_id, value FROM {LOG} l
+WHERE posted_at <= TIMESTAMP '2023-12-31 00:00:00'
+QUALIFY row_number() OVER (PARTITION BY day, user_id, event_type ORDER BY posted_at DESC) = 1
+"""
+
+ORACLES["quality_rules"] = """
+SELECT 'on_grid' AS rule, count(*) AS n_checked,
+       count(*) FILTER (WHERE minute(time_bucket(INTERVAL 15 MINUTE, ts)) % 15 <> 0
+                        OR second(time_bucket(INTERVAL 15 MINUTE, ts)) <> 0) AS n_failed FROM events
+UNION ALL
+SELECT 'delivery_after_posting', count(*), count(*) FILTER (WHERE l_shipdate < o_orderdate)
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+UNION ALL
+SELECT 'total_within_tolerance', count(*), count(*) FILTER (WHERE abs(s - t) > greatest(1.0, abs(t) * 1e-4))
+FROM (SELECT o_orderkey, sum(l_extendedprice) AS s, first(o_totalprice) AS t
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderkey) x
+"""
