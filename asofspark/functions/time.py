@@ -93,8 +93,8 @@ def _minutes(n) -> Column:
 
 
 def midnight(day) -> Column:
-    """DATE -> local midnight as NTZ."""
-    return F.to_timestamp_ntz(F.date_format(_c(day), "yyyy-MM-dd"), F.lit("yyyy-MM-dd"))
+    """DATE -> local midnight as NTZ (a plain cast; no zone is involved)."""
+    return _c(day).cast("timestamp_ntz")
 
 
 def interval_local(day, hour, interval, minutes: int) -> Column:
@@ -130,7 +130,10 @@ def hour_ending_start(day, hour, minutes: int, repeated=None, tz: str = CT):
 def parse_run_stamp(text) -> Column:
     """``MM/dd/yyyy HH:mm:ss`` or ISO run stamp -> local NTZ (FN13 input)."""
     t = F.trim(_c(text))
-    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)).cast("timestamp_ntz") for f in RUN_STAMP_FORMATS])
+    us, iso = RUN_STAMP_FORMATS
+    # dispatch on the separator so a valid stamp is parsed once, without a failing attempt
+    return F.when(t.contains("/"), F.try_to_timestamp(t, F.lit(us))).otherwise(
+        F.try_to_timestamp(t, F.lit(iso))).cast("timestamp_ntz")
 
 
 def run_stamp_start(text, minutes: int, repeated=None, tz: str = CT):
@@ -153,13 +156,17 @@ def run_stamp_start_local(local, minutes: int, repeated=None, tz: str = CT):
 def parse_post_local(text) -> Column:
     """Listing ``postDatetime`` -> local NTZ, with or without milliseconds (FN07)."""
     t = _c(text)
-    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)).cast("timestamp_ntz") for f in POST_LOCAL_FORMATS])
+    frac, whole = POST_LOCAL_FORMATS
+    return F.when(t.contains("."), F.try_to_timestamp(t, F.lit(frac))).otherwise(
+        F.try_to_timestamp(t, F.lit(whole))).cast("timestamp_ntz")
 
 
 def parse_delivery_date(text) -> Column:
     """``yyyy-MM-dd`` or ``MM/dd/yyyy`` (one-digit parts accepted) -> DATE (FN09)."""
     t = F.trim(_c(text))
-    return F.coalesce(*[F.to_date(F.try_to_timestamp(t, F.lit(f))) for f in DELIVERY_DATE_FORMATS])
+    iso, us = DELIVERY_DATE_FORMATS
+    return F.to_date(F.when(t.contains("/"), F.try_to_timestamp(t, F.lit(us))).otherwise(
+        F.try_to_timestamp(t, F.lit(iso))))
 
 
 def parse_hour_ending(text) -> Column:
@@ -210,3 +217,26 @@ def micros_between(start, end) -> Column:
 def age_minutes(ts_utc, now_utc) -> Column:
     """Minutes from ``ts_utc`` to ``now_utc`` as DOUBLE (FN24)."""
     return micros_between(ts_utc, now_utc) / F.lit(60_000_000.0)
+
+
+def resolve_local(df, local: str, repeated=None, *, out: str, problem: str, tz: str = CT):
+    """DataFrame form of :func:`local_to_utc` + :func:`local_problem` for wide inputs.
+
+    The three zone conversions a wall clock needs (first instant, and both candidates mapped
+    back) are computed once each as their own columns, so the resulting plan evaluates three
+    ``convert_timezone`` per row instead of repeating them inside every derived expression.
+    """
+    rep = F.lit(False) if repeated is None else (F.lit(repeated) if isinstance(repeated, bool) else _c(repeated))
+    hour = F.expr("INTERVAL 1 HOUR")
+    df = (df.withColumn("__u1", first_utc(local, tz))
+          .withColumn("__b1", utc_to_local(F.col("__u1"), tz))
+          .withColumn("__b2", utc_to_local(F.col("__u1") + hour, tz)))
+    loc = _c(local)
+    exists = F.col("__b1") == loc
+    twice = F.col("__b2") == loc
+    text = F.date_format(loc, "yyyy-MM-dd HH:mm")
+    prob = (F.when(loc.isNull(), F.lit("missing local time"))
+            .when(~exists, F.concat(text, F.lit(" does not exist (spring-forward gap)")))
+            .when(rep & ~twice, F.concat(text, F.lit(" is flagged as repeated but is not ambiguous"))))
+    return (df.withColumn(out, F.when(rep & twice, F.col("__u1") + hour).otherwise(F.col("__u1")))
+            .withColumn(problem, prob).drop("__u1", "__b1", "__b2"))

@@ -49,23 +49,33 @@ def check_columns(records: DataFrame, decl: Declaration, by: str = "posting") ->
 
 
 def _with_time(df: DataFrame, decl: Declaration, rep: Column) -> DataFrame:
-    """Add ``__start`` and ``__time_problem``. Intermediate values are their own columns so the
-    zone arithmetic works on column references, not on re-parsed text."""
+    """Add ``__start`` and ``__time_problem``. Each step is its own column (parsed cells, the
+    wall clock, then the zone resolution), so every parse and zone conversion runs once per row."""
     m = decl.interval_minutes
     df = df.withColumn("__rep", rep)
     if decl.time_style == "sced_timestamp":
-        df = df.withColumn("__local_raw", T.parse_run_stamp(cell(decl, "run_stamp")))
-        start, problem = T.run_stamp_start_local(F.col("__local_raw"), m, F.col("__rep"))
-        return df.withColumn("__start", start).withColumn("__time_problem", problem)
-    df = df.withColumn("__day", T.parse_delivery_date(cell(decl, "delivery_date"))).withColumn(
-        "__hour", T.parse_hour_ending(cell(decl, "hour_ending")))
-    if decl.time_style == "hour_ending":
-        start, problem = T.hour_ending_start(F.col("__day"), F.col("__hour"), m, F.col("__rep"))
+        raw = T.parse_run_stamp(cell(decl, "run_stamp"))
+        df = df.withColumn("__raw", raw).withColumn(
+            "__local", F.date_trunc("hour", F.col("__raw")).cast("timestamp_ntz")
+            + F.make_dt_interval(F.lit(0), F.lit(0), F.minute("__raw") - F.minute("__raw") % F.lit(m)))
+        range_problem = F.when(F.col("__raw").isNull(), F.lit("unrecognised run timestamp"))
     else:
-        interval, _ = P.to_whole(cell(decl, "interval"))
-        df = df.withColumn("__interval", interval)
-        start, problem = T.interval_start(F.col("__day"), F.col("__hour"), F.col("__interval"), m, F.col("__rep"))
-    return df.withColumn("__start", start).withColumn("__time_problem", problem)
+        df = df.withColumn("__day", T.parse_delivery_date(cell(decl, "delivery_date"))).withColumn(
+            "__hour", T.parse_hour_ending(cell(decl, "hour_ending")))
+        if decl.time_style == "hour_ending":
+            two_am = T.midnight(F.col("__day")) + F.expr("INTERVAL 2 HOURS")
+            df = df.withColumn("__interval", F.lit(1)).withColumn(
+                "__hour", F.when((F.col("__hour") == 3) & ~T.exists_local(two_am), F.lit(2)).otherwise(F.col("__hour")))
+        else:
+            df = df.withColumn("__interval", P.to_whole(cell(decl, "interval"))[0])
+        df = df.withColumn("__local", T.interval_local(F.col("__day"), F.col("__hour"), F.col("__interval"), m))
+        range_problem = (
+            F.when(F.col("__day").isNull(), F.lit("unrecognised delivery date"))
+            .when(F.col("__hour").isNull(), F.lit("hour out of range"))
+            .when(F.col("__interval").isNull() | ~F.col("__interval").between(1, 60 // m),
+                  F.lit(f"interval out of range for {m}-minute product")))
+    df = T.resolve_local(df, "__local", F.col("__rep"), out="__start", problem="__zone_problem")
+    return df.withColumn("__time_problem", F.coalesce(range_problem, F.col("__zone_problem")))
 
 
 def transform(records: DataFrame, decl: Declaration, *, posting: str = "posting",
