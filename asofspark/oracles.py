@@ -778,3 +778,25 @@ SELECT 'total_within_tolerance', count(*), count(*) FILTER (WHERE abs(s - t) > g
 FROM (SELECT o_orderkey, sum(l_extendedprice) AS s, first(o_totalprice) AS t
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderkey) x
 """
+
+
+# --- archives --------------------------------------------------------------------------------
+
+_POSTED = f"""
+p AS (SELECT *, date_trunc('second', max({_local('ts')}) OVER (PARTITION BY event_type, CAST({_local('ts')} AS DATE)))
+                AS posted_local,
+             (CAST({_local('ts')} AS DATE) - DATE '2023-12-31') * 10
+               + CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2
+                                 WHEN 'signup' THEN 3 WHEN 'view' THEN 4 ELSE 9 END AS doc_id
+      FROM events)
+"""
+
+ORACLES["posting_zip_scan"] = f"""
+WITH {_POSTED}
+SELECT event_id, ts, user_id, event_type, value, posted_local FROM p
+"""
+
+ORACLES["bundle_scan"] = f"""
+WITH {_POSTED}
+SELECT event_id, ts, user_id, event_type, value, posted_local, CAST(doc_id AS BIGINT) AS doc_id FROM p
+"""

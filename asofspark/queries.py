@@ -801,3 +801,35 @@ def quality_rules(spark, sf):
                   F.count_if(F.abs(F.col("s") - F.col("t")) > F.greatest(F.lit(1.0), F.abs(F.col("t")) * 1e-4)).alias("n_failed")
                   ).select(F.lit("total_within_tolerance").alias("rule"), "n_checked", "n_failed")
     return grid.unionByName(plaus).unionByName(tol)
+
+
+# --- archives, raw landing, curated lake, compaction (SRC01-SRC12, SNK01-SNK02, JOB08) -------
+
+from asofspark import fixtures as FX  # noqa: E402
+from asofspark.session import scratch_path  # noqa: E402
+from asofspark.sources import archive as AR  # noqa: E402
+
+
+def _landed_zips(spark, sf, bundles: bool = False) -> str:
+    """Write the event postings (or their monthly bundles) as zip files; return the folder."""
+    root = scratch_path(spark, "zips")
+    z = FX.posting_zips(spark, sf)
+    if bundles:
+        z = FX.bundle_zips(z)
+    AR.export_files(z, root).write.format("noop").mode("overwrite").save()
+    return root
+
+
+@query
+def posting_zip_scan(spark, sf):
+    root = _landed_zips(spark, sf)
+    rec = AR.member_posting(AR.csv_records(AR.read_archives(spark, root)))
+    return FX.typed_events(rec).select("event_id", "ts", "user_id", "event_type", "value", "posted_local")
+
+
+@query
+def bundle_scan(spark, sf):
+    root = _landed_zips(spark, sf, bundles=True)
+    rec = AR.member_posting(AR.csv_records(AR.read_archives(spark, root)))
+    rec = rec.filter(F.col("posted_local").isNotNull())
+    return FX.typed_events(rec).select("event_id", "ts", "user_id", "event_type", "value", "posted_local", "doc_id")
