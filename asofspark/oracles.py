@@ -800,3 +800,59 @@ ORACLES["bundle_scan"] = f"""
 WITH {_POSTED}
 SELECT event_id, ts, user_id, event_type, value, posted_local, CAST(doc_id AS BIGINT) AS doc_id FROM p
 """
+
+
+# --- raw landing, curated lake, compaction ---------------------------------------------------
+
+_CURATED = f"""
+cu AS (SELECT 'ev-' || event_type AS product, date_trunc('hour', ts) AS interval_start, ts AS posted_at,
+              ts + INTERVAL 2 MINUTE AS ingested_at, 'user:' || CAST(user_id AS VARCHAR) AS series, value,
+              CAST({_local("date_trunc('hour', ts)")} AS DATE) AS date,
+              'part-' || strftime(date_trunc('day', ts), '%Y%m%dT%H%M%SZ') AS batch
+       FROM events)
+"""
+
+ORACLES["curated_roundtrip"] = f"""
+WITH {_CURATED}
+SELECT product, date, batch, interval_start, posted_at, series, value FROM cu
+"""
+
+ORACLES["raw_roundtrip"] = "SELECT event_id, ts, user_id, event_type, value FROM events"
+
+ORACLES["scan_days"] = f"""
+WITH {_CURATED}
+SELECT date, interval_start, series, posted_at, value FROM cu
+WHERE product = 'ev-click' AND date BETWEEN DATE '2024-01-07' AND DATE '2024-01-09'
+  AND posted_at <= TIMESTAMP '2024-01-09 12:00:00'
+QUALIFY row_number() OVER (PARTITION BY interval_start, series ORDER BY posted_at DESC, ingested_at DESC) = 1
+"""
+
+ORACLES["file_listing"] = f"""
+WITH {_CURATED}
+SELECT product, date, count(DISTINCT batch) AS n_batches FROM cu GROUP BY product, date
+"""
+
+ORACLES["path_parts"] = f"""
+WITH {_CURATED}
+SELECT DISTINCT product, date, batch, 'part' AS kind, date_trunc('day', posted_at) AS stamp FROM cu
+"""
+
+ORACLES["compaction_summary"] = f"""
+WITH {_CURATED},
+p AS (SELECT product, date, count(DISTINCT batch) AS nb, count(*) AS n FROM cu GROUP BY product, date HAVING count(DISTINCT batch) >= 2)
+SELECT product, count(*) AS partitions, CAST(sum(nb) AS BIGINT) AS batches_in, CAST(sum(n) AS BIGINT) AS rows,
+       CAST(0 AS BIGINT) AS leftovers, CAST(0 AS BIGINT) AS skipped
+FROM p GROUP BY product
+"""
+
+ORACLES["compaction_identity"] = f"""
+WITH {_CURATED}
+SELECT product, interval_start, series, posted_at, value FROM cu
+WHERE posted_at <= TIMESTAMP '2024-01-20 00:00:00'
+QUALIFY row_number() OVER (PARTITION BY product, interval_start, series ORDER BY posted_at DESC, ingested_at DESC) = 1
+"""
+
+ORACLES["leftover_files"] = """
+SELECT 'part-' || CAST(l_suppkey % 5 AS VARCHAR) AS batch, count(*) AS n_rows, l_suppkey % 5 < 3 AS held
+FROM lineitem GROUP BY l_suppkey % 5
+"""

@@ -833,3 +833,103 @@ def bundle_scan(spark, sf):
     rec = AR.member_posting(AR.csv_records(AR.read_archives(spark, root)))
     rec = rec.filter(F.col("posted_local").isNotNull())
     return FX.typed_events(rec).select("event_id", "ts", "user_id", "event_type", "value", "posted_local", "doc_id")
+
+
+from asofspark.plans import compact as CP  # noqa: E402
+from asofspark.sources import lake as LK  # noqa: E402
+
+
+def _curated_events(spark, sf):
+    """events as a curated ``series`` table: one series per user, hourly intervals, each event a
+    posting of its hour's value; postings of one type and UTC day form one batch."""
+    e = read(spark, sf, "events")
+    rows = e.select(
+        F.concat(F.lit("ev-"), F.col("event_type")).alias("product"),
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("interval_start"),
+        F.lit(60).alias("interval_minutes"),
+        F.col("ts").alias("posted_at"),
+        (F.col("ts") + F.expr("INTERVAL 2 MINUTES")).alias("ingested_at"),
+        F.lit("archive").alias("source"), F.lit(1).alias("schema_version"), F.lit(False).alias("dst_flag"),
+        F.concat(F.lit("user:"), F.col("user_id").cast("string")).alias("series"), "value")
+    return LK.with_batch(rows).withColumn(
+        "batch", F.concat(F.lit("part-"), T.stamp(F.date_trunc("day", "posted_at").cast("timestamp_ntz"))))
+
+
+def _written_lake(spark, sf, twice=False):
+    root = scratch_path(spark, "lake")
+    rows = _curated_events(spark, sf)
+    LK.write_curated(rows, root)
+    if twice:
+        LK.write_curated(rows, root)
+    return root
+
+
+@query
+def curated_roundtrip(spark, sf):
+    root = _written_lake(spark, sf, twice=True)
+    return spark.read.parquet(f"{root}/curated").select(
+        "product", "date", "batch", "interval_start", "posted_at", "series", "value")
+
+
+@query
+def raw_roundtrip(spark, sf):
+    root = scratch_path(spark, "raw")
+    z = FX.posting_zips(spark, sf).select(
+        F.concat(F.lit("ev-"), F.col("event_type")).alias("product"),
+        T.local_to_utc("posted_local").alias("posted_at"), F.col("member").alias("name"), "content")
+    LK.land_raw(z, root)
+    LK.land_raw(z, root)  # a replay replaces its own directories
+    raw = LK.read_raw(spark, root)
+    rec = AR.csv_records(raw.select(F.col("name").alias("path"), "content"))
+    return FX.typed_events(rec).select("event_id", "ts", "user_id", "event_type", "value")
+
+
+@query
+def scan_days(spark, sf):
+    import datetime as _dt
+    root = _written_lake(spark, sf)
+    df = LK.scan_days(spark, root, "ev-click", _dt.date(2024, 1, 7), _dt.date(2024, 1, 9))
+    return pit.latest_as_of(df, key=["interval_start", "series"], posted="posted_at", tie="ingested_at",
+                            as_of="2024-01-09 12:00:00").select("date", "interval_start", "series", "posted_at", "value")
+
+
+@query
+def file_listing(spark, sf):
+    root = _written_lake(spark, sf)
+    files = LK.list_files(spark, f"{root}/curated").select(*LK.path_parts("path"))
+    return files.groupBy("product", "date").agg(F.count_distinct("batch").alias("n_batches"))
+
+
+@query
+def path_parts(spark, sf):
+    root = _written_lake(spark, sf)
+    files = LK.list_files(spark, f"{root}/curated").select(*LK.path_parts("path"))
+    return files.select("product", "date", "batch", "kind", "stamp").distinct()
+
+
+_COMPACT_NOW = "2100-01-01 00:00:00"  # every written file is older than an hour by then
+
+
+@query
+def compaction_summary(spark, sf):
+    root = _written_lake(spark, sf)
+    return CP.compact(spark, root, now=_COMPACT_NOW, key=["interval_start", "series"])
+
+
+@query
+def compaction_identity(spark, sf):
+    root = _written_lake(spark, sf)
+    CP.compact(spark, root, now=_COMPACT_NOW, key=["interval_start", "series"])
+    lake = spark.read.parquet(f"{root}/curated")
+    return pit.latest_as_of(lake, key=["product", "interval_start", "series"], posted="posted_at",
+                            tie="ingested_at", as_of="2024-01-20 00:00:00").select(
+        "product", "interval_start", "series", "posted_at", "value")
+
+
+@query
+def leftover_files(spark, sf):
+    li = read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_suppkey")
+    batches = li.withColumn("batch", F.concat(F.lit("part-"), (F.col("l_suppkey") % 5).cast("string")))
+    merged = li.filter(F.col("l_suppkey") % 5 < 3).withColumn("batch", F.lit("merged-x"))
+    both = batches.unionByName(merged).drop("l_suppkey").withColumn("newest_merged", F.lit("merged-x"))
+    return CP.held_batches(both, batch="batch", merged="newest_merged")
