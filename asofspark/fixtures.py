@@ -18,7 +18,7 @@ from asofspark.tables import read
 
 # The event types in the order that numbers their postings.
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
-CSV_HEADER = ["EventId", "Timestamp", "UserId", "EventType", "Value"]
+CSV_HEADER = ["EventId", "Timestamp", "UserId", "EventType", "Value", "LocalStamp", "RepeatedHourFlag"]
 
 
 def _type_code():
@@ -46,10 +46,11 @@ def _zip_group(pdf: pd.DataFrame) -> pd.DataFrame:
     member = (f"cdr.{int(first['doc_id']):08d}.0000000000000000.{stamp:%Y%m%d}.{stamp:%H%M%S}."
               f"{str(first['event_type']).upper()}.csv")
     rows = [[str(r.event_id), pd.Timestamp(r.ts).strftime("%Y-%m-%d %H:%M:%S.%f"), str(r.user_id),
-             r.event_type, repr(float(r.value))] for r in pdf.itertuples()]
+             r.event_type, repr(float(r.value)), pd.Timestamp(r.local_ts).strftime("%m/%d/%Y %H:%M:%S"), "N"]
+            for r in pdf.itertuples()]
     content = A.zip_members([(member, A.csv_bytes(CSV_HEADER, rows))])
     name = f"{first['event_type']}/date={first['day']}/posted={stamp:%Y%m%dT%H%M%S}.zip"
-    return pd.DataFrame({"event_type": [first["event_type"]], "day": [first["day"]],
+    return pd.DataFrame({"event_type": [first["event_type"]], "day": [first["day"]],  # noqa: E501
                          "doc_id": [int(first["doc_id"])], "posted_local": [first["posted_local"]],
                          "member": [member], "name": [name], "content": [content]})
 
@@ -61,7 +62,7 @@ POSTING_SCHEMA = ("event_type string, day date, doc_id bigint, posted_local time
 def posting_zips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One zipped CSV posting per (event type, local day), built by ``applyInPandas``."""
     rows = posting_rows(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "value", "day",
-                                             "doc_id", "posted_local")
+                                             "doc_id", "posted_local", T.utc_to_local("ts").alias("local_ts"))
     return rows.groupBy("event_type", "day").applyInPandas(_zip_group, POSTING_SCHEMA)
 
 
@@ -90,3 +91,24 @@ def typed_events(records: DataFrame) -> DataFrame:
         c[2].cast("bigint").alias("user_id"), c[3].alias("event_type"), c[4].cast("double").alias("value"),
         *[x for x in records.columns if x not in ("cells", "header")],
     )
+
+
+EVENTS_DECL_COLUMNS = {"run_stamp": "LocalStamp", "repeated_flag": "RepeatedHourFlag", "point": "UserId",
+                       "point_type": "EventType", "price": "Value", "event_id": "EventId", "ts": "Timestamp"}
+
+
+def event_declarations(types=EVENT_TYPES) -> dict:
+    """One declared 5-minute price product per event type: user = point, type = point type."""
+    from asofspark.plans.declare import Declaration
+
+    return {f"ev-{t}": Declaration(product=f"ev-{t}", table="spp", interval_minutes=5,
+                                   time_style="sced_timestamp", columns=dict(EVENTS_DECL_COLUMNS))
+            for t in types}
+
+
+def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event postings as landed raw rows (product, posted_at, doc_id, name, content)."""
+    z = posting_zips(spark, sf_dir)
+    return z.select(F.concat(F.lit("ev-"), F.col("event_type")).alias("product"),
+                    T.local_to_utc("posted_local").alias("posted_at"), "doc_id",
+                    F.col("member").alias("name"), "content")

@@ -856,3 +856,56 @@ ORACLES["leftover_files"] = """
 SELECT 'part-' || CAST(l_suppkey % 5 AS VARCHAR) AS batch, count(*) AS n_rows, l_suppkey % 5 < 3 AS held
 FROM lineitem GROUP BY l_suppkey % 5
 """
+
+
+# --- ingestion -------------------------------------------------------------------------------
+
+_INGEST = f"""
+ev AS (SELECT *, {_local('ts')} AS lts FROM events),
+po AS (SELECT *, CAST(lts AS DATE) AS pday,
+              date_trunc('second', max(lts) OVER (PARTITION BY event_type, CAST(lts AS DATE))) AS posted_local,
+              (CAST(lts AS DATE) - DATE '2023-12-31') * 10
+                + CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2
+                                  WHEN 'signup' THEN 3 WHEN 'view' THEN 4 ELSE 9 END AS doc_id,
+              date_trunc('hour', date_trunc('second', lts))
+                + to_minutes(CAST(minute(lts) - minute(lts) % 5 AS INTEGER)) AS l5
+       FROM ev),
+r AS (SELECT 'ev-' || event_type AS product, doc_id, {_first('posted_local')} AS posted_at,
+             {_first('l5')} AS interval_start, CAST(user_id AS VARCHAR) AS settlement_point,
+             event_type AS settlement_point_type, value AS price_mwh FROM po),
+st AS (SELECT product, doc_id, posted_at,
+              max(n) > 1 AS failed
+       FROM (SELECT product, doc_id, posted_at, count(*) AS n FROM r
+             GROUP BY product, doc_id, posted_at, interval_start, settlement_point, settlement_point_type) k
+       GROUP BY product, doc_id, posted_at),
+stop AS (SELECT product, min((posted_at, doc_id)) AS s, min(posted_at) AS stopped_at FROM st WHERE failed GROUP BY product),
+taken AS (SELECT st.product, st.doc_id, st.posted_at FROM st LEFT JOIN stop ON st.product = stop.product
+          WHERE NOT st.failed AND (stop.s IS NULL OR (st.posted_at, st.doc_id) < stop.s)),
+acc AS (SELECT r.*, CAST({_local('r.interval_start')} AS DATE) AS date,
+               'part-' || strftime(r.posted_at, '%Y%m%dT%H%M%SZ') AS batch
+        FROM r JOIN taken t ON r.product = t.product AND r.doc_id = t.doc_id)
+"""
+
+_INGEST_ROWS = f"""
+WITH {_INGEST}
+SELECT product, interval_start, settlement_point, settlement_point_type, price_mwh, posted_at, date, batch FROM acc
+"""
+ORACLES["ingest_end_to_end"] = _INGEST_ROWS
+ORACLES["rebuild_identity"] = _INGEST_ROWS
+
+ORACLES["ingest_summary"] = f"""
+WITH {_INGEST},
+a AS (SELECT product, count(DISTINCT doc_id) AS docs, count(*) AS rows, count(DISTINCT date) AS partitions,
+             max(posted_at) AS last_posted_at FROM acc GROUP BY product),
+f AS (SELECT product, count(*) FILTER (WHERE failed) AS failed FROM st GROUP BY product)
+SELECT f.product, a.docs, a.rows, a.partitions, a.last_posted_at, f.failed, stop.stopped_at
+FROM f LEFT JOIN a ON f.product = a.product LEFT JOIN stop ON f.product = stop.product
+"""
+
+ORACLES["backfill_no_watermark"] = f"""
+WITH {_INGEST},
+a AS (SELECT product, max(posted_at) AS last_posted_at FROM acc GROUP BY product),
+f AS (SELECT product, count(*) FILTER (WHERE failed) AS failed FROM st GROUP BY product)
+SELECT f.product, a.last_posted_at, CASE WHEN f.failed > 0 THEN 'error' ELSE 'ok' END AS status
+FROM f LEFT JOIN a ON f.product = a.product
+"""
