@@ -49,7 +49,7 @@ def _zip_group(pdf: pd.DataFrame) -> pd.DataFrame:
              r.event_type, repr(float(r.value)), pd.Timestamp(r.local_ts).strftime("%m/%d/%Y %H:%M:%S"), "N"]
             for r in pdf.itertuples()]
     content = A.zip_members([(member, A.csv_bytes(CSV_HEADER, rows))])
-    name = f"{first['event_type']}/date={first['day']}/posted={stamp:%Y%m%dT%H%M%S}.zip"
+    name = f"{first['event_type']}/date={first['day']}/posted={stamp:%Y%m%dT%H%M%S}-{int(first['doc_id'])}.zip"
     return pd.DataFrame({"event_type": [first["event_type"]], "day": [first["day"]],  # noqa: E501
                          "doc_id": [int(first["doc_id"])], "posted_local": [first["posted_local"]],
                          "member": [member], "name": [name], "content": [content]})

@@ -240,3 +240,17 @@ def resolve_local(df, local: str, repeated=None, *, out: str, problem: str, tz:
             .when(rep & ~twice, F.concat(text, F.lit(" is flagged as repeated but is not ambiguous"))))
     return (df.withColumn(out, F.when(rep & twice, F.col("__u1") + hour).otherwise(F.col("__u1")))
             .withColumn(problem, prob).drop("__u1", "__b1", "__b2"))
+
+
+_EPOCH = "1970-01-01 00:00:00"
+
+
+def ntz_to_instant(ts_utc) -> Column:
+    """UTC wall clock (NTZ) -> TIMESTAMP instant, independent of the session zone (event time
+    for watermarks needs the instant type)."""
+    return F.timestamp_micros(micros_between(F.lit(_EPOCH).cast("timestamp_ntz"), _c(ts_utc)))
+
+
+def instant_to_ntz(ts) -> Column:
+    """TIMESTAMP instant -> UTC wall clock (NTZ), independent of the session zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(ts)), F.lit(_EPOCH).cast("timestamp_ntz"))

@@ -909,3 +909,18 @@ f AS (SELECT product, count(*) FILTER (WHERE failed) AS failed FROM st GROUP BY
 SELECT f.product, a.last_posted_at, CASE WHEN f.failed > 0 THEN 'error' ELSE 'ok' END AS status
 FROM f LEFT JOIN a ON f.product = a.product
 """
+
+ORACLES["stream_ingest"] = _INGEST_ROWS
+
+ORACLES["stream_latest"] = f"""
+SELECT day, user_id, event_type, posted_at, event_id, value FROM {LOG} l
+QUALIFY row_number() OVER (PARTITION BY day, user_id, event_type ORDER BY posted_at DESC) = 1
+"""
+
+ORACLES["stream_hourly_counts"] = """
+SELECT date_trunc('hour', ts) AS hour_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS hour_end, event_type,
+       count(*) AS n
+FROM events
+WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+GROUP BY ALL
+"""

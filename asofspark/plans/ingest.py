@@ -89,8 +89,11 @@ def transform_postings(raw: DataFrame, decls: dict[str, Declaration], *, ingeste
 
 def ingest(spark: SparkSession, raw: DataFrame, decls: dict[str, Declaration], root: str, *,
            ingested_at, run_at=None, update_progress: bool = True, delivery_range=None,
-           land: bool = True) -> DataFrame:
-    """JOB06 (JOB07 with ``update_progress=False``): returns the per-product run summary."""
+           land: bool = True, pending_path: str | None = None) -> DataFrame:
+    """JOB06 (JOB07 with ``update_progress=False``): returns the per-product run summary.
+
+    With ``pending_path`` the postings that were not taken (failed, deferred, or held back
+    behind one) are written there, so an incremental caller can offer them again (STR02)."""
     run_at = run_at or ingested_at
     if land:
         LK.land_raw(raw.filter(F.col("content").isNotNull()), root)
@@ -104,6 +107,9 @@ def ingest(spark: SparkSession, raw: DataFrame, decls: dict[str, Declaration], r
              .filter(F.col("__stop").isNull() | (F.struct("posted_at", "doc_id") < F.col("__stop")))
              .select("posting"))
     accepted = rows.join(taken, on="posting", how="left_semi").drop("problem")
+    if pending_path is not None:
+        left = raw.withColumn("posting", _posting_key()).join(taken, on="posting", how="left_anti").drop("posting")
+        left.write.mode("overwrite").parquet(pending_path)
     out = LK.with_batch(accepted)
     if delivery_range is not None:
         out = out.filter(F.col("date").between(F.lit(delivery_range[0]).cast("date"), F.lit(delivery_range[1]).cast("date")))

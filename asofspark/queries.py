@@ -980,3 +980,51 @@ def rebuild_identity(spark, sf):
     target = scratch_path(spark, "rebuild")
     IN.rebuild(spark, root, FX.event_declarations(), target, ingested_at=_INGESTED)
     return spark.read.parquet(f"{target}/curated").select(*_CURATED_COLS)
+
+
+# --- Structured Streaming (STR01-STR07) -------------------------------------------------------
+
+from asofspark.streaming import stream as ST  # noqa: E402
+
+
+def _drop_zips(spark, sf, landing, before=None, after=None):
+    z = FX.posting_zips(spark, sf)
+    if before is not None:
+        z = z.filter(F.col("day") < F.lit(before).cast("date"))
+    if after is not None:
+        z = z.filter(F.col("day") >= F.lit(after).cast("date"))
+    AR.export_files(z, landing).write.format("noop").mode("overwrite").save()
+
+
+@query
+def stream_ingest(spark, sf):
+    landing, root, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "lake"), scratch_path(spark, "ckpt")
+    decls = FX.event_declarations()
+    _drop_zips(spark, sf, landing, before="2024-01-15")
+    ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=_INGESTED).awaitTermination()
+    _drop_zips(spark, sf, landing, after="2024-01-15")  # the second drop resumes from the checkpoint
+    ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=_INGESTED).awaitTermination()
+    return spark.read.parquet(f"{root}/curated").select(*_CURATED_COLS)
+
+
+def _event_stream(spark, sf):
+    schema = read(spark, sf, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+
+
+@query
+def stream_latest(spark, sf):
+    s = _event_stream(spark, sf).select(F.to_date("ts").alias("day"), "user_id", "event_type",
+                                        F.col("ts").alias("posted_at"), "event_id", "value")
+    out, ckpt = scratch_path(spark, "latest"), scratch_path(spark, "ckpt")
+    ST.run_to_table(ST.stream_latest(s, key=list(KEY), posted="posted_at", values=["event_id", "value"]),
+                    out, ckpt, "complete")
+    return spark.read.parquet(out)
+
+
+@query
+def stream_hourly_counts(spark, sf):
+    s = _event_stream(spark, sf).select("ts", "event_type")
+    out, ckpt = scratch_path(spark, "hours"), scratch_path(spark, "ckpt")
+    ST.run_to_table(ST.stream_posting_hours(s, at="ts", by="event_type", lateness="1 hour"), out, ckpt, "append")
+    return spark.read.parquet(out)
