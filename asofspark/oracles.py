@@ -924,3 +924,36 @@ FROM events
 WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
 GROUP BY ALL
 """
+
+ORACLES["verify_findings"] = f"""
+WITH {_CURATED},
+base AS (
+  SELECT product, interval_start, posted_at, series, value, date, batch,
+         CASE WHEN product = 'ev-error' AND second(posted_at) % 17 = 0 THEN NULL ELSE 'archive' END AS source,
+         CASE WHEN product = 'ev-signup' AND second(posted_at) % 13 = 0 THEN 2 ELSE 1 END AS schema_version
+  FROM cu WHERE NOT (product = 'ev-click' AND date = DATE '2024-01-05')),
+dup AS (SELECT product, interval_start, posted_at, series, value, date, 'part-20240201T000000Z' AS batch,
+               'archive' AS source, 1 AS schema_version
+        FROM cu WHERE product = 'ev-view' AND second(posted_at) % 11 = 0),
+lake AS (SELECT * FROM base UNION ALL SELECT * FROM dup),
+k AS (SELECT product, interval_start, series, posted_at, count(*) AS n FROM lake
+      GROUP BY ALL HAVING count(*) > 1),
+k5 AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY product ORDER BY n DESC, interval_start, series, posted_at) <= 5),
+days AS (SELECT DISTINCT product, date FROM lake),
+bounds AS (SELECT product, min(date) AS lo, max(date) AS hi FROM days GROUP BY product),
+cal AS (SELECT product, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM bounds)
+SELECT product, 'keys' AS "check",
+       strftime(interval_start, '%Y-%m-%d %H:%M:%S') || '|' || series || ' posted ' ||
+       strftime(posted_at, '%Y-%m-%d %H:%M:%S') || ' x' || CAST(n AS VARCHAR) AS detail FROM k5
+UNION ALL
+SELECT product, 'nulls', 'date=' || CAST(date AS VARCHAR) || ' batch=' || batch || ': source has '
+       || CAST(count(*) AS VARCHAR) || ' NULL'
+FROM lake WHERE source IS NULL GROUP BY product, date, batch
+UNION ALL
+SELECT product, 'versions', 'date=' || CAST(date AS VARCHAR) || ' batch=' || batch || ': versions '
+       || array_to_string(list_sort(list_distinct(list(CAST(schema_version AS VARCHAR)))), ',')
+FROM lake GROUP BY product, date, batch HAVING bool_or(schema_version <> 1)
+UNION ALL
+SELECT c.product, 'calendar', 'missing day ' || CAST(c.date AS VARCHAR)
+FROM cal c LEFT JOIN days d ON c.product = d.product AND c.date = d.date WHERE d.date IS NULL
+"""

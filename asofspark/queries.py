@@ -1028,3 +1028,25 @@ def stream_hourly_counts(spark, sf):
     out, ckpt = scratch_path(spark, "hours"), scratch_path(spark, "ckpt")
     ST.run_to_table(ST.stream_posting_hours(s, at="ts", by="event_type", lateness="1 hour"), out, ckpt, "append")
     return spark.read.parquet(out)
+
+
+from asofspark.plans import verify as VF  # noqa: E402
+
+
+@query
+def verify_findings(spark, sf):
+    """A curated lake written from events with seeded damage: a missing day, a batch that
+    repeats keys, NULLs in a required column, rows at an unknown schema version."""
+    rows = _curated_events(spark, sf)
+    e_id = F.col("posted_at")  # the event's own time identifies it in the damage rules below
+    base = rows.filter(~((F.col("product") == "ev-click") & (F.col("date") == F.lit("2024-01-05").cast("date"))))
+    base = base.withColumn("source", F.when((F.col("product") == "ev-error") & (F.second(e_id) % 17 == 0),
+                                            F.lit(None).cast("string")).otherwise(F.col("source")))
+    base = base.withColumn("schema_version", F.when((F.col("product") == "ev-signup") & (F.second(e_id) % 13 == 0),
+                                                    F.lit(2)).otherwise(F.col("schema_version")))
+    dup = rows.filter((F.col("product") == "ev-view") & (F.second(e_id) % 11 == 0)).withColumn(
+        "batch", F.lit("part-20240201T000000Z"))
+    root = scratch_path(spark, "verify")
+    LK.write_curated(base.unionByName(dup), root)
+    lake = spark.read.parquet(f"{root}/curated")
+    return VF.verify(lake, ["interval_start", "series"])
