@@ -957,3 +957,56 @@ UNION ALL
 SELECT c.product, 'calendar', 'missing day ' || CAST(c.date AS VARCHAR)
 FROM cal c LEFT JOIN days d ON c.product = d.product AND c.date = d.date WHERE d.date IS NULL
 """
+
+
+# --- API pages, JSON objects, listings, source planning, workbook rows -----------------------
+
+ORACLES["api_json_pages"] = "SELECT event_id, ts, user_id, event_type, value FROM events"
+
+ORACLES["json_objects"] = """
+SELECT event_id,
+       CASE WHEN event_id % 97 = 0 OR event_id % 89 = 0 THEN NULL ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
+       CASE WHEN event_id % 97 = 0 THEN 'unreadable' WHEN event_id % 89 = 0 THEN 'missing' ELSE 'ok' END AS status
+FROM events
+"""
+
+_LISTING = """
+SELECT event_id AS doc_id, ts + INTERVAL 304 DAY AS posted_at,
+       CASE WHEN event_id % 5 <> 0 THEN 'ev_' || event_type ELSE CAST(event_id AS VARCHAR) END AS name
+FROM events
+"""
+
+ORACLES["listing_window"] = f"""
+SELECT doc_id, date_trunc('millisecond', posted_at) AS posted_at, name FROM ({_LISTING}) l
+WHERE date_trunc('millisecond', posted_at) > TIMESTAMP '2024-11-03 05:00:00'
+  AND date_trunc('millisecond', posted_at) <= TIMESTAMP '2024-11-04 00:00:00'
+"""
+
+ORACLES["history_window"] = f"""
+SELECT doc_id, date_trunc('millisecond', posted_at) AS posted_at, name FROM ({_LISTING}) l
+WHERE doc_id % 2 = 1 AND date_trunc('millisecond', posted_at) > TIMESTAMP '2024-11-01 00:00:00'
+  AND date_trunc('millisecond', posted_at) <= TIMESTAMP '2024-11-10 00:00:00'
+"""
+
+ORACLES["source_plan"] = f"""
+WITH months AS (SELECT CAST(unnest(generate_series(DATE '1995-12-01', DATE '1997-06-01', INTERVAL 1 MONTH)) AS DATE) AS month),
+bm AS (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders
+       WHERE month(o_orderdate) % 2 = 0),
+newest AS (SELECT month, 'bundle-' || strftime(month, '%Y%m') || '-2' AS bundle_id FROM bm),
+docs AS (SELECT o_orderkey AS doc_id, o_orderdate + to_seconds(CAST(o_orderkey % 86400 AS BIGINT)) AS posted_at FROM orders)
+SELECT m.month, 'bundle' AS source, n.bundle_id AS id, CAST(NULL AS TIMESTAMP) AS posted_at
+FROM months m JOIN newest n ON m.month = n.month
+UNION ALL
+SELECT CAST(date_trunc('month', {_local('d.posted_at')}) AS DATE), 'listing', CAST(d.doc_id AS VARCHAR), d.posted_at
+FROM docs d
+WHERE d.posted_at > TIMESTAMP '1996-01-01' AND d.posted_at <= TIMESTAMP '1997-06-30'
+  AND CAST(date_trunc('month', {_local('d.posted_at')}) AS DATE) IN (SELECT month FROM months)
+  AND CAST(date_trunc('month', {_local('d.posted_at')}) AS DATE) NOT IN (SELECT month FROM newest)
+"""
+
+ORACLES["workbook_rows"] = """
+SELECT 'year.xlsx' AS file, strftime(l_shipdate, '%Y-%m') AS sheet, l_orderkey * 8 + l_linenumber + 10 AS row_no,
+       strftime(l_shipdate, '%m/%d/%Y') AS c0, CAST(l_orderkey AS VARCHAR) AS c1, CAST(l_linenumber AS VARCHAR) AS c2,
+       l_returnflag AS c3, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS c4, l_linestatus AS c5
+FROM lineitem
+"""

@@ -1050,3 +1050,99 @@ def verify_findings(spark, sf):
     LK.write_curated(base.unionByName(dup), root)
     lake = spark.read.parquet(f"{root}/curated")
     return VF.verify(lake, ["interval_start", "series"])
+
+
+# --- API pages, JSON objects, listings, source planning, workbook rows -----------------------
+
+import json as _json  # noqa: E402
+
+import pandas as _pd  # noqa: E402
+
+from asofspark.sources import documents as DOC  # noqa: E402
+
+
+def _page_group(pdf):
+    pdf = pdf.sort_values("event_id")
+    first = pdf.iloc[0]
+    doc = {"fields": [{"name": n} for n in ("eventId", "timestamp", "userId", "eventType", "value")],
+           "data": [[int(r.event_id), _pd.Timestamp(r.ts).strftime("%Y-%m-%dT%H:%M:%S.%f"), int(r.user_id),
+                     r.event_type, float(r.value)] for r in pdf.itertuples()]}
+    return _pd.DataFrame({"name": [f"{first['event_type']}/{first['day']}.json"],
+                          "content": [_json.dumps(doc).encode()]})
+
+
+@query
+def api_json_pages(spark, sf):
+    root = scratch_path(spark, "pages")
+    e = read(spark, sf, "events").withColumn("day", T.delivery_date("ts"))
+    pages = e.groupBy("event_type", "day").applyInPandas(_page_group, "name string, content binary")
+    AR.export_files(pages, root).write.format("noop").mode("overwrite").save()
+    rows = DOC.read_api_pages(spark, root)
+    c = F.col("cells")
+    pos = {n: F.array_position("header", n).cast("int") - 1 for n in ("eventId", "timestamp", "userId", "eventType", "value")}
+    return rows.select(F.get(c, pos["eventId"]).cast("bigint").alias("event_id"),
+                       F.to_timestamp_ntz(F.get(c, pos["timestamp"]), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("ts"),
+                       F.get(c, pos["userId"]).cast("bigint").alias("user_id"),
+                       F.get(c, pos["eventType"]).alias("event_type"),
+                       F.get(c, pos["value"]).cast("double").alias("value"))
+
+
+@query
+def json_objects(spark, sf):
+    e = read(spark, sf, "events").select(
+        "event_id", F.when(F.col("event_id") % 97 == 0, F.concat(F.lit("{broken "), F.col("props")))
+        .when(F.col("event_id") % 89 == 0, F.lit(None).cast("string")).otherwise(F.col("props")).alias("raw"))
+    p = DOC.parse_json_objects(e, "raw", "k bigint")
+    return p.select("event_id", F.when(F.col("status") == "ok", F.col("obj.k")).alias("k"), "status")
+
+
+def _listing(spark, sf):
+    e = read(spark, sf, "events")
+    u = e.select("event_id", (F.col("ts") + F.make_dt_interval(F.lit(SHIFT_DAYS))).alias("utc"), "event_type")
+    return u.select(F.col("event_id").alias("doc_id"),
+                    F.date_format(T.utc_to_local("utc"), "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("post_local_text"),
+                    F.when(F.col("doc_id") % 5 != 0, F.concat(F.lit("ev_"), F.col("event_type"))).alias("friendly_name"),
+                    F.when(F.col("doc_id") % 2 == 0, F.lit("live")).otherwise(F.lit("history")).alias("archive_id"))
+
+
+@query
+def listing_window(spark, sf):
+    return DOC.listing_docs(_listing(spark, sf), "2024-11-03 05:00:00", "2024-11-04 00:00:00")
+
+
+@query
+def history_window(spark, sf):
+    products = spark.createDataFrame([("ev-live", "history"), ("ev-other", None)], "product string, history_archive string")
+    return DOC.history_docs(_listing(spark, sf), products, "ev-live", "2024-11-01 00:00:00", "2024-11-10 00:00:00")
+
+
+@query
+def source_plan(spark, sf):
+    o = read(spark, sf, "orders")
+    listing = o.select(F.col("o_orderkey").alias("doc_id"),
+                       (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("o_orderkey") % 86400)).alias("posted_at"))
+    months = o.select(F.trunc(F.to_date("o_orderdate"), "month").alias("month")).distinct().filter(F.month("month") % 2 == 0)
+    bundles = months.select("month", F.explode(F.array(F.lit(1), F.lit(2))).alias("n")).select(
+        "month", F.concat(F.lit("bundle-"), F.date_format("month", "yyyyMM"), F.lit("-"), F.col("n").cast("string")).alias("bundle_id"),
+        (F.col("month").cast("timestamp_ntz") + F.make_dt_interval(F.col("n"))).alias("listed_at"))
+    return DOC.plan_sources("1996-01-01 00:00:00", "1997-06-30 00:00:00", bundles, listing)
+
+
+@query
+def workbook_rows(spark, sf):
+    li = read(spark, sf, "lineitem")
+    sheet = F.date_format("l_shipdate", "yyyy-MM")
+    data = li.select(F.lit("year.xlsx").alias("file"), sheet.alias("sheet"),
+                     (F.col("l_orderkey") * 8 + F.col("l_linenumber") + 10).alias("row_no"),
+                     F.date_format("l_shipdate", "M/d/yyyy").alias("c0"), F.col("l_linenumber").cast("string").alias("c1"),
+                     F.col("l_returnflag").alias("c2"), F.col("l_quantity").cast("bigint").cast("string").alias("c3"),
+                     F.col("l_linestatus").alias("c4"), F.col("l_orderkey").cast("string").alias("c5"))
+    sheets = data.select("file", "sheet").distinct()
+    extra = (sheets.select("file", "sheet", F.lit(1).alias("row_no"), F.lit("Yearly report").alias("c0"),
+                           *[F.lit(None).cast("string").alias(f"c{i}") for i in range(1, 6)])
+             .unionByName(sheets.select("file", "sheet", F.lit(2).alias("row_no"), F.lit("Delivery Date").alias("c0"),
+                                        *[F.lit(h).alias(f"c{i}") for i, h in enumerate(["Line", "Flag", "Qty", "Status", "Order"], 1)]))
+             .unionByName(sheets.select("file", "sheet", F.lit(10 ** 9).alias("row_no"), F.lit("Note: provisional").alias("c0"),
+                                        *[F.lit(None).cast("string").alias(f"c{i}") for i in range(1, 6)])))
+    cells = data.unionByName(extra.withColumn("row_no", F.col("row_no").cast("bigint")))
+    return DOC.workbook_rows(cells, order=(0, 5, 1, 2, 3, 4))
