@@ -1010,3 +1010,41 @@ SELECT 'year.xlsx' AS file, strftime(l_shipdate, '%Y-%m') AS sheet, l_orderkey *
        l_returnflag AS c3, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS c4, l_linestatus AS c5
 FROM lineitem
 """
+
+
+# --- report sections and problems ------------------------------------------------------------
+
+ORACLES["section_lists"] = """
+SELECT event_id,
+       CASE WHEN event_id % 7 <> 0 AND event_id % 11 = 0 THEN '?' ELSE 'sec' || CAST(user_id AS VARCHAR) END AS title,
+       CASE WHEN event_id % 7 = 0 OR event_id % 11 = 0 THEN NULL ELSE CAST(1 AS INTEGER) END AS n_problems,
+       CASE WHEN event_id % 7 = 0 OR event_id % 11 = 0 THEN NULL ELSE CAST(2 AS INTEGER) END AS n_kpis,
+       CASE WHEN event_id % 7 = 0 THEN '''problems'' is not a list of strings'
+            WHEN event_id % 11 = 0 THEN 'not JSON' END AS error
+FROM events WHERE event_type = 'signup'
+"""
+
+_cov_sql = ORACLES["coverage_actionable"]
+_cut = _cov_sql.rindex("\nSELECT product, delivery_date")
+_COV_ACT_CTE = _cov_sql[:_cut].strip()[len("WITH "):]
+
+ORACLES["report_problems"] = f"""
+WITH {_COV_ACT_CTE},
+hist AS (SELECT 'ingest-' || CAST(user_id % 40 AS VARCHAR) AS alarm, ts AS at_,
+                CASE WHEN event_id % 2 = 0 THEN 'ALARM' ELSE 'OK' END AS state
+         FROM events WHERE event_type = 'error' AND ts <= {_NOW}),
+alarming AS (SELECT alarm FROM hist QUALIFY row_number() OVER (PARTITION BY alarm ORDER BY at_ DESC) = 1 AND state = 'ALARM'),
+sec AS (SELECT event_id, user_id, props FROM events WHERE event_type = 'signup' AND event_id < 600)
+SELECT 1 AS rank, alarm || ' is in ALARM right now' AS text FROM alarming
+UNION ALL
+SELECT 2, product || ' ' || CAST(delivery_date AS VARCHAR) || ': ' || CAST(len(actionable) AS VARCHAR) || ' '
+          || CASE WHEN cadence = 'hourly' THEN 'postings' ELSE 'intervals' END || ' missing ('
+          || {_missing_text('actionable', 4)} || '); backfill that window'
+FROM a WHERE len(actionable) > 0
+UNION ALL
+SELECT 3, CASE WHEN event_id % 7 = 0 THEN 'report section ''sec' || CAST(user_id AS VARCHAR)
+                                          || ''' is unreadable: ''problems'' is not a list of strings'
+               WHEN event_id % 11 = 0 THEN 'report section ''?'' is unreadable: not JSON'
+               ELSE 'sec' || CAST(user_id AS VARCHAR) || ': k=' || json_extract_string(props, '$.k') END
+FROM sec
+"""

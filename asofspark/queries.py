@@ -1146,3 +1146,51 @@ def workbook_rows(spark, sf):
                                         *[F.lit(None).cast("string").alias(f"c{i}") for i in range(1, 6)])))
     cells = data.unionByName(extra.withColumn("row_no", F.col("row_no").cast("bigint")))
     return DOC.workbook_rows(cells, order=(0, 5, 1, 2, 3, 4))
+
+
+def _sections(spark, sf):
+    e = read(spark, sf, "events").filter(F.col("event_type") == "signup")
+    k = F.get_json_object("props", "$.k")
+    raw = (F.when(F.col("event_id") % 7 == 0, F.concat(F.lit('{"title": "sec'), F.col("user_id").cast("string"),
+                                                       F.lit('", "problems": [1, 2], "kpis": []}')))
+           .when(F.col("event_id") % 11 == 0, F.lit("{not json"))
+           .otherwise(F.concat(F.lit('{"title": "sec'), F.col("user_id").cast("string"), F.lit('", "problems": ["k='), k,
+                               F.lit('"], "kpis": ["n=1", "n=2"]}'))))
+    return MO.read_sections(e.select("event_id", raw.alias("raw")))
+
+
+@query
+def section_lists(spark, sf):
+    s = _sections(spark, sf)
+    return s.select("event_id", "title", F.size("problems").alias("n_problems"), F.size("kpis").alias("n_kpis"), "error")
+
+
+def _alarm_history(spark, sf):
+    e = read(spark, sf, "events").filter(F.col("event_type") == "error")
+    data = F.concat(F.lit('{"oldState": {"stateValue": "'),
+                    F.when(F.col("event_id") % 2 == 0, F.lit("OK")).otherwise(F.lit("ALARM")),
+                    F.lit('"}, "newState": {"stateValue": "'),
+                    F.when(F.col("event_id") % 2 == 0, F.lit("ALARM")).otherwise(F.lit("OK")), F.lit('"}}'))
+    return e.select(F.concat(F.lit("ingest-"), (F.col("user_id") % 40).cast("string")).alias("alarm"),
+                    F.col("ts").alias("at"), data.alias("data"))
+
+
+@query
+def report_problems(spark, sf):
+    cov = coverage_actionable_rows(spark, sf)
+    alarming = MO.in_alarm(_alarm_history(spark, sf), "ingest-", NOW)
+    sections = _sections(spark, sf).filter(F.col("event_id") < 600)
+    return MO.problems(cov, alarming, sections)
+
+
+def coverage_actionable_rows(spark, sf):
+    cfg = spark.createDataFrame(_EVENT_PRODUCTS, "product string, cadence string, interval_minutes int")
+    days = cfg.select("*", F.explode(F.array(*MO.report_days(NOW))).alias("delivery_date"))
+    expected = MO.expected_slots(MO.calendar(days), NOW)
+    e = read(spark, sf, "events")
+    minutes = cfg.select(F.col("product").alias("event_type"), "interval_minutes")
+    sec = F.col("interval_minutes") * 60
+    present = e.join(F.broadcast(minutes), on="event_type").select(
+        F.col("event_type").alias("product"),
+        F.timestamp_seconds(F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / sec) * sec).cast("timestamp_ntz").alias("interval_start"))
+    return MO.coverage(expected, present, now=NOW)
