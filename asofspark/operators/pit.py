@@ -112,7 +112,7 @@ def version_counts(df: DataFrame, supported=(1,), col: str = "schema_version") -
 
 def point_in_time_join(decisions: DataFrame, facts: DataFrame, *, on: Sequence[str] | str,
                        decision_time: str, posted: str, value_cols: Sequence[str],
-                       bucket: str | None = None) -> DataFrame:
+                       bucket: str | None = "1 day") -> DataFrame:
     """JN06: for every decision row, the fact values known at its ``decision_time``.
 
     A fact counts as known when ``posted <= decision_time`` (equality included). Decisions with
@@ -121,9 +121,10 @@ def point_in_time_join(decisions: DataFrame, facts: DataFrame, *, on: Sequence[s
 
     Plan: decisions and facts are unioned and a running ``last(struct, ignorenulls)`` over
     ``(key [, bucket])`` ordered by time carries the newest known fact forward: one shuffle, no
-    pairs. With ``bucket`` (e.g. ``'1 day'``) the window is partitioned by key *and* time bucket,
-    so one hot key is spread over many tasks; the fact carried into each bucket from earlier
-    buckets comes from a small per-(key, bucket) summary (a map-side combined aggregate).
+    pairs. The window is partitioned by key *and* time ``bucket`` (default one day), so one hot
+    key is spread over many tasks; the fact carried into each bucket from earlier buckets comes
+    from a small per-(key, bucket) summary (a map-side combined aggregate). ``bucket=None``
+    partitions by key only (for inputs known to have no hot key).
     """
     keys = _cols(on)
     vals = list(value_cols)

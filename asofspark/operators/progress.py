@@ -18,7 +18,8 @@ def safe_progress(postings: DataFrame, *, product: str = "product", posted: str
     are held back. One aggregate for the stop point, a broadcast-size join, one aggregate."""
     stop = (postings.filter(F.col(bad))
             .groupBy(product).agg(F.min(F.struct(posted, doc)).alias("__stop")))
-    j = postings.join(stop, on=product, how="left")
+    # one row per product: broadcast, so a product holding most postings does not skew a join
+    j = postings.join(F.broadcast(stop), on=product, how="left")
     before = F.col("__stop").isNull() | (F.struct(posted, doc) < F.col("__stop"))
     return j.groupBy(product).agg(
         F.max(F.when(before, F.col(posted))).alias("watermark"),

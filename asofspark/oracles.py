@@ -1048,3 +1048,5 @@ SELECT 3, CASE WHEN event_id % 7 = 0 THEN 'report section ''sec' || CAST(user_id
                ELSE 'sec' || CAST(user_id AS VARCHAR) || ': k=' || json_extract_string(props, '$.k') END
 FROM sec
 """
+
+ORACLES["stream_replay"] = _INGEST_ROWS

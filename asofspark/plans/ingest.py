@@ -103,7 +103,7 @@ def ingest(spark: SparkSession, raw: DataFrame, decls: dict[str, Declaration], r
     stop = progress.select("product", F.col("stopped_at"))
     stops = (status.filter(F.col("status") != "ok").groupBy("product")
              .agg(F.min(F.struct("posted_at", "doc_id")).alias("__stop")))
-    taken = (status.filter(F.col("status") == "ok").join(stops, on="product", how="left")
+    taken = (status.filter(F.col("status") == "ok").join(F.broadcast(stops), on="product", how="left")
              .filter(F.col("__stop").isNull() | (F.struct("posted_at", "doc_id") < F.col("__stop")))
              .select("posting"))
     accepted = rows.join(taken, on="posting", how="left_semi").drop("problem")
