@@ -66,24 +66,25 @@ def transform_postings(raw: DataFrame, decls: dict[str, Declaration], *, ingeste
     rec = rec.join(meta, on="posting", how="inner").withColumn("ingested_at", F.lit(ingested_at).cast("timestamp_ntz"))
     # unpacked once: every product's transform, drift check and key check read these records
     rec = rec.persist(StorageLevel.MEMORY_AND_DISK)
-    rows_all, status_all = [], []
+    # per product only the declared expressions differ; the checks run once over all products
+    rows_all = []
     for product, decl in decls.items():
         r = rec.filter(F.col("product") == product)
         rows = TR.transform(r, decl, carry=["product", "doc_id"])
-        drift = TR.check_columns(r, decl)
-        dup = CK.repeated_keys(rows, key=list(decl.key), by="posting").select(
-            "posting", F.concat(F.lit("business key repeated in posting: "), F.col("n_repeated_keys").cast("string"),
-                                F.lit(" keys, e.g. "), F.col("example")).alias("dup_problem"))
-        st = TR.posting_status(rows, drift).join(dup, on="posting", how="left")
-        problem = F.coalesce(F.col("problem"), F.col("dup_problem"))
-        st = st.select("posting", problem.alias("problem"))
-        st = meta.filter(F.col("product") == product).join(st, on="posting", how="left").select(
-            "product", "posting", "posted_at", "doc_id",
-            F.when(F.col("problem").isNull(), F.lit("ok")).otherwise(F.lit("failed")).alias("status"), "problem")
-        rows_all.append(rows)
-        status_all.append(st)
+        key_text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in decl.key])
+        rows_all.append(rows.withColumn("__key", key_text))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows_all)
-    status = reduce(DataFrame.unionByName, status_all).unionByName(deferred)
+    drift = TR.check_columns(rec.filter(F.col("product").isin(list(decls))), decls)
+    dup = CK.repeated_keys(rows, key=["__key"], by="posting").select(
+        "posting", F.concat(F.lit("business key repeated in posting: "), F.col("n_repeated_keys").cast("string"),
+                            F.lit(" keys, e.g. "), F.col("example")).alias("dup_problem"))
+    st = TR.posting_status(rows, drift).join(dup, on="posting", how="left")
+    st = st.select("posting", F.coalesce(F.col("problem"), F.col("dup_problem")).alias("problem"))
+    status = meta.join(st, on="posting", how="left").select(
+        "product", "posting", "posted_at", "doc_id",
+        F.when(F.col("problem").isNull(), F.lit("ok")).otherwise(F.lit("failed")).alias("status"), "problem")
+    status = status.unionByName(deferred)
+    rows = rows.drop("__key")
     return rows, status, rec
 
 
@@ -161,7 +162,5 @@ def write_state(spark: SparkSession, df: DataFrame, root: str, name: str) -> Non
 
 def rebuild(spark: SparkSession, root: str, decls: dict[str, Declaration], target: str, *, ingested_at) -> DataFrame:
     """JOB16: regenerate a curated lake from the raw postings kept under ``root``."""
-    raw = LK.read_raw(spark, root).select("product", "posted_at",
-                                          F.lit(None).cast("bigint").alias("doc_id"), "name", "content")
-    raw = raw.withColumn("doc_id", F.regexp_extract("name", r"^cdr\.(\d+)\.", 1).cast("bigint"))
+    raw = LK.read_raw(spark, root).select("product", "posted_at", "doc_id", "name", "content")
     return ingest(spark, raw, decls, target, ingested_at=ingested_at, update_progress=False, land=False)

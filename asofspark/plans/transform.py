@@ -23,15 +23,32 @@ def cell(decl: Declaration, canonical: str, header: str = "header", cells: str =
     return F.get(F.col(cells), F.array_position(F.col(header), F.lit(source)).cast("int") - 1)
 
 
-def check_columns(records: DataFrame, decl: Declaration, by: str = "posting") -> DataFrame:
+def check_columns(records: DataFrame, decl: Declaration | dict, by: str = "posting",
+                  product: str = "product") -> DataFrame:
     """PRJ02: per posting, missing and unexpected header columns (sorted, comma-joined), repeated
-    header names, and rows whose cell count differs from the header."""
+    header names, and rows whose cell count differs from the header. ``decl`` may be a mapping
+    product -> declaration: then one aggregate checks the postings of every product."""
+    if isinstance(decl, dict):
+        headers = records.sparkSession.createDataFrame(
+            [(p, sorted(d.expected_header)) for p, d in decl.items()], f"{product} string, __expected array<string>")
+        records = records.join(F.broadcast(headers), on=product, how="inner")  # one row per product
+        expected = F.first("__expected")
+        per = records.groupBy(by).agg(
+            F.first("header", ignorenulls=True).alias("header"), expected.alias("__expected"),
+            F.sum(F.when(F.size("cells") != F.size("header"), 1).otherwise(0)).cast("bigint").alias("bad_rows"),
+            F.count(F.lit(1)).alias("n_rows"))
+        expected = F.col("__expected")
+        return _drift(per, expected, by)
     expected = F.array(*[F.lit(c) for c in sorted(decl.expected_header)])
     per = records.groupBy(by).agg(
         F.first("header", ignorenulls=True).alias("header"),
         F.sum(F.when(F.size("cells") != F.size("header"), 1).otherwise(0)).cast("bigint").alias("bad_rows"),
         F.count(F.lit(1)).alias("n_rows"),
     )
+    return _drift(per, expected, by)
+
+
+def _drift(per: DataFrame, expected, by: str) -> DataFrame:
     missing = F.array_join(F.array_sort(F.array_except(expected, F.col("header"))), ",")
     unexpected = F.array_join(F.array_sort(F.array_except(F.col("header"), expected)), ",")
     repeated = F.size(F.col("header")) != F.size(F.array_distinct(F.col("header")))

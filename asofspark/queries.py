@@ -946,8 +946,9 @@ _CURATED_COLS = ["product", "interval_start", "settlement_point", "settlement_po
 
 def _ingested_lake(spark, sf):
     root = scratch_path(spark, "ingest")
-    raw = FX.raw_postings(spark, sf)
-    summary = IN.ingest(spark, raw, FX.event_declarations(), root, ingested_at=_INGESTED)
+    LK.land_raw(FX.raw_postings(spark, sf), root)  # postings land first, then are ingested
+    raw = LK.read_raw(spark, root).select("product", "posted_at", "doc_id", "name", "content")
+    summary = IN.ingest(spark, raw, FX.event_declarations(), root, ingested_at=_INGESTED, land=False)
     return root, raw, summary
 
 

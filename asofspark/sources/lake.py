@@ -29,8 +29,9 @@ def _writer(df: DataFrame, *cols: str):
 def land_raw(docs: DataFrame, root: str) -> None:
     """SNK01: postings ``(product, posted_at, name, content)`` before any parsing, partitioned by
     local posting day and posting stamp; a re-landed posting replaces only itself."""
+    extra = [c for c in ("doc_id",) if c in docs.columns]
     out = docs.select("product", T.delivery_date("posted_at").alias("date"),
-                      T.stamp("posted_at").alias("posted"), "posted_at", "name", "content")
+                      T.stamp("posted_at").alias("posted"), "posted_at", *extra, "name", "content")
     _writer(out.repartition("product", "date", "posted"), "product", "date", "posted").parquet(f"{root}/raw")
 
 
