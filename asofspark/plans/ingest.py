@@ -93,6 +93,9 @@ def ingest(spark: SparkSession, raw: DataFrame, decls: dict[str, Declaration], r
            land: bool = True, pending_path: str | None = None) -> DataFrame:
     """JOB06 (JOB07 with ``update_progress=False``): returns the per-product run summary.
 
+    ``land=True`` writes the postings to ``raw/`` first; pass ``land=False`` when ``raw`` is
+    itself read from that landing (a re-landing would replace the files being read).
+
     With ``pending_path`` the postings that were not taken (failed, deferred, or held back
     behind one) are written there, so an incremental caller can offer them again (STR02)."""
     run_at = run_at or ingested_at
