@@ -70,20 +70,21 @@ def version_audit(df: DataFrame, supported=(1,), by: str = "file", col: str = "s
                     F.exists("__v", lambda x: ~x.isin(list(supported))).alias("unsupported"))
 
 
-def schema_diff(actual: DataFrame, expected: DataFrame, by: str = "file") -> DataFrame:
-    """SET03: per ``by``, (column, type) pairs in ``actual`` but not the contract and the
+def schema_diff(actual: DataFrame, contract: Sequence[tuple[str, str]], by: str = "file") -> DataFrame:
+    """SET03: per ``by``, (column, type) pairs in ``actual`` but not in the contract and the
     reverse; when both sets agree but the order differs, report 'column order'.
 
-    Both inputs are (by?, position, column, type) rows; ``expected`` has no ``by``.
+    ``actual`` holds (by, position, column, type) rows; ``contract`` is the declared
+    ``[(column, type), ...]`` in order (configuration, so it enters the plan as literals).
+    Only the per-``by`` column lists are shuffled: one row per column of each file.
     """
     a = actual.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("position", "column", "type"))).alias("a"))
-    e = expected.agg(F.array_sort(F.collect_list(F.struct("position", "column", "type"))).alias("e"))
-    pairs = lambda arr: F.transform(arr, lambda s: F.concat_ws(" ", s["column"], s["type"]))
-    j = a.crossJoin(F.broadcast(e))  # ``e`` is one row: the contract
-    extra = F.array_join(F.array_sort(F.array_except(pairs("a"), pairs("e"))), ",")
-    missing = F.array_join(F.array_sort(F.array_except(pairs("e"), pairs("a"))), ",")
-    order = (extra == "") & (missing == "") & (pairs("a") != pairs("e"))
-    return j.select(by, extra.alias("unexpected"), missing.alias("missing"), order.alias("column_order")).filter(
+    pairs_a = F.transform("a", lambda s: F.concat_ws(" ", s["column"], s["type"]))
+    pairs_e = F.array(*[F.lit(f"{c} {t}") for c, t in contract]).cast("array<string>")
+    extra = F.array_join(F.array_sort(F.array_except(pairs_a, pairs_e)), ",")
+    missing = F.array_join(F.array_sort(F.array_except(pairs_e, pairs_a)), ",")
+    order = (extra == "") & (missing == "") & (pairs_a != pairs_e)
+    return a.select(by, extra.alias("unexpected"), missing.alias("missing"), order.alias("column_order")).filter(
         (F.col("unexpected") != "") | (F.col("missing") != "") | F.col("column_order"))
 
 

@@ -1050,3 +1050,20 @@ FROM sec
 """
 
 ORACLES["stream_replay"] = _INGEST_ROWS
+
+ORACLES["symmetric_diff"] = """
+WITH a AS (SELECT l_orderkey AS file,
+                  CASE WHEN l_quantity > 48 THEN 8 - l_linenumber ELSE l_linenumber END AS position,
+                  CASE WHEN l_discount >= 0.09 THEN 'extra_' ELSE 'c' END || CAST(l_linenumber AS VARCHAR) AS col,
+                  CASE WHEN l_tax > 0.07 THEN 'string' ELSE 'double' END AS typ
+           FROM lineitem),
+f AS (SELECT file, list(col || ' ' || typ ORDER BY position, col, typ) AS pa FROM a GROUP BY file),
+e AS (SELECT ['c1 double', 'c2 double', 'c3 double', 'c4 double', 'c5 double', 'c6 double', 'c7 double'] AS pe),
+d AS (SELECT file,
+             array_to_string(list_sort(list_distinct(list_filter(pa, lambda x: NOT list_contains(pe, x)))), ',') AS unexpected,
+             array_to_string(list_sort(list_distinct(list_filter(pe, lambda x: NOT list_contains(pa, x)))), ',') AS missing,
+             pa, pe
+      FROM f, e)
+SELECT file, unexpected, missing, (unexpected = '' AND missing = '' AND pa <> pe) AS column_order
+FROM d WHERE unexpected <> '' OR missing <> '' OR (unexpected = '' AND missing = '' AND pa <> pe)
+"""

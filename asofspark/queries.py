@@ -766,6 +766,25 @@ def union_by_name(spark, sf):
     return s.unionByName(c, allowMissingColumns=True)
 
 
+# The contract the derived file schemas are checked against, in column order.
+_FILE_CONTRACT = [("c1", "double"), ("c2", "double"), ("c3", "double"), ("c4", "double"),
+                  ("c5", "double"), ("c6", "double"), ("c7", "double")]
+
+
+@query
+def symmetric_diff(spark, sf):
+    """SET03: every order is a "file" whose columns are its line items (name, type and
+    position derived from the row), checked against a seven-column contract."""
+    li = read(spark, sf, "lineitem")
+    n = F.col("l_linenumber").cast("string")
+    cols = li.select(
+        F.col("l_orderkey").alias("file"),
+        F.when(F.col("l_quantity") > 48, 8 - F.col("l_linenumber")).otherwise(F.col("l_linenumber")).alias("position"),
+        F.when(F.col("l_discount") >= 0.09, F.concat(F.lit("extra_"), n)).otherwise(F.concat(F.lit("c"), n)).alias("column"),
+        F.when(F.col("l_tax") > 0.07, F.lit("string")).otherwise(F.lit("double")).alias("type"))
+    return CK.schema_diff(cols, _FILE_CONTRACT, by="file")
+
+
 @query
 def delivery_range(spark, sf):
     log = event_log(spark, sf).withColumnRenamed("day", "date")
