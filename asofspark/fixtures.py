@@ -9,7 +9,7 @@ a noise file. Zips are produced by ``applyInPandas`` per posting and written by
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from asofspark.functions import time as T
@@ -33,8 +33,7 @@ def posting_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events")
     local = T.utc_to_local("ts")
     e = e.withColumn("day", F.to_date(local)).withColumn("__local", local)
-    posted = F.date_trunc("second", F.max("__local").over(
-        __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("event_type", "day"))).cast("timestamp_ntz")
+    posted = F.date_trunc("second", F.max("__local").over(Window.partitionBy("event_type", "day"))).cast("timestamp_ntz")
     doc = F.datediff("day", F.lit("2023-12-31").cast("date")) * 10 + _type_code()
     return e.withColumn("posted_local", posted).withColumn("doc_id", doc.cast("bigint")).drop("__local")
 
@@ -59,11 +58,49 @@ POSTING_SCHEMA = ("event_type string, day date, doc_id bigint, posted_local time
                   "name string, content binary")
 
 
+ZIP_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "day", "doc_id", "posted_local", "local_ts"]
+
+
+def zip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that go into posting zips (one posting per event type, local day and doc id)."""
+    return posting_rows(spark, sf_dir).withColumn("local_ts", T.utc_to_local("ts")).select(*ZIP_COLUMNS)
+
+
+def zips_of(rows: DataFrame) -> DataFrame:
+    """One zipped CSV posting per (event type, day, doc id) of ``rows``, built by ``applyInPandas``."""
+    return rows.groupBy("event_type", "day", "doc_id").applyInPandas(_zip_group, POSTING_SCHEMA)
+
+
 def posting_zips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One zipped CSV posting per (event type, local day), built by ``applyInPandas``."""
-    rows = posting_rows(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "value", "day",
-                                             "doc_id", "posted_local", T.utc_to_local("ts").alias("local_ts"))
-    return rows.groupBy("event_type", "day").applyInPandas(_zip_group, POSTING_SCHEMA)
+    """One zipped CSV posting per (event type, local day)."""
+    return zips_of(zip_rows(spark, sf_dir))
+
+
+def reposts(rows: DataFrame, minutes: int = 30, doc_offset: int = 5, delta: float = 1.0) -> DataFrame:
+    """A newer posting for every posting: the same intervals, published ``minutes`` later under
+    a new doc id (``doc_offset`` keeps ids unique: the type code is the last digit), every
+    value revised by ``delta``."""
+    return (rows.withColumn("posted_local", F.col("posted_local") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes)))
+            .withColumn("doc_id", F.col("doc_id") + doc_offset)
+            .withColumn("value", F.col("value") + delta))
+
+
+def corrected(rows: DataFrame) -> DataFrame:
+    """Corrected copies of the postings that repeat a business key (5-minute slot, user): the
+    publisher keeps the last line (highest event id) per key. Only those postings are returned."""
+    slot = F.date_trunc("minute", "local_ts") - F.make_dt_interval(F.lit(0), F.lit(0), F.minute("local_ts") % 5)
+    posting = ["event_type", "day", "doc_id"]
+    k = rows.withColumn("__slot", slot)
+    bad = (k.groupBy(*posting, "__slot", "user_id").agg(F.count(F.lit(1)).alias("n"))
+           .filter(F.col("n") > 1).select(*posting).distinct())
+    w = Window.partitionBy(*posting, "__slot", "user_id").orderBy(F.col("event_id").desc())
+    return (k.join(bad, on=posting, how="left_semi").withColumn("__rn", F.row_number().over(w))
+            .filter(F.col("__rn") == 1).drop("__rn", "__slot"))
+
+
+def placeholders(zips: DataFrame) -> DataFrame:
+    """Listed postings that are not yet available: the same names, zero bytes."""
+    return zips.withColumn("content", F.lit(b"").cast("binary"))
 
 
 def _bundle_group(pdf: pd.DataFrame) -> pd.DataFrame:

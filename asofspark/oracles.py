@@ -860,7 +860,9 @@ FROM lineitem GROUP BY l_suppkey % 5
 
 # --- ingestion -------------------------------------------------------------------------------
 
-_INGEST = f"""
+def _ingest(extra: str = "", src: str = "po") -> str:
+    """The ingest CTE chain; ``extra`` CTEs may define another posting source ``src``."""
+    return f"""
 ev AS (SELECT *, {_local('ts')} AS lts FROM events),
 po AS (SELECT *, CAST(lts AS DATE) AS pday,
               date_trunc('second', max(lts) OVER (PARTITION BY event_type, CAST(lts AS DATE))) AS posted_local,
@@ -869,10 +871,10 @@ po AS (SELECT *, CAST(lts AS DATE) AS pday,
                                   WHEN 'signup' THEN 3 WHEN 'view' THEN 4 ELSE 9 END AS doc_id,
               date_trunc('hour', date_trunc('second', lts))
                 + to_minutes(CAST(minute(lts) - minute(lts) % 5 AS INTEGER)) AS l5
-       FROM ev),
+       FROM ev),{extra}
 r AS (SELECT 'ev-' || event_type AS product, doc_id, {_first('posted_local')} AS posted_at,
              {_first('l5')} AS interval_start, CAST(user_id AS VARCHAR) AS settlement_point,
-             event_type AS settlement_point_type, value AS price_mwh FROM po),
+             event_type AS settlement_point_type, value AS price_mwh FROM {src}),
 st AS (SELECT product, doc_id, posted_at,
               max(n) > 1 AS failed
        FROM (SELECT product, doc_id, posted_at, count(*) AS n FROM r
@@ -886,6 +888,9 @@ acc AS (SELECT r.*, CAST({_local('r.interval_start')} AS DATE) AS date,
         FROM r JOIN taken t ON r.product = t.product AND r.doc_id = t.doc_id)
 """
 
+
+_INGEST = _ingest()
+
 _INGEST_ROWS = f"""
 WITH {_INGEST}
 SELECT product, interval_start, settlement_point, settlement_point_type, price_mwh, posted_at, date, batch FROM acc
@@ -1067,3 +1072,19 @@ d AS (SELECT file,
 SELECT file, unexpected, missing, (unexpected = '' AND missing = '' AND pa <> pe) AS column_order
 FROM d WHERE unexpected <> '' OR missing <> '' OR (unexpected = '' AND missing = '' AND pa <> pe)
 """
+
+ORACLES["stream_defer"] = _INGEST_ROWS
+
+# STR02: the failed postings are redelivered corrected (last line per repeated key kept)
+ORACLES["stream_resume"] = f"""
+WITH {_ingest(extra=chr(10) + "fixed AS (SELECT * FROM po QUALIFY row_number() OVER (PARTITION BY event_type, doc_id, l5, user_id ORDER BY event_id DESC) = 1),", src="fixed")}
+SELECT product, interval_start, settlement_point, settlement_point_type, price_mwh, posted_at, date, batch FROM acc
+"""
+
+# STR05: every posting reposted 30 minutes later under a new doc id with revised values;
+# the point-in-time read after the last drop
+ORACLES["stream_repost"] = f"""
+WITH {_ingest(extra=chr(10) + "rp AS (SELECT * FROM po UNION ALL SELECT * REPLACE (posted_local + INTERVAL 30 MINUTE AS posted_local, doc_id + 5 AS doc_id, value + 1.0 AS value) FROM po),", src="rp")}
+SELECT product, interval_start, settlement_point, settlement_point_type, price_mwh, posted_at FROM acc
+QUALIFY row_number() OVER (PARTITION BY product, interval_start, settlement_point, settlement_point_type ORDER BY posted_at DESC) = 1
+"""

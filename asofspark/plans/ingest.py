@@ -18,7 +18,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from asofspark.functions import time as T
@@ -52,6 +52,18 @@ def resolve_windows(raw: DataFrame, watermarks: DataFrame | None, now, lookback_
     return j.filter((F.col("posted_at") > F.coalesce("__wm", default)) & (F.col("posted_at") <= now_c)).drop("__wm")
 
 
+def newest_copy(raw: DataFrame) -> DataFrame:
+    """One row per posting (product, doc_id, posted_at) when a posting arrives more than once:
+    a copy with content beats a listed placeholder (NULL content), then the newest received
+    copy wins, so a redelivered correction replaces a failed copy. ``row_number() = 1`` is
+    planned with a partial top-1 per task before the shuffle."""
+    order = [F.col("content").isNull().asc()]
+    if "received_at" in raw.columns:
+        order.append(F.col("received_at").desc_nulls_last())
+    w = Window.partitionBy("product", "doc_id", "posted_at").orderBy(*order, F.col("name").desc())
+    return raw.withColumn("__copy", F.row_number().over(w)).filter(F.col("__copy") == 1).drop("__copy")
+
+
 def transform_postings(raw: DataFrame, decls: dict[str, Declaration], *, ingested_at) -> tuple[DataFrame, DataFrame]:
     """(curated rows of every posting, status per posting). ``raw``: (product, posted_at,
     doc_id, name, content); a NULL content is a listed posting not yet available (deferred)."""

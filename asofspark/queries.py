@@ -1227,3 +1227,49 @@ def stream_replay(spark, sf):
     for _ in range(2):
         ST.stream_ingest(spark, landing, decls, root, scratch_path(spark, "ckpt"), ingested_at=_INGESTED).awaitTermination()
     return spark.read.parquet(f"{root}/curated").select(*_CURATED_COLS)
+
+
+def _stream_drops(spark, drops) -> str:
+    """Feed the landing folder in drops (one folder each); after each drop an ``availableNow``
+    stream run resumes from the same checkpoint. Returns the lake root."""
+    landing, root, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "lake"), scratch_path(spark, "ckpt")
+    decls = FX.event_declarations()
+    for i, z in enumerate(drops):
+        AR.export_files(z, f"{landing}/drop{i}").write.format("noop").mode("overwrite").save()
+        ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=_INGESTED).awaitTermination()
+    return root
+
+
+@query
+def stream_resume(spark, sf):
+    """STR02: postings that repeat a business key fail and stop their product; the next drop
+    redelivers them corrected and the product resumes at the failed posting."""
+    rows = FX.zip_rows(spark, sf)
+    root = _stream_drops(spark, [FX.zips_of(rows), FX.zips_of(FX.corrected(rows))])
+    return spark.read.parquet(f"{root}/curated").select(*_CURATED_COLS)
+
+
+DEFERRED_DAY = "2024-01-02"
+
+
+@query
+def stream_defer(spark, sf):
+    """STR03: the first drop lists one day's postings before their files exist (zero-byte
+    placeholders): each product holds back there, cleanly; the second drop brings the files."""
+    z = FX.posting_zips(spark, sf)
+    late = F.col("day") == F.lit(DEFERRED_DAY).cast("date")
+    first = z.filter(~late).unionByName(FX.placeholders(z.filter(late)))
+    root = _stream_drops(spark, [first, z.filter(late)])
+    return spark.read.parquet(f"{root}/curated").select(*_CURATED_COLS)
+
+
+@query
+def stream_repost(spark, sf):
+    """STR05: a second drop reposts every posting later with revised values; reposts are newer
+    postings, never dropped as late, and win the point-in-time read."""
+    rows = FX.zip_rows(spark, sf)
+    root = _stream_drops(spark, [FX.zips_of(rows), FX.zips_of(FX.reposts(rows))])
+    lake = spark.read.parquet(f"{root}/curated")
+    return pit.latest_as_of(lake, key=["product", "interval_start", "settlement_point", "settlement_point_type"],
+                            posted="posted_at", tie="ingested_at", as_of="2100-01-01 00:00:00").select(
+        "product", "interval_start", "settlement_point", "settlement_point_type", "price_mwh", "posted_at")
