@@ -6,8 +6,9 @@ per business key. Everything here takes and returns DataFrames; the driver holds
 configuration.
 
 Time convention: UTC instants are ``TIMESTAMP_NTZ`` values holding the UTC wall clock, and local
-(Central) wall clocks are ``TIMESTAMP_NTZ`` too. Every zone conversion goes through
-``convert_timezone`` on NTZ values, so no result depends on the session time zone.
+(Central) wall clocks are ``TIMESTAMP_NTZ`` too. Every zone conversion is microsecond
+arithmetic plus ``to_utc_timestamp`` / ``from_utc_timestamp`` with a literal zone, so no result
+depends on the session time zone.
 """
 
 __version__ = "0.1.0"

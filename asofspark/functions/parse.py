@@ -11,7 +11,8 @@ TRUE_WORDS = ("Y", "TRUE", "1")
 FALSE_WORDS = ("N", "FALSE", "0", "")
 
 _WHOLE = r"^[+-]?[0-9]+$"
-_TYPE_SUFFIX = r"[dDfF]$"
+# Type suffixes Spark's cast accepts and the source's number parser does not.
+TYPE_SUFFIXES = ("d", "D", "f", "F")
 
 
 def _c(x) -> Column:
@@ -36,7 +37,7 @@ def to_number(cell, required: bool = True) -> tuple[Column, Column]:
     c = _c(cell)
     t = F.trim(c.cast("string"))
     blank = c.isNull() | (t == "")
-    parsed = F.when(~t.rlike(_TYPE_SUFFIX), t.try_cast("double"))
+    parsed = F.when(~F.right(t, F.lit(1)).isin(*TYPE_SUFFIXES), t.try_cast("double"))
     value = F.when(~blank, parsed)
     problem = F.when(blank, F.lit("missing number") if required else F.lit(None).cast("string")).when(
         parsed.isNull(), F.concat(F.lit("not a number "), c.cast("string"))

@@ -1,9 +1,13 @@
 """Zone-exact time rules as Column expressions (no UDFs).
 
-UTC instants and local wall clocks are both ``TIMESTAMP_NTZ``. ``convert_timezone`` on NTZ values
-is independent of the session time zone. For a local time that happens twice (the fall-back hour)
-it returns the first occurrence; for a local time in the spring-forward gap it returns the instant
-one hour later in local terms (02:30 -> 08:30Z in Central time), which ``back()`` exposes.
+UTC instants and local wall clocks are both ``TIMESTAMP_NTZ``. A zone conversion moves the NTZ
+value to a ``TIMESTAMP`` with the same UTC wall clock (pure microsecond arithmetic), applies
+``to_utc_timestamp`` / ``from_utc_timestamp`` with a literal zone (resolved once per task, not
+per row as ``convert_timezone`` on NTZ does) and moves back: independent of the session time
+zone, and equal to ``convert_timezone``. For a local time that happens twice (the fall-back
+hour) the first occurrence is returned; a local time in the spring-forward gap maps to the
+instant one hour later in local terms (02:30 -> 08:30Z in Central time), which mapping back
+exposes.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ def _c(x) -> Column:
 
 def utc_to_local(ts_utc, tz: str = CT) -> Column:
     """UTC wall clock -> local wall clock (FN02)."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(tz), _c(ts_utc))
+    return instant_to_ntz(F.from_utc_timestamp(ntz_to_instant(ts_utc), tz))
 
 
 def delivery_date(ts_utc, tz: str = CT) -> Column:
@@ -35,21 +39,35 @@ def delivery_date(ts_utc, tz: str = CT) -> Column:
 
 def first_utc(local, tz: str = CT) -> Column:
     """Local wall clock -> UTC, first occurrence for a repeated time (FN01)."""
-    return F.convert_timezone(F.lit(tz), F.lit("UTC"), _c(local))
+    return instant_to_ntz(F.to_utc_timestamp(ntz_to_instant(local), tz))
+
+
+_HOUR = "INTERVAL 1 HOUR"
 
 
 def _second_candidate(local, tz: str) -> Column:
-    return first_utc(local, tz) + F.expr("INTERVAL 1 HOUR")
+    return first_utc(local, tz) + F.expr(_HOUR)
+
+
+def _zone_parts(local, tz: str):
+    """(local as an instant, first UTC occurrence as an instant, whether the wall clock happens
+    a second time): every test below stays in the instant domain, so a chain of conversions
+    never nests NTZ round trips inside one another."""
+    li = ntz_to_instant(local)
+    u1 = F.to_utc_timestamp(li, tz)
+    twice = F.from_utc_timestamp(u1 + F.expr(_HOUR), tz) == li
+    return li, u1, twice
 
 
 def exists_local(local, tz: str = CT) -> Column:
     """False for a wall-clock time in the spring-forward gap (FN03)."""
-    return utc_to_local(first_utc(local, tz), tz) == _c(local)
+    li, u1, _ = _zone_parts(local, tz)
+    return F.from_utc_timestamp(u1, tz) == li
 
 
 def is_repeated(local, tz: str = CT) -> Column:
     """True when the wall-clock time happens twice, the fall-back hour (FN08)."""
-    return utc_to_local(_second_candidate(local, tz), tz) == _c(local)
+    return _zone_parts(local, tz)[2]
 
 
 def local_to_utc(local, repeated=None, tz: str = CT) -> Column:
@@ -60,9 +78,8 @@ def local_to_utc(local, repeated=None, tz: str = CT) -> Column:
     if repeated is None:
         return first_utc(local, tz)
     rep = F.lit(repeated) if isinstance(repeated, bool) else _c(repeated)
-    return F.when(rep & is_repeated(local, tz), _second_candidate(local, tz)).otherwise(
-        first_utc(local, tz)
-    )
+    _, u1, twice = _zone_parts(local, tz)
+    return instant_to_ntz(F.when(rep & twice, u1 + F.expr(_HOUR)).otherwise(u1))
 
 
 def local_problem(local, repeated=None, tz: str = CT) -> Column:
@@ -81,11 +98,12 @@ def local_problem(local, repeated=None, tz: str = CT) -> Column:
 def nearest_occurrence(local, listed_utc, tz: str = CT) -> Column:
     """Of the first/second occurrence of ``local``, the one nearer to ``listed_utc``; ties go to
     the first; no local time -> the listed time (FN17)."""
-    a = first_utc(local, tz)
-    b = F.when(is_repeated(local, tz), _second_candidate(local, tz)).otherwise(a)
-    da = F.abs(micros_between(_c(listed_utc), a))
-    db = F.abs(micros_between(_c(listed_utc), b))
-    return F.when(_c(local).isNull(), _c(listed_utc)).when(db < da, b).otherwise(a)
+    _, a, twice = _zone_parts(local, tz)
+    b = F.when(twice, a + F.expr(_HOUR)).otherwise(a)
+    listed = F.unix_micros(ntz_to_instant(listed_utc))
+    da = F.abs(listed - F.unix_micros(a))
+    db = F.abs(listed - F.unix_micros(b))
+    return F.when(_c(local).isNull(), _c(listed_utc)).when(db < da, instant_to_ntz(b)).otherwise(instant_to_ntz(a))
 
 
 def _minutes(n) -> Column:
@@ -209,9 +227,19 @@ def month_edges(month_start, tz: str = CT):
     return first_utc(midnight(month_start), tz), first_utc(midnight(F.add_months(_c(month_start), 1)), tz)
 
 
+def ntz_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 00:00 of an NTZ wall clock, from its fields: plain
+    arithmetic, with no session zone involved (``timestamp_diff`` on NTZ values consults the
+    session zone inside its DST gaps)."""
+    t = _c(ts)
+    return (F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint") * F.lit(86_400_000_000)
+            + F.hour(t).cast("bigint") * F.lit(3_600_000_000) + F.minute(t).cast("bigint") * F.lit(60_000_000)
+            + (F.extract(F.lit("SECOND"), t) * F.lit(1_000_000)).cast("bigint"))
+
+
 def micros_between(start, end) -> Column:
     """``end - start`` in microseconds, on NTZ wall clocks (no session zone involved)."""
-    return F.timestamp_diff("MICROSECOND", _c(start), _c(end))
+    return ntz_micros(end) - ntz_micros(start)
 
 
 def age_minutes(ts_utc, now_utc) -> Column:
@@ -224,22 +252,24 @@ def resolve_local(df, local: str, repeated=None, *, out: str, problem: str, tz:
 
     The three zone conversions a wall clock needs (first instant, and both candidates mapped
     back) are computed once each as their own columns, so the resulting plan evaluates three
-    ``convert_timezone`` per row instead of repeating them inside every derived expression.
+    zone shifts per row instead of repeating them inside every derived expression.
     """
     rep = F.lit(False) if repeated is None else (F.lit(repeated) if isinstance(repeated, bool) else _c(repeated))
     hour = F.expr("INTERVAL 1 HOUR")
-    df = (df.withColumn("__u1", first_utc(local, tz))
-          .withColumn("__b1", utc_to_local(F.col("__u1"), tz))
-          .withColumn("__b2", utc_to_local(F.col("__u1") + hour, tz)))
+    # in the instant domain: one move in, three zone shifts, one move out
+    df = (df.withColumn("__li", ntz_to_instant(local))
+          .withColumn("__u1", F.to_utc_timestamp(F.col("__li"), tz))
+          .withColumn("__b1", F.from_utc_timestamp(F.col("__u1"), tz))
+          .withColumn("__b2", F.from_utc_timestamp(F.col("__u1") + hour, tz)))
     loc = _c(local)
-    exists = F.col("__b1") == loc
-    twice = F.col("__b2") == loc
+    exists = F.col("__b1") == F.col("__li")
+    twice = F.col("__b2") == F.col("__li")
     text = F.date_format(loc, "yyyy-MM-dd HH:mm")
     prob = (F.when(loc.isNull(), F.lit("missing local time"))
             .when(~exists, F.concat(text, F.lit(" does not exist (spring-forward gap)")))
             .when(rep & ~twice, F.concat(text, F.lit(" is flagged as repeated but is not ambiguous"))))
-    return (df.withColumn(out, F.when(rep & twice, F.col("__u1") + hour).otherwise(F.col("__u1")))
-            .withColumn(problem, prob).drop("__u1", "__b1", "__b2"))
+    out_utc = instant_to_ntz(F.when(rep & twice, F.col("__u1") + hour).otherwise(F.col("__u1")))
+    return (df.withColumn(out, out_utc).withColumn(problem, prob).drop("__li", "__u1", "__b1", "__b2"))
 
 
 _EPOCH = "1970-01-01 00:00:00"
@@ -248,7 +278,7 @@ _EPOCH = "1970-01-01 00:00:00"
 def ntz_to_instant(ts_utc) -> Column:
     """UTC wall clock (NTZ) -> TIMESTAMP instant, independent of the session zone (event time
     for watermarks needs the instant type)."""
-    return F.timestamp_micros(micros_between(F.lit(_EPOCH).cast("timestamp_ntz"), _c(ts_utc)))
+    return F.timestamp_micros(ntz_micros(ts_utc))
 
 
 def instant_to_ntz(ts) -> Column:

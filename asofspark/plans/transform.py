@@ -23,6 +23,11 @@ def cell(decl: Declaration, canonical: str, header: str = "header", cells: str =
     return F.get(F.col(cells), F.array_position(F.col(header), F.lit(source)).cast("int") - 1)
 
 
+def _cell(canonical: str) -> Column:
+    """The looked-up cell of ``canonical`` (a column added once by :func:`transform`)."""
+    return F.col(f"__cell_{canonical}")
+
+
 def check_columns(records: DataFrame, decl: Declaration | dict, by: str = "posting",
                   product: str = "product") -> DataFrame:
     """PRJ02: per posting, missing and unexpected header columns (sorted, comma-joined), repeated
@@ -71,20 +76,20 @@ def _with_time(df: DataFrame, decl: Declaration, rep: Column) -> DataFrame:
     m = decl.interval_minutes
     df = df.withColumn("__rep", rep)
     if decl.time_style == "sced_timestamp":
-        raw = T.parse_run_stamp(cell(decl, "run_stamp"))
+        raw = T.parse_run_stamp(_cell("run_stamp"))
         df = df.withColumn("__raw", raw).withColumn(
             "__local", F.date_trunc("hour", F.col("__raw")).cast("timestamp_ntz")
             + F.make_dt_interval(F.lit(0), F.lit(0), F.minute("__raw") - F.minute("__raw") % F.lit(m)))
         range_problem = F.when(F.col("__raw").isNull(), F.lit("unrecognised run timestamp"))
     else:
-        df = df.withColumn("__day", T.parse_delivery_date(cell(decl, "delivery_date"))).withColumn(
-            "__hour", T.parse_hour_ending(cell(decl, "hour_ending")))
+        df = df.withColumn("__day", T.parse_delivery_date(_cell("delivery_date"))).withColumn(
+            "__hour", T.parse_hour_ending(_cell("hour_ending")))
         if decl.time_style == "hour_ending":
             two_am = T.midnight(F.col("__day")) + F.expr("INTERVAL 2 HOURS")
             df = df.withColumn("__interval", F.lit(1)).withColumn(
                 "__hour", F.when((F.col("__hour") == 3) & ~T.exists_local(two_am), F.lit(2)).otherwise(F.col("__hour")))
         else:
-            df = df.withColumn("__interval", P.to_whole(cell(decl, "interval"))[0])
+            df = df.withColumn("__interval", P.to_whole(_cell("interval"))[0])
         df = df.withColumn("__local", T.interval_local(F.col("__day"), F.col("__hour"), F.col("__interval"), m))
         range_problem = (
             F.when(F.col("__day").isNull(), F.lit("unrecognised delivery date"))
@@ -102,15 +107,18 @@ def transform(records: DataFrame, decl: Declaration, *, posting: str = "posting"
     PRJ03 (keep flag) and PRJ04 (point prefixes) run before any time parsing, so rows they drop
     cannot fail the posting. Series tables are melted (PRJ07) with blank cells producing no row.
     """
-    df = records
+    # every declared cell is looked up once (its header position found once per row); later
+    # expressions read these short columns, keeping each generated method small enough to be
+    # JIT-compiled
+    df = records.select("*", *[cell(decl, c).alias(f"__cell_{c}") for c in decl.columns])
     if decl.keep_flag:
-        keep, keep_problem = P.to_flag(cell(decl, decl.keep_flag))
+        keep, keep_problem = P.to_flag(_cell(decl.keep_flag))
         df = df.withColumn("__keep_problem", keep_problem).filter(F.coalesce(keep, F.lit(True)))
     if decl.keep_point_prefixes:
-        point = F.trim(cell(decl, "point"))
+        point = F.trim(_cell("point"))
         df = df.filter(F.greatest(*[point.startswith(p) for p in decl.keep_point_prefixes], F.lit(False)))
     if "repeated_flag" in decl.columns:
-        rep, rep_problem = P.to_flag(cell(decl, "repeated_flag"))
+        rep, rep_problem = P.to_flag(_cell("repeated_flag"))
         rep = F.coalesce(rep, F.lit(False))
     else:
         rep, rep_problem = F.lit(False), F.lit(None).cast("string")
@@ -131,29 +139,34 @@ def transform(records: DataFrame, decl: Declaration, *, posting: str = "posting"
     keep_problem = F.col("__keep_problem") if decl.keep_flag else F.lit(None).cast("string")
     common_problem = F.coalesce(keep_problem, rep_problem, time_problem)
     if decl.table == "spp":
-        price, price_problem = P.to_number(cell(decl, "price"))
-        point = F.trim(cell(decl, "point"))
-        ptype = F.trim(cell(decl, "point_type")) if "point_type" in decl.columns else F.lit(None).cast("string")
+        price, price_problem = P.to_number(_cell("price"))
+        point = F.trim(_cell("point"))
+        ptype = F.trim(_cell("point_type")) if "point_type" in decl.columns else F.lit(None).cast("string")
         out = df.select(*base, point.alias("settlement_point"), ptype.alias("settlement_point_type"),
                         price.alias("price_mwh"),
                         F.coalesce(common_problem,
                                    F.when(point.isNull() | (point == ""), F.lit("missing settlement point")),
                                    price_problem).alias("problem"))
     elif decl.table == "mcpc":
-        as_type = F.upper(F.trim(cell(decl, "as_type")))
-        value, value_problem = P.to_number(cell(decl, "mcpc"))
+        as_type = F.upper(F.trim(_cell("as_type")))
+        value, value_problem = P.to_number(_cell("mcpc"))
         out = df.select(*base, as_type.alias("as_type"), value.alias("mcpc_mw"),
                         F.coalesce(common_problem,
                                    F.when(~as_type.isin(*AS_TYPES) | as_type.isNull(),
                                           F.concat(F.lit("unknown ancillary type "), F.coalesce(as_type, F.lit("NULL")))),
                                    value_problem).alias("problem"))
     else:
-        parts = []
-        for canonical, name in decl.series.items():
-            v, vp = P.to_number(cell(decl, canonical), required=False)
-            parts.append(F.struct(F.lit(f"{decl.product}:{name}").alias("series"), v.alias("value"),
-                                  vp.alias("value_problem")))
-        melted = df.select(*base, common_problem.alias("__common"), F.explode(F.array(*parts)).alias("__m"))
+        # every cell is parsed once in a projection (where Spark shares the trimmed text between
+        # the value and its problem); the melt then only moves finished values
+        parsed, parts = [], []
+        for i, (canonical, name) in enumerate(decl.series.items()):
+            v, vp = P.to_number(_cell(canonical), required=False)
+            parsed += [v.alias(f"__v{i}"), vp.alias(f"__p{i}")]
+            parts.append(F.struct(F.lit(f"{decl.product}:{name}").alias("series"), F.col(f"__v{i}").alias("value"),
+                                  F.col(f"__p{i}").alias("value_problem")))
+        wide = df.select(*base, common_problem.alias("__common"), *parsed)
+        kept = [n for n in wide.columns if not n.startswith(("__v", "__p"))]
+        melted = wide.select(*kept, F.explode(F.array(*parts)).alias("__m"))
         out = (melted.filter(F.col("__m.value").isNotNull() | F.col("__m.value_problem").isNotNull())
                .select(*[c for c in melted.columns if c not in ("__common", "__m")],
                        F.col("__m.series").alias("series"), F.col("__m.value").alias("value"),

@@ -336,6 +336,13 @@ def _li_spp_records(spark, sf):
     extra = F.concat(full, F.array(F.lit("x")))
     odd = posting % 2 == 1
     cut = (posting % 5 == 0) & (F.col("l_linenumber") == 7)
+    # the full cell list is built once, then cut or extended per posting
+    li = li.select("*", posting.alias("posting"), full.alias("__full"))
+    full, posting = F.col("__full"), F.col("posting")
+    short = F.slice(full, 1, 5)
+    extra = F.concat(full, F.array(F.lit("x")))
+    odd = posting % 2 == 1
+    cut = (posting % 5 == 0) & (F.col("l_linenumber") == 7)
     return li.select(
         posting.alias("posting"),
         (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), posting)).alias("posted_at"),

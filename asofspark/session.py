@@ -10,6 +10,12 @@ from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# Whole-stage code for a declared transform (parse, zone shifts, problem text) can exceed the
+# JVM's 8000-byte limit for JIT compilation, and such a method then runs interpreted, several
+# times slower. This option lets the JIT compile it; set it in
+# ``spark.executor.extraJavaOptions`` on a cluster too.
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and the bench. On a cluster the caller supplies the session."""
@@ -26,6 +32,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("ASOF_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
+        .config("spark.executor.extraJavaOptions", JIT_OPTIONS)
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

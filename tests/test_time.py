@@ -71,3 +71,20 @@ def test_stamp_roundtrip(spark):
     ts = F.lit("2026-09-03 17:32:53").cast("timestamp_ntz")
     r = one(spark, T.stamp(ts).alias("s"), T.parse_stamp(T.stamp(ts)).alias("b"))
     assert r.s == "20260903T173253Z" and r.b == dt.datetime(2026, 9, 3, 17, 32, 53)
+
+
+def test_zone_shifts_equal_convert_timezone_under_any_session_zone(spark):
+    """Every 5 minutes of both DST days: the cached-zone conversion equals convert_timezone."""
+    start = [dt.datetime(2024, 11, 3), dt.datetime(2024, 3, 10)]
+    rows = [(s + dt.timedelta(minutes=5 * i),) for s in start for i in range(2 * 24 * 12)]
+    d = spark.createDataFrame(rows, "x timestamp_ntz")
+    ref_utc = F.convert_timezone(F.lit(T.CT), F.lit("UTC"), F.col("x"))
+    ref_loc = F.convert_timezone(F.lit("UTC"), F.lit(T.CT), F.col("x"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Asia/Tokyo", "America/Chicago"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            bad = d.filter((T.first_utc("x") != ref_utc) | (T.utc_to_local("x") != ref_loc)).count()
+            assert bad == 0, zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
