@@ -99,8 +99,10 @@ def corrected(rows: DataFrame) -> DataFrame:
 
 
 def placeholders(zips: DataFrame) -> DataFrame:
-    """Listed postings that are not yet available: the same names, zero bytes."""
-    return zips.withColumn("content", F.lit(b"").cast("binary"))
+    """Listed postings that are not yet available: a ``.listed`` marker file in place of each
+    zip (file scans skip zero-byte files, so the marker carries a few bytes)."""
+    return (zips.withColumn("name", F.regexp_replace("name", r"\.zip$", ".listed"))
+            .withColumn("content", F.lit(b"listed").cast("binary")))
 
 
 def _bundle_group(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -9,7 +9,7 @@ containment, NULL-safe) are leftovers and are deleted, not merged twice. Partiti
 off the contract (NULL in a required column) are skipped.
 
 One Spark job covers every eligible partition: the listing is a distributed ``binaryFile``
-metadata scan, the rewrite is one shuffle on (product, date), and the driver only deletes the
+metadata scan, the rewrite is one range shuffle on (product, date, key), and the driver only deletes the
 source directories after the write succeeded (write before delete).
 """
 
@@ -90,7 +90,10 @@ def compact(spark: SparkSession, root: str, *, now, key, min_age_minutes: int =
     stamp = T.stamp(F.lit(now).cast("timestamp_ntz"))
     merged = keep.drop("batch", "newest_merged").withColumn("batch", F.concat(F.lit("merged-"), stamp))
     key = [key] if isinstance(key, str) else list(key)
-    out = (merged.repartition("product", "date")
+    # range partitioning on (product, date, key): a small partition stays in one task and one
+    # file, a hot one (a day holding a third of all rows) is split by key over several tasks,
+    # each file sorted so row-group statistics still skip on key and time
+    out = (merged.repartitionByRange("product", "date", *key)
            .sortWithinPartitions("product", "date", *key, "posted_at", "ingested_at"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
      .partitionBy("product", "date", "batch").parquet(base))

@@ -1261,8 +1261,8 @@ DEFERRED_DAY = "2024-01-02"
 
 @query
 def stream_defer(spark, sf):
-    """STR03: the first drop lists one day's postings before their files exist (zero-byte
-    placeholders): each product holds back there, cleanly; the second drop brings the files."""
+    """STR03: the first drop lists one day's postings before their files exist (``.listed``
+    markers): each product holds back there, cleanly; the second drop brings the files."""
     z = FX.posting_zips(spark, sf)
     late = F.col("day") == F.lit(DEFERRED_DAY).cast("date")
     first = z.filter(~late).unionByName(FX.placeholders(z.filter(late)))

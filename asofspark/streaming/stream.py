@@ -5,8 +5,8 @@
   backfills (STR01). The checkpoint records which files were seen; postings that were not
   taken (failed, deferred, held behind one) go to a ``pending`` table that is offered again
   with the next micro-batch, so progress never skips a posting (STR02, STR03). A posting seen
-  twice (a redelivered correction of a failed copy, or the file behind a zero-byte listed
-  placeholder) is taken once: a copy with content beats a placeholder, then the newest copy. A replayed
+  twice (a redelivered correction of a failed copy, or the file behind a ``.listed`` marker)
+  is taken once: a copy with content beats a marker, then the newest copy. A replayed
   micro-batch rewrites the same batch directories (dynamic overwrite), so replays are
   idempotent (STR04); a repost is a newer posting and is never dropped as late (STR05): the
   curated path has no event-time watermark.
@@ -28,19 +28,21 @@ from asofspark.plans import ingest as IN
 from asofspark.sources import lake as LK
 
 BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
-_NAME = r"/([a-z0-9]+)/date=[^/]+/posted=(\d{8}T\d{6})-(\d+)\.zip$"
+_NAME = r"/([a-z0-9]+)/date=[^/]+/posted=(\d{8}T\d{6})-(\d+)\.(zip|listed)$"
+# a ``.listed`` marker is a posting the listing names but whose file is not available yet
+LANDING_GLOB = "*.{zip,listed}"
 
 
 def raw_from_paths(df: DataFrame, product_prefix: str = "ev-") -> DataFrame:
     """Landing file rows -> raw postings: product from the folder, local posting stamp and doc
-    id from the file name, the file's modification time as ``received_at``. A zero-byte file
-    is a listed posting that is not yet available: its content is NULL (deferred)."""
+    id from the file name, the file's modification time as ``received_at``. A ``.listed``
+    marker is a listed posting that is not yet available: its content is NULL (deferred)."""
     local = F.to_timestamp_ntz(F.regexp_extract("path", _NAME, 2), F.lit("yyyyMMdd'T'HHmmss"))
     return df.select(F.concat(F.lit(product_prefix), F.regexp_extract("path", _NAME, 1)).alias("product"),
                      T.local_to_utc(local).alias("posted_at"),
                      F.regexp_extract("path", _NAME, 3).cast("bigint").alias("doc_id"),
                      F.col("path").alias("name"),
-                     F.when(F.length("content") > 0, F.col("content")).alias("content"),
+                     F.when(F.regexp_extract("path", _NAME, 4) == "zip", F.col("content")).alias("content"),
                      F.col("modificationTime").alias("received_at"))
 
 
@@ -59,10 +61,10 @@ def stream_ingest(spark: SparkSession, landing: str, decls, root: str, checkpoin
             tmp = f"{root}/state/.pending-{batch_id}"
             prev.write.mode("overwrite").parquet(tmp)
             raw = raw.unionByName(spark.read.parquet(tmp))
-        # a posting offered twice (pending and redelivered, or placeholder and file): one copy
+        # a posting offered twice (pending and redelivered, or marker and file): one copy
         IN.ingest(spark, IN.newest_copy(raw), decls, root, ingested_at=ingested_at, pending_path=pending)
 
-    src = (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA).option("pathGlobFilter", "*.zip")
+    src = (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA).option("pathGlobFilter", LANDING_GLOB)
            .option("recursiveFileLookup", "true").load(landing))
     w = src.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
