@@ -1088,3 +1088,19 @@ WITH {_ingest(extra=chr(10) + "rp AS (SELECT * FROM po UNION ALL SELECT * REPLAC
 SELECT product, interval_start, settlement_point, settlement_point_type, price_mwh, posted_at FROM acc
 QUALIFY row_number() OVER (PARTITION BY product, interval_start, settlement_point, settlement_point_type ORDER BY posted_at DESC) = 1
 """
+
+_LAKE_MONTH = """
+WHERE interval_start >= TIMESTAMP '2024-01-01 06:00:00' AND interval_start < TIMESTAMP '2024-02-01 06:00:00'
+  AND posted_at <= TIMESTAMP '2024-01-20 00:00:00'
+"""
+
+ORACLES["lake_by_range"] = f"""
+WITH {_CURATED}
+SELECT product, interval_start, series, posted_at, value FROM cu {_LAKE_MONTH}
+QUALIFY row_number() OVER (PARTITION BY product, interval_start, series ORDER BY posted_at DESC, ingested_at DESC) = 1
+"""
+
+ORACLES["lake_postings"] = f"""
+WITH {_CURATED}
+SELECT product, interval_start, series, posted_at, ingested_at, value FROM cu {_LAKE_MONTH}
+"""

@@ -8,6 +8,7 @@ each lives in :mod:`asofspark.oracles` under the same name, with the same column
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -919,6 +920,38 @@ def scan_days(spark, sf):
                             as_of="2024-01-09 12:00:00").select("date", "interval_start", "series", "posted_at", "value")
 
 
+import datetime as _datetime  # noqa: E402
+
+from asofspark.plans.read import Lake  # noqa: E402
+
+_UTC = _datetime.UTC
+_DT = _datetime.datetime
+_MONTH = (_DT(2024, 1, 1, 6, tzinfo=_UTC), _DT(2024, 2, 1, 6, tzinfo=_UTC))  # January in Central time
+
+
+def _event_lake_reads(spark, sf, read):
+    root = _written_lake(spark, sf)
+    lake = Lake(spark, root, {f"ev-{t}": "series" for t in FX.EVENT_TYPES})
+    parts = [read(lake, f"ev-{t}").withColumn("product", F.lit(f"ev-{t}")) for t in FX.EVENT_TYPES]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def lake_by_range(spark, sf):
+    """JOB02 through the reader: each product's January (CT) as known on 2024-01-20."""
+    as_of = _DT(2024, 1, 20, tzinfo=_UTC)
+    df = _event_lake_reads(spark, sf, lambda lake, p: lake.by_range(p, *_MONTH, as_of=as_of))
+    return df.select("product", "interval_start", "series", "posted_at", "value")
+
+
+@query
+def lake_postings(spark, sf):
+    """JOB03 through the reader: every version known on 2024-01-20, no dedupe."""
+    as_of = _DT(2024, 1, 20, tzinfo=_UTC)
+    df = _event_lake_reads(spark, sf, lambda lake, p: lake.postings(p, *_MONTH, as_of=as_of))
+    return df.select("product", "interval_start", "series", "posted_at", "ingested_at", "value")
+
+
 @query
 def file_listing(spark, sf):
     root = _written_lake(spark, sf)
