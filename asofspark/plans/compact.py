@@ -74,7 +74,7 @@ def compact(spark: SparkSession, root: str, *, now, key, min_age_minutes: int =
                                          "leftovers bigint, skipped bigint")
     base = f"{root}/curated"
     paths = [f"{base}/product={r.product}/date={r.date}/batch={r.batch}" for r in rows_meta]
-    data = spark.read.option("basePath", base).parquet(*paths)
+    data = spark.read.option("basePath", base).parquet(*paths)  # SET01: every batch's rows, duplicates kept
     meta = spark.createDataFrame(rows_meta, "product string, date date, batch string, newest_merged string")
     eligible = meta
     data = data.join(F.broadcast(meta), on=["product", "date", "batch"], how="inner")  # one row per batch dir

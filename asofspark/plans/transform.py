@@ -71,8 +71,10 @@ def _drift(per: DataFrame, expected, by: str) -> DataFrame:
 
 
 def _with_time(df: DataFrame, decl: Declaration, rep: Column) -> DataFrame:
-    """Add ``__start`` and ``__time_problem``. Each step is its own column (parsed cells, the
-    wall clock, then the zone resolution), so every parse and zone conversion runs once per row."""
+    """Add ``__start`` and ``__time_problem``. FN14: the time style is chosen here, in Python,
+    once per declaration, so rows never branch on it. Each step is its own column (parsed
+    cells, the wall clock, then the zone resolution), so every parse and zone conversion runs
+    once per row."""
     m = decl.interval_minutes
     df = df.withColumn("__rep", rep)
     if decl.time_style == "sced_timestamp":
@@ -138,7 +140,7 @@ def transform(records: DataFrame, decl: Declaration, *, posting: str = "posting"
     ]
     keep_problem = F.col("__keep_problem") if decl.keep_flag else F.lit(None).cast("string")
     common_problem = F.coalesce(keep_problem, rep_problem, time_problem)
-    if decl.table == "spp":
+    if decl.table == "spp":  # PRJ05: trimmed point, trimmed type or NULL, required price
         price, price_problem = P.to_number(_cell("price"))
         point = F.trim(_cell("point"))
         ptype = F.trim(_cell("point_type")) if "point_type" in decl.columns else F.lit(None).cast("string")
@@ -147,7 +149,7 @@ def transform(records: DataFrame, decl: Declaration, *, posting: str = "posting"
                         F.coalesce(common_problem,
                                    F.when(point.isNull() | (point == ""), F.lit("missing settlement point")),
                                    price_problem).alias("problem"))
-    elif decl.table == "mcpc":
+    elif decl.table == "mcpc":  # PRJ06: upper(trim) type in the closed domain, else a problem
         as_type = F.upper(F.trim(_cell("as_type")))
         value, value_problem = P.to_number(_cell("mcpc"))
         out = df.select(*base, as_type.alias("as_type"), value.alias("mcpc_mw"),

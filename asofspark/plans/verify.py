@@ -30,7 +30,7 @@ def verify(lake: DataFrame, key: list[str], *, supported=SUPPORTED_VERSIONS, zon
     """``lake``: curated rows with ``product``, ``date`` and ``batch`` (a read of the curated
     root). ``key``: the business key without ``product``."""
     found = []
-    # AGG02: repeated (key, posted_at) per product, the five most repeated
+    # AGG02 + SRT07: repeated (key, posted_at) per product, the five most repeated
     g = lake.groupBy("product", *key, "posted_at").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     g = CK.first_per_group(g, "product", [F.col("n").desc(), *[F.col(k).asc_nulls_last() for k in key], F.col("posted_at")], 5)
     parts = [(_ts_text(k) if dict(lake.dtypes)[k].startswith("timestamp") else F.coalesce(F.col(k).cast("string"), F.lit("NULL")))

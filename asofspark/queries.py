@@ -461,6 +461,7 @@ from asofspark.operators import checks as CK  # noqa: E402
 from asofspark.operators import progress as PG  # noqa: E402
 from asofspark.operators.sample import sample as sample_rows  # noqa: E402
 from asofspark.plans import monitor as MO  # noqa: E402
+from asofspark.plans import quality as QR  # noqa: E402
 
 NOW = "2024-01-20 12:00:00"
 END = "2024-01-31 00:00:00"
@@ -578,8 +579,7 @@ def coverage_actionable(spark, sf):
 @query
 def posting_hours(spark, sf):
     e = read(spark, sf, "events")
-    return e.groupBy(F.col("event_type").alias("product"), T.delivery_date("ts").alias("posting_date")).agg(
-        F.count_distinct(F.date_trunc("hour", "ts")).alias("n_hours"))
+    return MO.posting_hours(e, at="ts", by="event_type").withColumnRenamed("event_type", "product")
 
 
 # Freshness thresholds in minutes (one configured name has no data at all).
@@ -719,20 +719,9 @@ def closest_to_limit(spark, sf):
 
 @query
 def kpis(spark, sf):
-    cov = _coverage_15min(spark, sf)
     yesterday = F.date_sub(T.delivery_date(F.lit(NOW).cast("timestamp_ntz")), 1)
-    c = cov.filter(F.col("delivery_date") == yesterday).agg(
-        F.sum("expected").alias("e"), F.sum("n_missing").alias("m"), F.first("delivery_date").alias("d"))
-    cov_text = c.filter(F.col("e") > 0).select(F.lit(1).alias("rank"), F.concat(
-        F.lit("coverage "), F.col("d").cast("string"), F.lit(": "),
-        F.format_number(F.bround(100.0 * (F.col("e") - F.col("m")) / F.col("e"), 1), 1), F.lit(" % ("),
-        F.col("m").cast("string"), F.lit(" of "), F.format_number(F.col("e"), 0), F.lit(" missing)")).alias("text"))
     st = MO.run_stats(_metrics(spark, sf), "2024-01-19 12:00:00", NOW)
-    run_text = st.select(F.lit(2).alias("rank"), F.concat(
-        F.lit("ingest runs, 24 h: "), F.format_number(F.col("invocations"), 0), F.lit(", "),
-        F.col("errors").cast("string"), F.lit(" failed ("),
-        F.format_number(F.bround(F.col("error_rate") * 100, 2), 2), F.lit("%)")).alias("text"))
-    return cov_text.unionByName(run_text)
+    return MO.kpis(_coverage_15min(spark, sf), st, yesterday)
 
 
 @query
@@ -813,21 +802,14 @@ def typed_empty(spark, sf):
 
 @query
 def quality_rules(spark, sf):
-    ev = _events_present(spark, sf)
-    grid = ev.agg(F.count(F.lit(1)).alias("n_checked"),
-                  F.count_if((F.minute("interval_start") % 15 != 0) | (F.second("interval_start") != 0)).alias("n_failed")
-                  ).select(F.lit("on_grid").alias("rule"), "n_checked", "n_failed")
+    """JOB17 over events snapped to the 15-minute grid and orders against their line items."""
+    grid = QR.on_grid(_events_present(spark, sf), 15)
     li = read(spark, sf, "lineitem").select("l_orderkey", "l_shipdate", "l_extendedprice")
     o = read(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
-    plaus = j.agg(F.count(F.lit(1)).alias("n_checked"),
-                  F.count_if(F.col("l_shipdate") < F.col("o_orderdate")).alias("n_failed")
-                  ).select(F.lit("delivery_after_posting").alias("rule"), "n_checked", "n_failed")
+    plaus = QR.delivery_after_posting(j, "l_shipdate", "o_orderdate")
     per = j.groupBy("o_orderkey").agg(F.sum("l_extendedprice").alias("s"), F.first("o_totalprice").alias("t"))
-    tol = per.agg(F.count(F.lit(1)).alias("n_checked"),
-                  F.count_if(F.abs(F.col("s") - F.col("t")) > F.greatest(F.lit(1.0), F.abs(F.col("t")) * 1e-4)).alias("n_failed")
-                  ).select(F.lit("total_within_tolerance").alias("rule"), "n_checked", "n_failed")
-    return grid.unionByName(plaus).unionByName(tol)
+    return grid.unionByName(plaus).unionByName(QR.total_within_tolerance(per, "s", "t"))
 
 
 # --- archives, raw landing, curated lake, compaction (SRC01-SRC12, SNK01-SNK02, JOB08) -------
