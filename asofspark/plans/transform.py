@@ -160,18 +160,20 @@ def transform(records: DataFrame, decl: Declaration, *, posting: str = "posting"
     else:
         # every cell is parsed once in a projection (where Spark shares the trimmed text between
         # the value and its problem); the melt then only moves finished values
-        parsed, parts = [], []
+        parsed, names = [], {}
         for i, (canonical, name) in enumerate(decl.series.items()):
             v, vp = P.to_number(_cell(canonical), required=False)
-            parsed += [v.alias(f"__v{i}"), vp.alias(f"__p{i}")]
-            parts.append(F.struct(F.lit(f"{decl.product}:{name}").alias("series"), F.col(f"__v{i}").alias("value"),
-                                  F.col(f"__p{i}").alias("value_problem")))
+            parsed.append(F.struct(v.alias("value"), vp.alias("value_problem")).alias(f"__s{i}"))
+            names[f"__s{i}"] = f"{decl.product}:{name}"
         wide = df.select(*base, common_problem.alias("__common"), *parsed)
-        kept = [n for n in wide.columns if not n.startswith(("__v", "__p"))]
-        melted = wide.select(*kept, F.explode(F.array(*parts)).alias("__m"))
+        kept = [n for n in wide.columns if not n.startswith("__s")]
+        # unpivot plans an Expand (one output row per series, in generated code)
+        melted = wide.unpivot(kept, list(names), "__series", "__m")
+        series = F.col("__series")
+        for col_name, label in names.items():
+            series = F.when(F.col("__series") == col_name, F.lit(label)).otherwise(series)
         out = (melted.filter(F.col("__m.value").isNotNull() | F.col("__m.value_problem").isNotNull())
-               .select(*[c for c in melted.columns if c not in ("__common", "__m")],
-                       F.col("__m.series").alias("series"), F.col("__m.value").alias("value"),
+               .select(*[c for c in kept if c != "__common"], series.alias("series"), F.col("__m.value").alias("value"),
                        F.coalesce(F.col("__common"), F.col("__m.value_problem")).alias("problem")))
     return out
 
