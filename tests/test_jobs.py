@@ -103,3 +103,25 @@ def test_verify_is_quiet_on_a_clean_lake_and_loud_on_damage(spark):
     assert clean.count() == 0
     damaged = Q.verify_findings(spark, SF)
     assert {r.check for r in damaged.select("check").distinct().collect()} == {"keys", "nulls", "versions", "calendar"}
+
+
+def test_stream_stops_at_a_failed_posting_and_resumes_on_redelivery(spark):
+    landing, root, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "lake"), scratch_path(spark, "ckpt")
+    decls = FX.event_declarations()
+    rows = FX.zip_rows(spark, SF)
+    bad_day = F.col("day") == F.lit("2024-01-03").cast("date")
+    # one extra line per type on that day repeats a business key: the posting is refused
+    extra = (rows.filter(bad_day).groupBy("event_type").agg(F.min_by(F.struct(*rows.columns), F.col("event_id")).alias("r"))
+             .select("r.*").withColumn("event_id", F.col("event_id") + 1_000_000_000))
+    AR.export_files(FX.zips_of(rows.unionByName(extra)), f"{landing}/drop0").write.format("noop").mode("overwrite").save()
+    ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=Q._INGESTED).awaitTermination()
+    stop = rows.filter(bad_day).select(F.min(T.local_to_utc("posted_local"))).first()[0]
+    held = spark.read.parquet(f"{root}/curated")
+    assert held.count() > 0
+    assert held.filter(F.col("posted_at") >= F.lit(stop).cast("timestamp_ntz")).count() == 0
+    assert {r.status for r in IN.read_state(spark, root, "watermarks").collect()} == {"error"}
+    # the publisher redelivers that day's postings without the repeated line
+    AR.export_files(FX.zips_of(rows.filter(bad_day)), f"{landing}/drop1").write.format("noop").mode("overwrite").save()
+    ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=Q._INGESTED).awaitTermination()
+    assert spark.read.parquet(f"{root}/curated").count() == Q.ingest_end_to_end(spark, SF).count()
+    assert {r.status for r in IN.read_state(spark, root, "watermarks").collect()} == {"ok"}
