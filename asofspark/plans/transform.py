@@ -31,43 +31,43 @@ def _cell(canonical: str) -> Column:
 def check_columns(records: DataFrame, decl: Declaration | dict, by: str = "posting",
                   product: str = "product") -> DataFrame:
     """PRJ02: per posting, missing and unexpected header columns (sorted, comma-joined), repeated
-    header names, and rows whose cell count differs from the header. ``decl`` may be a mapping
-    product -> declaration: then one aggregate checks the postings of every product."""
+    header names, members that disagree on the header, and rows whose cell count differs from
+    the header. ``decl`` may be a mapping product -> declaration: then one aggregate checks the
+    postings of every product.
+
+    The headers are gathered with ``collect_set`` (a hash aggregate; the set holds one header
+    per posting, at most one per member), so the check never sorts the records."""
+    agg = [F.collect_set("header").alias("__headers"),
+           F.sum(F.when(F.size("cells") != F.size("header"), 1).otherwise(0)).cast("bigint").alias("bad_rows"),
+           F.count(F.lit(1)).alias("n_rows")]
     if isinstance(decl, dict):
         headers = records.sparkSession.createDataFrame(
             [(p, sorted(d.expected_header)) for p, d in decl.items()], f"{product} string, __expected array<string>")
-        records = records.join(F.broadcast(headers), on=product, how="inner")  # one row per product
-        expected = F.first("__expected")
-        per = records.groupBy(by).agg(
-            F.first("header", ignorenulls=True).alias("header"), expected.alias("__expected"),
-            F.sum(F.when(F.size("cells") != F.size("header"), 1).otherwise(0)).cast("bigint").alias("bad_rows"),
-            F.count(F.lit(1)).alias("n_rows"))
-        expected = F.col("__expected")
-        return _drift(per, expected, by)
+        per = records.groupBy(product, by).agg(*agg)
+        per = per.join(F.broadcast(headers), on=product, how="inner").drop(product)  # one row per product
+        return _drift(per, F.col("__expected"), by)
     expected = F.array(*[F.lit(c) for c in sorted(decl.expected_header)])
-    per = records.groupBy(by).agg(
-        F.first("header", ignorenulls=True).alias("header"),
-        F.sum(F.when(F.size("cells") != F.size("header"), 1).otherwise(0)).cast("bigint").alias("bad_rows"),
-        F.count(F.lit(1)).alias("n_rows"),
-    )
-    return _drift(per, expected, by)
+    return _drift(records.groupBy(by).agg(*agg), expected, by)
 
 
 def _drift(per: DataFrame, expected, by: str) -> DataFrame:
+    header = F.when(F.size("__headers") == 1, F.col("__headers")[0])
+    per = per.withColumn("header", header)
     missing = F.array_join(F.array_sort(F.array_except(expected, F.col("header"))), ",")
     unexpected = F.array_join(F.array_sort(F.array_except(F.col("header"), expected)), ",")
     repeated = F.size(F.col("header")) != F.size(F.array_distinct(F.col("header")))
     out = per.select(by, "n_rows", "bad_rows", missing.alias("missing"), unexpected.alias("unexpected"),
-                     repeated.alias("repeated_header"))
+                     repeated.alias("repeated_header"), (F.size("__headers") > 1).alias("__disagree"))
     problem = (
-        F.when((F.col("missing") != "") | (F.col("unexpected") != ""),
-               F.concat(F.lit("column drift: missing ["), F.col("missing"), F.lit("] unexpected ["),
-                        F.col("unexpected"), F.lit("]")))
+        F.when(F.col("__disagree"), F.lit("column drift: members disagree on the header"))
+        .when((F.col("missing") != "") | (F.col("unexpected") != ""),
+              F.concat(F.lit("column drift: missing ["), F.col("missing"), F.lit("] unexpected ["),
+                       F.col("unexpected"), F.lit("]")))
         .when(F.col("repeated_header"), F.lit("column drift: repeated header name"))
         .when(F.col("bad_rows") > 0, F.concat(F.lit("cell count differs from header on "),
-                                               F.col("bad_rows").cast("string"), F.lit(" rows")))
+                                              F.col("bad_rows").cast("string"), F.lit(" rows")))
     )
-    return out.withColumn("problem", problem)
+    return out.withColumn("problem", problem).drop("__disagree")
 
 
 def _with_time(df: DataFrame, decl: Declaration, rep: Column) -> DataFrame:
