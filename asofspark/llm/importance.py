@@ -9,8 +9,13 @@ Features are words and punctuation runs of the lower-cased text and their bigram
 ``buckets`` buckets. A word right after itself is written as a repeat mark, so that runs of any
 word meet in the same buckets.
 
-``k`` is, unless given, the number of texts whose log-weight is not negative: those that the
-target explains at least as well as the raw text does.
+``k`` is, unless given, the number of texts whose log-weight is not negative, those that the
+target explains at least as well as the raw text does; and at least ``share`` of all rows, the
+share of good rows among the labelled ones. The second bound carries small label sets, under
+which an uncertain model finds most texts a little less likely than the raw model does.
+
+The target model is smoothed towards the raw one by ``PRIOR`` imagined features a bucket, so a
+bucket that few target texts have met says little.
 
 The raw model counts every text. The target model is fitted on at most ``max_targets`` labelled
 rows, the ones with the smallest hashed id: the only bounded sample here, and what makes the id
@@ -39,6 +44,7 @@ from asofspark.llm.common import text_of, unpacked, written
 
 BUCKETS = 1 << 14
 MAX_TARGETS = 20_000
+PRIOR = 16
 SEED = 7
 _TOKEN = re.compile(rb"[0-9a-z\x80-\xff]+|[^\s0-9a-z\x80-\xff]+")
 _MIX_A, _MIX_B, _MIX_C = (np.uint64(x) for x in (
@@ -64,9 +70,14 @@ def target_ids(labels: DataFrame, good, max_targets: int = MAX_TARGETS, id_col:
     return ids.orderBy(F.xxhash64("target_id"), "target_id").limit(max_targets)
 
 
+def good_share(labels: DataFrame, good) -> float:
+    """Share of the labelled rows that satisfy ``good``; 0 without labels."""
+    return labels.agg(F.avg(F.coalesce(good, F.lit(False)).cast("double"))).first()[0] or 0.0
+
+
 def log_ratios(spark: SparkSession, docs: DataFrame, targets: DataFrame, *, buckets: int = BUCKETS,
                id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
-    """Per bucket log p(target) - log p(raw), add-one smoothed. One pass over all texts."""
+    """Per bucket log p(target) - log p(raw). One pass over all texts."""
     slim = docs.select(docs[id_col].cast("long").alias("id"), text_of(docs, text_col).alias("text"))
     flagged = slim.join(F.broadcast(targets), F.col("id") == F.col("target_id"), "left").select(
         "text", F.col("target_id").isNotNull().alias("hit"))
@@ -87,7 +98,8 @@ def log_ratios(spark: SparkSession, docs: DataFrame, targets: DataFrame, *, buck
     raw, hits = np.zeros(buckets), np.zeros(buckets)
     for r in sums.collect():  # at most one row per bucket
         raw[r.bucket], hits[r.bucket] = r.raw, r.hits
-    return (np.log((hits + 1) / (hits.sum() + buckets)) - np.log((raw + 1) / (raw.sum() + buckets)))
+    usual, prior = (raw + 1) / (raw.sum() + buckets), float(PRIOR * buckets)
+    return np.log((hits + prior * usual) / (hits.sum() + prior)) - np.log(usual)
 
 
 def gumbel(doc_id: int | None, seed: int) -> float:
@@ -136,14 +148,14 @@ def kth_largest(ranks: DataFrame, k: int) -> int:
     return prefix
 
 
-def _threshold(ranks: DataFrame, k: int | None) -> int | None:
+def _threshold(ranks: DataFrame, k: int | None, share: float) -> int | None:
     """The least rank drawn; None when nothing is."""
     total, natural = ranks.agg(F.count("*"), F.count_if(F.col("log_weight") >= 0)).first()
-    k = natural if k is None else min(k, total)
+    k = max(natural, round(share * total)) if k is None else min(k, total)
     return kth_largest(ranks, k) if k > 0 else None
 
 
-def resample(spark: SparkSession, docs: DataFrame, targets: DataFrame, *, k: int | None = None,
+def resample(spark: SparkSession, docs: DataFrame, targets: DataFrame, *, k: int | None = None, share: float = 0.0,
              buckets: int = BUCKETS, seed: int = SEED, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """Every row's id, log_weight, gumbel_key and whether it is drawn (``kept``)."""
@@ -151,18 +163,18 @@ def resample(spark: SparkSession, docs: DataFrame, targets: DataFrame, *, k: int
     keys = weigh(docs, ratios, [id_col], seed=seed, id_col=id_col, text_col=text_col)
     keys = written(spark, keys.select(F.col("row").getField(id_col).cast("long").alias("id"),
                                       "log_weight", "gumbel_key", "rank"), "keys")
-    least = _threshold(keys, k)
+    least = _threshold(keys, k, share)
     kept = F.lit(False) if least is None else F.col("rank") >= F.lit(least)
     return keys.select("id", "log_weight", "gumbel_key", kept.alias("kept"))
 
 
-def draw(spark: SparkSession, docs: DataFrame, targets: DataFrame, *, k: int | None = None,
+def draw(spark: SparkSession, docs: DataFrame, targets: DataFrame, *, k: int | None = None, share: float = 0.0,
          buckets: int = BUCKETS, seed: int = SEED, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are drawn. Weights are computed again rather than moving texts."""
     ratios = log_ratios(spark, docs, targets, buckets=buckets, id_col=id_col, text_col=text_col)
     keys = weigh(docs, ratios, [id_col], seed=seed, id_col=id_col, text_col=text_col)
-    least = _threshold(written(spark, keys.select("log_weight", "rank"), "keys"), k)
+    least = _threshold(written(spark, keys.select("log_weight", "rank"), "keys"), k, share)
     if least is None:
         return docs.limit(0)
     drawn = weigh(docs, ratios, docs.columns, seed=seed, id_col=id_col, text_col=text_col)

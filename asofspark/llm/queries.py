@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofspark.llm import importance, linededup, mixing, packing, simhash
-from asofspark.llm.tokens import word_bpe_path
+from asofspark.llm import exactdedup, iblt, importance, licenses, linededup, mixing, packing, simhash, toolcalls, wavelet
+from asofspark.llm.tokens import byte_bpe_path, word_bpe_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,11 +30,119 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_quality_classifier(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    targets = importance.target_ids(labels, F.col("quality") == 1)
-    out = importance.resample(spark, documents(spark, sf_dir), targets)
+    good = F.col("quality") == 1
+    out = importance.resample(spark, documents(spark, sf_dir), importance.target_ids(labels, good),
+                              share=importance.good_share(labels, good))
     return out.withColumnRenamed("id", "doc_id")
 
 
+@query
+def op2_license_scan(spark, sf_dir):
+    return licenses.license_report(spark, documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+def _quoted(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+def _license_oracle() -> str:
+    """Brute force: every line against every notice, every place against every phrase."""
+    phrases = " UNION ALL ".join(
+        f"SELECT {_quoted(p.split())} AS parts, '{label}' AS label" for p, label in licenses.PHRASES.items())
+    notices = " UNION ALL ".join(
+        f"SELECT {_quoted(sorted({w.decode() for w in licenses.words_of(t)}))} AS parts, '{label}' AS label"
+        for label, t in licenses.NOTICES)
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    return f"""
+    WITH phrase AS ({phrases}), notice AS ({notices}),
+    d AS (SELECT doc_id, {lower} AS t, regexp_extract_all(t, {word}) AS w FROM documents),
+    places AS (SELECT doc_id, label, unnest(list_filter(range(len(w)), lambda i: w[i+1] = parts[1]
+                      AND w[i+1:i+len(parts)] = parts)) AS pos
+               FROM d, phrase),
+    base AS (SELECT doc_id, count(*) AS n, min(pos) AS lo, max(pos) AS hi, list(DISTINCT label) AS labels
+             FROM places GROUP BY doc_id),
+    block AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS no
+              FROM d),
+    met AS (SELECT doc_id, no, label, len(list_intersect(list_distinct(regexp_extract_all(line, {word})), parts))
+                   / len(parts) AS c FROM block, notice),
+    best AS (SELECT doc_id, max(c) AS c, list(DISTINCT label) AS labels, count(DISTINCT no) AS n
+             FROM met WHERE c >= {licenses.THRESHOLD} - 1e-9 GROUP BY doc_id)
+    SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n_base, lo::BIGINT AS first_word,
+           hi::BIGINT AS last_word, coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+           coalesce(array_to_string(list_sort(list_distinct(coalesce(base.labels, []) || coalesce(best.labels, []))), ','), '')
+             AS labels,
+           coalesce(best.c, 0.0) AS score, coalesce(best.n, 0)::BIGINT AS n_blocks
+    FROM d LEFT JOIN base USING (doc_id) LEFT JOIN best USING (doc_id)"""
+
+
+ORACLES["op2_license_scan"] = _license_oracle()
+
+
+@query
+def op3_fingerprints(spark, sf_dir):
+    out = iblt.fingerprints(spark, documents(spark, sf_dir))
+    return out.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                      "near_edited", "near_next", F.size("gone").cast("long").alias("n_gone"),
+                      F.size("come").cast("long").alias("n_come"))
+
+
+#: Tools of the derived calls: field -> (type, required).
+TOOLS = {
+    "calculate": {"expression": ("string", True), "precision": ("integer", False)},
+    "search": {"limit": ("integer", False), "query": ("string", True)},
+    "translate": {"text": ("string", True), "to": ("string", True)},
+}
+
+
+def derived_calls(conversations: DataFrame) -> DataFrame:
+    """Calls from user turns: the turn's words as arguments, needs of earlier turns, and faults
+    (a wrong type, a missing field, an unknown field or tool, cut JSON, a lost need, a cycle).
+    """
+    conv, turn = F.col("conv_id"), F.col("turn")
+    said = F.translate(F.substring(F.coalesce("text", F.lit("")), 1, 24), '\n"\\', "   ")
+    quoted = F.concat(F.lit('"'), said, F.lit('"'))
+    tool = F.when(conv % 23 == 2, "unknown").otherwise(F.element_at(
+        F.array(*map(F.lit, sorted(TOOLS))), ((conv + turn) % 3 + 1).cast("int")))
+    number = F.when(conv % 11 == 5, F.concat(F.lit('"'), turn.cast("string"), F.lit('"'))).otherwise(turn.cast("string"))
+    main = F.when(tool == "calculate", "expression").when(tool == "translate", "text").otherwise("query")
+    other = F.when(tool == "calculate", F.concat(F.lit('"precision": '), number)).when(
+        tool == "translate", F.lit('"to": "en"')).otherwise(F.concat(F.lit('"limit": '), number))
+    args = F.concat(F.lit("{"), F.when(conv % 13 == 7, F.lit('"z": 1')).otherwise(F.concat(F.lit('"'), main, F.lit('": '), quoted)),
+                    F.lit(", "), other, F.when(conv % 17 == 3, "").otherwise("}"))
+    call = lambda t: F.concat_ws("_", F.lit("call"), conv.cast("string"), t.cast("string"))
+    needs = F.array_compact(F.array(
+        F.when(turn >= 2, call(turn - 2)), F.when((turn >= 4) & (conv % 2 == 0), call(turn - 4)),
+        F.when(conv % 29 == 4, call(F.lit(999))), F.when((conv % 31 == 6) & (turn < 2), call(turn + 2))))
+    return conversations.where("role = 'user'").select(
+        "conv_id", turn.alias("pos"), call(turn).alias("call_id"), tool.alias("name"), args.alias("arguments"),
+        needs.alias("needs"))
+
+
+def derived_results(conversations: DataFrame) -> DataFrame:
+    """Results from assistant turns: each answers the turn before it."""
+    return conversations.where("role = 'assistant'").select(
+        "conv_id", F.col("turn").alias("pos"),
+        F.concat_ws("_", F.lit("call"), F.col("conv_id").cast("string"), (F.col("turn") - 1).cast("string")).alias("call_id"),
+        F.col("text").alias("content"))
+
+
+@query
+def op4_tool_calls(spark, sf_dir):
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    out = toolcalls.link_tool_calls(spark, derived_calls(conversations), derived_results(conversations), TOOLS)
+    return out.select("conv_id", "call_id", F.col("pos").cast("long").alias("pos"), "name",
+                      F.col("level").cast("long").alias("level"), "status", F.array_join("problems", "; ").alias("problems"),
+                      F.length("result").cast("long").alias("result_chars"), F.sha2(F.col("message").cast("binary"), 256).alias("message_sha256"))
+
+
+@query
+def op5_wavelet_shards(spark, sf_dir):
+    folder = wavelet.shard_folder(spark)
+    wavelet.write_shards(spark, documents(spark, sf_dir), folder, byte_bpe_path(), end_id=0)
+    return wavelet.digests(spark, folder).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op6_line_dedup(spark, sf_dir):
     out = linededup.report(spark, documents(spark, sf_dir))
@@ -43,6 +151,32 @@ def op6_line_dedup(spark, sf_dir):
                       F.sha2(F.col("clean").cast("binary"), 256).alias("clean_sha256"))
 
 
+ORACLES["op6_line_dedup"] = r"""
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS no FROM d),
+w AS (SELECT doc_id, no, list_filter(regexp_split_to_array(
+        translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+      FROM l),
+u AS (SELECT ws, len(ws) AS n, min({'doc_id': doc_id, 'no': no}) AS first FROM w WHERE len(ws) >= 3 GROUP BY ws),
+-- every deletion variant of every distinct line, in the clear
+v AS (SELECT ws, first, i, list_filter(ws, lambda x, k: k <> i) AS rest
+      FROM (SELECT ws, first, unnest(range(1, n + 1)) AS i FROM u WHERE n >= 8)),
+sub AS (SELECT rest, i, min(first) AS least FROM v GROUP BY rest, i),
+del AS (SELECT rest, min(first) AS least FROM v GROUP BY rest),
+near AS (
+  SELECT v.ws FROM v JOIN sub USING (rest, i) WHERE sub.least < v.first
+  UNION SELECT v.ws FROM v JOIN u ON u.ws = v.rest AND u.n >= 8 WHERE u.first < v.first
+  UNION SELECT u.ws FROM u JOIN del ON del.rest = u.ws WHERE u.n >= 8 AND del.least < u.first),
+g AS (SELECT w.doc_id, w.no FROM w JOIN u USING (ws)
+      WHERE {'doc_id': w.doc_id, 'no': w.no} > u.first OR w.ws IN (SELECT ws FROM near)),
+gone AS (SELECT doc_id, list_sort(list(no)) AS nos FROM g GROUP BY doc_id)
+SELECT d.doc_id, len(ls)::BIGINT AS n_lines, coalesce(array_to_string(nos, ','), '') AS gone_lines,
+       sha256(CASE WHEN nos IS NULL THEN text ELSE coalesce(array_to_string(
+         list_filter(ls, lambda x, k: NOT list_contains(nos, k - 1)), chr(10)), '') END) AS clean_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+"""
+
+
 @query
 def op7_packing(spark, sf_dir):
     pieces = packing.pack(spark, documents(spark, sf_dir), word_bpe_path(), end_id=1)
@@ -51,6 +185,19 @@ def op7_packing(spark, sf_dir):
                          F.col("offset").cast("long").alias("offset"))
 
 
+@query
+def op8_exact_dedup(spark, sf_dir):
+    out = exactdedup.exact_dedup(documents(spark, sf_dir), carry={"text_sha256": exactdedup.full_hash(F.col("text"))})
+    return out.withColumnRenamed("id", "doc_id")
+
+
+ORACLES["op8_exact_dedup"] = r"""
+WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
+g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*)::BIGINT AS group_size FROM d GROUP BY text_sha256)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)
+"""
+
+
 @query
 def op9_mixing(spark, sf_dir):
     out = mixing.mixed(spark, documents(spark, sf_dir))
