@@ -22,7 +22,8 @@ def _recounted(docs: DataFrame) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that importance resampling draws; the target is labelled good text."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return importance.draw(spark, docs, importance.target_ids(labels, F.col("quality") == 1))
+    good = F.col("quality") == 1
+    return importance.draw(spark, docs, importance.target_ids(labels, good), share=importance.good_share(labels, good))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
