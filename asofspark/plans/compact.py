@@ -1,24 +1,33 @@
-"""Compaction that never changes an answer (JOB08, JN05, WIN03, AGG12, SRT03).
+"""Compaction that never changes an answer and never loses a column (JOB08, JN05, WIN03, AGG12, SRT03).
 
 Per (product, delivery date) partition with at least two eligible batches (name
 ``(part|merged)-<stamp>``, files at least ``min_age`` old), all rows are rewritten as one
 ``merged-<now>`` batch sorted by key, posted and ingested time, then the source batches are
 deleted. Duplicates are kept (the dedupe happens at read time). A merged batch left by an
 interrupted run is recognised: source batches whose rows it already holds in full (multiset
-containment, NULL-safe) are leftovers and are deleted, not merged twice. Partitions that are
-off the contract (NULL in a required column) are skipped.
+containment, NULL-safe) are leftovers and are deleted, not merged twice.
 
-One Spark job covers every eligible partition: the listing is a distributed ``binaryFile``
-metadata scan, the rewrite is one range shuffle on (product, date, key), and the driver only deletes the
-source directories after the write succeeded (write before delete).
+Every batch's own file schema is read from its footers on executors. A partition is off the
+contract, and is skipped and reported with its sources untouched, when a batch differs from the
+product's declared schema (without a declaration: when its batches differ from one another) or
+has a NULL in a required column. What is rewritten is read with the schema that its files have.
+
+The listing is a distributed ``binaryFile`` metadata scan kept as a table; there is one range
+shuffle per product on (product, date, key); rows are compared with a merged batch only in
+partitions that have one; sources are deleted by executors after the write succeeded.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from asofspark.functions import time as T
+from asofspark.session import scratch_path
 from asofspark.sources import lake as L
 
 REQUIRED = ("interval_start", "interval_minutes", "posted_at", "ingested_at", "source", "schema_version")
@@ -42,8 +51,9 @@ def held_batches(df: DataFrame, *, batch: str, merged: str, by=()) -> DataFrame:
 
 
 def plan(spark: SparkSession, root: str, *, now, min_age_minutes: int = 60, products=None,
-         limit_partitions: int | None = None) -> DataFrame:
-    """Eligible batches per partition: (product, date, batch, kind, newest_merged)."""
+         limit_partitions: int | None = None, with_path: bool = False) -> DataFrame:
+    """Eligible batches per partition: (product, date, batch, kind, newest_merged), with
+    ``with_path`` one row per file and its ``path``."""
     files = L.list_files(spark, f"{root}/curated").select("*", *L.path_parts("path"))
     files = files.filter(F.col("kind") != "")
     if products:
@@ -59,62 +69,127 @@ def plan(spark: SparkSession, root: str, *, now, min_age_minutes: int = 60, prod
     parts = parts.filter(F.col("n_batches") >= 2)
     if limit_partitions:
         parts = parts.orderBy("date", "product").limit(limit_partitions)  # oldest first
-    return batches.join(parts, on=["product", "date"], how="inner")
+    batches = batches.join(parts, on=["product", "date"], how="inner")
+    if with_path:
+        return batches.join(files.select("product", "date", "batch", "path"), on=["product", "date", "batch"])
+    return batches
+
+
+def schema_text(schema: ST.StructType) -> str:
+    """A schema as DDL with its columns in name order, so that equal contracts are equal texts."""
+    return ddl(sorted(schema, key=lambda f: f.name))
+
+
+def ddl(fields) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+
+
+def file_schemas(files: DataFrame) -> DataFrame:
+    """``files(path, ...)`` with each file's own ``columns`` (:func:`schema_text`) and, in
+    file order, its ``ddl``, both from its footer."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.parquet as pq
+        from pyspark.sql.pandas.types import from_arrow_schema
+
+        for pdf in batches:
+            found = []
+            for path in pdf["path"]:
+                store, name = L.store_of(path)
+                found.append(from_arrow_schema(pq.read_schema(name, filesystem=store), True))
+            yield pdf.assign(columns=[schema_text(x) for x in found], ddl=[ddl(x) for x in found])
+
+    text = ST.StringType()
+    return files.mapInPandas(read, ST.StructType([*files.schema, ST.StructField("columns", text), ST.StructField("ddl", text)]))
+
+
+def off_contract(schemas: DataFrame, contract: Mapping[str, ST.StructType | str] | None) -> DataFrame:
+    """(product, date, reason) of the partitions whose files differ from the declared columns, or,
+    for products without a declaration, from one another."""
+    declared = F.lit(None).cast("string")
+    for product, schema in (contract or {}).items():
+        schema = schemas.sparkSession.createDataFrame([], schema).schema if isinstance(schema, str) else schema
+        declared = F.when(F.col("product") == product, F.lit(schema_text(schema))).otherwise(declared)
+    per = schemas.withColumn("declared", declared).groupBy("product", "date", "declared").agg(
+        F.min("columns").alias("least"), F.max("columns").alias("most"))
+    other = (F.col("least") != F.col("declared")) | (F.col("most") != F.col("declared"))
+    reason = (F.when(other, F.lit("columns differ from the declared ones"))
+              .when(F.col("least") != F.col("most"), F.lit("batches differ in their columns")))
+    return per.select("product", "date", reason.alias("reason")).filter("reason is not null")
+
+
+_SUMMARY = "product string, partitions bigint, batches_in bigint, rows bigint, leftovers bigint, skipped bigint"
+
+
+def _kept_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def compact(spark: SparkSession, root: str, *, now, key, min_age_minutes: int = 60, products=None,
-            limit_partitions: int | None = None) -> DataFrame:
-    """JOB08: merge eligible partitions; returns the AGG12 summary per product."""
-    eligible = plan(spark, root, now=now, min_age_minutes=min_age_minutes, products=products,
-                    limit_partitions=limit_partitions)
-    # one row per batch directory, fixed now: re-listing after the write would see the new batch
-    rows_meta = eligible.select("product", "date", "batch", "newest_merged").collect()
-    if not rows_meta:
-        return spark.createDataFrame([], "product string, partitions bigint, batches_in bigint, rows bigint, "
-                                         "leftovers bigint, skipped bigint")
+            limit_partitions: int | None = None, contract: Mapping[str, ST.StructType | str] | None = None) -> DataFrame:
+    """JOB08: merge eligible partitions; returns the AGG12 summary per product. ``contract``
+    declares products' file columns (without product, date and batch)."""
     base = f"{root}/curated"
-    paths = [f"{base}/product={r.product}/date={r.date}/batch={r.batch}" for r in rows_meta]
-    data = spark.read.option("basePath", base).parquet(*paths)  # SET01: every batch's rows, duplicates kept
-    meta = spark.createDataFrame(rows_meta, "product string, date date, batch string, newest_merged string")
-    eligible = meta
-    data = data.join(F.broadcast(meta), on=["product", "date", "batch"], how="inner")  # one row per batch dir
-    # off-contract partitions (NULL in a required column) are skipped
-    required = [c for c in REQUIRED if c in data.columns]
-    bad = data.filter(F.greatest(*[F.col(c).isNull() for c in required], F.lit(False))).select("product", "date").distinct()
-    data = data.join(bad, on=["product", "date"], how="left_anti")
-    value_cols = [c for c in data.columns if c not in ("product", "date", "batch", "newest_merged")]
-    held = held_batches(data.select("product", "date", "batch", "newest_merged", *value_cols),
-                        batch="batch", merged="newest_merged", by=["product", "date"])
-    leftovers = held.filter("held").select("product", "date", "batch")
-    keep = data.join(leftovers, on=["product", "date", "batch"], how="left_anti")
-    stamp = T.stamp(F.lit(now).cast("timestamp_ntz"))
-    merged = keep.drop("batch", "newest_merged").withColumn("batch", F.concat(F.lit("merged-"), stamp))
     key = [key] if isinstance(key, str) else list(key)
-    # range partitioning on (product, date, key): a small partition stays in one task and one
-    # file, a hot one (a day holding a third of all rows) is split by key over several tasks,
-    # each file sorted so row-group statistics still skip on key and time
-    out = (merged.repartitionByRange("product", "date", *key)
-           .sortWithinPartitions("product", "date", *key, "posted_at", "ingested_at"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
-     .partitionBy("product", "date", "batch").parquet(base))
-    # the summary is computed before any source is deleted (its lineage reads them)
-    done = keep.select("product", "date").distinct().withColumn("__done", F.lit(True))
-    summary_src = eligible.join(done, on=["product", "date"], how="left")
-    counts = keep.groupBy("product").agg(F.count(F.lit(1)).alias("rows"))
-    per = summary_src.groupBy("product").agg(
-        F.count_distinct(F.when(F.col("__done"), F.col("date"))).alias("partitions"),
-        F.count(F.when(F.col("__done"), F.lit(1))).alias("batches_in"),
-        F.count_distinct(F.when(F.col("__done").isNull(), F.col("date"))).alias("skipped"))
-    lc = leftovers.groupBy("product").agg(F.count(F.lit(1)).alias("leftovers"))
-    summary = (per.join(counts, "product", "left").join(lc, "product", "left")
-               .select("product", "partitions", "batches_in", F.coalesce("rows", F.lit(0)).alias("rows"),
-                       F.coalesce("leftovers", F.lit(0)).alias("leftovers"), "skipped"))
-    summary = spark.createDataFrame(summary.collect(), summary.schema)  # one row per product
+    batch_id = ["product", "date", "batch"]
+    # the listing is fixed now: re-listing after the write would see the new batch
+    files = plan(spark, root, now=now, min_age_minutes=min_age_minutes, products=products,
+                 limit_partitions=limit_partitions, with_path=True)
+    schemas = _kept_table(spark, file_schemas(files.select(*batch_id, "newest_merged", "path")), "compact-files")
+    odd = off_contract(schemas, contract)
+    batches = schemas.groupBy(*batch_id, "newest_merged").agg(F.min("columns").alias("columns"), F.min("ddl").alias("ddl"))
+    usable = batches.join(odd, on=["product", "date"], how="left_anti")
+    stamp = T.stamp(F.lit(now).cast("timestamp_ntz"))
     new_batch = "merged-" + spark.range(1).select(stamp.alias("s")).first()["s"]
-    dirs = summary_src.select("product", "date", "batch", "__done").collect()  # one row per batch dir
-    to_delete = [f"{base}/product={r['product']}/date={r['date']}/batch={r['batch']}" for r in dirs
-                 if r["__done"] and r["batch"] != new_batch]
-    left = leftovers.select("product", "date", "batch").collect()
-    to_delete += [f"{base}/product={r['product']}/date={r['date']}/batch={r['batch']}" for r in left]
-    L.delete_dirs(spark, sorted(set(to_delete)), base)
+
+    decisions, done = [], set()
+    for r in usable.groupBy("product", "columns").agg(F.min("ddl").alias("ddl")).collect():  # one row per product and schema
+        mine = usable.filter((F.col("product") == r.product) & (F.col("columns") == r["columns"])).drop("columns", "ddl")
+        data = (spark.read.schema(f"{r.ddl}, product string, date date, batch string").option("basePath", base)
+                .parquet(f"{base}/product={r.product}").join(mine, on=batch_id, how="inner"))  # SET01: duplicates kept
+        required = [c for c in REQUIRED if c in data.columns]
+        null = F.greatest(*[F.col(c).isNull() for c in required], F.lit(False))
+        bad = data.filter(null).select("product", "date").distinct()
+        data = data.join(bad, on=["product", "date"], how="left_anti")
+        # only partitions that have a merged batch can hold leftovers
+        held = held_batches(data.filter(F.col("newest_merged").isNotNull()), batch="batch", merged="newest_merged",
+                            by=["product", "date"])
+        left = held.filter("held").select(*batch_id, F.lit("leftover").alias("fate"))
+        fate = (mine.select(*batch_id).join(left, on=batch_id, how="left")
+                .join(bad.withColumn("null", F.lit(True)), on=["product", "date"], how="left")
+                .select(*batch_id, F.coalesce("fate", F.when(F.col("null"), F.lit("skipped")), F.lit("merged")).alias("fate")))
+        fate = _kept_table(spark, fate, "compact-fate")
+        # a small partition stays in one task and one file; a hot one (a day holding a third of all
+        # rows) is split by key over several tasks, each file sorted so that row-group
+        # statistics still skip on key and time
+        keep = data.join(fate.filter("fate = 'merged'").select(*batch_id), on=batch_id, how="left_semi")
+        out = (keep.drop("batch", "newest_merged").withColumn("batch", F.lit(new_batch))
+               .repartitionByRange("product", "date", *key)
+               .sortWithinPartitions("product", "date", *key, "posted_at", "ingested_at"))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+         .partitionBy(*batch_id).parquet(base))
+        decisions.append(fate)
+        done.add(r.product)
+
+    skipped = batches.join(odd, on=["product", "date"], how="left_semi").select(*batch_id, F.lit("skipped").alias("fate"))
+    fates = skipped
+    for d in decisions:
+        fates = fates.unionByName(d)
+    gone = fates.filter((F.col("fate") != "skipped") & (F.col("batch") != new_batch)).select(
+        F.concat(F.lit(f"{base}/product="), "product", F.lit("/date="), F.col("date").cast("string"), F.lit("/batch="), "batch").alias("dir"))
+    rows = spark.createDataFrame([], "product string, rows bigint")
+    for product in sorted(done):
+        n = spark.read.option("basePath", base).parquet(f"{base}/product={product}").filter(F.col("batch") == new_batch)
+        rows = rows.unionByName(n.groupBy("product").agg(F.count(F.lit(1)).alias("rows")))
+    per = fates.groupBy("product").agg(
+        F.count_distinct(F.when(F.col("fate") == "merged", F.col("date"))).alias("partitions"),
+        F.count_if(F.col("fate") == "merged").alias("batches_in"),
+        F.count_if(F.col("fate") == "leftover").alias("leftovers"),
+        F.count_distinct(F.when(F.col("fate") == "skipped", F.col("date"))).alias("skipped"))
+    summary = per.join(rows, "product", "left").select(
+        "product", "partitions", "batches_in", F.coalesce("rows", F.lit(0)).alias("rows"), "leftovers", "skipped")
+    summary = spark.createDataFrame(summary.collect(), _SUMMARY)  # one row per product
+    L.delete_dirs(gone, base)
     return summary
