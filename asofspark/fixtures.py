@@ -136,6 +136,11 @@ EVENTS_DECL_COLUMNS = {"run_stamp": "LocalStamp", "repeated_flag": "RepeatedHour
                        "point_type": "EventType", "price": "Value", "event_id": "EventId", "ts": "Timestamp"}
 
 
+def event_product(folder):
+    """The product whose postings land in ``folder``."""
+    return F.concat(F.lit("ev-"), folder)
+
+
 def event_declarations(types=EVENT_TYPES) -> dict:
     """One declared 5-minute price product per event type: user = point, type = point type."""
     from asofspark.plans.declare import Declaration

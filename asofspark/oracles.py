@@ -884,7 +884,7 @@ stop AS (SELECT product, min((posted_at, doc_id)) AS s, min(posted_at) AS stoppe
 taken AS (SELECT st.product, st.doc_id, st.posted_at FROM st LEFT JOIN stop ON st.product = stop.product
           WHERE NOT st.failed AND (stop.s IS NULL OR (st.posted_at, st.doc_id) < stop.s)),
 acc AS (SELECT r.*, CAST({_local('r.interval_start')} AS DATE) AS date,
-               'part-' || strftime(r.posted_at, '%Y%m%dT%H%M%SZ') AS batch
+               'part-' || strftime(r.posted_at, '%Y%m%dT%H%M%SZ') || '-' || r.doc_id AS batch
         FROM r JOIN taken t ON r.product = t.product AND r.doc_id = t.doc_id)
 """
 
@@ -903,7 +903,8 @@ WITH {_INGEST},
 a AS (SELECT product, count(DISTINCT doc_id) AS docs, count(*) AS rows, count(DISTINCT date) AS partitions,
              max(posted_at) AS last_posted_at FROM acc GROUP BY product),
 f AS (SELECT product, count(*) FILTER (WHERE failed) AS failed FROM st GROUP BY product)
-SELECT f.product, a.docs, a.rows, a.partitions, a.last_posted_at, f.failed, stop.stopped_at
+SELECT f.product, coalesce(a.docs, 0) AS docs, coalesce(a.rows, 0) AS rows, coalesce(a.partitions, 0) AS partitions,
+       a.last_posted_at, f.failed, stop.stopped_at
 FROM f LEFT JOIN a ON f.product = a.product LEFT JOIN stop ON f.product = stop.product
 """
 

@@ -9,8 +9,9 @@ backfill -> summary (AGG08).
 
 Every posting of every product is processed in parallel; the sequential guarantee of a
 posting-by-posting loop is recovered by the WIN05 cut. Products are isolated: one product's
-failure only stops that product. The records are persisted once (they feed the status
-aggregate and the write), and released at the end.
+failure only stops that product: an archive that cannot be read, a header without its columns
+and a product that is not declared are problems of their posting. The records are persisted
+once (they feed the status aggregate and the write), and released in any case.
 """
 
 from __future__ import annotations
@@ -33,7 +34,9 @@ STATUS_SCHEMA = "product string, posting string, posted_at timestamp_ntz, doc_id
 
 
 def _posting_key() -> F.Column:
-    return F.concat_ws("|", F.col("product"), F.col("doc_id").cast("string"), T.stamp("posted_at"))
+    """A posting's name: product, document (its file name where it has no id) and stamp; never NULL."""
+    doc = F.coalesce(F.col("doc_id").cast("string"), F.col("name"), F.lit("-"))
+    return F.concat_ws("|", F.coalesce(F.col("product"), F.lit("?")), doc, F.coalesce(T.stamp("posted_at"), F.lit("?")))
 
 
 def resolve_windows(raw: DataFrame, watermarks: DataFrame | None, now, lookback_hours: int = 24,
@@ -72,29 +75,34 @@ def transform_postings(raw: DataFrame, decls: dict[str, Declaration], *, ingeste
     deferred = keyed.filter(F.col("content").isNull()).select(
         "product", "posting", "posted_at", "doc_id", F.lit("deferred").alias("status"),
         F.lit("not yet available").alias("problem"))
-    rec = AR.csv_records(avail.select(F.col("posting").alias("path"), "content"))
+    rec = AR.unpack(avail.select(F.col("posting").alias("path"), "content"))
     rec = rec.withColumnRenamed("path", "posting")
     meta = avail.select("posting", "product", "posted_at", "doc_id")
     rec = rec.join(meta, on="posting", how="inner").withColumn("ingested_at", F.lit(ingested_at).cast("timestamp_ntz"))
     # unpacked once: every product's transform, drift check and key check read these records
     rec = rec.persist(StorageLevel.MEMORY_AND_DISK)
+    lines = rec.filter(F.col("cells").isNotNull())
+    broken = rec.groupBy("posting").agg(F.min("problem").alias("broken")).filter(F.col("broken").isNotNull())
     # per product only the declared expressions differ; the checks run once over all products
     rows_all = []
     for product, decl in decls.items():
-        r = rec.filter(F.col("product") == product)
+        r = lines.filter(F.col("product") == product).drop("problem")
         rows = TR.transform(r, decl, carry=["product", "doc_id"])
         key_text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in decl.key])
         rows_all.append(rows.withColumn("__key", key_text))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows_all)
-    drift = TR.check_columns(rec.filter(F.col("product").isin(list(decls))), decls)
+    # headers count even where no data line follows them
+    drift = TR.check_columns(rec.filter(F.col("header").isNotNull() & F.col("product").isin(list(decls))), decls)
     dup = CK.repeated_keys(rows, key=["__key"], by="posting").select(
         "posting", F.concat(F.lit("business key repeated in posting: "), F.col("n_repeated_keys").cast("string"),
                             F.lit(" keys, e.g. "), F.col("example")).alias("dup_problem"))
     st = TR.posting_status(rows, drift).join(dup, on="posting", how="left")
-    st = st.select("posting", F.coalesce(F.col("problem"), F.col("dup_problem")).alias("problem"))
-    status = meta.join(st, on="posting", how="left").select(
+    st = st.select("posting", F.coalesce(F.col("problem"), F.col("dup_problem")).alias("found"))
+    undeclared = F.when(~F.coalesce(F.col("product").isin(list(decls)), F.lit(False)), F.lit("product is not declared"))
+    problem = F.coalesce(undeclared, F.col("broken"), F.col("found"))
+    status = meta.join(st, on="posting", how="left").join(broken, on="posting", how="left").select(
         "product", "posting", "posted_at", "doc_id",
-        F.when(F.col("problem").isNull(), F.lit("ok")).otherwise(F.lit("failed")).alias("status"), "problem")
+        F.when(problem.isNull(), F.lit("ok")).otherwise(F.lit("failed")).alias("status"), problem.alias("problem"))
     status = status.unionByName(deferred)
     rows = rows.drop("__key")
     return rows, status, rec
@@ -102,77 +110,94 @@ def transform_postings(raw: DataFrame, decls: dict[str, Declaration], *, ingeste
 
 def ingest(spark: SparkSession, raw: DataFrame, decls: dict[str, Declaration], root: str, *,
            ingested_at, run_at=None, update_progress: bool = True, delivery_range=None,
-           land: bool = True, pending_path: str | None = None) -> DataFrame:
+           land: bool = True, pending: tuple[str, int] | None = None, window: dict | None = None) -> DataFrame:
     """JOB06 (JOB07 with ``update_progress=False``): returns the per-product run summary.
 
     ``land=True`` writes the postings to ``raw/`` first; pass ``land=False`` when ``raw`` is
-    itself read from that landing (a re-landing would replace the files being read).
+    itself read from that landing (a re-landing would replace the files being read). ``window``
+    (arguments of :func:`resolve_windows`) limits the postings by the products' watermarks.
 
-    With ``pending_path`` the postings that were not taken (failed, deferred, or held back
-    behind one) are written there, so an incremental caller can offer them again (STR02)."""
+    With ``pending=(path, version)`` the names of the postings that were not taken (failed,
+    deferred, or held back behind one) are written there as that version, after the curated
+    rows: an incremental caller offers them again (STR02), and a crash before that point leaves
+    the version before, from which a replay gives the same rows."""
     run_at = run_at or ingested_at
+    if window is not None:
+        raw = resolve_windows(raw, read_state(spark, root, "watermarks"), **window)
     if land:
         LK.land_raw(raw.filter(F.col("content").isNotNull()), root)
-    rows, status, records = transform_postings(raw, decls, ingested_at=ingested_at)
-    status = status.persist(StorageLevel.MEMORY_AND_DISK)
-    progress = PG.safe_progress(status.withColumn("bad", F.col("status") != "ok"), doc="doc_id")
-    stop = progress.select("product", F.col("stopped_at"))
-    stops = (status.filter(F.col("status") != "ok").groupBy("product")
-             .agg(F.min(F.struct("posted_at", "doc_id")).alias("__stop")))
-    taken = (status.filter(F.col("status") == "ok").join(F.broadcast(stops), on="product", how="left")
-             .filter(F.col("__stop").isNull() | (F.struct("posted_at", "doc_id") < F.col("__stop")))
-             .select("posting"))
-    accepted = rows.join(taken, on="posting", how="left_semi").drop("problem")
-    if pending_path is not None:
-        left = raw.withColumn("posting", _posting_key()).join(taken, on="posting", how="left_anti").drop("posting")
-        left.write.mode("overwrite").parquet(pending_path)
-    out = LK.with_batch(accepted)
-    if delivery_range is not None:
-        out = out.filter(F.col("date").between(F.lit(delivery_range[0]).cast("date"), F.lit(delivery_range[1]).cast("date")))
-    out = out.persist(StorageLevel.MEMORY_AND_DISK)  # written, then summarised
-    keep = [c for c in out.columns if c not in ("posting", "doc_id")]
-    LK.write_curated(out.select(*keep), root)
-    summary = (PG.run_summary(out, doc="posting", posted="posted_at")
-               .join(status.groupBy("product").agg(
-                   F.count_if(F.col("status") == "failed").alias("failed"),
-                   F.count_if(F.col("status") == "deferred").alias("deferred"),
-                   F.min(F.when(F.col("status") == "failed", F.col("problem"))).alias("error")), on="product", how="full")
-               .join(stop, on="product", how="left"))
-    summary = spark.createDataFrame(summary.collect(), summary.schema)  # one row per product
-    if update_progress:
-        run = summary.select(
-            "product", F.col("last_posted_at"), F.lit(run_at).cast("timestamp_ntz").alias("run_at"),
-            F.when(F.coalesce(F.col("failed"), F.lit(0)) > 0, F.lit("error")).otherwise(F.lit("ok")).alias("status"),
-            "error")
-        prev = read_state(spark, root, "watermarks")
-        if prev is None:
-            prev = spark.createDataFrame([], "product string, last_posted_at timestamp_ntz, last_run_at timestamp_ntz, "
-                                             "status string, error string")
-        merged = PG.merge_watermarks(prev, run)
-        write_state(spark, merged, root, "watermarks")
-    status.unpersist()
-    out.unpersist()
-    records.unpersist()
-    return summary
+    held = []
+    try:
+        rows, status, records = transform_postings(raw, decls, ingested_at=ingested_at)
+        held.append(records)
+        status = status.persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(status)
+        progress = PG.safe_progress(status.withColumn("bad", F.col("status") != "ok"), doc="doc_id")
+        stops = (status.filter(F.col("status") != "ok").groupBy("product")
+                 .agg(F.min(F.struct("posted_at", "doc_id")).alias("__stop")))
+        taken = (status.filter(F.col("status") == "ok").withColumnRenamed("product", "p")
+                 .join(F.broadcast(stops), on=F.col("p").eqNullSafe(F.col("product")), how="left")  # one row per product
+                 .filter(F.col("__stop").isNull() | (F.struct("posted_at", "doc_id") < F.col("__stop")))
+                 .select("posting"))
+        accepted = rows.join(taken, on="posting", how="left_semi").drop("problem")
+        out = LK.with_batch(accepted, doc="doc_id")
+        if delivery_range is not None:
+            out = out.filter(F.col("date").between(F.lit(delivery_range[0]).cast("date"), F.lit(delivery_range[1]).cast("date")))
+        out = out.persist(StorageLevel.MEMORY_AND_DISK)  # written, then summarised
+        held.append(out)
+        keep = [c for c in out.columns if c not in ("posting", "doc_id")]
+        LK.write_curated(out.select(*keep), root)
+        if pending is not None:
+            left = raw.withColumn("posting", _posting_key()).join(taken, on="posting", how="left_anti")
+            path, version = pending
+            LK.write_version(spark, left.drop("posting", "content"), path, version)
+        summary = (PG.run_summary(out, doc="posting", posted="posted_at").drop("docs", "last_posted_at")
+                   .join(status.groupBy("product").agg(
+                       F.count_if(F.col("status") == "failed").alias("failed"),
+                       F.count_if(F.col("status") == "deferred").alias("deferred"),
+                       F.min(F.when(F.col("status") == "failed", F.col("problem"))).alias("error")), on="product", how="full")
+                   # documents and watermark are those of the postings taken, with or without rows
+                   .join(progress.select("product", F.col("taken").alias("docs"), F.col("watermark").alias("last_posted_at"),
+                                         "stopped_at"), on="product", how="left"))
+        summary = summary.withColumn("rows", F.coalesce("rows", F.lit(0))).withColumn("partitions", F.coalesce("partitions", F.lit(0)))
+        summary = spark.createDataFrame(summary.collect(), summary.schema)  # one row per product
+        if update_progress:
+            _advance(spark, root, summary, run_at)
+        return summary
+    finally:
+        for df in held:
+            df.unpersist()
+
+
+def _advance(spark: SparkSession, root: str, summary: DataFrame, run_at) -> None:
+    """SNK05 + SNK03: watermarks and manifests after a run."""
+    at = F.lit(run_at).cast("timestamp_ntz")
+    run = summary.select(
+        "product", F.col("last_posted_at"), at.alias("run_at"),
+        F.when(F.coalesce(F.col("failed"), F.lit(0)) > 0, F.lit("error")).otherwise(F.lit("ok")).alias("status"), "error")
+    prev = read_state(spark, root, "watermarks")
+    if prev is None:
+        prev = spark.createDataFrame([], "product string, last_posted_at timestamp_ntz, last_run_at timestamp_ntz, "
+                                         "status string, error string")
+    write_state(spark, PG.merge_watermarks(prev, run), root, "watermarks")
+    now = summary.select("product", at.alias("run_at"), "docs", "rows", "last_posted_at", "latest_interval_start", "partitions")
+    before = read_state(spark, root, "manifests")
+    if before is None:
+        before = spark.createDataFrame([], "product string, last_posted_at timestamp_ntz, latest_interval_start timestamp_ntz, "
+                                           "partitions bigint")
+    manifests = PG.carry_manifest(before, now)
+    if "run_at" in before.columns:  # products this run did not meet keep their manifest
+        manifests = manifests.unionByName(before.join(now.select("product"), on="product", how="left_anti"))
+    write_state(spark, manifests, root, "manifests")
 
 
 def read_state(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    path = f"{root}/state/{name}"
-    if not LK.existing(spark, [path]):
-        return None
-    return spark.read.parquet(path)
+    return LK.read_version(spark, f"{root}/state/{name}")
 
 
 def write_state(spark: SparkSession, df: DataFrame, root: str, name: str) -> None:
-    """Small state tables (one row per product) are replaced through a new directory, never
-    overwritten in place while being read."""
-    import uuid
-
-    tmp = f"{root}/state/.{name}-{uuid.uuid4().hex[:8]}"
-    df.write.mode("overwrite").parquet(tmp)
-    fresh = spark.read.parquet(tmp)
-    fresh = spark.createDataFrame(fresh.collect(), fresh.schema)  # one row per product
-    fresh.write.mode("overwrite").parquet(f"{root}/state/{name}")
+    """Small state tables (one row per product) get a new version beside the one being read."""
+    LK.write_version(spark, df, f"{root}/state/{name}")
 
 
 def rebuild(spark: SparkSession, root: str, decls: dict[str, Declaration], target: str, *, ingested_at) -> DataFrame:

@@ -39,7 +39,7 @@ def check_columns(records: DataFrame, decl: Declaration | dict, by: str = "posti
     per posting, at most one per member), so the check never sorts the records."""
     agg = [F.collect_set("header").alias("__headers"),
            F.sum(F.when(F.size("cells") != F.size("header"), 1).otherwise(0)).cast("bigint").alias("bad_rows"),
-           F.count(F.lit(1)).alias("n_rows")]
+           F.count("cells").alias("n_rows")]
     if isinstance(decl, dict):
         headers = records.sparkSession.createDataFrame(
             [(p, sorted(d.expected_header)) for p, d in decl.items()], f"{product} string, __expected array<string>")
@@ -107,7 +107,8 @@ def transform(records: DataFrame, decl: Declaration, *, posting: str = "posting"
     """JOB05: records -> curated rows of ``decl.table`` plus a ``problem`` column.
 
     PRJ03 (keep flag) and PRJ04 (point prefixes) run before any time parsing, so rows they drop
-    cannot fail the posting. Series tables are melted (PRJ07) with blank cells producing no row.
+    cannot fail the posting. Series tables are melted (PRJ07) with blank cells producing no row
+    unless the row itself has a problem.
     """
     # every declared cell is looked up once (its header position found once per row); later
     # expressions read these short columns, keeping each generated method small enough to be
@@ -172,7 +173,9 @@ def transform(records: DataFrame, decl: Declaration, *, posting: str = "posting"
         series = F.col("__series")
         for col_name, label in names.items():
             series = F.when(F.col("__series") == col_name, F.lit(label)).otherwise(series)
-        out = (melted.filter(F.col("__m.value").isNotNull() | F.col("__m.value_problem").isNotNull())
+        # a row with a problem of its own keeps one row, its first series, even if all cells are blank
+        first = F.col("__common").isNotNull() & (F.col("__series") == "__s0")
+        out = (melted.filter(F.col("__m.value").isNotNull() | F.col("__m.value_problem").isNotNull() | first)
                .select(*[c for c in kept if c != "__common"], series.alias("series"), F.col("__m.value").alias("value"),
                        F.coalesce(F.col("__common"), F.col("__m.value_problem")).alias("problem")))
     return out

@@ -1044,9 +1044,9 @@ def stream_ingest(spark, sf):
     landing, root, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "lake"), scratch_path(spark, "ckpt")
     decls = FX.event_declarations()
     _drop_zips(spark, sf, landing, before="2024-01-15")
-    ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=_INGESTED).awaitTermination()
+    ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=_INGESTED, product=FX.event_product).awaitTermination()
     _drop_zips(spark, sf, landing, after="2024-01-15")  # the second drop resumes from the checkpoint
-    ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=_INGESTED).awaitTermination()
+    ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=_INGESTED, product=FX.event_product).awaitTermination()
     return spark.read.parquet(f"{root}/curated").select(*_CURATED_COLS)
 
 
@@ -1062,7 +1062,7 @@ def stream_latest(spark, sf):
     out, ckpt = scratch_path(spark, "latest"), scratch_path(spark, "ckpt")
     ST.run_to_table(ST.stream_latest(s, key=list(KEY), posted="posted_at", values=["event_id", "value"]),
                     out, ckpt, "complete")
-    return spark.read.parquet(out)
+    return ST.read_table(spark, out, "complete")
 
 
 @query
@@ -1070,7 +1070,7 @@ def stream_hourly_counts(spark, sf):
     s = _event_stream(spark, sf).select("ts", "event_type")
     out, ckpt = scratch_path(spark, "hours"), scratch_path(spark, "ckpt")
     ST.run_to_table(ST.stream_posting_hours(s, at="ts", by="event_type", lateness="1 hour"), out, ckpt, "append")
-    return spark.read.parquet(out)
+    return ST.read_table(spark, out, "append")
 
 
 from asofspark.plans import verify as VF  # noqa: E402
@@ -1247,7 +1247,8 @@ def stream_replay(spark, sf):
     decls = FX.event_declarations()
     _drop_zips(spark, sf, landing)
     for _ in range(2):
-        ST.stream_ingest(spark, landing, decls, root, scratch_path(spark, "ckpt"), ingested_at=_INGESTED).awaitTermination()
+        ST.stream_ingest(spark, landing, decls, root, scratch_path(spark, "ckpt"), ingested_at=_INGESTED,
+                         product=FX.event_product).awaitTermination()
     return spark.read.parquet(f"{root}/curated").select(*_CURATED_COLS)
 
 
@@ -1258,7 +1259,7 @@ def _stream_drops(spark, drops) -> str:
     decls = FX.event_declarations()
     for i, z in enumerate(drops):
         AR.export_files(z, f"{landing}/drop{i}").write.format("noop").mode("overwrite").save()
-        ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=_INGESTED).awaitTermination()
+        ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=_INGESTED, product=FX.event_product).awaitTermination()
     return root
 
 

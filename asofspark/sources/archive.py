@@ -2,8 +2,8 @@
 
 A posting is one immutable zip holding CSV members; a bundle is a zip of posting zips. Both are
 read as binary rows (``binaryFile`` on files, or landed raw rows) and unpacked on executors by
-``mapInPandas``: each task opens its own archives with the standard library and yields one
-Arrow batch per CSV member, so memory is bounded by a member, not by an archive. Header cells
+``mapInPandas``: each task opens its own archives with the standard library and yields lines in
+batches of 50,000, so memory is bounded by a member, not by an archive. Header cells
 are trimmed, all-blank lines dropped, cells kept verbatim, a UTF-8 BOM stripped; other member
 types are ignored.
 """
@@ -13,6 +13,7 @@ from __future__ import annotations
 import csv
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,67 +24,87 @@ from asofspark.functions import time as T
 
 RECORD_SCHEMA = (
     "path string, doc string, doc_index int, member string, member_index int, line_no int, "
-    "header array<string>, cells array<string>"
+    "header array<string>, cells array<string>, problem string"
 )
+_COLUMNS = [f.split(" ")[0] for f in RECORD_SCHEMA.split(", ")]
+# what a damaged archive, member or text raises
+_BROKEN = (zipfile.BadZipFile, zlib.error, EOFError, UnicodeDecodeError, csv.Error, NotImplementedError, RuntimeError)
 
 _FLUSH_ROWS = 50_000
 
 
 def _csv_rows(data: bytes):
+    """The header as line 0 without cells, then every line that is not blank."""
     text = data.decode("utf-8-sig")
-    rows = csv.reader(io.StringIO(text))
     header = None
-    for line_no, row in enumerate(rows):
+    for line_no, row in enumerate(csv.reader(io.StringIO(text))):
         if header is None:
             header = [h.strip() for h in row]
-            continue
-        if not any(c.strip() for c in row):
-            continue
-        yield line_no, header, row
+            yield line_no, header, None
+        elif any(c.strip() for c in row):
+            yield line_no, header, row
 
 
 def _members(z: zipfile.ZipFile, doc: str | None, doc_index: int | None):
+    """CSV members at any depth; ``doc`` is the outermost zip inside the archive."""
     index = 0
     for info in z.infolist():
         name = info.filename
         lower = name.lower()
-        if lower.endswith(".zip") and doc is None:
+        if lower.endswith(".zip"):
             with zipfile.ZipFile(io.BytesIO(z.read(info))) as inner:
-                yield from _members(inner, name, index)
+                yield from _members(inner, name if doc is None else doc, index if doc is None else doc_index)
             index += 1
         elif lower.endswith(".csv"):
             yield doc, doc_index, name, index, z.read(info)
             index += 1
 
 
+def _records(path: str, content: bytes):
+    """The rows of one archive. What cannot be read ends in a row with a ``problem``; nothing is raised."""
+    found = False
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as z:
+            for doc, doc_index, member, member_index, data in _members(z, None, None):
+                found = True
+                lines = False
+                for line_no, header, cells in _csv_rows(data):
+                    lines = True
+                    yield path, doc, doc_index, member, member_index, line_no, header, cells, None
+                if not lines:
+                    yield path, doc, doc_index, member, member_index, None, None, None, "CSV member without a header"
+    except _BROKEN as e:
+        yield path, None, None, None, None, None, None, None, f"unreadable archive: {type(e).__name__}"
+        return
+    if not found:
+        yield path, None, None, None, None, None, None, None, "archive without a CSV member"
+
+
 def _unzip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    out: dict[str, list] = {k: [] for k in ("path", "doc", "doc_index", "member", "member_index",
-                                             "line_no", "header", "cells")}
+    rows: list[tuple] = []
     for pdf in batches:
         for path, content in zip(pdf["path"], pdf["content"], strict=True):
-            with zipfile.ZipFile(io.BytesIO(bytes(content))) as z:
-                for doc, doc_index, member, member_index, data in _members(z, None, None):
-                    for line_no, header, cells in _csv_rows(data):
-                        out["path"].append(path)
-                        out["doc"].append(doc)
-                        out["doc_index"].append(doc_index)
-                        out["member"].append(member)
-                        out["member_index"].append(member_index)
-                        out["line_no"].append(line_no)
-                        out["header"].append(header)
-                        out["cells"].append(cells)
-                    if len(out["path"]) >= _FLUSH_ROWS:
-                        yield pd.DataFrame(out)
-                        out = {k: [] for k in out}
-    if out["path"]:
-        yield pd.DataFrame(out)
+            for row in _records(path, bytes(content)):
+                rows.append(row)
+                if len(rows) >= _FLUSH_ROWS:
+                    yield pd.DataFrame(rows, columns=_COLUMNS)
+                    rows = []
+    if rows:
+        yield pd.DataFrame(rows, columns=_COLUMNS)
+
+
+def unpack(raw: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
+    """SRC01 + SRC02 + SRC05: binary archives -> one row per CSV line. Per member also a row for its
+    header (``cells`` NULL), so that members without data lines are seen; per archive that
+    cannot be read, in whole or in part, a row with a ``problem``: one damaged archive never
+    fails the run. ``doc`` is the posting zip's name inside a bundle (NULL for a plain posting)."""
+    return raw.select(F.col(path).alias("path"), F.col(content).alias("content")).mapInPandas(
+        _unzip_batches, RECORD_SCHEMA)
 
 
 def csv_records(raw: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
-    """SRC01 + SRC02 + SRC05: binary archives -> one row per CSV data line with its member's
-    header. ``doc`` is the posting zip's name inside a bundle (NULL for a plain posting)."""
-    return raw.select(F.col(path).alias("path"), F.col(content).alias("content")).mapInPandas(
-        _unzip_batches, RECORD_SCHEMA)
+    """The data lines of :func:`unpack`."""
+    return unpack(raw, path, content).filter(F.col("cells").isNotNull()).drop("problem")
 
 
 def read_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:

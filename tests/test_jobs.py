@@ -82,7 +82,7 @@ def test_stream_holds_back_behind_a_deferred_posting_then_resumes(spark):
     late = F.col("day") == F.lit(Q.DEFERRED_DAY).cast("date")
     first = z.filter(~late).unionByName(FX.placeholders(z.filter(late)))
     AR.export_files(first, f"{landing}/drop0").write.format("noop").mode("overwrite").save()
-    ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=Q._INGESTED).awaitTermination()
+    ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=Q._INGESTED, product=FX.event_product).awaitTermination()
     held = spark.read.parquet(f"{root}/curated")
     stop = z.filter(late).select(F.min(T.local_to_utc("posted_local"))).first()[0]
     # nothing at or after the deferred postings was taken; deferral is not an error
@@ -91,7 +91,7 @@ def test_stream_holds_back_behind_a_deferred_posting_then_resumes(spark):
     assert {r.status for r in IN.read_state(spark, root, "watermarks").collect()} == {"ok"}
     assert IN.read_state(spark, root, "pending").count() > 0
     AR.export_files(z.filter(late), f"{landing}/drop1").write.format("noop").mode("overwrite").save()
-    ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=Q._INGESTED).awaitTermination()
+    ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=Q._INGESTED, product=FX.event_product).awaitTermination()
     after = spark.read.parquet(f"{root}/curated")
     assert after.count() == Q.ingest_end_to_end(spark, SF).count()
 
@@ -114,7 +114,7 @@ def test_stream_stops_at_a_failed_posting_and_resumes_on_redelivery(spark):
     extra = (rows.filter(bad_day).groupBy("event_type").agg(F.min_by(F.struct(*rows.columns), F.col("event_id")).alias("r"))
              .select("r.*").withColumn("event_id", F.col("event_id") + 1_000_000_000))
     AR.export_files(FX.zips_of(rows.unionByName(extra)), f"{landing}/drop0").write.format("noop").mode("overwrite").save()
-    ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=Q._INGESTED).awaitTermination()
+    ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=Q._INGESTED, product=FX.event_product).awaitTermination()
     stop = rows.filter(bad_day).select(F.min(T.local_to_utc("posted_local"))).first()[0]
     held = spark.read.parquet(f"{root}/curated")
     assert held.count() > 0
@@ -122,6 +122,6 @@ def test_stream_stops_at_a_failed_posting_and_resumes_on_redelivery(spark):
     assert {r.status for r in IN.read_state(spark, root, "watermarks").collect()} == {"error"}
     # the publisher redelivers that day's postings without the repeated line
     AR.export_files(FX.zips_of(rows.filter(bad_day)), f"{landing}/drop1").write.format("noop").mode("overwrite").save()
-    ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=Q._INGESTED).awaitTermination()
+    ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=Q._INGESTED, product=FX.event_product).awaitTermination()
     assert spark.read.parquet(f"{root}/curated").count() == Q.ingest_end_to_end(spark, SF).count()
     assert {r.status for r in IN.read_state(spark, root, "watermarks").collect()} == {"ok"}
