@@ -55,8 +55,17 @@ def to_whole(cell) -> tuple[Column, Column]:
 
 
 def iso_timestamp(text) -> Column:
-    """FN23: ISO text (``T`` or space, optional fraction) -> NTZ, invalid -> NULL."""
+    """FN23: ISO text (``T`` or space, optional fraction, optional offset or ``Z``) -> the UTC wall
+    clock (NTZ) of the instant; a text without an offset is taken as UTC, invalid -> NULL."""
     t = F.trim(_c(text))
+    zone = F.regexp_extract(t, r"([+-]\d{2}:?\d{2})$", 1)
+    sign = F.when(zone.startswith("-"), -1).otherwise(1)
+    minutes = F.substring(zone, 2, 2).try_cast("int") * 60 + F.regexp_extract(zone, r"(\d{2})$", 1).try_cast("int")
+    ahead = F.coalesce(sign * minutes, F.lit(0))
+    t = F.regexp_replace(t, r"(Z|[+-]\d{2}:?\d{2})$", "")
+    t = F.regexp_replace(t, r"(\.\d{6})\d+$", "$1")
+    t = F.when(t.contains("."), F.rpad(t, 26, "0")).otherwise(t)
     fmts = ("yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS",
             "yyyy-MM-dd HH:mm:ss")
-    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)).cast("timestamp_ntz") for f in fmts])
+    wall = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)).cast("timestamp_ntz") for f in fmts])
+    return F.timestamp_add("MINUTE", -ahead, wall)

@@ -90,8 +90,8 @@ def local_problem(local, repeated=None, tz: str = CT) -> Column:
     )
     return (
         F.when(_c(local).isNull(), F.lit("missing local time"))
-        .when(~exists_local(local, tz), F.concat(text, F.lit(" does not exist (spring-forward gap)")))
-        .when(rep & ~is_repeated(local, tz), F.concat(text, F.lit(" is flagged as repeated but is not ambiguous")))
+        .when(~exists_local(local, tz), F.concat(text, F.lit(" falls into the hour that the clocks skip")))
+        .when(rep & ~is_repeated(local, tz), F.concat(text, F.lit(" carries the repeat flag outside a repeated hour")))
     )
 
 
@@ -172,11 +172,13 @@ def run_stamp_start_local(local, minutes: int, repeated=None, tz: str = CT):
 
 
 def parse_post_local(text) -> Column:
-    """Listing ``postDatetime`` -> local NTZ, with or without milliseconds (FN07)."""
-    t = _c(text)
-    frac, whole = POST_LOCAL_FORMATS
-    return F.when(t.contains("."), F.try_to_timestamp(t, F.lit(frac))).otherwise(
-        F.try_to_timestamp(t, F.lit(whole))).cast("timestamp_ntz")
+    """Listing ``postDatetime`` -> local NTZ, with no fraction or one to six digits of it (FN07)."""
+    t = F.trim(_c(text))
+    _, whole = POST_LOCAL_FORMATS
+    digits = F.regexp_extract(t, r"\.(\d{1,6})$", 1)
+    start = F.try_to_timestamp(F.regexp_replace(t, r"\.\d{1,6}$", ""), F.lit(whole)).cast("timestamp_ntz")
+    micros = F.rpad(F.when(digits != "", digits).otherwise("0"), 6, "0").cast("long")
+    return F.timestamp_add("MICROSECOND", micros, start)
 
 
 def parse_delivery_date(text) -> Column:
@@ -266,8 +268,8 @@ def resolve_local(df, local: str, repeated=None, *, out: str, problem: str, tz:
     twice = F.col("__b2") == F.col("__li")
     text = F.date_format(loc, "yyyy-MM-dd HH:mm")
     prob = (F.when(loc.isNull(), F.lit("missing local time"))
-            .when(~exists, F.concat(text, F.lit(" does not exist (spring-forward gap)")))
-            .when(rep & ~twice, F.concat(text, F.lit(" is flagged as repeated but is not ambiguous"))))
+            .when(~exists, F.concat(text, F.lit(" falls into the hour that the clocks skip")))
+            .when(rep & ~twice, F.concat(text, F.lit(" carries the repeat flag outside a repeated hour"))))
     out_utc = instant_to_ntz(F.when(rep & twice, F.col("__u1") + hour).otherwise(F.col("__u1")))
     return (df.withColumn(out, out_utc).withColumn(problem, prob).drop("__li", "__u1", "__b1", "__b2"))
 

@@ -112,8 +112,8 @@ def _to_utc(l: str, flag: str) -> str:
 def _problem(l: str, flag: str) -> str:
     txt = f"strftime({l}, '%Y-%m-%d %H:%M')"
     return (f"(CASE WHEN ({l}) IS NULL THEN 'missing local time' "
-            f"WHEN NOT {_exists(l)} THEN {txt} || ' does not exist (spring-forward gap)' "
-            f"WHEN ({flag}) AND NOT {_repeated(l)} THEN {txt} || ' is flagged as repeated but is not ambiguous' END)")
+            f"WHEN NOT {_exists(l)} THEN {txt} || ' falls into the hour that the clocks skip' "
+            f"WHEN ({flag}) AND NOT {_repeated(l)} THEN {txt} || ' carries the repeat flag outside a repeated hour' END)")
 
 
 SHIFTED = "(SELECT event_id, ts + INTERVAL 304 DAY AS utc FROM events)"
@@ -341,7 +341,7 @@ FROM s
 ORACLES["spp_from_lineitem"] = f"""
 WITH {_LI_SPP}
 SELECT posting, interval_start, settlement_point, settlement_point_type, price_mwh, dst_flag, problem
-FROM t WHERE posting % 2 = 0
+FROM t
 """
 
 ORACLES["mcpc_domain"] = f"""
@@ -703,11 +703,11 @@ k AS (SELECT sum(expected) AS e, sum(len(coalesce(missing, []))) AS m, first(del
       FROM c WHERE delivery_date = (SELECT CAST(d AS DATE) FROM y)),
 g AS (SELECT CAST(coalesce(sum(invocations), 0) AS BIGINT) AS inv, CAST(coalesce(sum(errors), 0) AS BIGINT) AS err
       FROM m WHERE "at" > TIMESTAMP '2024-01-19 12:00:00' AND "at" <= {_NOW})
-SELECT 1 AS rank, 'coverage ' || CAST(d AS VARCHAR) || ': ' || format('{{:,.1f}}', round_even(100.0 * (e - m) / e, 1))
+SELECT 1 AS rank, 'covered on ' || CAST(d AS VARCHAR) || ': ' || format('{{:,.1f}}', round_even(100.0 * (e - m) / e, 1))
        || ' % (' || CAST(m AS VARCHAR) || ' of ' || format('{{:,}}', e) || ' missing)' AS text
 FROM k WHERE e > 0
 UNION ALL
-SELECT 2, 'ingest runs, 24 h: ' || format('{{:,}}', inv) || ', ' || CAST(err AS VARCHAR) || ' failed ('
+SELECT 2, 'runs within a day: ' || format('{{:,}}', inv) || ', ' || CAST(err AS VARCHAR) || ' failed ('
        || format('{{:,.2f}}', round_even(CASE WHEN inv = 0 THEN 0.0 ELSE err / inv END * 100, 2)) || '%)'
 FROM g
 """
@@ -952,6 +952,8 @@ SELECT product, 'keys' AS "check",
        strftime(interval_start, '%Y-%m-%d %H:%M:%S') || '|' || series || ' posted ' ||
        strftime(posted_at, '%Y-%m-%d %H:%M:%S') || ' x' || CAST(n AS VARCHAR) AS detail FROM k5
 UNION ALL
+SELECT product, 'keys', CAST(count(*) AS VARCHAR) || ' repeated keys in all' FROM k GROUP BY product HAVING count(*) > 5
+UNION ALL
 SELECT product, 'nulls', 'date=' || CAST(date AS VARCHAR) || ' batch=' || batch || ': source has '
        || CAST(count(*) AS VARCHAR) || ' NULL'
 FROM lake WHERE source IS NULL GROUP BY product, date, batch
@@ -1040,17 +1042,17 @@ hist AS (SELECT 'ingest-' || CAST(user_id % 40 AS VARCHAR) AS alarm, ts AS at_,
                 CASE WHEN event_id % 2 = 0 THEN 'ALARM' ELSE 'OK' END AS state
          FROM events WHERE event_type = 'error' AND ts <= {_NOW}),
 alarming AS (SELECT alarm FROM hist QUALIFY row_number() OVER (PARTITION BY alarm ORDER BY at_ DESC) = 1 AND state = 'ALARM'),
-sec AS (SELECT event_id, user_id, props FROM events WHERE event_type = 'signup' AND event_id < 600)
-SELECT 1 AS rank, alarm || ' is in ALARM right now' AS text FROM alarming
+sec AS (SELECT event_id, user_id, props FROM events WHERE event_type = 'signup')
+SELECT 1 AS rank, alarm || ': alarm active' AS text FROM alarming
 UNION ALL
 SELECT 2, product || ' ' || CAST(delivery_date AS VARCHAR) || ': ' || CAST(len(actionable) AS VARCHAR) || ' '
           || CASE WHEN cadence = 'hourly' THEN 'postings' ELSE 'intervals' END || ' missing ('
-          || {_missing_text('actionable', 4)} || '); backfill that window'
+          || {_missing_text('actionable', 4)} || ')'
 FROM a WHERE len(actionable) > 0
 UNION ALL
-SELECT 3, CASE WHEN event_id % 7 = 0 THEN 'report section ''sec' || CAST(user_id AS VARCHAR)
-                                          || ''' is unreadable: ''problems'' is not a list of strings'
-               WHEN event_id % 11 = 0 THEN 'report section ''?'' is unreadable: not JSON'
+SELECT 3, CASE WHEN event_id % 7 = 0 THEN 'section sec' || CAST(user_id AS VARCHAR)
+                                          || ' cannot be read: ''problems'' is not a list of strings'
+               WHEN event_id % 11 = 0 THEN 'section ? cannot be read: not JSON'
                ELSE 'sec' || CAST(user_id AS VARCHAR) || ': k=' || json_extract_string(props, '$.k') END
 FROM sec
 """

@@ -70,36 +70,116 @@ def _drift(per: DataFrame, expected, by: str) -> DataFrame:
     return out.withColumn("problem", problem).drop("__disagree")
 
 
+def reads(*cells: str):
+    """Marks a builder with the canonical cells that it reads: a declaration must name them all."""
+
+    def mark(fn):
+        fn.reads = cells
+        return fn
+
+    return mark
+
+
+# Time styles: (rows, interval minutes) -> rows with ``__local`` (the wall clock of the interval's
+# start) and the problem of reading it. Each step is its own column, so every parse runs once a row.
+
+
+@reads("run_stamp")
+def _from_run_stamp(df: DataFrame, m: int) -> tuple[DataFrame, Column]:
+    df = df.withColumn("__raw", T.parse_run_stamp(_cell("run_stamp"))).withColumn(
+        "__local", F.date_trunc("hour", F.col("__raw")).cast("timestamp_ntz")
+        + F.make_dt_interval(F.lit(0), F.lit(0), F.minute("__raw") - F.minute("__raw") % F.lit(m)))
+    return df, F.when(F.col("__raw").isNull(), F.lit("unrecognised run timestamp"))
+
+
+def _day_and_hour(df: DataFrame) -> tuple[DataFrame, Column]:
+    df = df.withColumn("__day", T.parse_delivery_date(_cell("delivery_date"))).withColumn(
+        "__hour", T.parse_hour_ending(_cell("hour_ending")))
+    return df, (F.when(F.col("__day").isNull(), F.lit("unrecognised delivery date"))
+                .when(F.col("__hour").isNull(), F.lit("hour out of range")))
+
+
+def _start_of_interval(df: DataFrame, m: int) -> DataFrame:
+    return df.withColumn("__local", T.interval_local(F.col("__day"), F.col("__hour"), F.col("__interval"), m))
+
+
+@reads("delivery_date", "hour_ending")
+def _from_hour(df: DataFrame, m: int) -> tuple[DataFrame, Column]:
+    df, problem = _day_and_hour(df)
+    two_am = T.midnight(F.col("__day")) + F.expr("INTERVAL 2 HOURS")
+    hour = F.when((F.col("__hour") == 3) & ~T.exists_local(two_am), F.lit(2)).otherwise(F.col("__hour"))
+    return _start_of_interval(df.withColumn("__interval", F.lit(1)).withColumn("__hour", hour), m), problem
+
+
+@reads("delivery_date", "hour_ending", "interval")
+def _from_hour_and_interval(df: DataFrame, m: int) -> tuple[DataFrame, Column]:
+    df, problem = _day_and_hour(df)
+    df = df.withColumn("__interval", P.to_whole(_cell("interval"))[0])
+    outside = F.col("__interval").isNull() | ~F.col("__interval").between(1, 60 // m)
+    return _start_of_interval(df, m), problem.when(outside, F.lit(f"interval out of range for {m}-minute product"))
+
+
+TIME_BUILDERS = {"hour_ending": _from_hour, "hour_interval": _from_hour_and_interval, "sced_timestamp": _from_run_stamp}
+
+
 def _with_time(df: DataFrame, decl: Declaration, rep: Column) -> DataFrame:
     """Add ``__start`` and ``__time_problem``. FN14: the time style is chosen here, in Python,
-    once per declaration, so rows never branch on it. Each step is its own column (parsed
-    cells, the wall clock, then the zone resolution), so every parse and zone conversion runs
-    once per row."""
-    m = decl.interval_minutes
-    df = df.withColumn("__rep", rep)
-    if decl.time_style == "sced_timestamp":
-        raw = T.parse_run_stamp(_cell("run_stamp"))
-        df = df.withColumn("__raw", raw).withColumn(
-            "__local", F.date_trunc("hour", F.col("__raw")).cast("timestamp_ntz")
-            + F.make_dt_interval(F.lit(0), F.lit(0), F.minute("__raw") - F.minute("__raw") % F.lit(m)))
-        range_problem = F.when(F.col("__raw").isNull(), F.lit("unrecognised run timestamp"))
-    else:
-        df = df.withColumn("__day", T.parse_delivery_date(_cell("delivery_date"))).withColumn(
-            "__hour", T.parse_hour_ending(_cell("hour_ending")))
-        if decl.time_style == "hour_ending":
-            two_am = T.midnight(F.col("__day")) + F.expr("INTERVAL 2 HOURS")
-            df = df.withColumn("__interval", F.lit(1)).withColumn(
-                "__hour", F.when((F.col("__hour") == 3) & ~T.exists_local(two_am), F.lit(2)).otherwise(F.col("__hour")))
-        else:
-            df = df.withColumn("__interval", P.to_whole(_cell("interval"))[0])
-        df = df.withColumn("__local", T.interval_local(F.col("__day"), F.col("__hour"), F.col("__interval"), m))
-        range_problem = (
-            F.when(F.col("__day").isNull(), F.lit("unrecognised delivery date"))
-            .when(F.col("__hour").isNull(), F.lit("hour out of range"))
-            .when(F.col("__interval").isNull() | ~F.col("__interval").between(1, 60 // m),
-                  F.lit(f"interval out of range for {m}-minute product")))
+    once per declaration, so rows never branch on it."""
+    df, unread = TIME_BUILDERS[decl.time_style](df.withColumn("__rep", rep), decl.interval_minutes)
     df = T.resolve_local(df, "__local", F.col("__rep"), out="__start", problem="__zone_problem")
-    return df.withColumn("__time_problem", F.coalesce(range_problem, F.col("__zone_problem")))
+    return df.withColumn("__time_problem", F.coalesce(unread, F.col("__zone_problem")))
+
+
+# Tables: (rows, declaration, leading columns, problem so far) -> curated rows with ``problem``.
+
+
+@reads("point", "price")
+def _spp(df: DataFrame, decl: Declaration, base: list[Column], common: Column) -> DataFrame:
+    """PRJ05: trimmed point, trimmed type or NULL, required price."""
+    price, price_problem = P.to_number(_cell("price"))
+    point = F.trim(_cell("point"))
+    ptype = F.trim(_cell("point_type")) if "point_type" in decl.columns else F.lit(None).cast("string")
+    return df.select(*base, point.alias("settlement_point"), ptype.alias("settlement_point_type"),
+                     price.alias("price_mwh"),
+                     F.coalesce(common, F.when(point.isNull() | (point == ""), F.lit("missing settlement point")),
+                                price_problem).alias("problem"))
+
+
+@reads("as_type", "mcpc")
+def _mcpc(df: DataFrame, decl: Declaration, base: list[Column], common: Column) -> DataFrame:
+    """PRJ06: upper(trim) type in the closed domain, else a problem."""
+    as_type = F.upper(F.trim(_cell("as_type")))
+    value, value_problem = P.to_number(_cell("mcpc"))
+    unknown = F.when(~as_type.isin(*AS_TYPES) | as_type.isNull(),
+                     F.concat(F.lit("unknown ancillary type "), F.coalesce(as_type, F.lit("NULL"))))
+    return df.select(*base, as_type.alias("as_type"), value.alias("mcpc_mw"),
+                     F.coalesce(common, unknown, value_problem).alias("problem"))
+
+
+@reads()
+def _series(df: DataFrame, decl: Declaration, base: list[Column], common: Column) -> DataFrame:
+    """PRJ07: every cell is parsed once in a projection (where Spark shares the trimmed text between
+    the value and its problem); the melt then only moves finished values."""
+    parsed, names = [], {}
+    for i, (canonical, name) in enumerate(decl.series.items()):
+        v, vp = P.to_number(_cell(canonical), required=False)
+        parsed.append(F.struct(v.alias("value"), vp.alias("value_problem")).alias(f"__s{i}"))
+        names[f"__s{i}"] = f"{decl.product}:{name}"
+    wide = df.select(*base, common.alias("__common"), *parsed)
+    kept = [n for n in wide.columns if not n.startswith("__s")]
+    # unpivot plans an Expand (one output row per series, in generated code)
+    melted = wide.unpivot(kept, list(names), "__series", "__m")
+    series = F.col("__series")
+    for col_name, label in names.items():
+        series = F.when(F.col("__series") == col_name, F.lit(label)).otherwise(series)
+    # a row with a problem of its own keeps one row, its first series, even if all cells are blank
+    first = F.col("__common").isNotNull() & (F.col("__series") == "__s0")
+    return (melted.filter(F.col("__m.value").isNotNull() | F.col("__m.value_problem").isNotNull() | first)
+            .select(*[c for c in kept if c != "__common"], series.alias("series"), F.col("__m.value").alias("value"),
+                    F.coalesce(F.col("__common"), F.col("__m.value_problem")).alias("problem")))
+
+
+TABLE_BUILDERS = {"spp": _spp, "mcpc": _mcpc, "series": _series}
 
 
 def transform(records: DataFrame, decl: Declaration, *, posting: str = "posting",
@@ -141,44 +221,7 @@ def transform(records: DataFrame, decl: Declaration, *, posting: str = "posting"
     ]
     keep_problem = F.col("__keep_problem") if decl.keep_flag else F.lit(None).cast("string")
     common_problem = F.coalesce(keep_problem, rep_problem, time_problem)
-    if decl.table == "spp":  # PRJ05: trimmed point, trimmed type or NULL, required price
-        price, price_problem = P.to_number(_cell("price"))
-        point = F.trim(_cell("point"))
-        ptype = F.trim(_cell("point_type")) if "point_type" in decl.columns else F.lit(None).cast("string")
-        out = df.select(*base, point.alias("settlement_point"), ptype.alias("settlement_point_type"),
-                        price.alias("price_mwh"),
-                        F.coalesce(common_problem,
-                                   F.when(point.isNull() | (point == ""), F.lit("missing settlement point")),
-                                   price_problem).alias("problem"))
-    elif decl.table == "mcpc":  # PRJ06: upper(trim) type in the closed domain, else a problem
-        as_type = F.upper(F.trim(_cell("as_type")))
-        value, value_problem = P.to_number(_cell("mcpc"))
-        out = df.select(*base, as_type.alias("as_type"), value.alias("mcpc_mw"),
-                        F.coalesce(common_problem,
-                                   F.when(~as_type.isin(*AS_TYPES) | as_type.isNull(),
-                                          F.concat(F.lit("unknown ancillary type "), F.coalesce(as_type, F.lit("NULL")))),
-                                   value_problem).alias("problem"))
-    else:
-        # every cell is parsed once in a projection (where Spark shares the trimmed text between
-        # the value and its problem); the melt then only moves finished values
-        parsed, names = [], {}
-        for i, (canonical, name) in enumerate(decl.series.items()):
-            v, vp = P.to_number(_cell(canonical), required=False)
-            parsed.append(F.struct(v.alias("value"), vp.alias("value_problem")).alias(f"__s{i}"))
-            names[f"__s{i}"] = f"{decl.product}:{name}"
-        wide = df.select(*base, common_problem.alias("__common"), *parsed)
-        kept = [n for n in wide.columns if not n.startswith("__s")]
-        # unpivot plans an Expand (one output row per series, in generated code)
-        melted = wide.unpivot(kept, list(names), "__series", "__m")
-        series = F.col("__series")
-        for col_name, label in names.items():
-            series = F.when(F.col("__series") == col_name, F.lit(label)).otherwise(series)
-        # a row with a problem of its own keeps one row, its first series, even if all cells are blank
-        first = F.col("__common").isNotNull() & (F.col("__series") == "__s0")
-        out = (melted.filter(F.col("__m.value").isNotNull() | F.col("__m.value_problem").isNotNull() | first)
-               .select(*[c for c in kept if c != "__common"], series.alias("series"), F.col("__m.value").alias("value"),
-                       F.coalesce(F.col("__common"), F.col("__m.value_problem")).alias("problem")))
-    return out
+    return TABLE_BUILDERS[decl.table](df, decl, base, common_problem)
 
 
 def posting_status(rows: DataFrame, drift: DataFrame | None = None, posting: str = "posting") -> DataFrame:

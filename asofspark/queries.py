@@ -378,7 +378,7 @@ def drift_report(spark, sf):
 
 @query
 def spp_from_lineitem(spark, sf):
-    rec = _li_spp_records(spark, sf).filter(F.col("posting") % 2 == 0)
+    rec = _li_spp_records(spark, sf)
     rows = TR.transform(rec, SPP_DECL)
     return rows.select("posting", "interval_start", "settlement_point",
                        _blank_null(F.col("settlement_point_type")).alias("settlement_point_type"),
@@ -1222,7 +1222,7 @@ def _alarm_history(spark, sf):
 def report_problems(spark, sf):
     cov = coverage_actionable_rows(spark, sf)
     alarming = MO.in_alarm(_alarm_history(spark, sf), "ingest-", NOW)
-    sections = _sections(spark, sf).filter(F.col("event_id") < 600)
+    sections = _sections(spark, sf)
     return MO.problems(cov, alarming, sections)
 
 
