@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from asofspark.functions import time as T
+
 _RN = "__pit_rn"
 
 
@@ -110,6 +112,13 @@ def version_counts(df: DataFrame, supported=(1,), col: str = "schema_version") -
             .withColumn("supported", F.col("schema_version").isin(list(supported))))
 
 
+def _bucket_start(time: Column, width: str) -> Column:
+    """Number of the ``width`` (such as ``1 day``) that a wall clock falls in; NULL for NULL."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    span = T.ntz_micros(epoch + F.expr(f"INTERVAL {width}"))
+    return F.floor(T.ntz_micros(time) / span)
+
+
 def point_in_time_join(decisions: DataFrame, facts: DataFrame, *, on: Sequence[str] | str,
                        decision_time: str, posted: str, value_cols: Sequence[str],
                        bucket: str | None = "1 day") -> DataFrame:
@@ -120,11 +129,13 @@ def point_in_time_join(decisions: DataFrame, facts: DataFrame, *, on: Sequence[s
     (key, posted) (already deduplicated per business key if it is a revision log).
 
     Plan: decisions and facts are unioned and a running ``last(struct, ignorenulls)`` over
-    ``(key [, bucket])`` ordered by time carries the newest known fact forward: one shuffle, no
-    pairs. The window is partitioned by key *and* time ``bucket`` (default one day), so one hot
-    key is spread over many tasks; the fact carried into each bucket from earlier buckets comes
-    from a small per-(key, bucket) summary (a map-side combined aggregate). ``bucket=None``
-    partitions by key only (for inputs known to have no hot key).
+    ``(key [, bucket])`` ordered by time carries the newest known fact forward: one shuffle of the
+    rows, no pairs. The window is partitioned by key *and* time ``bucket`` (default one day), so one
+    hot key is spread over many tasks; the fact carried into each bucket from earlier ones comes
+    from one aggregate of a row per (key, bucket), combined before its shuffle. ``bucket=None``
+    partitions by key only (for inputs known to have no hot key). The answer does not depend on
+    ``bucket``: keys match null-safely, a decision without a time knows nothing and is kept, a
+    fact without a time is never known.
     """
     keys = _cols(on)
     vals = list(value_cols)
@@ -135,24 +146,20 @@ def point_in_time_join(decisions: DataFrame, facts: DataFrame, *, on: Sequence[s
     d = decisions.select(*[F.col(k) for k in keys], F.col(decision_time).alias("__time"),
                          F.lit(1).alias("__side"), F.lit(None).cast(f.schema["__fact"].dataType).alias("__fact"),
                          F.struct(*[F.col(c) for c in d_cols]).alias("__dec"))
-    f = f.withColumn("__dec", F.lit(None).cast(d.schema["__dec"].dataType))
+    f = f.filter(F.col("__time").isNotNull()).withColumn("__dec", F.lit(None).cast(d.schema["__dec"].dataType))
     both = f.unionByName(d)
     part = [F.col(k) for k in keys]
     if bucket is not None:
-        both = both.withColumn("__bucket", F.window(F.col("__time"), bucket).getField("start"))
-        # newest fact per (key, bucket): partial aggregation before the shuffle
-        own = (both.filter(F.col("__side") == 0)
-               .groupBy(*keys, "__bucket")
-               .agg(F.max_by(F.col("__fact"), F.col("__time")).alias("__own")))
-        # every bucket that holds a decision or a fact, with its own newest fact (if any)
-        buckets = (both.filter(F.col("__side") == 1).select(*keys, "__bucket")
-                   .unionByName(own.select(*keys, "__bucket")).distinct()
-                   .join(own, on=[*keys, "__bucket"], how="left"))
+        both = both.withColumn("__bucket", _bucket_start(F.col("__time"), bucket))
+        # every bucket of a key with its newest fact, if any (grouping is null-safe)
+        fact = F.col("__side") == 0
+        buckets = both.groupBy(*keys, "__bucket").agg(
+            F.max_by(F.when(fact, F.col("__fact")), F.when(fact, F.col("__time"))).alias("__own"))
         # the fact carried into a bucket is the newest fact of any earlier bucket of the key;
         # this window runs over one small summary row per (key, bucket)
-        wall = Window.partitionBy(*part).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+        wall = Window.partitionBy(*part).orderBy(F.col("__bucket").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
         seeded = (buckets.withColumn("__seed", F.last("__own", ignorenulls=True).over(wall))
-                  .filter(F.col("__seed").isNotNull())
+                  .filter(F.col("__seed").isNotNull() & F.col("__bucket").isNotNull())
                   .select(*keys, "__bucket", F.lit(None).cast("timestamp_ntz").alias("__time"),
                           F.lit(-1).alias("__side"), F.col("__seed").alias("__fact"),
                           F.lit(None).cast(d.schema["__dec"].dataType).alias("__dec")))

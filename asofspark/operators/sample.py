@@ -3,7 +3,8 @@ in source order; of those, every hub/zone row and the first ``others`` other poi
 interval; source order kept. A file is complete when it reaches past the kept intervals.
 
 The interval ranking runs on one row per (file, interval) (its first line), not on the rows;
-the per-interval top-``others`` is a ``row_number`` filter (partial top-n before the shuffle).
+hub and zone rows pass as they are, and the per-interval top-``others`` of the other rows is a
+``row_number`` filter (partial top-n before the shuffle).
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ def sample(df: DataFrame, *, file: str, order: str, interval, point: str | None,
     if point is None:
         return kept
     hub = F.greatest(*[F.trim(F.col(point)).startswith(p) for p in prefixes], F.lit(False))
-    kept = kept.withColumn("__hub", hub)
-    w = Window.partitionBy(file, *interval, "__hub").orderBy(order)
-    kept = kept.withColumn("__n", F.row_number().over(w))
-    return kept.filter(F.col("__hub") | (F.col("__n") <= others)).drop("__hub", "__n")
+    # only the other points are ranked: their top-n is cut before the shuffle, hubs never sort
+    w = Window.partitionBy(file, *interval).orderBy(order)
+    rest = kept.filter(~hub | F.col(point).isNull()).withColumn("__n", F.row_number().over(w)).filter(F.col("__n") <= others)
+    return kept.filter(hub).unionByName(rest.drop("__n"))
 
 
 def complete_files(df: DataFrame, *, file: str, interval, intervals: int = 2) -> DataFrame:

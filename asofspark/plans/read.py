@@ -20,7 +20,6 @@ from asofspark.operators import pit
 from asofspark.plans.declare import BUSINESS_KEY, NAME_COLUMN, SUPPORTED_VERSIONS
 from asofspark.sources import lake as LK
 
-MAX_DAYS = 62
 
 _COMMON = ("interval_start timestamp_ntz, interval_minutes int, posted_at timestamp_ntz, "
            "ingested_at timestamp_ntz, source string, schema_version int")
@@ -43,10 +42,12 @@ def _ct_day(utc_naive: dt.datetime) -> dt.date:
 
 
 class Lake:
-    """Reads of ``root/curated``; ``tables`` maps product -> table family (spp, mcpc, series)."""
+    """Reads of ``root/curated``; ``tables`` maps product -> table family (spp, mcpc, series).
+    ``max_days`` refuses longer reads; there is no limit unless it is given."""
 
-    def __init__(self, spark: SparkSession, root: str, tables: dict[str, str]):
+    def __init__(self, spark: SparkSession, root: str, tables: dict[str, str], max_days: int | None = None):
         self.spark, self.root, self.tables = spark, root.rstrip("/"), dict(tables)
+        self.max_days = max_days
 
     def _table(self, product: str) -> str:
         if product not in self.tables:
@@ -56,8 +57,8 @@ class Lake:
     def _scan(self, product: str, d_from: dt.date, d_to: dt.date) -> DataFrame:
         if d_to < d_from:
             raise ValueError(f"day range ends before it starts: {d_from} .. {d_to}")
-        if (d_to - d_from).days + 1 > MAX_DAYS:
-            raise ValueError(f"at most {MAX_DAYS} days per read")
+        if self.max_days and (d_to - d_from).days + 1 > self.max_days:
+            raise ValueError(f"at most {self.max_days} days per read")
         table = self._table(product)
         df = LK.scan_days(self.spark, self.root, product, d_from, d_to)
         if df is None:  # FLT11: nothing stored, the declared types still hold

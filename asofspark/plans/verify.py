@@ -1,6 +1,7 @@
 """Lake verification (JOB09): whole-product checks unioned into findings rows.
 
-Checks: business keys stored twice for the same posting time (AGG02, top 5 per product),
+Checks: business keys stored twice for the same posting time (AGG02, the five most repeated per product,
+and the number of all where there are more),
 NULLs in required columns per batch directory (AGG04), schema versions per batch directory
 (AGG05), missing delivery days between the first and last present day (SET04), and optionally
 zone sums against totals for series tables (AGG03). Each check is one grouped aggregate over
@@ -28,10 +29,13 @@ def _ts_text(c):
 
 def verify(lake: DataFrame, key: list[str], *, supported=SUPPORTED_VERSIONS, zone_sums: dict | None = None) -> DataFrame:
     """``lake``: curated rows with ``product``, ``date`` and ``batch`` (a read of the curated
-    root). ``key``: the business key without ``product``."""
+    root). ``key``: the business key without ``product``. ``zone_sums``: product -> (names of the
+    zone series, name of their total)."""
     found = []
     # AGG02 + SRT07: repeated (key, posted_at) per product, the five most repeated
     g = lake.groupBy("product", *key, "posted_at").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    found.append(g.groupBy("product").agg(F.count(F.lit(1)).alias("n")).filter("n > 5").select(
+        "product", F.lit("keys").alias("check"), F.concat(F.col("n").cast("string"), F.lit(" repeated keys in all")).alias("detail")))
     g = CK.first_per_group(g, "product", [F.col("n").desc(), *[F.col(k).asc_nulls_last() for k in key], F.col("posted_at")], 5)
     parts = [(_ts_text(k) if dict(lake.dtypes)[k].startswith("timestamp") else F.coalesce(F.col(k).cast("string"), F.lit("NULL")))
              for k in key]
@@ -56,11 +60,11 @@ def verify(lake: DataFrame, key: list[str], *, supported=SUPPORTED_VERSIONS, zon
     found.append(gaps.select("product", F.lit("calendar").alias("check"),
                              F.concat(F.lit("missing day "), F.col("day").cast("string")).alias("detail")))
     # AGG03: zone series against their total, per (interval, posting)
-    for product, (zone_prefix, total, n_parts) in (zone_sums or {}).items():
+    for product, (zones, total) in (zone_sums or {}).items():
         p = lake.filter(F.col("product") == product)
-        f = CK.sum_findings(p, by=["interval_start", "posted_at"], part=F.col("series").startswith(zone_prefix),
-                            total=F.col("series") == total, value="value", expected_parts=n_parts)
+        f = CK.sum_findings(p, by=["interval_start", "posted_at"], part=F.col("series").isin(list(zones)),
+                            total=F.col("series") == total, value="value", expected_parts=len(zones))
         found.append(f.select(F.lit(product).alias("product"), F.lit("zone_sum").alias("check"),
                               F.concat(_ts_text("interval_start"), F.lit(": zones "), F.format_number("parts_sum", 1),
-                                       F.lit(" total "), F.format_number("total", 1)).alias("detail")))
+                                       F.lit(" total "), F.coalesce(F.format_number("total", 1), F.lit("missing"))).alias("detail")))
     return reduce(DataFrame.unionByName, found)
