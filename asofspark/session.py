@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -43,12 +44,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    A local folder is created and registered only when the session has none (tests, bench);
-    on a cluster the setting is read, never replaced.
+    A local folder is created and registered only when the session has none and runs in one
+    process (tests, bench). On a cluster the setting is read, never replaced, and its absence is
+    an error: a machine's own folder would hide the files from the other executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get(_CHECKPOINT_KEY, None)
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError(f"{_CHECKPOINT_KEY} is not set: name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="asofspark-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, current)
     if not sc.getCheckpointDir():
@@ -59,3 +63,21 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder for a job's written intermediate tables."""
     return f"{shared_dir(spark)}/asof-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_library(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session: functions that run inside tasks are
+    found there whatever folder the driver was started in."""
+    sc = spark.sparkContext
+    if getattr(sc, "_asofspark_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="asofspark-lib-"), "asofspark_lib.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(target)
+    sc._asofspark_shipped = True
