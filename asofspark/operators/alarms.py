@@ -1,21 +1,23 @@
 """Alarm rules over metric series (JOB18) and alarm-history rows (JOB13, FN27).
 
-The consecutive-bucket rule needs no ordered window: each bucket's breach flag is sent to the
-bucket itself and the next ``points - 1`` buckets (``explode`` of a short array), and one
-grouped aggregate per (metric, bucket) decides the state. Work is spread over all buckets;
-no task holds a whole series.
+Datapoints are reduced to one row per (metric, bucket) first. The consecutive-bucket rule is a
+window over ranges of ``RANGE`` buckets; the last ``points`` buckets of a range also go to
+the next one as context, so every frame is whole and no task holds a long series.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+RANGE = 4096
+
 
 def alarm_states(metrics: DataFrame, *, period_minutes: int, points: int, threshold: float,
                  missing_breaching: bool, stat: str = "max", metric: str = "metric",
-                 at: str = "at", value: str = "value") -> DataFrame:
-    """Per metric and ``period_minutes`` bucket between its first and last datapoint: the
+                 at: str = "at", value: str = "value", now=None) -> DataFrame:
+    """Per metric and ``period_minutes`` bucket between its first and last datapoint (up to the last
+    whole bucket before ``now``, so that a silent metric goes on breaching): the
     statistic, whether it breaches (``> threshold``; a bucket without data breaches when
     ``missing_breaching``), the state (ALARM when the last ``points`` buckets all breach; the
     first ``points - 1`` buckets are not a full window and stay OK) and whether it changed."""
@@ -24,23 +26,26 @@ def alarm_states(metrics: DataFrame, *, period_minutes: int, points: int, thresh
     bucket = F.timestamp_seconds(F.floor(F.unix_seconds(F.col(at).cast("timestamp")) / sec) * sec).cast("timestamp_ntz")
     agg = {"max": F.max, "sum": F.sum, "min": F.min}[stat]
     per = metrics.groupBy(metric, bucket.alias("bucket")).agg(agg(value).alias("stat"))
-    bounds = per.groupBy(metric).agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))
-    cal = bounds.select(metric, "lo", F.explode(F.sequence("lo", "hi", step)).alias("bucket"))
+    hi = F.max("bucket")
+    if now is not None:
+        until = F.floor(F.unix_seconds(F.lit(now).cast("timestamp_ntz").cast("timestamp")) / sec) * sec
+        hi = F.greatest(hi, F.timestamp_seconds(until).cast("timestamp_ntz") - step)
+    bounds = per.groupBy(metric).agg(F.min("bucket").alias("lo"), hi.alias("hi"))
+    cal = bounds.select(metric, F.explode(F.sequence("lo", "hi", step)).alias("bucket"))
     series = cal.join(per, on=[metric, "bucket"], how="left")
     breach = F.when(F.col("stat").isNull(), F.lit(missing_breaching)).otherwise(F.col("stat") > threshold)
-    series = series.withColumn("breaching", breach)
-    # fan each bucket's flag out to the buckets whose window it belongs to
-    fan = series.select(metric, "lo", F.col("breaching"),
-                        F.explode(F.transform(F.sequence(F.lit(0), F.lit(points - 1)),
-                                              lambda i: F.col("bucket") + F.make_dt_interval(F.lit(0), F.lit(0), i * period_minutes))).alias("bucket"))
-    win = fan.groupBy(metric, "bucket").agg(F.count(F.lit(1)).alias("n"), F.min(F.col("breaching").cast("int")).alias("all_breach"))
-    out = series.join(win, on=[metric, "bucket"], how="left")
-    state = F.when((F.col("n") == points) & (F.col("all_breach") == 1), F.lit("ALARM")).otherwise(F.lit("OK"))
-    out = out.withColumn("state", state).drop("n", "all_breach")
-    prev = out.select(metric, (F.col("bucket") + step).alias("bucket"), F.col("state").alias("prev_state"))
-    out = out.join(prev, on=[metric, "bucket"], how="left")
-    changed = F.col("prev_state").isNotNull() & (F.col("prev_state") != F.col("state"))
-    return out.select(metric, "bucket", "stat", "breaching", "state", changed.alias("changed"))
+    index = F.floor(F.unix_seconds(F.col("bucket").cast("timestamp")) / sec)
+    own = F.struct(F.floor(index / RANGE).alias("range"), F.lit(False).alias("context"))
+    following = F.struct((F.floor(index / RANGE) + 1).alias("range"), F.lit(True).alias("context"))
+    spread = F.when(F.pmod(index, F.lit(RANGE)) >= RANGE - points, F.array(own, following)).otherwise(F.array(own))
+    rows = series.withColumn("breaching", breach).withColumn("__in", F.explode(spread)).select("*", "__in.*")
+    ordered = Window.partitionBy(metric, "range").orderBy("bucket")
+    frame = ordered.rowsBetween(-(points - 1), 0)
+    alarm = (F.count(F.lit(1)).over(frame) == points) & F.bool_and("breaching").over(frame)
+    rows = rows.withColumn("state", F.when(alarm, F.lit("ALARM")).otherwise(F.lit("OK")))
+    changed = F.coalesce(F.lag("state").over(ordered) != F.col("state"), F.lit(False))
+    return (rows.withColumn("changed", changed).filter(~F.col("context"))
+            .select(metric, "bucket", "stat", "breaching", "state", "changed"))
 
 
 HISTORY_SCHEMA = ("struct<oldState:struct<stateValue:string>,"

@@ -556,6 +556,23 @@ f AS (SELECT cfg.name, 'product' AS kind, cfg.stale_after_min, s.last_seen,
       FROM cfg LEFT JOIN s ON cfg.name = s.name)
 """
 
+ORACLES["freshness_objects"] = """
+WITH cfg(name, stale_after_min) AS (VALUES ('click', 60), ('view', 120), ('purchase', 30), ('signup', 1440),
+                                           ('error', 15), ('refund', 60)),
+s AS (SELECT event_type AS name, max(ts) AS ts FROM events GROUP BY event_type),
+f AS (SELECT cfg.name, cfg.stale_after_min, CASE WHEN cfg.name IN ('click', 'purchase') THEN s.ts END AS last_seen,
+             CASE WHEN s.name IS NULL THEN 'no manifest' WHEN cfg.name = 'view' THEN 'unreadable'
+                  WHEN cfg.name = 'error' THEN 'no ISO timestamp' WHEN cfg.name = 'signup' THEN 'no posting yet' END AS problem
+      FROM cfg LEFT JOIN s ON cfg.name = s.name),
+g AS (SELECT *, (epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(last_seen)) / 60000000.0 AS age_minutes FROM f)
+SELECT name, 'product' AS kind, stale_after_min, last_seen, age_minutes,
+       age_minutes IS NULL OR age_minutes > stale_after_min AS stale, problem,
+       CASE WHEN age_minutes IS NULL THEN name || ' (' || problem || ')'
+            ELSE name || ' (' || CAST(CAST(round_even(age_minutes, 0) AS BIGINT) AS VARCHAR) || ' min > '
+                 || CAST(stale_after_min AS VARCHAR) || ')' END AS reason
+FROM g
+"""
+
 ORACLES["freshness"] = f"""
 WITH {_FRESH}
 SELECT name, kind, stale_after_min, last_seen, age_minutes,
@@ -727,6 +744,20 @@ SELECT 'ingest-errors' AS metric, bucket, stat, breaching, state,
 FROM w
 """
 
+ORACLES["alarm_states_silent"] = """
+WITH per AS (SELECT 'no-sales-' || CAST(user_id % 3 AS VARCHAR) AS metric, date_trunc('hour', ts) AS bucket, sum(-1.0::DOUBLE) AS stat
+             FROM events WHERE event_type = 'purchase' GROUP BY ALL),
+b AS (SELECT metric, min(bucket) AS lo, greatest(max(bucket), TIMESTAMP '2024-02-03 09:00:00') AS hi FROM per GROUP BY metric),
+cal AS (SELECT metric, lo, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS bucket FROM b),
+s AS (SELECT cal.metric, cal.lo, cal.bucket, per.stat, coalesce(per.stat > -3.5, true) AS breaching
+      FROM cal LEFT JOIN per ON cal.metric = per.metric AND cal.bucket = per.bucket),
+w AS (SELECT *, CASE WHEN bucket > lo AND breaching AND lag(breaching) OVER (PARTITION BY metric ORDER BY bucket)
+                     THEN 'ALARM' ELSE 'OK' END AS state FROM s)
+SELECT metric, bucket, stat, breaching, state,
+       coalesce(lag(state) OVER (PARTITION BY metric ORDER BY bucket) <> state, false) AS changed
+FROM w
+"""
+
 ORACLES["alarm_transitions"] = """
 SELECT ts AS at, CASE WHEN user_id % 3 = 0 THEN 'other-' ELSE 'ingest-' END || CAST(user_id AS VARCHAR) AS alarm,
        CASE WHEN event_id % 2 = 0 THEN 'OK' ELSE 'ALARM' END AS old,
@@ -969,6 +1000,13 @@ FROM cal c LEFT JOIN days d ON c.product = d.product AND c.date = d.date WHERE d
 
 # --- API pages, JSON objects, listings, source planning, workbook rows -----------------------
 
+_API_SPP = _LI_SPP.replace("(l_orderkey % 400) % 5 = 0 AND l_linenumber = 7 AS cut", "false AS cut")
+ORACLES["api_transform"] = f"""
+WITH {_API_SPP}
+SELECT CAST(l_orderkey AS BIGINT) AS posting, interval_start, settlement_point, settlement_point_type, price_mwh, dst_flag,
+       'api' AS source, problem FROM t
+"""
+
 ORACLES["api_json_pages"] = "SELECT event_id, ts, user_id, event_type, value FROM events"
 
 ORACLES["json_objects"] = """

@@ -292,7 +292,9 @@ SPP_DECL = Declaration(
     product="li-prices", table="spp", interval_minutes=60, time_style="hour_ending",
     columns={"delivery_date": "DeliveryDate", "hour_ending": "HourEnding", "point": "SettlementPoint",
              "point_type": "SettlementPointType", "price": "SettlementPointPrice",
-             "repeated_flag": "DSTFlag"})
+             "repeated_flag": "DSTFlag"},
+    api_columns={"delivery_date": "deliveryDate", "hour_ending": "hourEnding", "point": "settlementPoint",
+                 "point_type": "settlementPointType", "price": "settlementPointPrice", "repeated_flag": "DSTFlag"})
 
 MCPC_DECL = Declaration(
     product="li-as-prices", table="mcpc", interval_minutes=15, time_style="hour_interval",
@@ -599,6 +601,24 @@ def freshness(spark, sf):
     return _freshness(spark, sf)
 
 
+def _state_objects(spark, sf):
+    """Manifest and heartbeat objects as text: one per event type, some broken, without a time, or absent."""
+    e = read(spark, sf, "events").groupBy(F.col("event_type").alias("name")).agg(F.max("ts").alias("ts"), F.count(F.lit(1)).alias("n"))
+    at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    text = (F.when(F.col("name") == "view", F.concat(F.lit('{"last_posted_at": "'), at, F.lit('"')))
+            .when(F.col("name") == "error", F.lit('{"last_posted_at": "yesterday"}'))
+            .when(F.col("name") == "signup", F.concat(F.lit('{"docs": '), F.col("n").cast("string"), F.lit("}")))
+            .otherwise(F.concat(F.lit('{"last_posted_at": "'), at, F.lit('+00:00"}'))))
+    return e.select("name", text.alias("value"))
+
+
+@query
+def freshness_objects(spark, sf):
+    cfg = spark.createDataFrame(_THRESHOLDS, "name string, stale_after_min int").withColumn("kind", F.lit("product"))
+    seen = MO.seen_from_objects(_state_objects(spark, sf))
+    return MO.freshness(cfg, seen, END)
+
+
 @query
 def stale_count(spark, sf):
     return MO.freshness_metrics(_freshness(spark, sf))
@@ -731,6 +751,16 @@ def alarm_states(spark, sf):
     return AL.alarm_states(m, period_minutes=5, points=3, threshold=25.0, missing_breaching=True)
 
 
+@query
+def alarm_states_silent(spark, sf):
+    """The second rule: few purchases in an hour, judged up to now, long after the last datapoint."""
+    e = read(spark, sf, "events").filter(F.col("event_type") == "purchase")
+    m = e.select(F.concat(F.lit("no-sales-"), (F.col("user_id") % 3).cast("string")).alias("metric"), F.col("ts").alias("at"),
+                 (-F.lit(1.0)).alias("value"))
+    return AL.alarm_states(m, period_minutes=60, points=2, threshold=-3.5, missing_breaching=True, stat="sum",
+                           now="2024-02-03 10:30:00")
+
+
 @query
 def alarm_transitions(spark, sf):
     e = read(spark, sf, "events").filter(F.col("event_type") == "error")
@@ -1130,6 +1160,27 @@ def api_json_pages(spark, sf):
                        F.get(c, pos["value"]).cast("double").alias("value"))
 
 
+@query
+def api_transform(spark, sf):
+    """One page of an hourly price report per order, through the same transform as its archive form."""
+    li = read(spark, sf, "lineitem")
+    text = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    hour = F.lpad((1 + (F.col("l_linenumber") * 5 + F.col("l_partkey")) % 24).cast("string"), 2, "0")
+    cells = [text(F.date_format("l_shipdate", "yyyy-MM-dd")), text(F.concat(hour, F.lit(":00"))),
+             text(F.concat(F.lit("P"), F.col("l_suppkey").cast("string"))),
+             F.when(F.col("l_returnflag") != "N", text(F.col("l_returnflag"))).otherwise("null"),
+             F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string"), (F.col("l_partkey") % 997 == 0).cast("string")]
+    row = F.concat(F.lit("["), F.concat_ws(",", *cells), F.lit("]"))
+    decl = SPP_DECL.in_format("api")
+    fields = ",".join(f'{{"name":"{n}"}}' for n in decl.expected_header)
+    pages = li.groupBy("l_orderkey").agg(F.concat(
+        F.lit(f'{{"fields":[{fields}],"data":['), F.array_join(F.array_sort(F.collect_list(row)), ","), F.lit("]}")).alias("page"))
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    rec = DOC.parse_api_pages(pages, "page").withColumn("posting", F.col("l_orderkey")).withColumn("posted_at", at).withColumn("ingested_at", at)
+    return TR.transform(rec, decl).select("posting", "interval_start", "settlement_point", "settlement_point_type", "price_mwh",
+                                          "dst_flag", "source", "problem")
+
+
 @query
 def json_objects(spark, sf):
     e = read(spark, sf, "events").select(

@@ -21,10 +21,17 @@ def read_api_pages(spark: SparkSession, root: str, glob: str = "*.json") -> Data
     row with the page's header; numbers and booleans arrive as their JSON text; pages union."""
     pages = (spark.read.option("wholetext", "true").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true").text(root)
-             .select(F.col("_metadata.file_path").alias("path"), F.from_json("value", PAGE_SCHEMA).alias("p")))
-    rows = pages.select("path", F.transform("p.fields", lambda f: f["name"]).alias("header"),
-                        F.posexplode("p.data").alias("row_no", "cells"))
-    return rows
+             .select(F.col("_metadata.file_path").alias("path"), "value"))
+    return parse_api_pages(pages, "value")
+
+
+def parse_api_pages(pages: DataFrame, value: str) -> DataFrame:
+    """SRC03 on a text column: the other columns of ``pages`` with header, row_no and cells of every
+    data row, ready for the declared transform of the product's API format."""
+    rest = [c for c in pages.columns if c != value]
+    p = pages.select(*rest, F.from_json(value, PAGE_SCHEMA).alias("p"))
+    return p.select(*rest, F.transform("p.fields", lambda f: f["name"]).alias("header"),
+                    F.posexplode("p.data").alias("row_no", "cells"))
 
 
 def parse_json_objects(df: DataFrame, value: str, schema: str) -> DataFrame:
