@@ -1007,6 +1007,15 @@ SELECT CAST(l_orderkey AS BIGINT) AS posting, interval_start, settlement_point,
        'api' AS source, problem FROM t
 """
 
+ORACLES["catalog_publish"] = """
+WITH t AS (SELECT DISTINCT event_type AS product FROM events)
+SELECT product, CASE WHEN product = 'signup' THEN NULL ELSE 'series' END AS "table",
+       CASE WHEN product = 'signup' THEN NULL ELSE product <> 'view' END AS live,
+       CASE product WHEN 'signup' THEN 'orphan' WHEN 'view' THEN 'retired' ELSE 'configured' END AS status,
+       TIMESTAMP '2024-01-02' AS generated_at FROM t
+UNION ALL SELECT 'refund', 'spp', true, 'configured', TIMESTAMP '2024-01-02'
+"""
+
 ORACLES["api_json_pages"] = "SELECT event_id, ts, user_id, event_type, value FROM events"
 
 ORACLES["json_objects"] = """

@@ -191,6 +191,24 @@ def _advance(spark: SparkSession, root: str, summary: DataFrame, run_at) -> None
     write_state(spark, manifests, root, "manifests")
 
 
+def publish_catalog(spark: SparkSession, root: str, config: DataFrame, *, generated_at) -> bool:
+    """SNK04: the catalog of ``config(product, table)`` and of products that only have a manifest, as
+    a new version of ``state/catalog``. A catalog with the same content is not written again;
+    returns whether one was."""
+    empty = "product string, table string, live boolean, status string, generated_at timestamp_ntz"
+    previous = read_state(spark, root, "catalog")
+    before = spark.createDataFrame([], empty) if previous is None else previous
+    manifests = read_state(spark, root, "manifests")
+    if manifests is None:
+        manifests = spark.createDataFrame([], "product string")
+    # a product that was never configured stays an orphan, however often it was listed
+    now = PG.build_catalog(config, manifests, before.filter(F.col("live").isNotNull()))
+    if previous is not None and not PG.catalog_changed(now, before).first()["changed"]:
+        return False
+    write_state(spark, now.withColumn("generated_at", F.lit(generated_at).cast("timestamp_ntz")), root, "catalog")
+    return True
+
+
 def read_state(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     return LK.read_version(spark, f"{root}/state/{name}")
 

@@ -1047,6 +1047,21 @@ def backfill_no_watermark(spark, sf):
     return after.select("product", "last_posted_at", "status")
 
 
+@query
+def catalog_publish(spark, sf):
+    """Two configurations published over the manifests of all event types: one product retires, one is
+    new; publishing the second again writes nothing."""
+    root = scratch_path(spark, "catalog")
+    types = read(spark, sf, "events").select("event_type").distinct()
+    IN.write_state(spark, types.select(F.col("event_type").alias("product")), root, "manifests")
+    config = types.filter("event_type <> 'signup'").select(F.col("event_type").alias("product"), F.lit("series").alias("table"))
+    wrote = [IN.publish_catalog(spark, root, config, generated_at="2024-01-01 00:00:00")]
+    config = config.filter("product <> 'view'").unionByName(spark.createDataFrame([("refund", "spp")], "product string, table string"))
+    wrote += [IN.publish_catalog(spark, root, config, generated_at=f"2024-01-0{d} 00:00:00") for d in (2, 3)]
+    assert wrote == [True, True, False], wrote
+    return IN.read_state(spark, root, "catalog")
+
+
 @query
 def rebuild_identity(spark, sf):
     root, _, _ = _ingested_lake(spark, sf)
