@@ -8,6 +8,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from asofspark.queries import QUERIES  # noqa: E402
 
 SF = os.environ.get("ASOF_TEST_SF", "/root/testdata/sf0.001")
 
@@ -23,7 +24,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     from check_oracles import digest
 
