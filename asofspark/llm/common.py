@@ -12,6 +12,7 @@ from asofspark.session import scratch_path
 #: ``[\x20\x09-\x0D]+`` as a Java regular expression.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+_BATCH_BYTES = 8 << 20
 
 
 def text_of(df: DataFrame, name: str = "text") -> Column:
@@ -40,6 +41,12 @@ def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col("row").getField(c).alias(c) for c in columns])
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes as well as rows: texts may be very long."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(key, str(min(_BATCH_BYTES, int(spark.conf.get(key, str(_BATCH_BYTES))))))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """The session's shuffle width: what the cluster is sized for."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

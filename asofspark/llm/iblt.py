@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofspark.llm.common import shuffle_width, text_of
+from asofspark.llm.common import bounded_batches, shuffle_width, text_of
 from asofspark.llm.ranges import bounds, bucket_of
 
 PARAGRAPH = 160
@@ -199,6 +199,7 @@ def fingerprints(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id"
     the likeness to the edited and to the next text, and the digests by which the edit differs
     (``gone`` and ``come``).
     """
+    bounded_batches(spark)
     slim = docs.select(docs[id_col].cast("long").alias("id"), text_of(docs, text_col).alias("text"))
     dealt = _with_next(slim, spark, parts or shuffle_width(spark))
     names = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "gone", "come"]

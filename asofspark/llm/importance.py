@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from asofspark.llm.common import text_of, unpacked, written
+from asofspark.llm.common import bounded_batches, text_of, unpacked, written
 
 BUCKETS = 1 << 14
 MAX_TARGETS = 20_000
@@ -78,6 +78,7 @@ def good_share(labels: DataFrame, good) -> float:
 def log_ratios(spark: SparkSession, docs: DataFrame, targets: DataFrame, *, buckets: int = BUCKETS,
                id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
     """Per bucket log p(target) - log p(raw). One pass over all texts."""
+    bounded_batches(spark)
     slim = docs.select(docs[id_col].cast("long").alias("id"), text_of(docs, text_col).alias("text"))
     flagged = slim.join(F.broadcast(targets), F.col("id") == F.col("target_id"), "left").select(
         "text", F.col("target_id").isNotNull().alias("hit"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofspark.llm.common import text_of, written
+from asofspark.llm.common import bounded_batches, text_of, written
 
 THRESHOLD = 0.8
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -126,6 +126,7 @@ def scan(spark: SparkSession, docs: DataFrame, *, threshold: float = THRESHOLD,
     """``(documents, matches)``: per row id, text_key, n_words, n_base, first_word, last_word,
     base; and per met notice in a block id, text_key, block, notice, label, containment.
     """
+    bounded_batches(spark)
     slim = docs.select(docs[id_col].cast("long").alias("id"), text_of(docs, text_col).alias("text"))
     words = vocabulary(notices)
     order = ranking(words, frequencies(slim, words))

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofspark.llm.common import text_of, written
+from asofspark.llm.common import bounded_batches, text_of, written
 from asofspark.llm.tokens import encoder
 
 WINDOW = 2048
@@ -120,6 +120,7 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer_path: str, *, end_id: i
     """One row per piece: sequence_id, offset in the sequence, doc_id, start in the document,
     doc_tokens and the piece's ids (little-endian unsigned 32-bit integers).
     """
+    bounded_batches(spark)
     slim = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text"))
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofspark.llm.common import packed, shuffle_width, text_of, unpacked, written
+from asofspark.llm.common import bounded_batches, packed, shuffle_width, text_of, unpacked, written
 from asofspark.llm.components import components
 
 SEGMENTS = 32
@@ -192,6 +192,7 @@ def edges(spark: SparkSession, fps: DataFrame, max_bits: int = 3, block: int = B
 def components_of(spark: SparkSession, docs: DataFrame, shingle: int = 3, max_bits: int = 3,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, fp, component_id)`` of every row: the smallest id reachable over links."""
+    bounded_batches(spark)
     prints = written(spark, fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     points = written(spark, prints.groupBy("fp").agg(F.min("id").alias("least")), "points")
     labels = written(spark, components(spark, edges(spark, points.select("fp"), max_bits)), "labels")
