@@ -6,7 +6,7 @@ to it, or, for lines of at least ``near_words`` words, when an earlier line lies
 line stays itself does not matter, so the outcome does not depend on any processing order.
 Lines of fewer than ``min_words`` words are left alone.
 
-The join: a line emits its deletion variants, the line without its i-th word, as 128-bit keys.
+The join: a line emits its deletion variants, the line without its i-th word, as hashed keys.
 
 * Two lines within one replacement share a variant and its position i. All lines that share
   both are within one replacement of each other, so every one but the earliest links to the
@@ -33,12 +33,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofspark.llm.common import packed, unpacked, written
+from asofspark.llm.common import bounded_batches, packed, unpacked, written
 
 MIN_WORDS = 3
 NEAR_WORDS = 8
-#: Distinct candidate lines whose keys are broadcast (16 bytes each); beyond it they are shuffled.
-BROADCAST_LINES = 1_000_000
+#: Distinct candidate lines whose keys are broadcast (some 40 MB in memory); more are shuffled.
+BROADCAST_LINES = 500_000
 _M64 = (1 << 64) - 1
 
 
@@ -97,30 +97,26 @@ def line_table(docs: DataFrame, near_words: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, text_key long, line_no int, n int, h1 long, h2 long, halves array<long>")
 
 
-_P1, _P2 = 0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1
+_BASE = 0x9E3779B97F4A7C15 | 1
+_BACK = np.uint64(pow(_BASE, -1, 1 << 64))
 
 
-def variants(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """128-bit keys of the line without its i-th word, for every i, and last of the whole line.
+def variants(words: list[bytes]) -> np.ndarray:
+    """Keys of the line without its i-th word, for every i, and last of the whole line.
 
-    Polynomials over the words' hashes modulo 2^64: running sums give every variant in linear
-    time, and a line equal to another's variant has that variant's key.
+    A polynomial over the words' hashes modulo 2^64: running sums give every variant in linear
+    time, and a line equal to another's variant has that variant's key. Keys only propose
+    links, which are verified.
     """
     n = len(words)
-    h = np.array([_two(w) for w in words], dtype=np.uint64).reshape(n, 2)
-    out = []
-    for col, base in ((0, _P1), (1, _P2)):
-        power = np.ones(n + 1, np.uint64)
-        power[1:] = np.cumprod(np.full(n, base, np.uint64))
-        term = h[:, col] * power[:n]
-        head = np.r_[np.uint64(0), np.cumsum(term)]  # words before i
-        tail = head[n] - head[1:]  # words after i, one power too high
-        back = np.uint64(pow(base, -1, 1 << 64))
-        keys = np.r_[head[:n] + tail * back, head[n]]
-        lengths = np.r_[np.full(n, n - 1), n].astype(np.uint64)
-        keys = (keys ^ (keys >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + lengths
-        out.append(keys.view(np.int64))
-    return out[0], out[1]
+    h = np.array([xxhash.xxh3_64_intdigest(w) for w in words], dtype=np.uint64)
+    power = np.ones(n, np.uint64)
+    power[1:] = np.cumprod(np.full(max(n - 1, 0), _BASE, np.uint64))
+    head = np.r_[np.uint64(0), np.cumsum(h * power)]  # words before i
+    tail = head[n] - head[1:]  # words after i, one power too high
+    keys = np.r_[head[:n] + tail * _BACK, head[n]]
+    lengths = np.r_[np.full(n, n - 1), n].astype(np.uint64)
+    return ((keys ^ (keys >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + lengths).view(np.int64)
 
 
 def within_one_edit(a: list[bytes], b: list[bytes]) -> bool:
@@ -135,71 +131,63 @@ def within_one_edit(a: list[bytes], b: list[bytes]) -> bool:
     return a[i + 1:] == b[i + 1:] if len(a) == len(b) else a[i + 1:] == b[i:]
 
 
-def _candidate_lines(spark: SparkSession, docs: DataFrame, distinct: DataFrame, near_words: int) -> DataFrame:
+def _candidate_lines(spark: SparkSession, docs: DataFrame, lines: DataFrame, near_words: int) -> DataFrame:
     """``(h1, h2, line)`` of each distinct line that shares a half with another one."""
-    keyed = distinct.where("halves is not null").select("h1", "h2", F.explode("halves").alias("half"))
+    keyed = lines.where("halves is not null").select("h1", F.explode("halves").alias("half"))
     shared = (keyed.groupBy("half").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"))
               .where("lo <> hi").select("half"))
-    wanted = written(spark, keyed.join(shared, "half", "left_semi").select("h1", "h2").distinct(), "candidates")
+    wanted = written(spark, keyed.join(shared, "half", "left_semi").select("h1").distinct(), "candidates")
     few = wanted.count() <= BROADCAST_LINES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            h1, h2, lines = [], [], []
+            h1, h2, found = [], [], []
             for text in b.column(0):
                 for line in text.as_py().split("\n"):
                     words = words_of(line)
                     if len(words) >= near_words:
                         x, y = line_key(words)
-                        h1.append(x), h2.append(y), lines.append(b" ".join(words).decode())
-            yield pa.record_batch([_signed(h1), _signed(h2), pa.array(lines, pa.string())], names=["h1", "h2", "line"])
+                        h1.append(x), h2.append(y), found.append(b" ".join(words).decode())
+            yield pa.record_batch([_signed(h1), _signed(h2), pa.array(found, pa.string())], names=["h1", "h2", "line"])
 
-    lines = docs.select("text").mapInArrow(run, "h1 long, h2 long, line string")
-    lines = lines.join(F.broadcast(wanted) if few else wanted, ["h1", "h2"], "left_semi")
-    return lines.groupBy("h1", "h2").agg(F.first("line").alias("line"))
+    texts = docs.select("text").mapInArrow(run, "h1 long, h2 long, line string")
+    texts = texts.join(F.broadcast(wanted) if few else wanted, "h1", "left_semi")
+    return texts.groupBy("h1", "h2").agg(F.first("line").alias("line"))
 
 
-def near_links(spark: SparkSession, docs: DataFrame, distinct: DataFrame, near_words: int) -> DataFrame:
+def near_links(spark: SparkSession, docs: DataFrame, lines: DataFrame, distinct: DataFrame, near_words: int) -> DataFrame:
     """``(h1, h2)`` of the distinct lines that have an earlier line within one edit."""
-    place = F.struct("id", "text_key", "line_no", "h1", "h2")
-    found = _candidate_lines(spark, docs, distinct, near_words)
-    lines = written(spark, found.join(distinct.drop("halves", "n"), ["h1", "h2"]), "near-lines")
+    found = _candidate_lines(spark, docs, lines, near_words)
+    # a candidate's rank ascends with its place: it orders the line and names it
+    place = ["id", "text_key", "line_no"]
+    ranked = (found.join(distinct, ["h1", "h2"]).repartitionByRange(*place).sortWithinPartitions(*place)
+              .select(F.monotonically_increasing_id().alias("rank"), "h1", "h2", "line"))
+    ranked = written(spark, ranked, "near-lines")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["v1", "v2", "i", *batch_names]
         for b in batches:
             for s in range(0, b.num_rows, 512):
                 part = b.slice(s, 512)
-                v1, v2, at, pos = [], [], [], []
-                for r, line in enumerate(part.column(0)):
-                    a, c = variants(line.as_py().encode().split())
-                    v1.append(a), v2.append(c)
-                    at.append(np.full(len(a), r)), pos.append(np.r_[np.arange(len(a) - 1), -1])
-                rows = pa.array(np.concatenate(at))
-                yield pa.record_batch(
-                    [pa.array(np.concatenate(v1)), pa.array(np.concatenate(v2)), pa.array(np.concatenate(pos), pa.int32()),
-                     *[part.column(k).take(rows) for k in range(1, part.num_columns)]], names=names)
-
-    batch_names = ["h1", "h2", "id", "text_key", "line_no"]
-    schema = "v1 long, v2 long, i int, h1 long, h2 long, id long, text_key long, line_no int"
-    keys = lines.select("line", *batch_names).mapInArrow(run, schema)
-    # only keys that two lines share go further
-    per = keys.groupBy("v1", "v2", "i").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    per = written(spark, per, "variants")
-    subs = per.where("i >= 0 and n > 1").select("v1", "v2", "i", "first")
-    stars = keys.where("i >= 0").join(subs, ["v1", "v2", "i"]).select(place.alias("line"), "first").where("line > first")
-    whole = per.where("i < 0").select("v1", "v2", F.col("first").alias("whole"))
-    least = per.where("i >= 0").groupBy("v1", "v2").agg(F.min("first").alias("first"))
-    meets = whole.join(least, ["v1", "v2"])
-    shorter = meets.where("first < whole").select(F.col("whole").alias("line"), "first")
-    longer = (keys.where("i >= 0").join(whole.join(least.select("v1", "v2"), ["v1", "v2"]), ["v1", "v2"])
-              .select(place.alias("line"), F.col("whole").alias("first")).where("line > first"))
-    links = stars.union(shorter).union(longer).groupBy("line").agg(F.min("first").alias("first"))
-    links = links.select(F.col("line.h1").alias("h1"), F.col("line.h2").alias("h2"),
-                         F.col("first.h1").alias("g1"), F.col("first.h2").alias("g2"))
-    texts = lines.select("h1", "h2", "line")
-    other = texts.toDF("g1", "g2", "earlier")
-    both = links.join(texts, ["h1", "h2"]).join(other, ["g1", "g2"]).select("h1", "h2", "line", "earlier")
+                keys = [variants(line.as_py().encode().split()) for line in part.column(1)]
+                at = np.repeat(np.arange(part.num_rows), [len(k) for k in keys])
+                gone = [np.r_[np.arange(len(k) - 1), -1] for k in keys]
+                yield pa.record_batch([pa.array(np.concatenate(keys)), pa.array(np.concatenate(gone), pa.int32()),
+                                       part.column(0).take(pa.array(at))], names=["v", "i", "rank"])
+
+    keys = written(spark, ranked.select("rank", "line").mapInArrow(run, "v long, i int, rank long"), "variants")
+    # lines that share a variant and its place: a star around the earliest
+    subs = (keys.where("i >= 0").groupBy("v", "i").agg(F.min("rank").alias("first"), F.count("*").alias("n"))
+            .where("n > 1").drop("n"))
+    stars = keys.where("i >= 0").join(subs, ["v", "i"]).select("rank", "first")
+    # a whole line that is another's variant
+    met = (keys.groupBy("v").agg(F.min(F.when(F.col("i") >= 0, F.col("rank"))).alias("least"),
+                                 F.max(F.when(F.col("i") < 0, F.col("rank"))).alias("whole"))
+           .where("least is not null and whole is not null"))
+    shorter = met.select(F.col("whole").alias("rank"), F.col("least").alias("first"))
+    longer = keys.where("i >= 0").join(met, "v").select("rank", F.col("whole").alias("first"))
+    links = stars.union(shorter).union(longer).where("first < rank").groupBy("rank").agg(F.min("first").alias("first"))
+    earlier = ranked.select(F.col("rank").alias("first"), F.col("line").alias("earlier"))
+    both = links.join(ranked, "rank").join(earlier, "first").select("h1", "h2", "line", "earlier")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -215,16 +203,16 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, *, min_words: int = MIN_
     """``(id, text_key, lines, gone)`` of ``docs(id, text, text_key)``: the number of lines and the
     sorted numbers of those that go. Documents that lose none are absent.
     """
+    bounded_batches(spark)
     lines = written(spark, line_table(docs, near_words), "lines")
     place = F.struct("id", "text_key", "line_no")
-    first = lines.where(F.col("n") >= min_words).groupBy("h1", "h2", "n").agg(
-        F.min(place).alias("first"), F.any_value("halves").alias("halves"))
-    distinct = written(spark, first.select("h1", "h2", "n", "first.id", "first.text_key", "first.line_no", "halves"),
-                       "distinct")
-    near = near_links(spark, docs, distinct, near_words).withColumn("near", F.lit(True))
+    long = lines.where(F.col("n") >= min_words)
+    first = long.groupBy("h1", "h2").agg(F.min(place).alias("first"))
+    distinct = written(spark, first.select("h1", "h2", "first.id", "first.text_key", "first.line_no"), "distinct")
+    near = near_links(spark, docs, lines, distinct, near_words).withColumn("near", F.lit(True))
     known = distinct.select("h1", "h2", F.struct("id", "text_key", "line_no").alias("first")).join(near, ["h1", "h2"], "left")
-    gone = (lines.where(F.col("n") >= min_words).join(known, ["h1", "h2"])
-            .where(F.col("near") | (place > F.col("first"))).select("id", "text_key", "line_no").distinct())
+    gone = (long.select("id", "text_key", "line_no", "h1", "h2").join(known, ["h1", "h2"])
+            .where(F.col("near") | (place > F.col("first"))).select("id", "text_key", "line_no"))
     return gone.groupBy("id", "text_key").agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
 
 
