@@ -1007,6 +1007,12 @@ SELECT CAST(l_orderkey AS BIGINT) AS posting, interval_start, settlement_point,
        'api' AS source, problem FROM t
 """
 
+ORACLES["bundle_window"] = f"""
+WITH {_INGEST}
+SELECT CAST(doc_id AS BIGINT) AS doc_id, posted_at, count(*) AS n_lines FROM r
+WHERE posted_at > TIMESTAMP '2024-01-10' AND posted_at <= TIMESTAMP '2024-01-20' GROUP BY ALL
+"""
+
 ORACLES["catalog_publish"] = """
 WITH t AS (SELECT DISTINCT event_type AS product FROM events)
 SELECT product, CASE WHEN product = 'signup' THEN NULL ELSE 'series' END AS "table",

@@ -874,6 +874,14 @@ def bundle_scan(spark, sf):
     return FX.typed_events(rec).select("event_id", "ts", "user_id", "event_type", "value", "posted_local", "doc_id")
 
 
+@query
+def bundle_window(spark, sf):
+    """The postings of all bundles published in ten days."""
+    root = _landed_zips(spark, sf, bundles=True)
+    rec = AR.member_posting(AR.csv_records(AR.read_archives(spark, root)))
+    return AR.bundle_postings(rec, "2024-01-10 00:00:00", "2024-01-20 00:00:00").select("doc_id", "posted_at", "n_lines")
+
+
 from asofspark.plans import compact as CP  # noqa: E402
 from asofspark.sources import lake as LK  # noqa: E402
 

@@ -126,6 +126,21 @@ def member_posting(records: DataFrame, listed_utc=None) -> DataFrame:
     return records.withColumn("posted_local", local).withColumn("posted_at", posted).withColumn("doc_id", doc_id)
 
 
+def bundle_postings(records: DataFrame, post_from, post_to, tz: str = T.CT) -> DataFrame:
+    """SRC05 + SRC07: the postings of bundles published in ``(post_from, post_to]``, oldest first, ties
+    by document: path, doc, doc_id, posted_at and the number of their lines. Stamps in the
+    repeated hour are told apart by the order of the documents in their bundle; members without a
+    stamp are skipped. ``records`` comes from :func:`member_posting`."""
+    from asofspark.operators.repeated import resolve_repeated_hour
+
+    heads = (records.filter(F.col("posted_local").isNotNull()).groupBy("path", "doc", "doc_id", "posted_local")
+             .agg(F.count(F.lit(1)).alias("n_lines")))
+    dated = resolve_repeated_hour(heads, order="doc_id", local="posted_local", by=["path"], tz=tz, out="posted_at")
+    lo, hi = F.lit(post_from).cast("timestamp_ntz"), F.lit(post_to).cast("timestamp_ntz")
+    dated = dated.filter((F.col("posted_at") > lo) & (F.col("posted_at") <= hi))
+    return dated.select("path", "doc", "doc_id", "posted_at", "n_lines").orderBy("posted_at", "doc_id")
+
+
 # -- writing archives (landing fixtures and exports) ------------------------------------------
 
 
