@@ -81,6 +81,15 @@ ASOF LEFT JOIN (SELECT user_id, ts AS posted_at, value AS view_value FROM events
 ORACLES["pit_join"] = _PIT_JOIN
 ORACLES["pit_join_bucketed"] = _PIT_JOIN
 
+ORACLES["pit_join_null_keys"] = """
+WITH k AS (SELECT *, CASE WHEN user_id % 7 <> 0 THEN user_id END AS key FROM events),
+p AS (SELECT event_id, key, CASE WHEN event_id % 5 <> 0 THEN ts END AS at FROM k WHERE event_type = 'purchase'),
+v AS (SELECT key, ts AS posted_at, max(value) AS view_value FROM k WHERE event_type = 'view' GROUP BY ALL)
+SELECT p.event_id AS decision_id, p.key AS user_id, p.at AS decision_ts, x.posted_at AS known_posted, x.view_value
+FROM p LEFT JOIN LATERAL (SELECT posted_at, view_value FROM v WHERE v.key IS NOT DISTINCT FROM p.key AND v.posted_at <= p.at
+                          ORDER BY posted_at DESC LIMIT 1) x ON true
+"""
+
 
 # --- zone-exact time rules -------------------------------------------------------------------
 # The oracle spells the Central-time rule out from DuckDB's UTC -> local conversion (which is
@@ -876,6 +885,18 @@ SELECT product, count(*) AS partitions, CAST(sum(nb) AS BIGINT) AS batches_in, C
 FROM p GROUP BY product
 """
 
+ORACLES["compaction_off_contract"] = f"""
+WITH {_CURATED},
+p AS (SELECT product, date, count(DISTINCT batch) AS nb, count(*) AS n,
+             count(DISTINCT batch) > 1 AND date = DATE '2024-01-05' AND product IN ('ev-click', 'ev-view')
+               AND bool_or(batch = 'part-20240105T000000Z') AS odd
+      FROM cu GROUP BY product, date HAVING count(DISTINCT batch) >= 2)
+SELECT product, count(*) FILTER (WHERE NOT odd) AS partitions, CAST(coalesce(sum(nb) FILTER (WHERE NOT odd), 0) AS BIGINT) AS batches_in,
+       CAST(coalesce(sum(n) FILTER (WHERE NOT odd), 0) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS leftovers,
+       count(*) FILTER (WHERE odd) AS skipped
+FROM p GROUP BY product
+"""
+
 ORACLES["compaction_identity"] = f"""
 WITH {_CURATED}
 SELECT product, interval_start, series, posted_at, value FROM cu
@@ -939,6 +960,26 @@ SELECT f.product, coalesce(a.docs, 0) AS docs, coalesce(a.rows, 0) AS rows, coal
 FROM f LEFT JOIN a ON f.product = a.product LEFT JOIN stop ON f.product = stop.product
 """
 
+ORACLES["ingest_manifests"] = f"""
+WITH {_INGEST},
+a AS (SELECT product, count(DISTINCT doc_id) AS docs, count(*) AS rows, max(posted_at) AS last_posted_at,
+             max(interval_start) AS latest_interval_start FROM acc GROUP BY product),
+f AS (SELECT DISTINCT product FROM st)
+SELECT f.product, coalesce(a.docs, 0) AS docs, coalesce(a.rows, 0) AS rows, a.last_posted_at, a.latest_interval_start
+FROM f LEFT JOIN a ON f.product = a.product
+"""
+
+_CORRUPT = _INGEST.replace("max(n) > 1 AS failed",
+                           "max(n) > 1 OR (product IN ('ev-click', 'ev-view', 'ev-error') AND CAST("
+                           + _local("posted_at") + " AS DATE) = DATE '2024-01-08') AS failed")
+ORACLES["ingest_corrupt_posting"] = f"""
+WITH {_CORRUPT},
+a AS (SELECT product, count(DISTINCT doc_id) AS docs, count(*) AS rows, max(posted_at) AS last_posted_at FROM acc GROUP BY product),
+f AS (SELECT product, count(*) FILTER (WHERE failed) AS failed FROM st GROUP BY product)
+SELECT f.product, coalesce(a.docs, 0) AS docs, coalesce(a.rows, 0) AS rows, f.failed, stop.stopped_at, a.last_posted_at
+FROM f LEFT JOIN a ON f.product = a.product LEFT JOIN stop ON f.product = stop.product
+"""
+
 ORACLES["backfill_no_watermark"] = f"""
 WITH {_INGEST},
 a AS (SELECT product, max(posted_at) AS last_posted_at FROM acc GROUP BY product),

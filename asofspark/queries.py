@@ -108,6 +108,19 @@ def pit_join_bucketed(spark, sf):
                                   posted="posted_at", value_cols=["view_value"], bucket="1 hour")
 
 
+@query
+def pit_join_null_keys(spark, sf):
+    """Keys and decision times that are NULL here and there: NULL keys match, no decision is lost."""
+    decisions, facts = _purchases_and_views(spark, sf)
+    lost = F.lit(None).cast("bigint")
+    key = F.when(F.col("user_id") % 7 == 0, lost).otherwise(F.col("user_id"))
+    at = F.when(F.col("decision_id") % 5 != 0, F.col("decision_ts"))
+    decisions = decisions.withColumn("user_id", key).withColumn("decision_ts", at)
+    facts = facts.withColumn("user_id", key).groupBy("user_id", "posted_at").agg(F.max("view_value").alias("view_value"))
+    return pit.point_in_time_join(decisions, facts, on="user_id", decision_time="decision_ts",
+                                  posted="posted_at", value_cols=["view_value"])
+
+
 # --- zone-exact time rules (FN01-FN19, WIN02, PRJ09) ----------------------------------------
 
 from asofspark.functions import parse as P  # noqa: E402
@@ -1005,6 +1018,21 @@ def compaction_identity(spark, sf):
         "product", "interval_start", "series", "posted_at", "value")
 
 
+@query
+def compaction_off_contract(spark, sf):
+    """A lake in which the clicks of one day have a column more and the views of one day another type:
+    those partitions are skipped and reported, all other products are merged."""
+    root = scratch_path(spark, "lake")
+    rows = _curated_events(spark, sf)
+    day = F.col("date") == F.lit("2024-01-05").cast("date")
+    first = F.col("batch") == F.lit("part-20240105T000000Z")
+    more, other = day & first & (F.col("product") == "ev-click"), day & first & (F.col("product") == "ev-view")
+    LK.write_curated(rows.filter(~more & ~other), root)
+    LK.write_curated(rows.filter(more).withColumn("note", F.lit("x")), root)
+    LK.write_curated(rows.filter(other).withColumn("value", F.col("value").cast("string")), root)
+    return CP.compact(spark, root, now=_COMPACT_NOW, key=["interval_start", "series"])
+
+
 @query
 def leftover_files(spark, sf):
     li = read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_suppkey")
@@ -1043,6 +1071,28 @@ def ingest_summary(spark, sf):
     return summary.select("product", "docs", "rows", "partitions", "last_posted_at", "failed", "stopped_at")
 
 
+@query
+def ingest_manifests(spark, sf):
+    root, _, _ = _ingested_lake(spark, sf)
+    return IN.read_state(spark, root, "manifests").select(
+        "product", F.col("docs").cast("bigint").alias("docs"), F.col("rows").cast("bigint").alias("rows"), "last_posted_at",
+        "latest_interval_start")
+
+
+@query
+def ingest_corrupt_posting(spark, sf):
+    """One day's postings are cut short (clicks), empty (views) or not zips (errors): those products stop
+    there, the others go on."""
+    raw = FX.raw_postings(spark, sf)
+    day = T.delivery_date("posted_at") == F.lit("2024-01-08").cast("date")
+    bad = F.when(F.col("product") == "ev-click", F.expr("substring(content, 1, length(content) div 2)")).when(
+        F.col("product") == "ev-view", F.lit(AR.zip_members([("empty.csv", b"")]))).when(
+        F.col("product") == "ev-error", F.lit(b"not a zip"))
+    raw = raw.withColumn("content", F.when(day, F.coalesce(bad, F.col("content"))).otherwise(F.col("content")))
+    summary = IN.ingest(spark, raw, FX.event_declarations(), scratch_path(spark, "ingest"), ingested_at=_INGESTED)
+    return summary.select("product", "docs", "rows", "failed", "stopped_at", "last_posted_at")
+
+
 @query
 def backfill_no_watermark(spark, sf):
     root, raw, _ = _ingested_lake(spark, sf)
