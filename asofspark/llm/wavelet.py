@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from asofspark.llm.common import text_of, written
+from asofspark.llm.common import bounded_batches, text_of, written
 from asofspark.llm.ranges import by_range
 from asofspark.llm.tokens import encoder
 from asofspark.session import scratch_path
@@ -56,10 +56,9 @@ def build(tokens: np.ndarray) -> tuple[int, list[tuple[np.ndarray, np.ndarray]]]
     seq = tokens.astype(np.uint16 if bits <= 16 else np.uint32)
     planes = []
     for level in range(bits - 1, -1, -1):
-        bit = (seq >> seq.dtype.type(level)) & seq.dtype.type(1)
-        packed = np.packbits(bit.view(np.uint8)[::seq.itemsize], bitorder="little")
-        ones = bit.astype(bool)
-        seq = np.concatenate([seq[~ones], seq[ones]])
+        ones = (seq & seq.dtype.type(1 << level)) != 0
+        packed = np.packbits(ones, bitorder="little")
+        seq = np.concatenate([np.compress(~ones, seq), np.compress(ones, seq)])
         planes.append((_samples(packed), packed))
     return bits, planes
 
@@ -184,8 +183,8 @@ class Shard:
             packed, _, zeros = self._plane(level)
             ones = np.unpackbits(packed, count=self.n, bitorder="little").view(bool)
             merged = np.empty_like(seq)
-            merged[~ones] = seq[:zeros]
-            merged[ones] = seq[zeros:] | seq.dtype.type(1 << (self.bits - 1 - level))
+            merged[np.flatnonzero(~ones)] = seq[:zeros]
+            merged[np.flatnonzero(ones)] = seq[zeros:] | seq.dtype.type(1 << (self.bits - 1 - level))
             seq = merged
         return seq.astype("<u4")
 
@@ -209,6 +208,7 @@ def write_file(folder: str, name: str, data: bytes) -> None:
 def write_shards(spark: SparkSession, docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: int,
                  shard_tokens: int = SHARD_TOKENS, id_col: str = "doc_id", text_col: str = "text") -> int:
     """Encode all documents and write their shards to ``folder``; returns the number of files."""
+    bounded_batches(spark)
     store, root = _store(folder)
     store.create_dir(root, recursive=True)
     slim = docs.select(docs[id_col].cast("long").alias("id"), text_of(docs, text_col).alias("text"))
@@ -276,6 +276,7 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 def digests(spark: SparkSession, folder: str) -> DataFrame:
     """Per document read back: id, start (tokens of all documents before it), n_tokens, ids_crc32."""
+    bounded_batches(spark)
     rows = written(spark, read_shards(spark, folder).select(
         "bucket", "file", "id", "in_file", "file_tokens",
         (F.length("tokens") / 4).cast("long").alias("n_tokens"), F.crc32("tokens").alias("ids_crc32")), "shard-rows")
