@@ -12,13 +12,18 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 from functools import lru_cache
 
 import numpy as np
 
-REMEMBERED = 400_000
+#: Distinct words an encoder remembers; when it is full, those met once since are forgotten.
+REMEMBERED = 800_000
 _JOINED = 400
 _INSIDE_RUN = re.compile(r"\s (?=\s|\Z)")
+_RUN = re.compile(r"\s\s|\s\Z")
+#: ASCII punctuation without the apostrophe, which may open a contraction.
+_MARKS = string.punctuation.replace("'", "")
 
 
 def byte_bpe_path() -> str:
@@ -46,62 +51,74 @@ class WordEncoder:
         # byte-level without a normalizer: the space belongs to the word after it
         self.leading = parts["normalizer"] is None and parts["pre_tokenizer"]["type"] == "ByteLevel"
         vocab = self.tokenizer.get_vocab()
-        self.starts_word = np.zeros(max(vocab.values()) + 1, bool)
-        if self.leading:
-            self.starts_word[[i for t, i in vocab.items() if t.startswith("Ġ")]] = True
-        else:
-            (self.between,) = self.tokenizer.encode("1", add_special_tokens=False).ids
+        # ids by which words are told apart in a joined text: the first or the last id of each
+        self.edge = np.zeros(max(vocab.values()) + 1, bool)
+        self.edge[[i for t, i in vocab.items() if (t.startswith("Ġ") if self.leading else t.endswith("</w>"))]] = True
         self.remembered = remembered
-        self._forget()
-
-    def _forget(self) -> None:
         self.code: dict[str, int] = {}
         self.flat = np.zeros(1 << 20, np.uint32)
         self.at = np.zeros(1 << 16, np.int64)
         self.length = np.zeros(1 << 16, np.int64)
+        self.met = np.zeros(1 << 16, np.int64)
         self.used = 0
 
+    def _forget(self) -> None:
+        """Keep the words that were met again since they were learnt."""
+        words = list(self.code)
+        keep = np.flatnonzero(self.met[:len(words)] > 1)[:self.remembered // 2]
+        lengths = self.length[keep]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        self.flat[:total] = self.flat[np.repeat(self.at[keep] - (ends - lengths), lengths) + np.arange(total)]
+        self.at[:len(keep)], self.length[:len(keep)] = ends - lengths, lengths
+        self.met[:] = 0
+        self.code = {words[k]: n for n, k in enumerate(keep.tolist())}
+        self.used = total
+
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, words: list[str]) -> list:
-        """Ids of each word; many words go through the library as one text where that is exact."""
-        lead = " " if self.leading else ""
-        plain = [w for w in words if w and not w[0].isspace() and not w[-1].isspace() and "1" not in w]
-        known = {}
-        for s in range(0, len(plain), _JOINED):
-            part = plain[s:s + _JOINED]
-            text = "".join(" " + w for w in part) if self.leading else " 1 ".join(part)
-            ids = np.array(self.whole([text])[0], np.uint32)
-            if self.leading:
-                cuts = np.flatnonzero(self.starts_word[ids])
-                pieces = np.split(ids, cuts[1:]) if len(cuts) == len(part) and cuts[0] == 0 else None
-            else:
-                cuts = np.flatnonzero(ids == self.between)
-                pieces = None
-                if len(cuts) == len(part) - 1:
-                    pieces = np.split(np.delete(ids, cuts), cuts - np.arange(len(cuts)))
-            if pieces is not None:
-                known.update(zip(part, pieces, strict=True))
-        rest = [w for w in words if w not in known]
-        known.update(zip(rest, self.whole([lead + w for w in rest]), strict=True))
-        return [known[w] for w in words]
-
-    def _learn(self, keys: list[str], ids: list) -> None:
-        n, need = len(self.code), sum(map(len, ids))
+    def _learn(self, keys: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
+        n, need = len(self.code), len(ids)
         while self.used + need > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while n + len(keys) > len(self.at):
-            self.at = np.concatenate([self.at, np.zeros_like(self.at)])
-            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+            self.at, self.length, self.met = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.length, self.met))
         self.length[n:n + len(keys)] = lengths
         self.at[n:n + len(keys)] = self.used + np.cumsum(lengths) - lengths
-        if need:
-            self.flat[self.used:self.used + need] = np.concatenate([np.asarray(x, np.uint32) for x in ids])
+        self.flat[self.used:self.used + need] = ids
         self.used += need
         self.code.update(zip(keys, range(n, n + len(keys)), strict=True))
 
+    def _learn_each(self, keys: list[str], texts: list[str]) -> None:
+        if keys:
+            ids = self.whole(texts)
+            self._learn(keys, np.fromiter(map(len, ids), np.int64, len(ids)),
+                        np.array([i for x in ids for i in x], np.uint32))
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Many words go through the library as one text where the ids tell them apart again."""
+        if self.leading:  # the first id of a word, and only it, starts with the space
+            ends = [1] * len(words)
+        else:  # letters, and punctuation after them, surely end in one last id each
+            stems = [w.rstrip(_MARKS) for w in words]
+            odd = [w for w, x in zip(words, stems, strict=True) if not x.isalpha()]
+            self._learn_each(odd, odd)
+            ends = [1 + (len(w) > len(x)) for w, x in zip(words, stems, strict=True) if x.isalpha()]
+            words = [w for w, x in zip(words, stems, strict=True) if x.isalpha()]
+        for s in range(0, len(words), _JOINED):
+            part, upto = words[s:s + _JOINED], np.cumsum(ends[s:s + _JOINED])
+            text = " " + " ".join(part)
+            if not _RUN.search(text):
+                ids = np.array(self.whole([text])[0], np.uint32)
+                edges = np.flatnonzero(self.edge[ids])
+                if len(edges) == upto[-1]:
+                    stops = np.r_[edges[1:], len(ids)] if self.leading else edges[upto - 1] + 1
+                    if stops[-1] == len(ids) and (edges[0] == 0 or not self.leading):
+                        self._learn(part, np.diff(stops, prepend=0), ids)
+                        continue
+            self._learn_each(part, [" " + w for w in part] if self.leading else part)
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as unsigned 32-bit integers."""
         if len(self.code) > self.remembered:
@@ -109,20 +126,20 @@ class WordEncoder:
         cut = [None if self.leading and _INSIDE_RUN.search(t) else t.split(" ") for t in texts]
         odd = [t for t, c in zip(texts, cut, strict=True) if c is None]
         odd = iter(self.whole(odd) if odd else [])
-        words = [w for c in cut if c is not None for w in c]
-        if self.leading:  # the first word has no space before it: remembered under a name of its own
-            k = 0
-            for c in cut:
-                if c is not None:
-                    words[k] = "\0 " + words[k]
-                    k += len(c)
-        new = list(dict.fromkeys(w for w in words if w not in self.code))
+        words, first = [], set()
+        for c in cut:
+            if c is not None:
+                if self.leading:  # the first word has no space before it: remembered under a name of its own
+                    c[0] = "\0 " + c[0]
+                    first.add(c[0])
+                words += c
+        new = set(words).difference(self.code)
         if new:
-            first = [w for w in new if w.startswith("\0 ")] if self.leading else []
-            led = [w for w in new if not w.startswith("\0 ")] if self.leading else new
-            self._learn(led, self._words(led))
-            self._learn(first, self.whole([w[2:] for w in first]))
+            self._learn_words(list(new - first))
+            alone = list(new & first)
+            self._learn_each(alone, [w[2:] for w in alone])
         codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+        self.met += np.bincount(codes, minlength=len(self.met))
         lengths = self.length[codes]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
