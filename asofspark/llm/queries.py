@@ -132,10 +132,65 @@ def op4_tool_calls(spark, sf_dir):
     conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     out = toolcalls.link_tool_calls(spark, derived_calls(conversations), derived_results(conversations), TOOLS)
     return out.select("conv_id", "call_id", F.col("pos").cast("long").alias("pos"), "name",
-                      F.col("level").cast("long").alias("level"), "status", F.array_join("problems", "; ").alias("problems"),
+                      F.col("step").cast("long").alias("step"), F.col("level").cast("long").alias("level"), "status", F.array_join("problems", "; ").alias("problems"),
                       F.length("result").cast("long").alias("result_chars"), F.sha2(F.col("message").cast("binary"), 256).alias("message_sha256"))
 
 
+ORACLES["op4_tool_calls"] = r"""
+WITH RECURSIVE u AS (
+  SELECT conv_id, turn, 'call_' || conv_id || '_' || turn AS call_id,
+         CASE WHEN conv_id % 23 = 2 THEN 'unknown'
+              ELSE ['calculate', 'search', 'translate'][(conv_id + turn) % 3 + 1] END AS name,
+         '"' || translate(substr(coalesce(text, ''), 1, 24), chr(10) || '"' || '\\', '   ') || '"' AS said,
+         CASE WHEN conv_id % 11 = 5 THEN '"' || turn || '"' ELSE turn::VARCHAR END AS num
+  FROM conversations WHERE role = 'user'),
+f AS (SELECT *, CASE name WHEN 'calculate' THEN 'expression' WHEN 'translate' THEN 'text' ELSE 'query' END AS main,
+             CASE name WHEN 'calculate' THEN 'precision' WHEN 'translate' THEN 'to' ELSE 'limit' END AS other,
+             CASE WHEN name = 'translate' THEN '"en"' ELSE num END AS val,
+             conv_id % 13 = 7 AS odd, conv_id % 17 = 3 AS cut FROM u),
+a AS (SELECT *, CASE WHEN odd THEN 'z' ELSE main END AS key1, CASE WHEN odd THEN '1' ELSE said END AS val1 FROM f),
+n AS (SELECT conv_id, call_id AS child, unnest(list_filter([
+        CASE WHEN turn >= 2 THEN 'call_' || conv_id || '_' || (turn - 2) END,
+        CASE WHEN turn >= 4 AND conv_id % 2 = 0 THEN 'call_' || conv_id || '_' || (turn - 4) END,
+        CASE WHEN conv_id % 29 = 4 THEN 'call_' || conv_id || '_999' END,
+        CASE WHEN conv_id % 31 = 6 AND turn < 2 THEN 'call_' || conv_id || '_' || (turn + 2) END], lambda x: x IS NOT NULL)) AS need
+      FROM u),
+e AS (SELECT n.child, n.need AS parent FROM n JOIN u ON u.call_id = n.need),
+lost AS (SELECT child, list_sort(list('unknown need: ' || need)) AS l
+         FROM n WHERE NOT EXISTS (FROM u WHERE u.call_id = n.need) GROUP BY child),
+span AS (SELECT c.conv_id, min(c.turn) AS lo, max(q.turn) AS hi FROM e JOIN u c ON c.call_id = e.child
+         JOIN u q ON q.call_id = e.parent WHERE q.turn >= c.turn GROUP BY c.conv_id),
+ins AS (SELECT u.call_id AS k, lo FROM u JOIN span USING (conv_id) WHERE turn BETWEEN lo AND hi),
+ei AS (SELECT * FROM e WHERE child IN (SELECT k FROM ins) AND parent IN (SELECT k FROM ins)),
+ring AS (SELECT x.child AS k FROM ei x JOIN ei b ON b.child = x.parent AND b.parent = x.child
+         UNION SELECT ei.child FROM ring JOIN ei ON ei.parent = ring.k),
+path AS (SELECT k, 0 AS level FROM ins WHERE k NOT IN (SELECT k FROM ring)
+         UNION SELECT ei.child, path.level + 1 FROM path JOIN ei ON ei.parent = path.k WHERE ei.child NOT IN (SELECT k FROM ring)),
+lv AS (SELECT ins.k, any_value(lo) AS lo, max(level) AS level FROM ins LEFT JOIN path USING (k) GROUP BY ins.k),
+r AS (SELECT conv_id, turn, 'call_' || conv_id || '_' || (turn - 1) AS call_id, text FROM conversations WHERE role = 'assistant'),
+p AS (SELECT a.*, coalesce(lv.lo, turn_) AS step, CASE WHEN lv.k IS NULL THEN 0 ELSE lv.level END AS level, r.call_id AS answered, r.text AS result,
+        CASE WHEN cut THEN ['arguments: not JSON'] WHEN name = 'unknown' THEN ['unknown tool'] ELSE list_sort(list_filter([
+          CASE WHEN odd THEN main || ': missing' END, CASE WHEN odd THEN 'z: not in the schema' END,
+          CASE WHEN a.conv_id % 11 = 5 AND name <> 'translate' THEN other || ': not of type integer' END], lambda x: x IS NOT NULL)) END
+        || coalesce(lost.l, []) AS problems,
+        CASE WHEN cut THEN '{"malformed":' || to_json('{"' || key1 || '": ' || val1 || ', "' || other || '": ' || val) || '}'
+             WHEN key1 < other THEN '{"' || key1 || '":' || val1 || ',"' || other || '":' || val || '}'
+             ELSE '{"' || other || '":' || val || ',"' || key1 || '":' || val1 || '}' END AS args
+      FROM (SELECT *, turn AS turn_ FROM a) a LEFT JOIN lv ON lv.k = a.call_id LEFT JOIN r ON r.call_id = a.call_id LEFT JOIN lost ON lost.child = a.call_id)
+SELECT conv_id, call_id, turn AS pos, name, step::BIGINT AS step, level::BIGINT AS level,
+       CASE WHEN level IS NULL THEN 'cyclic' WHEN len(problems) > 0 THEN 'invalid' WHEN answered IS NULL THEN 'no result'
+            ELSE 'linked' END AS status,
+       coalesce(array_to_string(problems, '; '), '') AS problems, length(result)::BIGINT AS result_chars,
+       sha256('{"arguments":' || args || ',"id":"' || call_id || '"'
+              || ',"name":"' || name || '"' || CASE WHEN result IS NULL THEN '' ELSE ',"result":' || to_json(result) END || '}')
+         AS message_sha256
+FROM p
+UNION ALL
+SELECT r.conv_id, r.call_id, r.turn, NULL, NULL, NULL, 'orphan result', '', length(r.text), NULL
+FROM r WHERE NOT EXISTS (FROM u WHERE u.call_id = r.call_id)
+"""
+
+
 @query
 def op5_wavelet_shards(spark, sf_dir):
     folder = wavelet.shard_folder(spark)

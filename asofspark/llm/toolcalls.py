@@ -1,15 +1,19 @@
 """Tool-call linking, in DataFrame functions only.
 
-Calls and results are hash-joined by (conversation, call id). Calls are ordered by Kahn's rounds over
-the calls they need: a call's ``level`` is the length of the longest chain of calls before it, and
-(level, position) is a topological order of its conversation. Arguments are parsed as JSON
-variants, validated against the tool's schema, and the linked message is serialised as canonical
-JSON: no blanks, keys sorted at every depth.
-
-Rounds work on the edges that are still waiting, for all conversations at once, so a conversation
-of any size is rows in a join, never a group in a task; there are as many rounds as the longest
-chain is long. Each round is written to the shared folder. Calls on or behind a cycle are
-never released and are reported as such.
+Calls and results are hash-joined by (conversation, call id). A call is ordered after the calls it
+needs: (step, level, position) is a topological order of its conversation. Arguments are parsed
+as JSON variants, validated against the tool's schema, and the linked message is serialised as
+canonical JSON: no blanks, keys sorted at every depth.
+
+Order: most calls stand behind those they need already, and then their position is their step. One
+join finds the needs that run against the positions; a conversation's span reaches from the first
+call with such a need to the last call so needed. Only calls inside a span are ordered anew, by
+Kahn's rounds over the needs inside it: they share the span's first position as step, and their
+level is the longest chain before them in the span. Needs that cross a span's edge run with
+the positions, so the order holds for the conversation. There are as many rounds as the longest
+chain in a span is long, each written to the shared folder, and none for conversations in order;
+conversations of any size are rows in joins, never a group in a task. Calls of a span on or
+behind a cycle are never released and are reported as cyclic.
 
 Cases: of calls that share a conversation and id the first (by position, then content) counts, the
 others are counted in ``copies``; so with results. A result without a call is a row of its own
@@ -82,7 +86,7 @@ def link_tool_calls(spark: SparkSession, calls: DataFrame, results: DataFrame,
 
     ``calls(conv_id, pos, call_id, name, arguments, needs)``, ``results(conv_id, pos, call_id,
     content)``; ``schemas``: tool -> field -> (type, required). Returns conv_id, call_id, pos, name,
-    level, status, problems, copies, result, result_copies, message (canonical JSON).
+    step, level, status, problems, copies, result, result_copies, message (canonical JSON).
     """
     calls = calls.select("conv_id", "call_id", "pos", "name", "arguments", "needs").withColumn("key", _key("conv_id", F.col("call_id")))
     content = F.struct("pos", "name", "arguments", "needs")
@@ -94,10 +98,23 @@ def link_tool_calls(spark: SparkSession, calls: DataFrame, results: DataFrame,
     needs = one.select(F.col("key").alias("child"), F.explode("needs").alias("need"), "conv_id").where("need is not null")
     needs = needs.withColumn("parent", _key("conv_id", F.col("need"))).select("child", "parent", "need").distinct()
     there = one.select(F.col("key").alias("parent"))
-    edges = needs.join(there, "parent", "left_semi").select("child", "parent")
+    at = F.coalesce("pos", F.lit(-(1 << 63)))
+    places = one.select("key", "conv_id", at.alias("at"))
+    edges = (needs.join(places.select(F.col("key").alias("parent"), F.col("at").alias("parent_at")), "parent")
+             .join(places.select(F.col("key").alias("child"), F.col("at").alias("child_at"), "conv_id"), "child"))
+    against = edges.where("parent_at >= child_at")
+    spans = written(spark, against.groupBy(F.struct("conv_id").alias("conv")).agg(
+        F.min("child_at").alias("lo"), F.max("parent_at").alias("hi")), "spans")
+    inside = (places.withColumn("conv", F.struct("conv_id")).join(spans, "conv")
+              .where("at >= lo and at <= hi").select("key", "lo"))
+    order = one.select("key").limit(0).withColumn("level", F.lit(0))
+    if not spans.isEmpty():
+        inside = written(spark, inside, "inside")
+        held = inside.select("key")
+        order = levels(spark, held, edges.join(held.toDF("child"), "child", "left_semi").join(held.toDF("parent"), "parent", "left_semi"))
+    order = inside.join(order, "key", "left").select(F.col("key").alias("o_key"), F.col("lo").alias("o_step"), F.col("level").alias("o_level"))
     unknown = (needs.join(there, "parent", "left_anti").groupBy("child")
                .agg(F.array_sort(F.collect_set(F.concat(F.lit("unknown need: "), "need"))).alias("lost")))
-    order = levels(spark, one, edges)
 
     first = (results.select(F.col("conv_id").alias("r_conv"), F.col("call_id").alias("r_call"), "pos", "content")
              .withColumn("r_key", _key("r_conv", F.col("r_call"))))
@@ -105,21 +122,24 @@ def link_tool_calls(spark: SparkSession, calls: DataFrame, results: DataFrame,
         F.min(F.struct("pos", "content")).alias("r"), F.count("*").alias("result_copies"))
     linked = (one.withColumn("is_call", F.lit(True)).unionByName(nameless.withColumn("is_call", F.lit(True)))
               .join(first.hint("shuffle_hash"), F.col("key") == F.col("r_key"), "full_outer"))
-    linked = (linked.join(order.withColumnRenamed("key", "o_key"), F.col("key") == F.col("o_key"), "left")
+    linked = (linked.join(order, F.col("key") == F.col("o_key"), "left")
               .join(unknown, F.col("key") == F.col("child"), "left"))
     found = F.concat(F.coalesce(problems(F.col("name"), F.col("arguments"), schemas), F.array().cast("array<string>")),
                      F.coalesce("lost", F.array().cast("array<string>")))
     status = (F.when(F.col("is_call").isNull(), "orphan result").when(F.col("call_id").isNull(), "no id")
-              .when(F.col("level").isNull(), "cyclic").when(F.size("problems") > 0, "invalid")
+              .when(F.col("cyclic"), "cyclic").when(F.size("problems") > 0, "invalid")
               .when(F.col("r_key").isNull(), "no result").otherwise("linked"))
     out = linked.select(
         F.coalesce("conv_id", "r_conv").alias("conv_id"), F.coalesce("call_id", "r_call").alias("call_id"),
-        F.coalesce("pos", "r.pos").alias("pos"), "name", "level", "arguments", "is_call", "r_key", "copies",
+        F.coalesce("pos", "r.pos").alias("pos"), "name", "arguments",
+        F.when(F.col("is_call") & F.col("key").isNotNull(), F.coalesce("o_step", "pos")).alias("step"),
+        F.when(F.col("is_call") & F.col("key").isNotNull() & F.col("o_key").isNull(), F.lit(0)).otherwise(F.col("o_level")).alias("level"),
+        (F.col("o_key").isNotNull() & F.col("o_level").isNull()).alias("cyclic"), "is_call", "r_key", "copies",
         F.when(F.col("is_call"), found).otherwise(F.array().cast("array<string>")).alias("problems"),
         F.col("r.content").alias("result"), "result_copies")
     # fields are named in sorted order here; a variant keeps its keys sorted at every depth
     args = F.coalesce(F.try_parse_json("arguments"), F.parse_json(F.to_json(F.struct(F.col("arguments").alias("malformed")))))
-    message = F.to_json(F.struct(args.alias("arguments"), F.col("call_id").alias("id"), "level", "name", "result"))
+    message = F.to_json(F.struct(args.alias("arguments"), F.col("call_id").alias("id"), "name", "result"))
     out = out.withColumn("status", status).withColumn("message", F.when(F.col("is_call"), message))
-    return out.select("conv_id", "call_id", "pos", "name", "level", "status", "problems", "copies", "result",
+    return out.select("conv_id", "call_id", "pos", "name", "step", "level", "status", "problems", "copies", "result",
                       "result_copies", "message")

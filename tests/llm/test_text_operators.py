@@ -162,20 +162,55 @@ def test_tool_calls(spark):
     out = {(r.conv_id, r.call_id, r.pos): r for r in toolcalls.link_tool_calls(spark, calls, results, queries.TOOLS).collect()}
     assert len(out) == 13
     r = out[1, "a", 0]
-    assert (r.level, r.status, r.result_copies, r.message) == (
-        0, "linked", 2, '{"arguments":{"limit":2,"query":"x"},"id":"a","level":0,"name":"search","result":"first \\"q\\""}')
-    assert out[1, "b", 2].level == 1 and out[1, "b", 2].copies == 2 and out[1, "b", 2].problems == ["limit: not of type integer"]
+    assert (r.step, r.level, r.status, r.result_copies, r.message) == (
+        0, 0, "linked", 2, '{"arguments":{"limit":2,"query":"x"},"id":"a","name":"search","result":"first \\"q\\""}')
+    assert (out[1, "b", 2].step, out[1, "b", 2].level) == (1, 0) and out[1, "b", 2].copies == 2 and out[1, "b", 2].problems == ["limit: not of type integer"]
     r = out[1, "c", 1]
-    assert r.level == 2 and r.problems == ["z: not in the schema", "unknown need: gone"]
+    assert (r.step, r.level) == (1, 1) and r.problems == ["z: not in the schema", "unknown need: gone"]
     assert r.message.startswith('{"arguments":{"query":"z","z":{"b":[2,1],"q":1}}')
     assert out[1, None, 4].status == "no id"
-    assert {out[2, c, p].status for c, p in (("a", 0), ("b", 1), ("c", 2))} == {"cyclic"}
+    assert [out[2, c, p].status for c, p in (("a", 0), ("b", 1), ("c", 2))] == ["cyclic", "cyclic", "no result"]
     assert out[None, "a", 0].problems == ["arguments: not JSON"] and out[None, "a", 0].result == "null's"
     assert out[3, "a", 0].problems == ["arguments: not JSON"] and out[3, "b", 1].problems == ["arguments: not an object"]
     assert out[3, "d", 2].problems == ["unknown tool"]
     assert out[7, "a", 0].status == "orphan result" and out[1, None, 5].status == "orphan result"
 
 
+def test_order_is_topological_and_cycles_are_found(spark):
+    import random
+
+    rng = random.Random(2)
+    calls, needs = [], {}
+    for conv in range(30):
+        n = rng.randint(1, 12)
+        for k in range(n):
+            own = {rng.randrange(n) for _ in range(rng.randint(0, 2))} - {k} if conv % 3 else set(range(max(0, k - 2), k))
+            if conv % 2 and conv % 3:
+                own = {x for x in own if (x * 7) % n < (k * 7) % n}  # no cycles, positions out of order
+            needs[conv, k] = own
+            calls.append((conv, k, str(k), "search", '{"query":"x"}', [str(x) for x in own]))
+    df = spark.createDataFrame(calls, "conv_id long, pos long, call_id string, name string, arguments string, needs array<string>")
+    none = spark.createDataFrame([], "conv_id long, pos long, call_id string, content string")
+    out = {(r.conv_id, r.pos): r for r in toolcalls.link_tool_calls(spark, df, none, queries.TOOLS).collect()}
+    for (conv, k), own in needs.items():
+        r = out[conv, k]
+        seen, todo = set(), list(own)
+        while todo:
+            x = todo.pop()
+            if x not in seen:
+                seen.add(x)
+                todo += needs[conv, x]
+        if k in seen:
+            assert r.status == "cyclic"
+        if r.status != "cyclic":
+            for x in own:
+                q = out[conv, x]
+                assert q.status == "cyclic" or (q.step, q.level, q.pos) < (r.step, r.level, r.pos)
+        else:
+            assert any(x in seen and needs[conv, x] for x in seen)
+    assert {r.level for r in out.values()} > {0, 1, 2}
+
+
 def test_empty_tables(spark, no_docs):
     assert licenses.license_report(spark, no_docs).count() == 0
     assert iblt.fingerprints(spark, no_docs).count() == 0
