@@ -24,7 +24,7 @@ HEADLINE = [
 ]
 
 # whole jobs with writes of their own: one run each, reported beside the headline total
-JOBS = ["posting_zip_scan", "ingest_summary", "compaction_summary", "stream_hourly_counts"]
+JOBS = ["posting_zip_scan", "stream_hourly_counts"]
 
 
 def run(df) -> None:
