@@ -12,8 +12,9 @@ Kahn's rounds over the needs inside it: they share the span's first position as
 level is the longest chain before them in the span. Needs that cross a span's edge run with
 the positions, so the order holds for the conversation. There are as many rounds as the longest
 chain in a span is long, each written to the shared folder, and none for conversations in order;
-conversations of any size are rows in joins, never a group in a task. Calls of a span on or
-behind a cycle are never released and are reported as cyclic.
+conversations of any size are rows in joins, never a group in a task. Calls on or behind a cycle are
+reported as cyclic, without a level: in a span they are never released, and from there the calls
+after the span are reached over the needs by doubling paths, so a chain of 400 takes some 9 rounds.
 
 Cases: of calls that share a conversation and id the first (by position, then content) counts, the
 others are counted in ``copies``; so with results. A result without a call is a row of its own
@@ -33,6 +34,9 @@ from asofspark.llm.common import written
 TYPES = {"string": ("STRING",), "integer": ("BIGINT",), "number": ("BIGINT", "DOUBLE", "DECIMAL"),
          "boolean": ("BOOLEAN",), "array": ("ARRAY",), "object": ("OBJECT",)}
 
+#: Paths kept for each edge while they double.
+MANY_PATHS = 32
+
 
 def _key(conv: str, call: Column) -> Column:
     """One string for (conversation, call id); null without an id."""
@@ -55,6 +59,31 @@ def levels(spark: SparkSession, nodes: DataFrame, edges: DataFrame) -> DataFrame
     return done
 
 
+def behind(spark: SparkSession, start: DataFrame, edges: DataFrame) -> DataFrame:
+    """``start(key)`` and all that it reaches over ``edges(child, parent)``.
+
+    Paths double in every round while they are few, so that a chain takes the logarithm of its length
+    in rounds. Where needs branch, paths multiply: from ``MANY_PATHS`` times the edges on, their
+    length stays, and the front moves on by that length in every round.
+    """
+    paths = written(spark, edges.select("child", "parent").distinct(), "paths")
+    most, doubling = MANY_PATHS * paths.count(), True
+    found = front = start.select("key")
+    while True:
+        # all that is nearer than the paths are long is found: what is new lies up to twice as far
+        met = paths.join(front, F.col("parent") == F.col("key"), "left_semi").select(F.col("child").alias("key")).distinct()
+        new = written(spark, met.join(found, "key", "left_anti"), "behind")
+        if new.isEmpty():
+            return found
+        found = found.union(new)
+        if doubling:
+            first, then = paths.toDF("child", "via"), paths.toDF("via", "parent")
+            twice = written(spark, first.join(then, "via").select("child", "parent").distinct(), "paths")
+            doubling = twice.count() <= most
+            paths = twice if doubling else paths
+        front = found if doubling else new
+
+
 def problems(name: Column, args: Column, schemas: dict[str, dict[str, tuple[str, bool]]]) -> Column:
     """Sorted list of what is wrong with the arguments ``args`` (a JSON string) of tool ``name``."""
     variant = F.try_parse_json(args)
@@ -106,13 +135,19 @@ def link_tool_calls(spark: SparkSession, calls: DataFrame, results: DataFrame,
     spans = written(spark, against.groupBy(F.struct("conv_id").alias("conv")).agg(
         F.min("child_at").alias("lo"), F.max("parent_at").alias("hi")), "spans")
     inside = (places.withColumn("conv", F.struct("conv_id")).join(spans, "conv")
-              .where("at >= lo and at <= hi").select("key", "lo"))
-    order = one.select("key").limit(0).withColumn("level", F.lit(0))
+              .where("at >= lo and at <= hi").select("key", "lo", "conv", "hi"))
+    order, stuck = one.select("key").limit(0).withColumn("level", F.lit(0)), None
     if not spans.isEmpty():
         inside = written(spark, inside, "inside")
         held = inside.select("key")
         order = levels(spark, held, edges.join(held.toDF("child"), "child", "left_semi").join(held.toDF("parent"), "parent", "left_semi"))
+        stuck = written(spark, inside.join(order, "key", "left_anti"), "stuck")
     order = inside.join(order, "key", "left").select(F.col("key").alias("o_key"), F.col("lo").alias("o_step"), F.col("level").alias("o_level"))
+    if stuck is not None and not stuck.isEmpty():
+        after = (edges.withColumn("conv", F.struct("conv_id")).join(stuck.select("conv", "hi").distinct(), "conv")
+                 .where("child_at > hi"))
+        later = behind(spark, stuck.select("key"), after).join(inside, "key", "left_anti")
+        order = order.union(later.select("key", F.lit(None).cast("long"), F.lit(None).cast("int")))
     unknown = (needs.join(there, "parent", "left_anti").groupBy("child")
                .agg(F.array_sort(F.collect_set(F.concat(F.lit("unknown need: "), "need"))).alias("lost")))
 
