@@ -96,12 +96,12 @@ TOOLS = {
 
 
 def derived_calls(conversations: DataFrame) -> DataFrame:
-    """Calls from user turns: the turn's words as arguments, needs of earlier turns, and faults
+    """Calls from user turns: the turn's whole text as an argument, needs of earlier turns, and faults
     (a wrong type, a missing field, an unknown field or tool, cut JSON, a lost need, a cycle).
     """
     conv, turn = F.col("conv_id"), F.col("turn")
-    said = F.translate(F.substring(F.coalesce("text", F.lit("")), 1, 24), '\n"\\', "   ")
-    quoted = F.concat(F.lit('"'), said, F.lit('"'))
+    said = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("v")))
+    quoted = said.substr(F.lit(6), F.length(said) - 6)  # of {"v":"..."}
     tool = F.when(conv % 23 == 2, "unknown").otherwise(F.element_at(
         F.array(*map(F.lit, sorted(TOOLS))), ((conv + turn) % 3 + 1).cast("int")))
     number = F.when(conv % 11 == 5, F.concat(F.lit('"'), turn.cast("string"), F.lit('"'))).otherwise(turn.cast("string"))

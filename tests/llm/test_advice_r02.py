@@ -44,3 +44,17 @@ def test_calls_behind_a_cycle_are_cyclic_wherever_they_stand(spark, monkeypatch)
         assert len(out) == len(rows)
         assert {(r.conv_id or 0, r.pos) for r in out if r.status == "cyclic"} == want
         assert all((r.level is None) == (r.status == "cyclic") for r in out)
+
+
+def test_derived_calls_carry_the_whole_turn(spark):
+    texts = ["a \"quoted\" word,\na \\ and\ttabs, é \U0001f600 and \x01 " + "long " * 200, "", None, "{\"v\":\"1\"}", "short"]
+    rows = [(conv, 0, "user", t) for conv, t in zip((1, 2, 4, 5, 8), texts, strict=True)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    calls = queries.derived_calls(turns)
+    for r in calls.collect():
+        said = [v for k, v in json.loads(r.arguments).items() if k in ("expression", "query", "text")]
+        assert said == [dict((c, t or "") for c, _, _, t in rows)[r.conv_id]]
+    none = spark.createDataFrame([], "conv_id long, pos long, call_id string, content string")
+    for r in toolcalls.link_tool_calls(spark, calls, none, queries.TOOLS).collect():
+        said = [v for k, v in json.loads(r.message)["arguments"].items() if k in ("expression", "query", "text")]
+        assert said == [dict((c, t or "") for c, _, _, t in rows)[r.conv_id]]
