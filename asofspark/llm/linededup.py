@@ -4,7 +4,8 @@ Lines are compared as sequences of lower-cased words. A line goes when an earlie
 to it, or, for lines of at least ``near_words`` words, when an earlier line lies within one edit
 (a word inserted, deleted or replaced). "Earlier" is by (id, line number); whether the earlier
 line stays itself does not matter, so the outcome does not depend on any processing order.
-Lines of fewer than ``min_words`` words are left alone.
+Blank lines, those of fewer than ``min_words`` = 1 words, are left alone. In a line of ``near_words`` = 5
+words one edit leaves a similarity of 0.8; shorter lines go for equality only.
 
 The join: a line emits its deletion variants, the line without its i-th word, as hashed keys.
 
@@ -35,8 +36,8 @@ from pyspark.sql import functions as F
 
 from asofspark.llm.common import bounded_batches, packed, unpacked, written
 
-MIN_WORDS = 3
-NEAR_WORDS = 8
+MIN_WORDS = 1
+NEAR_WORDS = 5
 #: Distinct candidate lines whose keys are broadcast (some 40 MB in memory); more are shuffled.
 BROADCAST_LINES = 500_000
 _M64 = (1 << 64) - 1

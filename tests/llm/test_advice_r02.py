@@ -3,7 +3,7 @@
 import json
 import random
 
-from asofspark.llm import queries, toolcalls
+from asofspark.llm import linededup, queries, toolcalls
 
 CALLS = "conv_id long, pos long, call_id string, name string, arguments string, needs array<string>"
 
@@ -58,3 +58,22 @@ def test_derived_calls_carry_the_whole_turn(spark):
     for r in toolcalls.link_tool_calls(spark, calls, none, queries.TOOLS).collect():
         said = [v for k, v in json.loads(r.message)["arguments"].items() if k in ("expression", "query", "text")]
         assert said == [dict((c, t or "") for c, _, _, t in rows)[r.conv_id]]
+
+
+def test_short_lines_are_deduplicated(spark):
+    rng = random.Random(3)
+    lines = [" ".join(rng.choice("ab") for _ in range(rng.randint(0, 7))) for _ in range(300)] + ["les.", "Les. ", "and ornd."] * 4
+    rng.shuffle(lines)
+    rows = [(k, "\n".join(lines[s:s + 6]), "s") for k, s in enumerate(range(0, len(lines), 6))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.id: r.gone for r in linededup.report(spark, docs).collect()}
+    seen, gone = [], {}
+    for k, text, _ in rows:
+        gone[k] = []
+        for no, line in enumerate(text.split("\n")):
+            w = linededup.words_of(line)
+            if w and any(w == x or (min(len(w), len(x)) >= 5 and linededup.within_one_edit(w, x)) for x in seen):
+                gone[k].append(no)
+            seen.append(w)
+    assert got == gone
+    assert sum(map(len, gone.values())) > 200
