@@ -5,7 +5,7 @@ many. Every paragraph's digest goes into one cell of each of three tables; a cel
 the exclusive or of its digests and of their checks. Subtracting two sketches cancels what the
 versions share, and peeling cells that hold one digest recovers the digests that differ. When the
 difference is too large for the sketches, peeling stops early, and the pair is tried again with
-sketches twice as large, until it succeeds. The fingerprint of a text is its smallest sketch.
+sketches twice as large, until it succeeds. Peeling takes at most as many rounds as there are cells. The fingerprint of a text is its smallest sketch.
 
 A paragraph that repeats in a text counts as often as it stands there: the digest of its k-th
 occurrence is its own. Empty paragraphs do not count.
@@ -38,6 +38,8 @@ from asofspark.llm.ranges import bounds, bucket_of
 
 PARAGRAPH = 160
 CELLS = 24
+#: Cells a digest beyond which a sketch that still cannot be peeled is given up.
+SPARSE = 64
 SLICE = 512
 _M64 = (1 << 64) - 1
 _GOLD, _A, _B = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -82,7 +84,7 @@ def _cells(keys: np.ndarray, owner: np.ndarray, cells: int) -> np.ndarray:
 
 
 def check_of(keys: np.ndarray) -> np.ndarray:
-    return (_mix(keys ^ _B) >> np.uint64(32)).astype(np.uint32)
+    return _mix(keys ^ _B)
 
 
 class Sketches:
@@ -92,7 +94,7 @@ class Sketches:
         self.owners, self.cells = owners, cells
         self.count = np.zeros(owners * cells, np.int32)
         self.keys = np.zeros(owners * cells, np.uint64)
-        self.checks = np.zeros(owners * cells, np.uint32)
+        self.checks = np.zeros(owners * cells, np.uint64)
 
     def add(self, owner: np.ndarray, keys: np.ndarray, sign) -> None:
         checks = check_of(keys)
@@ -104,12 +106,17 @@ class Sketches:
     def text(self, owner: int) -> str:
         s = slice(owner * self.cells, (owner + 1) * self.cells)
         return base64.b64encode(self.count[s].astype("<i4").tobytes() + self.keys[s].astype("<u8").tobytes()
-                                + self.checks[s].astype("<u4").tobytes()).decode()
+                                + self.checks[s].astype("<u8").tobytes()).decode()
 
     def peel(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """``(owner, key, sign, whole)``: recovered digests, and per owner whether all were."""
+        """``(owner, key, sign, whole)``: recovered digests, and per owner whether all were.
+
+        A sketch that can be peeled holds no more digests than cells and gives at least one a round,
+        so there are at most as many rounds as cells. A cell that passes its check by chance could
+        be added and removed for ever; such a sketch runs out of rounds and is not whole.
+        """
         found = []
-        while True:
+        for _ in range(self.cells):
             at = np.flatnonzero(np.abs(self.count) == 1)
             at = at[check_of(self.keys[at]) == self.checks[at]]
             if not len(at):
@@ -134,12 +141,25 @@ class Sketches:
         return *(np.concatenate(x) for x in zip(*found, strict=True)), whole
 
 
+def _plain_differences(a: tuple, b: tuple, pairs: np.ndarray) -> Iterator[tuple]:
+    """As :func:`differences`, by the sorted digests of the named pairs."""
+    for p in pairs:
+        own, other = a[1][a[0] == p], b[1][b[0] == p]
+        for keys, sign in ((np.setdiff1d(own, other), 1), (np.setdiff1d(other, own), -1)):
+            yield np.full(len(keys), p), keys, np.full(len(keys), sign, np.int32)
+
+
 def differences(a: tuple, b: tuple, pairs: int, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(pair, digest, sign)`` that differ between the sides ``a`` and ``b`` = (pair, digest):
-    +1 only in ``a``, -1 only in ``b``. Pairs whose peeling fails are tried again with twice the cells.
+    +1 only in ``a``, -1 only in ``b``. Pairs whose peeling fails are tried again with twice the cells;
+    one that fails with ``SPARSE`` cells a digest (digests that collide) is compared digest by digest.
     """
     todo, out = np.arange(pairs), []
+    most = np.bincount(a[0], minlength=pairs) + np.bincount(b[0], minlength=pairs)
     while len(todo):
+        plain = todo[cells > np.maximum(SPARSE * most[todo], CELLS)]
+        out.extend(_plain_differences(a, b, plain))
+        todo = todo[~np.isin(todo, plain)]
         name = np.full(pairs, -1)
         name[todo] = np.arange(len(todo))
         diff = Sketches(len(todo), cells)

@@ -18,7 +18,7 @@ Links are then verified word by word. Variants are emitted only for distinct lin
 half of their words in place with another line: one edit leaves the first or the last half of the
 shorter line untouched, so no pair is lost (pigeonhole).
 
-Cases: a null text has no lines; an empty text is one line of no words. Rows sharing id and text
+Cases: a null text has no lines and stays null; an empty text is one line of no words. Rows sharing id and text
 are one document; rows sharing the id with different texts are ordered by the texts' hash. Null
 ids come first. A document that had lines to lose and lost all of them goes; one that had
 none to lose stays.
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asofspark.llm.common import bounded_batches, packed, unpacked, written
@@ -71,9 +71,14 @@ def halves(words: list[bytes]) -> list[int]:
     return out
 
 
+def _text_key(text: Column) -> Column:
+    """Hash of a text; null without one."""
+    return F.when(text.isNotNull(), F.xxhash64(text))
+
+
 def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text")) \
-        .where("text is not null").withColumn("text_key", F.xxhash64("text"))
+        .withColumn("text_key", _text_key(F.col("text")))
 
 
 def line_table(docs: DataFrame, near_words: int) -> DataFrame:
@@ -205,6 +210,7 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, *, min_words: int = MIN_
     sorted numbers of those that go. Documents that lose none are absent.
     """
     bounded_batches(spark)
+    docs = docs.where("text is not null")
     lines = written(spark, line_table(docs, near_words), "lines")
     place = F.struct("id", "text_key", "line_no")
     long = lines.where(F.col("n") >= min_words)
@@ -229,10 +235,10 @@ def _joined(spark: SparkSession, rows: DataFrame, gone: DataFrame) -> DataFrame:
 
 def report(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
            min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
-    """One row per document with a text: id, n_lines, gone (line numbers from 0), clean text."""
+    """One row per document: id, n_lines, gone (line numbers from 0), clean text (null of a null text)."""
     slim = _slim(docs, id_col, text_col)
     out = _joined(spark, slim, dropped_lines(spark, slim, min_words=min_words, near_words=near_words))
-    return out.select("id", F.size(F.split("text", "\n", -1)).alias("n_lines"),
+    return out.select("id", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).alias("n_lines"),
                       F.coalesce("gone", F.array().cast("array<int>")).alias("gone"),
                       _cleaned(F.col("text"), F.col("gone")).alias("clean"))
 
@@ -243,7 +249,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id",
     gone = dropped_lines(spark, _slim(docs, id_col, text_col), min_words=min_words, near_words=near_words)
     get = F.col("row").getField
     text = get(text_col).cast("string")
-    rows = packed(docs).select("row", get(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_key"))
+    rows = packed(docs).select("row", get(id_col).cast("long").alias("id"), _text_key(text).alias("text_key"))
     out = _joined(spark, rows, gone)
     left = F.size(F.split(text, "\n", -1)) - F.size("gone")
     out = out.where(F.col("gone").isNull() | (left > 0))

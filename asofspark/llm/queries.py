@@ -141,7 +141,7 @@ WITH RECURSIVE u AS (
   SELECT conv_id, turn, 'call_' || conv_id || '_' || turn AS call_id,
          CASE WHEN conv_id % 23 = 2 THEN 'unknown'
               ELSE ['calculate', 'search', 'translate'][(conv_id + turn) % 3 + 1] END AS name,
-         '"' || translate(substr(coalesce(text, ''), 1, 24), chr(10) || '"' || '\\', '   ') || '"' AS said,
+         to_json(coalesce(text, ''))::VARCHAR AS said,
          CASE WHEN conv_id % 11 = 5 THEN '"' || turn || '"' ELSE turn::VARCHAR END AS num
   FROM conversations WHERE role = 'user'),
 f AS (SELECT *, CASE name WHEN 'calculate' THEN 'expression' WHEN 'translate' THEN 'text' ELSE 'query' END AS main,
@@ -162,13 +162,14 @@ span AS (SELECT c.conv_id, min(c.turn) AS lo, max(q.turn) AS hi FROM e JOIN u c
          JOIN u q ON q.call_id = e.parent WHERE q.turn >= c.turn GROUP BY c.conv_id),
 ins AS (SELECT u.call_id AS k, lo FROM u JOIN span USING (conv_id) WHERE turn BETWEEN lo AND hi),
 ei AS (SELECT * FROM e WHERE child IN (SELECT k FROM ins) AND parent IN (SELECT k FROM ins)),
-ring AS (SELECT x.child AS k FROM ei x JOIN ei b ON b.child = x.parent AND b.parent = x.child
-         UNION SELECT ei.child FROM ring JOIN ei ON ei.parent = ring.k),
+ring AS (SELECT x.child AS k FROM e x JOIN e b ON b.child = x.parent AND b.parent = x.child
+         UNION SELECT e.child FROM ring JOIN e ON e.parent = ring.k),
 path AS (SELECT k, 0 AS level FROM ins WHERE k NOT IN (SELECT k FROM ring)
          UNION SELECT ei.child, path.level + 1 FROM path JOIN ei ON ei.parent = path.k WHERE ei.child NOT IN (SELECT k FROM ring)),
 lv AS (SELECT ins.k, any_value(lo) AS lo, max(level) AS level FROM ins LEFT JOIN path USING (k) GROUP BY ins.k),
 r AS (SELECT conv_id, turn, 'call_' || conv_id || '_' || (turn - 1) AS call_id, text FROM conversations WHERE role = 'assistant'),
-p AS (SELECT a.*, coalesce(lv.lo, turn_) AS step, CASE WHEN lv.k IS NULL THEN 0 ELSE lv.level END AS level, r.call_id AS answered, r.text AS result,
+p AS (SELECT a.*, coalesce(lv.lo, turn_) AS step, CASE WHEN a.call_id IN (SELECT k FROM ring) THEN NULL
+        WHEN lv.k IS NULL THEN 0 ELSE lv.level END AS level, r.call_id AS answered, r.text AS result,
         CASE WHEN cut THEN ['arguments: not JSON'] WHEN name = 'unknown' THEN ['unknown tool'] ELSE list_sort(list_filter([
           CASE WHEN odd THEN main || ': missing' END, CASE WHEN odd THEN 'z: not in the schema' END,
           CASE WHEN a.conv_id % 11 = 5 AND name <> 'translate' THEN other || ': not of type integer' END], lambda x: x IS NOT NULL)) END
@@ -207,21 +208,21 @@ def op6_line_dedup(spark, sf_dir):
 
 
 ORACLES["op6_line_dedup"] = r"""
-WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+WITH d AS (SELECT doc_id, text, coalesce(string_split(text, chr(10)), []) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS no FROM d),
 w AS (SELECT doc_id, no, list_filter(regexp_split_to_array(
         translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
       FROM l),
-u AS (SELECT ws, len(ws) AS n, min({'doc_id': doc_id, 'no': no}) AS first FROM w WHERE len(ws) >= 3 GROUP BY ws),
+u AS (SELECT ws, len(ws) AS n, min({'doc_id': doc_id, 'no': no}) AS first FROM w WHERE len(ws) >= 1 GROUP BY ws),
 -- every deletion variant of every distinct line, in the clear
 v AS (SELECT ws, first, i, list_filter(ws, lambda x, k: k <> i) AS rest
-      FROM (SELECT ws, first, unnest(range(1, n + 1)) AS i FROM u WHERE n >= 8)),
+      FROM (SELECT ws, first, unnest(range(1, n + 1)) AS i FROM u WHERE n >= 5)),
 sub AS (SELECT rest, i, min(first) AS least FROM v GROUP BY rest, i),
 del AS (SELECT rest, min(first) AS least FROM v GROUP BY rest),
 near AS (
   SELECT v.ws FROM v JOIN sub USING (rest, i) WHERE sub.least < v.first
-  UNION SELECT v.ws FROM v JOIN u ON u.ws = v.rest AND u.n >= 8 WHERE u.first < v.first
-  UNION SELECT u.ws FROM u JOIN del ON del.rest = u.ws WHERE u.n >= 8 AND del.least < u.first),
+  UNION SELECT v.ws FROM v JOIN u ON u.ws = v.rest AND u.n >= 5 WHERE u.first < v.first
+  UNION SELECT u.ws FROM u JOIN del ON del.rest = u.ws WHERE u.n >= 5 AND del.least < u.first),
 g AS (SELECT w.doc_id, w.no FROM w JOIN u USING (ws)
       WHERE {'doc_id': w.doc_id, 'no': w.no} > u.first OR w.ws IN (SELECT ws FROM near)),
 gone AS (SELECT doc_id, list_sort(list(no)) AS nos FROM g GROUP BY doc_id)

@@ -98,7 +98,7 @@ def test_linked_fingerprints_share_a_cell(x, bits):
     assert any((ex & m) == (ey & m) for m in simhash.masks(3))
 
 
-def brute_gone(rows, min_words=3, near_words=8):
+def brute_gone(rows, min_words=1, near_words=5):
     lines = []
     for i, t, _ in rows:
         if t is not None:
@@ -130,13 +130,18 @@ def test_lines_match_brute_force(spark, docs, doc_rows):
     gone = brute_gone(doc_rows)
     want = Counter()
     for i, t, _ in doc_rows:
-        if t is not None:
-            out = gone.get((i, t), set())
-            want[i, tuple(sorted(out)), "\n".join(x for k, x in enumerate(t.split("\n")) if k not in out)] += 1
+        out = gone.get((i, t), set())
+        want[i, tuple(sorted(out)), t and "\n".join(x for k, x in enumerate(t.split("\n")) if k not in out)] += 1
     assert got == want
     assert any(g for _, g, _ in got)
 
 
+def test_candidates_beyond_the_broadcast_are_joined_alike(spark, docs, monkeypatch):
+    want = Counter((r.id, tuple(r.gone), r.clean) for r in linededup.report(spark, docs).collect())
+    monkeypatch.setattr(linededup, "BROADCAST_LINES", 0)
+    assert Counter((r.id, tuple(r.gone), r.clean) for r in linededup.report(spark, docs).collect()) == want
+
+
 def test_line_dedup_keeps_columns_and_drops_emptied_documents(spark, docs, doc_rows):
     got = linededup.line_dedup(spark, docs)
     assert got.columns == docs.columns

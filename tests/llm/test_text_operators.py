@@ -169,7 +169,7 @@ def test_tool_calls(spark):
     assert (r.step, r.level) == (1, 1) and r.problems == ["z: not in the schema", "unknown need: gone"]
     assert r.message.startswith('{"arguments":{"query":"z","z":{"b":[2,1],"q":1}}')
     assert out[1, None, 4].status == "no id"
-    assert [out[2, c, p].status for c, p in (("a", 0), ("b", 1), ("c", 2))] == ["cyclic", "cyclic", "no result"]
+    assert [out[2, c, p].status for c, p in (("a", 0), ("b", 1), ("c", 2))] == ["cyclic", "cyclic", "cyclic"]
     assert out[None, "a", 0].problems == ["arguments: not JSON"] and out[None, "a", 0].result == "null's"
     assert out[3, "a", 0].problems == ["arguments: not JSON"] and out[3, "b", 1].problems == ["arguments: not an object"]
     assert out[3, "d", 2].problems == ["unknown tool"]
@@ -211,6 +211,22 @@ def test_order_is_topological_and_cycles_are_found(spark):
     assert {r.level for r in out.values()} > {0, 1, 2}
 
 
+def test_peeling_ends_on_a_cell_that_is_pure_by_chance():
+    key = np.array([12345], np.uint64)
+    at = iblt._cells(key, np.zeros(1, np.int64), iblt.CELLS)[0]
+    s = iblt.Sketches(2, iblt.CELLS)
+    s.count[at], s.keys[at], s.checks[at] = 1, key, iblt.check_of(key)  # not in its two other cells
+    s.add(np.array([1]), key, 1)
+    owner, keys, _, whole = s.peel()
+    assert whole.tolist() == [False, True] and key[0] in keys[owner == 1]
+
+
+def test_colliding_digests_are_compared_one_by_one():
+    twice = (np.zeros(3, np.int64), np.array([7, 7, 9], np.uint64))  # cancels in every cell
+    pair, keys, sign = iblt.differences(twice, (np.zeros(1, np.int64), np.array([9], np.uint64)), 1)
+    assert (pair.tolist(), keys.tolist(), sign.tolist()) == ([0], [7], [1])
+
+
 def test_empty_tables(spark, no_docs):
     assert licenses.license_report(spark, no_docs).count() == 0
     assert iblt.fingerprints(spark, no_docs).count() == 0
