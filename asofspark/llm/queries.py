@@ -6,12 +6,13 @@ SQL where SQL expresses the operator; the others are tested against brute force
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofspark.llm import exactdedup, iblt, importance, licenses, linededup, mixing, packing, simhash, toolcalls, wavelet
+from asofspark.llm import exactdedup, iblt, importance, licenses, linededup, mixing, packing, runs, simhash, toolcalls, wavelet
 from asofspark.llm.tokens import byte_bpe_path, word_bpe_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -292,3 +293,29 @@ def op10_simhash(spark, sf_dir):
     out = simhash.components_of(spark, documents(spark, sf_dir))
     return out.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                       "component_id")
+
+
+def with_repeats(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Words of a document after the contract's edit: in every tenth document a stretch repeats to the end."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    g = h // 10
+    a = g % len(words)
+    p = 1 + (len(words) - a) // (3 + g % 8)
+    period = words[a:a + p]
+    return words[:a] + (period * ((len(words) - a) // len(period) + 1))[:len(words) - a]
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    out = runs.periodic_runs(spark, documents(spark, sf_dir), edit=with_repeats)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return (out.withColumn("best", best).select(
+        F.col("id").alias("doc_id"), "n_words", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
