@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofspark.llm import exactdedup, iblt, importance, licenses, linededup, mixing, packing, runs, simhash, toolcalls, wavelet
+from asofspark.llm import exactdedup, iblt, importance, licenses, linededup, mixing, packing, runs, simhash, spelling, toolcalls, wavelet
 from asofspark.llm.tokens import byte_bpe_path, word_bpe_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -295,6 +295,19 @@ def op10_simhash(spark, sf_dir):
                       "component_id")
 
 
+def with_slips(doc_id: int | None, run: str) -> str:
+    """A run after the contract's edit: one code point goes where 31 divides the hash; without an id none."""
+    h = 1 if doc_id is None else zlib.crc32(f"{doc_id}:{run}".encode())
+    k = h % len(run)
+    return run if h % 31 else run[:k] + run[k + 1:]
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    words = spelling.vocabulary(documents(spark, sf_dir), edit=with_slips)
+    return spelling.spelling_groups(spark, words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def with_repeats(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """Words of a document after the contract's edit: in every tenth document a stretch repeats to the end."""
     h = zlib.crc32(str(doc_id).encode())
