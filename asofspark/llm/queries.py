@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofspark.llm import exactdedup, iblt, importance, licenses, linededup, mixing, packing, runs, simhash, spelling, toolcalls, wavelet
+from asofspark.llm import annforest, exactdedup, iblt, importance, licenses, linededup, mixing, packing, runs, simhash, spelling, toolcalls, wavelet
 from asofspark.llm.tokens import byte_bpe_path, word_bpe_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -295,6 +295,12 @@ def op10_simhash(spark, sf_dir):
                       "component_id")
 
 
+@query
+def op11_ann_forest(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return annforest.nearest(spark, rows, rows.where("vec_id % 100 = 0"))
+
+
 def with_slips(doc_id: int | None, run: str) -> str:
     """A run after the contract's edit: one code point goes where 31 divides the hash; without an id none."""
     h = 1 if doc_id is None else zlib.crc32(f"{doc_id}:{run}".encode())
