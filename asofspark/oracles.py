@@ -904,6 +904,14 @@ WHERE posted_at <= TIMESTAMP '2024-01-20 00:00:00'
 QUALIFY row_number() OVER (PARTITION BY product, interval_start, series ORDER BY posted_at DESC, ingested_at DESC) = 1
 """
 
+ORACLES["snapshot_reads"] = f"""
+WITH {_CURATED},
+p AS (SELECT product, count(*) AS n_rows, CAST(sum(floor(value)) AS BIGINT) AS value_sum FROM cu
+      WHERE posted_at <= TIMESTAMP '2024-01-20 00:00:00' AND interval_start >= TIMESTAMP '2024-01-01 06:00:00'
+        AND interval_start < TIMESTAMP '2024-02-01 06:00:00' GROUP BY product)
+SELECT phase, product, n_rows, value_sum FROM p, (VALUES ('before'), ('during'), ('pinned'), ('after'), ('vacuumed')) v(phase)
+"""
+
 ORACLES["leftover_files"] = """
 SELECT 'part-' || CAST(l_suppkey % 5 AS VARCHAR) AS batch, count(*) AS n_rows, l_suppkey % 5 < 3 AS held
 FROM lineitem GROUP BY l_suppkey % 5

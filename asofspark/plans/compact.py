@@ -12,14 +12,16 @@ contract, and is skipped and reported with its sources untouched, when a batch d
 product's declared schema (without a declaration: when its batches differ from one another) or
 has a NULL in a required column. What is rewritten is read with the schema that its files have.
 
-The listing is a distributed ``binaryFile`` metadata scan kept as a table; there is one range
-shuffle per product on (product, date, key); rows are compared with a merged batch only in
-partitions that have one; sources are deleted by executors after the write succeeded.
+The listing is a distributed ``binaryFile`` metadata scan kept as a table; all products whose files
+have the same columns are one job with one range shuffle on (product, date, key), which reads the
+partitions to be merged by their paths; rows are compared with a merged batch only in
+partitions that have one; sources are deleted by executors after the write succeeded, or, on a lake
+with a snapshot log, replaced in one commit.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +31,7 @@ from pyspark.sql import types as ST
 from asofspark.functions import time as T
 from asofspark.session import scratch_path
 from asofspark.sources import lake as L
+from asofspark.sources import snapshots as SN
 
 REQUIRED = ("interval_start", "interval_minutes", "posted_at", "ingested_at", "source", "schema_version")
 
@@ -51,11 +54,13 @@ def held_batches(df: DataFrame, *, batch: str, merged: str, by=()) -> DataFrame:
 
 
 def plan(spark: SparkSession, root: str, *, now, min_age_minutes: int = 60, products=None,
-         limit_partitions: int | None = None, with_path: bool = False) -> DataFrame:
+         limit_partitions: int | None = None, with_path: bool = False, live: DataFrame | None = None) -> DataFrame:
     """Eligible batches per partition: (product, date, batch, kind, newest_merged), with
-    ``with_path`` one row per file and its ``path``."""
+    ``with_path`` one row per file and its ``path``. ``live`` limits them to a snapshot's directories."""
     files = L.list_files(spark, f"{root}/curated").select("*", *L.path_parts("path"))
     files = files.filter(F.col("kind") != "")
+    if live is not None:
+        files = files.join(live, on=["product", "date", "batch"], how="left_semi")
     if products:
         files = files.filter(F.col("product").isin(list(products)))
     now_c = F.lit(now).cast("timestamp_ntz")
@@ -128,15 +133,22 @@ def _kept_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, root: str, *, now, key, min_age_minutes: int = 60, products=None,
-            limit_partitions: int | None = None, contract: Mapping[str, ST.StructType | str] | None = None) -> DataFrame:
+            limit_partitions: int | None = None, contract: Mapping[str, ST.StructType | str] | None = None,
+            before_commit: Callable[[], None] | None = None) -> DataFrame:
     """JOB08: merge eligible partitions; returns the AGG12 summary per product. ``contract``
-    declares products' file columns (without product, date and batch)."""
+    declares products' file columns (without product, date and batch). ``key`` orders the rows;
+    columns that a table family does not have are passed over.
+
+    On a lake with a snapshot log the merged batches replace their sources in one commit, and the
+    sources stay for readers of earlier versions until a vacuum; ``before_commit`` is called when
+    all is written and nothing is visible. Without a log the sources are deleted."""
     base = f"{root}/curated"
     key = [key] if isinstance(key, str) else list(key)
     batch_id = ["product", "date", "batch"]
+    logged = SN.live(spark, root)
     # the listing is fixed now: re-listing after the write would see the new batch
     files = plan(spark, root, now=now, min_age_minutes=min_age_minutes, products=products,
-                 limit_partitions=limit_partitions, with_path=True)
+                 limit_partitions=limit_partitions, with_path=True, live=logged)
     schemas = _kept_table(spark, file_schemas(files.select(*batch_id, "newest_merged", "path")), "compact-files")
     odd = off_contract(schemas, contract)
     batches = schemas.groupBy(*batch_id, "newest_merged").agg(F.min("columns").alias("columns"), F.min("ddl").alias("ddl"))
@@ -144,11 +156,14 @@ def compact(spark: SparkSession, root: str, *, now, key, min_age_minutes: int =
     stamp = T.stamp(F.lit(now).cast("timestamp_ntz"))
     new_batch = "merged-" + spark.range(1).select(stamp.alias("s")).first()["s"]
 
-    decisions, done = [], set()
-    for r in usable.groupBy("product", "columns").agg(F.min("ddl").alias("ddl")).collect():  # one row per product and schema
-        mine = usable.filter((F.col("product") == r.product) & (F.col("columns") == r["columns"])).drop("columns", "ddl")
-        data = (spark.read.schema(f"{r.ddl}, product string, date date, batch string").option("basePath", base)
-                .parquet(f"{base}/product={r.product}").join(mine, on=batch_id, how="inner"))  # SET01: duplicates kept
+    decisions, rows = [], spark.createDataFrame([], "product string, rows bigint")
+    for r in usable.groupBy("columns").agg(F.min("ddl").alias("ddl")).collect():  # one job per table family
+        mine = usable.filter(F.col("columns") == r["columns"]).drop("columns", "ddl")
+        schema = f"{r.ddl}, product string, date date, batch string"
+        read = spark.read.schema(schema).option("basePath", base)
+        # only the partitions to be merged are listed and opened
+        days = [f"{base}/product={d.product}/date={d.date}" for d in mine.select("product", "date").distinct().collect()]
+        data = read.parquet(*days).join(mine, on=batch_id, how="inner")  # SET01: duplicates kept
         required = [c for c in REQUIRED if c in data.columns]
         null = F.greatest(*[F.col(c).isNull() for c in required], F.lit(False))
         bad = data.filter(null).select("product", "date").distinct()
@@ -165,24 +180,21 @@ def compact(spark: SparkSession, root: str, *, now, key, min_age_minutes: int =
         # rows) is split by key over several tasks, each file sorted so that row-group
         # statistics still skip on key and time
         keep = data.join(fate.filter("fate = 'merged'").select(*batch_id), on=batch_id, how="left_semi")
+        order = [c for c in key if c in data.columns]
         out = (keep.drop("batch", "newest_merged").withColumn("batch", F.lit(new_batch))
-               .repartitionByRange("product", "date", *key)
-               .sortWithinPartitions("product", "date", *key, "posted_at", "ingested_at"))
+               .repartitionByRange("product", "date", *order)
+               .sortWithinPartitions("product", "date", *order, "posted_at", "ingested_at"))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
          .partitionBy(*batch_id).parquet(base))
         decisions.append(fate)
-        done.add(r.product)
+        merged = fate.filter("fate = 'merged'").select("product", "date").distinct().collect()
+        new = [f"{base}/product={d.product}/date={d.date}/batch={new_batch}" for d in merged]
+        if new:
+            rows = rows.unionByName(read.parquet(*new).groupBy("product").agg(F.count(F.lit(1)).alias("rows")))
 
-    skipped = batches.join(odd, on=["product", "date"], how="left_semi").select(*batch_id, F.lit("skipped").alias("fate"))
-    fates = skipped
+    fates = batches.join(odd, on=["product", "date"], how="left_semi").select(*batch_id, F.lit("skipped").alias("fate"))
     for d in decisions:
         fates = fates.unionByName(d)
-    gone = fates.filter((F.col("fate") != "skipped") & (F.col("batch") != new_batch)).select(
-        F.concat(F.lit(f"{base}/product="), "product", F.lit("/date="), F.col("date").cast("string"), F.lit("/batch="), "batch").alias("dir"))
-    rows = spark.createDataFrame([], "product string, rows bigint")
-    for product in sorted(done):
-        n = spark.read.option("basePath", base).parquet(f"{base}/product={product}").filter(F.col("batch") == new_batch)
-        rows = rows.unionByName(n.groupBy("product").agg(F.count(F.lit(1)).alias("rows")))
     per = fates.groupBy("product").agg(
         F.count_distinct(F.when(F.col("fate") == "merged", F.col("date"))).alias("partitions"),
         F.count_if(F.col("fate") == "merged").alias("batches_in"),
@@ -191,5 +203,13 @@ def compact(spark: SparkSession, root: str, *, now, key, min_age_minutes: int =
     summary = per.join(rows, "product", "left").select(
         "product", "partitions", "batches_in", F.coalesce("rows", F.lit(0)).alias("rows"), "leftovers", "skipped")
     summary = spark.createDataFrame(summary.collect(), _SUMMARY)  # one row per product
-    L.delete_dirs(gone, base)
+    if before_commit is not None:
+        before_commit()
+    gone = fates.filter((F.col("fate") != "skipped") & (F.col("batch") != new_batch)).select(*batch_id)
+    if logged is None:
+        L.delete_dirs(gone.select(F.concat(
+            F.lit(f"{base}/product="), "product", F.lit("/date="), F.col("date").cast("string"), F.lit("/batch="), "batch").alias("dir")), base)
+    elif not gone.isEmpty():
+        added = fates.filter("fate = 'merged'").select("product", "date").distinct().withColumn("batch", F.lit(new_batch))
+        SN.commit(spark, root, added, gone)
     return summary

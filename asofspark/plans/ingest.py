@@ -29,6 +29,7 @@ from asofspark.plans import transform as TR
 from asofspark.plans.declare import Declaration
 from asofspark.sources import archive as AR
 from asofspark.sources import lake as LK
+from asofspark.sources import snapshots as SN
 
 STATUS_SCHEMA = "product string, posting string, posted_at timestamp_ntz, doc_id bigint, status string, problem string"
 
@@ -147,6 +148,8 @@ def ingest(spark: SparkSession, raw: DataFrame, decls: dict[str, Declaration], r
         held.append(out)
         keep = [c for c in out.columns if c not in ("posting", "doc_id")]
         LK.write_curated(out.select(*keep), root)
+        if SN.newest(spark, root) is not None:  # a lake with a snapshot log: visible from here on
+            SN.commit(spark, root, out.select("product", "date", "batch"))
         if pending is not None:
             left = raw.withColumn("posting", _posting_key()).join(taken, on="posting", how="left_anti")
             path, version = pending

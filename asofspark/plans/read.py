@@ -19,6 +19,7 @@ from asofspark.functions.time import CT
 from asofspark.operators import pit
 from asofspark.plans.declare import BUSINESS_KEY, NAME_COLUMN, SUPPORTED_VERSIONS
 from asofspark.sources import lake as LK
+from asofspark.sources import snapshots as SN
 
 
 _COMMON = ("interval_start timestamp_ntz, interval_minutes int, posted_at timestamp_ntz, "
@@ -43,11 +44,17 @@ def _ct_day(utc_naive: dt.datetime) -> dt.date:
 
 class Lake:
     """Reads of ``root/curated``; ``tables`` maps product -> table family (spp, mcpc, series).
-    ``max_days`` refuses longer reads; there is no limit unless it is given."""
+    ``max_days`` refuses longer reads; there is no limit unless it is given. On a lake with a
+    snapshot log every read resolves one version: the newest at that moment, or ``version``."""
 
-    def __init__(self, spark: SparkSession, root: str, tables: dict[str, str], max_days: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, tables: dict[str, str], max_days: int | None = None,
+                 version: int | None = None):
         self.spark, self.root, self.tables = spark, root.rstrip("/"), dict(tables)
-        self.max_days = max_days
+        self.max_days, self.version = max_days, version
+
+    def pinned(self) -> Lake:
+        """The same lake as of the newest version now, whatever is committed later."""
+        return Lake(self.spark, self.root, self.tables, self.max_days, SN.newest(self.spark, self.root))
 
     def _table(self, product: str) -> str:
         if product not in self.tables:
@@ -60,7 +67,7 @@ class Lake:
         if self.max_days and (d_to - d_from).days + 1 > self.max_days:
             raise ValueError(f"at most {self.max_days} days per read")
         table = self._table(product)
-        df = LK.scan_days(self.spark, self.root, product, d_from, d_to)
+        df = LK.scan_days(self.spark, self.root, product, d_from, d_to, self.version)
         if df is None:  # FLT11: nothing stored, the declared types still hold
             return self.spark.createDataFrame([], CURATED_SCHEMA[table])
         return df.select(*[f.split(" ")[0] for f in CURATED_SCHEMA[table].split(", ")])

@@ -1033,6 +1033,33 @@ def compaction_off_contract(spark, sf):
     return CP.compact(spark, root, now=_COMPACT_NOW, key=["interval_start", "series"])
 
 
+@query
+def snapshot_reads(spark, sf):
+    """One lake with a snapshot log, read before a compaction, while its batches are written and not
+    committed, after the commit by a reader pinned before it and by a new one, and after a vacuum."""
+    from asofspark.sources import snapshots as SN
+
+    root = _written_lake(spark, sf)
+    SN.start(spark, root)
+    lake = Lake(spark, root, {f"ev-{t}": "series" for t in FX.EVENT_TYPES})
+    as_of, seen = _DT(2024, 1, 20, tzinfo=_UTC), scratch_path(spark, "snapshot-reads")
+
+    def look(phase: str, at: Lake) -> None:
+        parts = [at.postings(p, *_MONTH, as_of=as_of).withColumn("product", F.lit(p)) for p in at.tables]
+        found = reduce(DataFrame.unionByName, parts).groupBy("product").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum(F.floor("value")).alias("value_sum"))
+        found.write.parquet(f"{seen}/phase={phase}")
+
+    pinned = lake.pinned()
+    look("before", lake)
+    CP.compact(spark, root, now=_COMPACT_NOW, key=["interval_start", "series"], before_commit=lambda: look("during", lake))
+    look("pinned", pinned)
+    look("after", lake)
+    SN.vacuum(spark, root, now=_COMPACT_NOW)
+    look("vacuumed", lake)
+    return spark.read.parquet(seen).select("phase", "product", "n_rows", "value_sum")
+
+
 @query
 def leftover_files(spark, sf):
     li = read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_suppkey")

@@ -77,6 +77,15 @@ def existing(spark: SparkSession, paths: list[str]) -> list[str]:
     return out
 
 
+def days_there(spark: SparkSession, product_dir: str, d_from: dt.date, d_to: dt.date) -> list[str]:
+    """The day directories of a product between two days: one listing, however many days are asked for."""
+    fs, p = _fs(spark, product_dir)
+    if not fs.exists(p):
+        return []
+    names = sorted(s.getPath().getName() for s in fs.listStatus(p))
+    return [f"{product_dir}/{n}" for n in names if f"date={d_from}" <= n <= f"date={d_to}"]
+
+
 def newest_version(spark: SparkSession, path: str, before: int | None = None) -> str | None:
     """The newest complete ``v=<n>`` directory under ``path`` (below ``before``), or None."""
     fs, p = _fs(spark, path)
@@ -125,12 +134,18 @@ def read_bytes(df: DataFrame, path: str, out: str = "content") -> DataFrame:
     return df.mapInPandas(load, ST.StructType([*df.schema, ST.StructField(out, ST.BinaryType())]))
 
 
-def scan_days(spark: SparkSession, root: str, product: str, d_from: dt.date, d_to: dt.date) -> DataFrame:
+def scan_days(spark: SparkSession, root: str, product: str, d_from: dt.date, d_to: dt.date,
+              version: int | None = None) -> DataFrame:
     """SRC09: only the requested delivery days are listed and opened (explicit partition paths
-    with ``basePath``), never the whole product; absent days are skipped."""
+    with ``basePath``), never the whole product; absent days are skipped. On a lake with a
+    snapshot log these are the directories that are live in one version."""
+    from asofspark.sources import snapshots as SN
+
     base = f"{root}/curated"
-    days = [d_from + dt.timedelta(days=i) for i in range((d_to - d_from).days + 1)]
-    paths = existing(spark, [f"{base}/product={product}/date={d}" for d in days])
+    if SN.newest(spark, root) is not None:
+        paths = SN.live_paths(spark, root, product, d_from, d_to, version)
+    else:
+        paths = days_there(spark, f"{base}/product={product}", d_from, d_to)
     if not paths:
         return None
     return spark.read.option("basePath", base).parquet(*paths)
