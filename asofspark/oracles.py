@@ -912,6 +912,14 @@ p AS (SELECT product, count(*) AS n_rows, CAST(sum(floor(value)) AS BIGINT) AS v
 SELECT phase, product, n_rows, value_sum FROM p, (VALUES ('before'), ('during'), ('pinned'), ('after'), ('vacuumed')) v(phase)
 """
 
+ORACLES["indexed_reads"] = f"""
+WITH {_CURATED}
+SELECT product, names, interval_start, series, posted_at, value, true AS fewer FROM cu, (VALUES ('all'), ('few')) v(names)
+WHERE posted_at <= TIMESTAMP '2024-01-11 00:00:00' AND interval_start >= TIMESTAMP '2024-01-10 06:00:00'
+  AND interval_start < TIMESTAMP '2024-01-12 00:00:00' AND (names = 'all' OR series IN ('user:7', 'user:11', 'user:404'))
+QUALIFY row_number() OVER (PARTITION BY product, names, interval_start, series ORDER BY posted_at DESC, ingested_at DESC) = 1
+"""
+
 ORACLES["leftover_files"] = """
 SELECT 'part-' || CAST(l_suppkey % 5 AS VARCHAR) AS batch, count(*) AS n_rows, l_suppkey % 5 < 3 AS held
 FROM lineitem GROUP BY l_suppkey % 5

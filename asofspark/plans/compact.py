@@ -30,6 +30,7 @@ from pyspark.sql import types as ST
 
 from asofspark.functions import time as T
 from asofspark.session import scratch_path
+from asofspark.sources import fileindex as FI
 from asofspark.sources import lake as L
 from asofspark.sources import snapshots as SN
 
@@ -212,4 +213,6 @@ def compact(spark: SparkSession, root: str, *, now, key, min_age_minutes: int =
     elif not gone.isEmpty():
         added = fates.filter("fate = 'merged'").select("product", "date").distinct().withColumn("batch", F.lit(new_batch))
         SN.commit(spark, root, added, gone)
+        if FI.indexed(spark, root):
+            FI.update(spark, root)
     return summary

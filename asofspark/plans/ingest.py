@@ -28,6 +28,7 @@ from asofspark.operators import progress as PG
 from asofspark.plans import transform as TR
 from asofspark.plans.declare import Declaration
 from asofspark.sources import archive as AR
+from asofspark.sources import fileindex as FI
 from asofspark.sources import lake as LK
 from asofspark.sources import snapshots as SN
 
@@ -150,6 +151,8 @@ def ingest(spark: SparkSession, raw: DataFrame, decls: dict[str, Declaration], r
         LK.write_curated(out.select(*keep), root)
         if SN.newest(spark, root) is not None:  # a lake with a snapshot log: visible from here on
             SN.commit(spark, root, out.select("product", "date", "batch"))
+            if FI.indexed(spark, root):
+                FI.update(spark, root)
         if pending is not None:
             left = raw.withColumn("posting", _posting_key()).join(taken, on="posting", how="left_anti")
             path, version = pending

@@ -14,10 +14,12 @@ import datetime as dt
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from asofspark.functions.time import CT
 from asofspark.operators import pit
 from asofspark.plans.declare import BUSINESS_KEY, NAME_COLUMN, SUPPORTED_VERSIONS
+from asofspark.sources import fileindex as FI
 from asofspark.sources import lake as LK
 from asofspark.sources import snapshots as SN
 
@@ -61,13 +63,16 @@ class Lake:
             raise KeyError(f"unknown product {product!r}")
         return self.tables[product]
 
-    def _scan(self, product: str, d_from: dt.date, d_to: dt.date) -> DataFrame:
+    def _scan(self, product: str, d_from: dt.date, d_to: dt.date, **cut) -> DataFrame:
         if d_to < d_from:
             raise ValueError(f"day range ends before it starts: {d_from} .. {d_to}")
         if self.max_days and (d_to - d_from).days + 1 > self.max_days:
             raise ValueError(f"at most {self.max_days} days per read")
         table = self._table(product)
-        df = LK.scan_days(self.spark, self.root, product, d_from, d_to, self.version)
+        if cut and FI.indexed(self.spark, self.root):  # only files that may hold a wanted row
+            df = FI.scan(self.spark, self.root, product, d_from, d_to, version=self.version, **cut)
+        else:
+            df = LK.scan_days(self.spark, self.root, product, d_from, d_to, self.version)
         if df is None:  # FLT11: nothing stored, the declared types still hold
             return self.spark.createDataFrame([], CURATED_SCHEMA[table])
         return df.select(*[f.split(" ")[0] for f in CURATED_SCHEMA[table].split(", ")])
@@ -82,9 +87,19 @@ class Lake:
             return pit.postings(cut, key=key, as_of=_utc(as_of, "as_of"))
         return pit.order_by_key(pit.latest(cut, key=key, tie="ingested_at"), key)
 
+    def files(self, product: str, start: dt.datetime, end: dt.datetime, *, as_of: dt.datetime, names=None) -> tuple[int, int]:
+        """(files that such a read opens, files and unindexed directories of its days that are live)."""
+        self._table(product)
+        lo, hi = _utc(start, "start"), _utc(end, "end")
+        found = FI.chosen(self.spark, self.root, product, _ct_day(lo), _ct_day(hi - dt.timedelta(microseconds=1)), start=lo,
+                          end=hi, as_of=_utc(as_of, "as_of"), names=names, version=self.version)
+        r = found.agg(F.count_if("wanted").alias("opened"), F.count(F.lit(1)).alias("live")).first()
+        return r.opened, r.live
+
     def by_date(self, product: str, day: dt.date, *, as_of: dt.datetime, names=None) -> DataFrame:
         """JOB01: the whole delivery day (CT) as known at ``as_of``; one row per business key."""
-        return self._read(self._scan(product, day, day), product, as_of, names, latest=True)
+        df = self._scan(product, day, day, as_of=_utc(as_of, "as_of"), names=names)
+        return self._read(df, product, as_of, names, latest=True)
 
     def by_range(self, product: str, start: dt.datetime, end: dt.datetime, *, as_of: dt.datetime,
                  names=None) -> DataFrame:
@@ -92,7 +107,8 @@ class Lake:
         lo, hi = _utc(start, "start"), _utc(end, "end")
         if hi <= lo:
             raise ValueError(f"empty interval range {start} .. {end}")
-        df = self._scan(product, _ct_day(lo), _ct_day(hi - dt.timedelta(microseconds=1)))
+        df = self._scan(product, _ct_day(lo), _ct_day(hi - dt.timedelta(microseconds=1)), start=lo, end=hi,
+                        as_of=_utc(as_of, "as_of"), names=names)
         return self._read(pit.between_intervals(df, lo, hi), product, as_of, names, latest=True)
 
     def postings(self, product: str, start: dt.datetime, end: dt.datetime, *, as_of: dt.datetime,
@@ -102,6 +118,7 @@ class Lake:
         lo, hi = _utc(start, "start"), _utc(end, "end")
         if hi <= lo:
             raise ValueError(f"empty interval range {start} .. {end}")
-        df = self._scan(product, _ct_day(lo), _ct_day(hi - dt.timedelta(microseconds=1)))
+        df = self._scan(product, _ct_day(lo), _ct_day(hi - dt.timedelta(microseconds=1)), start=lo, end=hi,
+                        as_of=_utc(as_of, "as_of"), names=names)
         return self._read(pit.between_intervals(df, lo, hi), product, as_of, names, latest=False)
 

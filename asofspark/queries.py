@@ -1060,6 +1060,29 @@ def snapshot_reads(spark, sf):
     return spark.read.parquet(seen).select("phase", "product", "n_rows", "value_sum")
 
 
+@query
+def indexed_reads(spark, sf):
+    """Reads of two days as known early on the second, of some series and of all, through the zone maps of a
+    lake's files; each with whether fewer files were opened than are live on those days."""
+    from asofspark.sources import fileindex as FI
+    from asofspark.sources import snapshots as SN
+
+    root = _written_lake(spark, sf)
+    SN.start(spark, root)
+    FI.update(spark, root)
+    lake = Lake(spark, root, {f"ev-{t}": "series" for t in FX.EVENT_TYPES})
+    span = (_DT(2024, 1, 10, 6, tzinfo=_UTC), _DT(2024, 1, 12, 0, tzinfo=_UTC))
+    as_of, few = _DT(2024, 1, 11, 0, tzinfo=_UTC), ["user:7", "user:11", "user:404"]
+    parts = []
+    for p in lake.tables:
+        for label, names in (("all", None), ("few", few)):
+            opened, live = lake.files(p, *span, as_of=as_of, names=names)
+            parts.append(lake.by_range(p, *span, as_of=as_of, names=names).select(
+                F.lit(p).alias("product"), F.lit(label).alias("names"), "interval_start", "series", "posted_at", "value",
+                F.lit(opened < live).alias("fewer")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def leftover_files(spark, sf):
     li = read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_suppkey")
