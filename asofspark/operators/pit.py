@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from asofspark.functions import time as T
+from asofspark.operators import carry as CA
 
 _RN = "__pit_rn"
 
@@ -121,21 +122,21 @@ def _bucket_start(time: Column, width: str) -> Column:
 
 def point_in_time_join(decisions: DataFrame, facts: DataFrame, *, on: Sequence[str] | str,
                        decision_time: str, posted: str, value_cols: Sequence[str],
-                       bucket: str | None = "1 day") -> DataFrame:
+                       rows: int = CA.ROWS, bucket: str | None = None) -> DataFrame:
     """JN06: for every decision row, the fact values known at its ``decision_time``.
 
     A fact counts as known when ``posted <= decision_time`` (equality included). Decisions with
     nothing known get NULL values (left semantics). ``facts`` must hold one row per
     (key, posted) (already deduplicated per business key if it is a revision log).
 
-    Plan: decisions and facts are unioned and a running ``last(struct, ignorenulls)`` over
-    ``(key [, bucket])`` ordered by time carries the newest known fact forward: one shuffle of the
-    rows, no pairs. The window is partitioned by key *and* time ``bucket`` (default one day), so one
-    hot key is spread over many tasks; the fact carried into each bucket from earlier ones comes
-    from one aggregate of a row per (key, bucket), combined before its shuffle. ``bucket=None``
-    partitions by key only (for inputs known to have no hot key). The answer does not depend on
-    ``bucket``: keys match null-safely, a decision without a time knows nothing and is kept, a
-    fact without a time is never known.
+    Plan: decisions and facts are unioned and a running ``last(struct, ignorenulls)`` over the key
+    ordered by time carries the newest known fact forward: one shuffle of the rows, no pairs. A key
+    with more than ``rows`` rows is cut into segments of equal rows (:mod:`.carry`), also where all its
+    rows share one time, and the fact that comes into a segment from earlier ones is an exclusive scan
+    over one row per segment: no width to choose, and a hot key keeps every task busy. With
+    ``bucket`` (such as ``1 day``) every key is cut at fixed times instead, without a count of the keys
+    before. The answer depends on neither: keys match null-safely, a decision
+    without a time knows nothing and is kept, a fact without a time is never known.
     """
     keys = _cols(on)
     vals = list(value_cols)
@@ -149,7 +150,21 @@ def point_in_time_join(decisions: DataFrame, facts: DataFrame, *, on: Sequence[s
     f = f.filter(F.col("__time").isNotNull()).withColumn("__dec", F.lit(None).cast(d.schema["__dec"].dataType))
     both = f.unionByName(d)
     part = [F.col(k) for k in keys]
-    if bucket is not None:
+    if bucket is None:
+        # facts before decisions of the same time; decisions of one time may be cut anywhere
+        both = both.withColumns({"__at": F.coalesce(T.ntz_micros("__time"), F.lit(-(1 << 63))),
+                                 "__tie": F.when(F.col("__side") == 1, F.rand(0)).otherwise(F.lit(0.0))})
+        both, cut = CA.segmented(both, group=keys, order=["__at", "__side", "__tie"], rows=rows)
+        both = both.drop("__at", "__tie")
+        if cut:
+            newest = F.max_by("__fact", F.when(F.col("__side") == 0, F.col("__time")))
+            seeds = CA.carried(both, group=keys, own=newest, scan=lambda c: F.last(c, ignorenulls=True))
+            seeds = seeds.filter(F.col("carry").isNotNull()).select(
+                *keys, CA.SEGMENT, F.lit(None).cast("timestamp_ntz").alias("__time"), F.lit(-1).alias("__side"),
+                F.col("carry").alias("__fact"), F.lit(None).cast(d.schema["__dec"].dataType).alias("__dec"))
+            both = both.drop(CA.HOT).unionByName(seeds)
+            part = part + [F.col(CA.SEGMENT)]
+    else:
         both = both.withColumn("__bucket", _bucket_start(F.col("__time"), bucket))
         # every bucket of a key with its newest fact, if any (grouping is null-safe)
         fact = F.col("__side") == 0

@@ -5,8 +5,11 @@ same text names two instants. Walking the postings of one local day in document
 first repeated-hour time that is not later than an earlier one starts the second pass; from
 then on every repeated-hour time of that day is the second occurrence.
 
-Only rows whose local time is ambiguous enter the window (at most one hour per day and group);
-all other rows are converted directly, so the window never sees the bulk of the data.
+Only rows whose local time is ambiguous are ordered (at most one hour per day and group), and they are
+kept as a small table. The second pass starts at the first of them that is not later than the one before
+it: up to there the times rise, so the one before is the latest so far. That start, one row per day and
+group, is all that the other rows are compared with. A day with more than ``rows`` such rows is cut into
+segments of equal rows (:mod:`.carry`), and the time before a segment's first row is carried in.
 """
 
 from __future__ import annotations
@@ -14,24 +17,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from asofspark.functions.time import CT, is_repeated, local_to_utc
+from asofspark.functions.time import CT, is_repeated, local_to_utc, ntz_micros
+from asofspark.operators import carry as CA
+
+
+def second_pass_starts(amb: DataFrame, *, group, order: str, local: str, rows: int = CA.ROWS) -> DataFrame:
+    """``(*group, start)`` of ``amb(*group, order, local)``: the first (order, local) that does not rise."""
+    amb = amb.filter(F.col(order).isNotNull()).withColumn("__us", ntz_micros(local))
+    seg, cut = CA.segmented(amb, group=group, order=[order, "__us"], rows=rows)
+    w = Window.partitionBy(*group, *([CA.SEGMENT] if cut else [])).orderBy(order, "__us")
+    seg = seg.withColumn("__before", F.lag("__us").over(w))
+    if cut:
+        carry = CA.carried(seg, group=group, own=F.max_by("__us", F.struct(order, "__us")), scan=lambda c: F.last(c, ignorenulls=True))
+        carry = carry.withColumnsRenamed({c: f"k_{c}" for c in (*group, CA.SEGMENT)})
+        same = F.col(CA.SEGMENT) == F.col(f"k_{CA.SEGMENT}")
+        for g in group:
+            same = same & F.col(g).eqNullSafe(F.col(f"k_{g}"))
+        seg = seg.join(carry, same, "left").withColumn("__before", F.coalesce("__before", "carry"))
+    return (seg.filter(F.col("__us") <= F.col("__before")).groupBy(*group)
+            .agg(F.min(F.struct(F.col(order).alias("o"), F.col("__us").alias("t"))).alias("start")))
 
 
 def resolve_repeated_hour(df: DataFrame, *, order: str, local: str, by=(), tz: str = CT,
-                          out: str = "posted_utc", flag: str = "second_pass") -> DataFrame:
-    """Add ``out`` (UTC NTZ) and ``flag`` (second occurrence) to every row of ``df``."""
+                          out: str = "posted_utc", flag: str = "second_pass", rows: int = CA.ROWS) -> DataFrame:
+    """Add ``out`` (UTC NTZ) and ``flag`` (second occurrence) to every row of ``df``. Rows without an
+    ``order`` or a time are no part of the walk and take the first occurrence."""
     by = [by] if isinstance(by, str) else list(by)
-    rep = is_repeated(F.col(local), tz)
-    plain = (df.filter(~rep | F.col(local).isNull())
-             .withColumn(flag, F.lit(False))
-             .withColumn(out, local_to_utc(F.col(local), None, tz)))
-    amb = df.filter(rep)
-    part = [*[F.col(b) for b in by], F.to_date(F.col(local))]
-    before = Window.partitionBy(*part).orderBy(F.col(order)).rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy(*part).orderBy(F.col(order)).rowsBetween(Window.unboundedPreceding, 0)
-    starts = F.coalesce(F.col(local) <= F.max(F.col(local)).over(before), F.lit(False))
-    amb = (amb.withColumn("__starts", starts)
-           .withColumn(flag, F.max(F.col("__starts")).over(upto))
-           .drop("__starts")
-           .withColumn(out, local_to_utc(F.col(local), F.col(flag), tz)))
-    return plain.unionByName(amb)
+    group = [f"__g{k}" for k in range(len(by) + 1)]
+    amb = df.filter(is_repeated(F.col(local), tz)).select(
+        F.to_date(local).alias(group[0]), *[F.col(b).alias(g) for g, b in zip(group[1:], by, strict=True)],
+        F.col(order).alias("__o"), F.col(local).alias("__l"))
+    starts = second_pass_starts(CA._kept(amb, "repeated-hour"), group=group, order="__o", local="__l", rows=rows)
+    same = F.to_date(local) == F.col(group[0])
+    for g, b in zip(group[1:], by, strict=True):
+        same = same & F.col(b).eqNullSafe(F.col(g))
+    # a day's start is one row: the walk's outcome comes to the rows, which are not ordered again
+    j = df.join(starts, same, "left")
+    here = F.struct(F.col(order).alias("o"), ntz_micros(local).alias("t"))
+    second = F.when(F.col("start").isNull() | F.col(order).isNull() | (here < F.col("start")), F.lit(False)).otherwise(
+        F.coalesce(is_repeated(F.col(local), tz), F.lit(False)))
+    j = j.withColumn(flag, second)
+    return j.select(*df.columns, flag, local_to_utc(F.col(local), F.col(flag), tz).alias(out))
