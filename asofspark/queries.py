@@ -860,6 +860,7 @@ def quality_rules(spark, sf):
 from asofspark import fixtures as FX  # noqa: E402
 from asofspark.session import scratch_path  # noqa: E402
 from asofspark.sources import archive as AR  # noqa: E402
+from asofspark.sources import members as MB  # noqa: E402
 
 
 def _landed_zips(spark, sf, bundles: bool = False) -> str:
@@ -879,10 +880,16 @@ def posting_zip_scan(spark, sf):
     return FX.typed_events(rec).select("event_id", "ts", "user_id", "event_type", "value", "posted_local")
 
 
+def _bundle_records(spark, root):
+    """The data lines of all bundles, read member by member in slices of 32 KB: several tasks a bundle."""
+    rec = MB.read_members(spark, root, size=32 << 10)
+    return rec.filter(F.col("cells").isNotNull()).drop("problem")
+
+
 @query
 def bundle_scan(spark, sf):
     root = _landed_zips(spark, sf, bundles=True)
-    rec = AR.member_posting(AR.csv_records(AR.read_archives(spark, root)))
+    rec = AR.member_posting(_bundle_records(spark, root))
     rec = rec.filter(F.col("posted_local").isNotNull())
     return FX.typed_events(rec).select("event_id", "ts", "user_id", "event_type", "value", "posted_local", "doc_id")
 
@@ -891,7 +898,7 @@ def bundle_scan(spark, sf):
 def bundle_window(spark, sf):
     """The postings of all bundles published in ten days."""
     root = _landed_zips(spark, sf, bundles=True)
-    rec = AR.member_posting(AR.csv_records(AR.read_archives(spark, root)))
+    rec = AR.member_posting(_bundle_records(spark, root))
     return AR.bundle_postings(rec, "2024-01-10 00:00:00", "2024-01-20 00:00:00").select("doc_id", "posted_at", "n_lines")
 
 
