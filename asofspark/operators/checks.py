@@ -44,15 +44,16 @@ def duplicate_keys(df: DataFrame, key, posted: str, limit: int = 5) -> DataFrame
 def sum_findings(df: DataFrame, *, by, part: Column, total: Column, value: str,
                  expected_parts: int, tolerance: float = 1.0) -> DataFrame:
     """AGG03: per ``by``, the sum of part rows against the total row; a finding when they differ
-    by more than ``tolerance``, the number of parts is not ``expected_parts``, or there is no total."""
+    by more than ``tolerance`` or the number of parts is not ``expected_parts``. Where there is no
+    total there is nothing to compare and no finding."""
     by = _cols(by)
     g = df.groupBy(*by).agg(
         F.sum(F.when(part, F.col(value))).alias("parts_sum"),
         F.max(F.when(total, F.col(value))).alias("total"),
         F.count(F.when(part, F.lit(1))).alias("n_parts"),
     )
-    return g.filter((F.abs(F.col("parts_sum") - F.col("total")) > tolerance)
-                    | (F.col("n_parts") != expected_parts) | F.col("total").isNull())
+    wrong = (F.abs(F.col("parts_sum") - F.col("total")) > tolerance) | (F.col("n_parts") != expected_parts)
+    return g.filter(F.col("total").isNotNull() & wrong)
 
 
 def null_audit(df: DataFrame, required: Sequence[str], by: str = "file") -> DataFrame:

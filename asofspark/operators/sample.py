@@ -29,6 +29,15 @@ def sample(df: DataFrame, *, file: str, order: str, interval, point: str | None,
     return kept.filter(hub).unionByName(rest.drop("__n"))
 
 
+def sample_job(df: DataFrame, *, file: str, order: str, interval, point: str | None, prefixes=("HB_", "LZ_"),
+               intervals: int = 2, others: int = 5) -> DataFrame:
+    """JOB15: the sample of every file with ``complete``: whether the file reaches past the kept intervals,
+    so that the last of them is known to be whole. Files that are not complete keep their rows, and
+    are told apart by the flag."""
+    rows = sample(df, file=file, order=order, interval=interval, point=point, prefixes=prefixes, intervals=intervals, others=others)
+    return rows.join(complete_files(df, file=file, interval=interval, intervals=intervals).select(file, "complete"), on=file)
+
+
 def complete_files(df: DataFrame, *, file: str, interval, intervals: int = 2) -> DataFrame:
     interval = [interval] if isinstance(interval, str) else list(interval)
     g = df.select(file, *interval).distinct().groupBy(file).agg(F.count(F.lit(1)).alias("n_intervals"))

@@ -668,6 +668,16 @@ SELECT product, CAST(NULL AS VARCHAR), CAST(NULL AS BOOLEAN), 'orphan' FROM mani
 WHERE product NOT IN (SELECT product FROM config) AND product NOT IN (SELECT product FROM previous)
 """
 
+ORACLES["sample_complete"] = """
+WITH li AS (SELECT l_partkey, l_orderkey * 8 + l_linenumber AS line_no, strftime(l_shipdate, '%Y') AS year, 'N' || CAST(l_suppkey AS VARCHAR) AS point
+            FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_partkey, line_no ORDER BY year, point) = 1),
+f AS (SELECT l_partkey, year, dense_rank() OVER (PARTITION BY l_partkey ORDER BY min(line_no)) AS rk FROM li GROUP BY l_partkey, year),
+c AS (SELECT l_partkey, max(rk) > 2 AS complete FROM f GROUP BY l_partkey)
+SELECT li.l_partkey, line_no, li.year, point, complete
+FROM li JOIN f ON f.l_partkey = li.l_partkey AND f.year = li.year JOIN c ON c.l_partkey = li.l_partkey WHERE rk <= 2
+QUALIFY row_number() OVER (PARTITION BY li.l_partkey, li.year ORDER BY line_no) = 1
+"""
+
 ORACLES["sample_rule"] = """
 WITH li AS (
   SELECT l_suppkey, l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') AS interval_key,
@@ -698,7 +708,7 @@ w AS (SELECT * FROM lg WHERE "at" > TIMESTAMP '2024-01-29' AND "at" <= TIMESTAMP
 t AS (SELECT count(*) AS total FROM w),
 n AS (SELECT "at", left(trim(regexp_replace(coalesce(CASE WHEN json_valid(raw) THEN json_extract_string(raw, '$.message') END, raw),
                                           '\\s+', ' ', 'g')), 240) AS text
-      FROM w ORDER BY "at" DESC LIMIT 25)
+      FROM w ORDER BY "at" DESC, raw LIMIT 25)
 SELECT n."at", n.text, t.total FROM n, t
 """
 
@@ -733,9 +743,20 @@ SELECT 1 AS rank, 'covered on ' || CAST(d AS VARCHAR) || ': ' || format('{{:,.1f
        || ' % (' || CAST(m AS VARCHAR) || ' of ' || format('{{:,}}', e) || ' missing)' AS text
 FROM k WHERE e > 0
 UNION ALL
-SELECT 2, 'runs within a day: ' || format('{{:,}}', inv) || ', ' || CAST(err AS VARCHAR) || ' failed ('
+SELECT 3, 'runs within a day: ' || format('{{:,}}', inv) || ', ' || CAST(err AS VARCHAR) || ' failed ('
        || format('{{:,.2f}}', round_even(CASE WHEN inv = 0 THEN 0.0 ELSE err / inv END * 100, 2)) || '%)'
 FROM g
+UNION ALL
+SELECT 2, 'alarms within a day: ' || CAST(count(*) AS VARCHAR) FROM events
+WHERE event_type = 'error' AND event_id % 2 = 0 AND ts > TIMESTAMP '2024-01-19 12:00:00' AND ts <= {_NOW}
+UNION ALL
+(SELECT 4, 'nearest to its limit: ' || event_type || ' with ' || CAST(CAST(round_even(max(value), 0) AS BIGINT) AS VARCHAR) || ' of '
+        || CAST(stale AS VARCHAR) || ' min'
+ FROM events JOIN (VALUES ('click', 60), ('view', 120), ('purchase', 30), ('signup', 1440), ('error', 15), ('refund', 60)) th(name, stale)
+   ON name = event_type GROUP BY event_type, stale ORDER BY max(value) / stale DESC, event_type LIMIT 1)
+UNION ALL
+SELECT 5, 'sec' || CAST(user_id AS VARCHAR) || ': ' || k FROM events, (VALUES ('n=1'), ('n=2')) kk(k)
+WHERE event_type = 'signup' AND event_id % 7 <> 0 AND event_id % 11 <> 0
 """
 
 ORACLES["alarm_states"] = """
@@ -817,6 +838,10 @@ UNION ALL
 SELECT 'total_within_tolerance', count(*), count(*) FILTER (WHERE abs(s - t) > greatest(1.0, abs(t) * 1e-4))
 FROM (SELECT o_orderkey, sum(l_extendedprice) AS s, first(o_totalprice) AS t
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderkey) x
+UNION ALL
+SELECT 'same_names', count(*), count(*) FILTER (WHERE n < 2)
+FROM (SELECT user_id, CAST(bool_or(event_id % 5 < 3) AS INTEGER) + CAST(bool_or(event_id % 5 > 1) AS INTEGER) AS n
+      FROM events WHERE user_id % 3 = 0 GROUP BY user_id) x
 """
 
 
@@ -1004,6 +1029,21 @@ SELECT f.product, a.last_posted_at, CASE WHEN f.failed > 0 THEN 'error' ELSE 'ok
 FROM f LEFT JOIN a ON f.product = a.product
 """
 
+ORACLES["backfill_rows"] = f"""
+WITH {_INGEST},
+w AS (SELECT st.product, st.doc_id, st.posted_at, st.failed FROM st WHERE st.posted_at > TIMESTAMP '2024-01-01' AND st.posted_at <= TIMESTAMP '2024-01-09 12:00:00'),
+ws AS (SELECT product, min((posted_at, doc_id)) AS s FROM w WHERE failed GROUP BY product),
+again AS (SELECT w.product, w.doc_id FROM w LEFT JOIN ws ON w.product = ws.product
+          WHERE NOT w.failed AND (ws.s IS NULL OR (w.posted_at, w.doc_id) < ws.s))
+SELECT product, interval_start, settlement_point, settlement_point_type, price_mwh, posted_at, date, batch FROM acc
+WHERE date >= DATE '2024-01-08'
+UNION ALL
+SELECT r.product, interval_start, settlement_point, settlement_point_type, price_mwh, r.posted_at,
+       CAST({_local('r.interval_start')} AS DATE), 'part-' || strftime(r.posted_at, '%Y%m%dT%H%M%SZ') || '-' || r.doc_id
+FROM r JOIN again a ON r.product = a.product AND r.doc_id = a.doc_id
+WHERE CAST({_local('r.interval_start')} AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-07'
+"""
+
 ORACLES["stream_ingest"] = _INGEST_ROWS
 
 ORACLES["stream_latest"] = f"""
@@ -1054,6 +1094,57 @@ SELECT c.product, 'calendar', 'missing day ' || CAST(c.date AS VARCHAR)
 FROM cal c LEFT JOIN days d ON c.product = d.product AND c.date = d.date WHERE d.date IS NULL
 """
 
+ORACLES["verify_products"] = f"""
+WITH {_CURATED},
+base AS (
+  SELECT product, interval_start, posted_at, series, date, batch,
+         CASE WHEN product = 'ev-error' AND second(posted_at) % 17 = 0 THEN NULL ELSE 'archive' END AS source,
+         CASE WHEN product = 'ev-signup' AND second(posted_at) % 13 = 0 THEN 2 ELSE 1 END AS schema_version
+  FROM cu WHERE product <> 'ev-purchase' AND NOT (product = 'ev-click' AND date = DATE '2024-01-05')),
+dup AS (SELECT product, interval_start, posted_at, series, date, 'part-20240201T000000Z' AS batch, 'archive' AS source, 1 AS schema_version
+        FROM cu WHERE product = 'ev-view' AND second(posted_at) % 11 = 0),
+lake AS (SELECT * FROM base UNION ALL SELECT * FROM dup),
+per AS (SELECT interval_start, date, CAST(count(*) FILTER (WHERE product = 'ev-click') AS DOUBLE) AS a,
+               CAST(count(*) FILTER (WHERE product = 'ev-view') AS DOUBLE) AS b, CAST(epoch(interval_start) AS BIGINT) // 3600 AS h
+        FROM cu WHERE product IN ('ev-click', 'ev-view') GROUP BY interval_start, date),
+z AS (SELECT * FROM per WHERE date NOT IN (DATE '2024-01-03', DATE '2024-01-09')),
+zf AS (SELECT interval_start, CASE WHEN h % 70 = 0 THEN 1 ELSE 2 END AS n, CASE WHEN h % 70 = 0 THEN b ELSE a + b END AS zones,
+              a + b + CASE WHEN h % 50 = 0 THEN 500 ELSE 0 END AS total
+       FROM z WHERE h % 3 <> 0 AND (h % 70 = 0 OR h % 50 = 0) ORDER BY interval_start LIMIT 5),
+k AS (SELECT product, strftime(interval_start, '%Y-%m-%d %H:%M:%S') || '|' || series AS key, interval_start, series, posted_at, count(*) AS n
+      FROM lake GROUP BY ALL HAVING count(*) > 1
+      UNION ALL
+      SELECT 'prices', strftime(interval_start, '%Y-%m-%d %H:%M:%S') || '|' || series || '|N', interval_start, series, posted_at, count(*)
+      FROM cu WHERE product = 'ev-purchase' AND batch <> 'part-20240110T000000Z' GROUP BY ALL HAVING count(*) > 1),
+k5 AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY product ORDER BY n DESC, interval_start, series, posted_at) <= 5),
+days AS (SELECT DISTINCT product, date FROM lake
+         UNION SELECT 'zones', date FROM z WHERE date >= DATE '2024-01-04'
+         UNION SELECT 'prices', date FROM cu WHERE product = 'ev-purchase'),
+bounds AS (SELECT product, min(date) AS lo, max(date) AS hi FROM days GROUP BY product),
+cal AS (SELECT product, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM bounds),
+gone AS (SELECT c.product, list(CAST(c.date AS VARCHAR) ORDER BY c.date) AS d FROM cal c LEFT JOIN days d ON c.product = d.product AND c.date = d.date
+         WHERE d.date IS NULL GROUP BY c.product)
+SELECT product, 'keys' AS "check", key || ' posted ' || strftime(posted_at, '%Y-%m-%d %H:%M:%S') || ' x' || CAST(n AS VARCHAR) AS detail FROM k5
+UNION ALL
+SELECT product, 'keys', CAST(count(*) AS VARCHAR) || ' repeated keys in all' FROM k GROUP BY product HAVING count(*) > 5
+UNION ALL
+SELECT product, 'nulls', 'date=' || CAST(date AS VARCHAR) || ' batch=' || batch || ': source has ' || CAST(count(*) AS VARCHAR) || ' NULL'
+FROM lake WHERE source IS NULL GROUP BY product, date, batch
+UNION ALL
+SELECT product, 'versions', 'date=' || CAST(date AS VARCHAR) || ' batch=' || batch || ': versions '
+       || array_to_string(list_sort(list_distinct(list(CAST(schema_version AS VARCHAR)))), ',')
+FROM lake GROUP BY product, date, batch HAVING bool_or(schema_version <> 1)
+UNION ALL
+SELECT product, 'calendar', CAST(len(d) AS VARCHAR) || ' missing delivery days: ' || array_to_string(d[1:5], ', ') || CASE WHEN len(d) > 5 THEN ' ...' ELSE '' END
+FROM gone
+UNION ALL
+SELECT DISTINCT 'prices', 'files', 'date=' || CAST(date AS VARCHAR) || ' batch=' || batch || ': differs from the contract: unexpected note string'
+FROM cu WHERE product = 'ev-purchase' AND batch = 'part-20240110T000000Z'
+UNION ALL
+SELECT 'zones', 'zones', strftime(interval_start, '%Y-%m-%d %H:%M:%S') || ' posted ' || strftime(interval_start, '%Y-%m-%d %H:%M:%S') || ': '
+       || CAST(n AS VARCHAR) || ' zones sum ' || format('{{:,.1f}}', zones) || ', total ' || format('{{:,.1f}}', total) FROM zf
+"""
+
 
 # --- API pages, JSON objects, listings, source planning, workbook rows -----------------------
 
@@ -1095,13 +1186,31 @@ FROM events
 """
 
 ORACLES["listing_window"] = f"""
-SELECT doc_id, date_trunc('millisecond', posted_at) AS posted_at, name FROM ({_LISTING}) l
+SELECT doc_id, date_trunc('millisecond', posted_at) AS posted_at, name, CAST(NULL AS VARCHAR) AS problem FROM ({_LISTING}) l
 WHERE date_trunc('millisecond', posted_at) > TIMESTAMP '2024-11-03 05:00:00'
   AND date_trunc('millisecond', posted_at) <= TIMESTAMP '2024-11-04 00:00:00'
 """
 
+ORACLES["listing_broken_stamps"] = f"""
+SELECT doc_id, CASE WHEN bad THEN NULL ELSE date_trunc('millisecond', posted_at) END AS posted_at, name,
+       CASE WHEN doc_id % 61 = 0 THEN 'unreadable posting time: none'
+            WHEN bad THEN 'unreadable posting time: at ' || CAST(doc_id AS VARCHAR) END AS problem
+FROM (SELECT *, doc_id % 61 = 0 OR doc_id % 53 = 0 AS bad FROM ({_LISTING}) x) l
+WHERE bad OR date_trunc('millisecond', posted_at) > TIMESTAMP '2024-11-03 08:00:00'
+  AND date_trunc('millisecond', posted_at) <= TIMESTAMP '2024-11-04 00:00:00'
+"""
+
+ORACLES["json_object_files"] = """
+WITH n AS (SELECT user_id, props FROM events WHERE event_type = 'signup'
+           QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+SELECT 'user-' || CAST(user_id AS VARCHAR) || '.json' AS name,
+       CASE WHEN user_id % 5 <> 0 AND user_id % 13 <> 0 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
+       CASE WHEN user_id % 5 = 0 THEN 'missing' WHEN user_id % 13 = 0 THEN 'unreadable' ELSE 'ok' END AS status
+FROM n
+"""
+
 ORACLES["history_window"] = f"""
-SELECT doc_id, date_trunc('millisecond', posted_at) AS posted_at, name FROM ({_LISTING}) l
+SELECT doc_id, date_trunc('millisecond', posted_at) AS posted_at, name, CAST(NULL AS VARCHAR) AS problem FROM ({_LISTING}) l
 WHERE doc_id % 2 = 1 AND date_trunc('millisecond', posted_at) > TIMESTAMP '2024-11-01 00:00:00'
   AND date_trunc('millisecond', posted_at) <= TIMESTAMP '2024-11-10 00:00:00'
 """

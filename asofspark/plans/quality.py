@@ -28,3 +28,17 @@ def total_within_tolerance(df: DataFrame, parts_sum: str, total: str) -> DataFra
     """Parts sum to the total within max(1, 1e-4 * |total|)."""
     gap = F.abs(F.col(parts_sum) - F.col(total))
     return rule(df, "total_within_tolerance", gap > F.greatest(F.lit(1.0), F.abs(F.col(total)) * 1e-4))
+
+
+def same_names(formats: dict[str, DataFrame], name: str, prefixes: tuple[str, ...] = ()) -> DataFrame:
+    """All source formats of a product cover the same names: of the names in any format (those with
+    one of ``prefixes`` where given), how many are absent from another one. Each format is reduced
+    to its distinct names first."""
+    seen = None
+    for label, df in formats.items():
+        names = df.select(F.col(name).alias("name"), F.lit(label).alias("format")).distinct()
+        seen = names if seen is None else seen.unionByName(names)
+    if prefixes:
+        seen = seen.filter(F.greatest(*[F.col("name").startswith(p) for p in prefixes], F.lit(False)))
+    per = seen.filter(F.col("name").isNotNull()).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    return rule(per, "same_names", F.col("n") < len(formats))

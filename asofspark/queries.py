@@ -717,6 +717,18 @@ def sample_rule(spark, sf):
     return sample_rows(li, file="l_suppkey", order="line_no", interval="interval_key", point="point")
 
 
+@query
+def sample_complete(spark, sf):
+    """The sample job over a file per part: which of its samples are known to be whole."""
+    from asofspark.operators.sample import sample_job
+
+    li = read(spark, sf, "lineitem").select(
+        "l_partkey", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line_no"), F.date_format("l_shipdate", "yyyy").alias("year"),
+        F.concat(F.lit("N"), F.col("l_suppkey").cast("string")).alias("point"))
+    first = li.groupBy("l_partkey", "line_no").agg(F.min(F.struct("year", "point")).alias("r")).select("l_partkey", "line_no", "r.*")
+    return sample_job(first, file="l_partkey", order="line_no", interval="year", point="point", others=1)
+
+
 def _error_log(spark, sf):
     e = read(spark, sf, "events").filter(F.col("event_type") == "error")
     raw = F.when(F.col("event_id") % 2 == 0,
@@ -754,7 +766,13 @@ def closest_to_limit(spark, sf):
 def kpis(spark, sf):
     yesterday = F.date_sub(T.delivery_date(F.lit(NOW).cast("timestamp_ntz")), 1)
     st = MO.run_stats(_metrics(spark, sf), "2024-01-19 12:00:00", NOW)
-    return MO.kpis(_coverage_15min(spark, sf), st, yesterday)
+    hourly = _coverage_15min(spark, sf).select(  # posting hours, which the percentage leaves out
+        F.lit("hourly").alias("product"), "delivery_date", F.lit("postings").alias("unit"), "expected", "n_missing")
+    rows = _coverage_15min(spark, sf).select("product", "delivery_date", F.lit("intervals").alias("unit"), "expected", "n_missing")
+    peaks = read(spark, sf, "events").groupBy(F.col("event_type").alias("name")).agg(F.max("value").alias("peak"))
+    closest = MO.closest_to_limit(peaks, spark.createDataFrame(_THRESHOLDS, "name string, stale_after_min int"))
+    fired = AL.alarm_transitions(_alarm_history(spark, sf), "ingest-", "2024-01-19 12:00:00", NOW)
+    return MO.kpis(rows.unionByName(hourly), st, yesterday, transitions=fired, closest=closest, sections=_sections(spark, sf))
 
 
 @query
@@ -852,7 +870,11 @@ def quality_rules(spark, sf):
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     plaus = QR.delivery_after_posting(j, "l_shipdate", "o_orderdate")
     per = j.groupBy("o_orderkey").agg(F.sum("l_extendedprice").alias("s"), F.first("o_totalprice").alias("t"))
-    return grid.unionByName(plaus).unionByName(QR.total_within_tolerance(per, "s", "t"))
+    e = read(spark, sf, "events").select(
+        F.concat(F.when(F.col("user_id") % 3 == 0, F.lit("HB_")).otherwise(F.lit("N")), F.col("user_id").cast("string")).alias("point"), "event_id")
+    formats = {"archive": e.filter("event_id % 5 < 3"), "api": e.filter("event_id % 5 > 1")}
+    return (grid.unionByName(plaus).unionByName(QR.total_within_tolerance(per, "s", "t"))
+            .unionByName(QR.same_names(formats, "point", ("HB_", "LZ_"))))
 
 
 # --- archives, raw landing, curated lake, compaction (SRC01-SRC12, SNK01-SNK02, JOB08) -------
@@ -1162,6 +1184,22 @@ def backfill_no_watermark(spark, sf):
     return after.select("product", "last_posted_at", "status")
 
 
+@query
+def backfill_rows(spark, sf):
+    """A lake that has lost its days before 2024-01-08 and gets them back by a backfill of the postings of
+    these days: all rows that are there afterwards."""
+    root, raw, _ = _ingested_lake(spark, sf)
+    kept = scratch_path(spark, "backfill")
+    whole = spark.read.parquet(f"{root}/curated")
+    lost = F.col("date") < F.lit("2024-01-08").cast("date")
+    LK.write_curated(whole.filter(~lost), kept)
+    window = {"now": END, "explicit": ("2024-01-01 00:00:00", "2024-01-09 12:00:00")}
+    IN.ingest(spark, raw, FX.event_declarations(), kept, ingested_at="2024-02-02 00:00:00", update_progress=False, land=False,
+              delivery_range=("2024-01-01", "2024-01-07"), window=window)
+    assert IN.read_state(spark, kept, "watermarks") is None, "a backfill wrote watermarks"
+    return spark.read.parquet(f"{kept}/curated").select(*_CURATED_COLS)
+
+
 @query
 def catalog_publish(spark, sf):
     """Two configurations published over the manifests of all event types: one product retires, one is
@@ -1255,6 +1293,63 @@ def verify_findings(spark, sf):
     return VF.verify(lake, ["interval_start", "series"])
 
 
+def _product_document() -> str:
+    """Products of two table families in the file form: series without a total and one with, and prices."""
+    import json
+
+    cells = {"day": "Day", "hour": "Hour", "a": "A", "b": "B", "t": "T", "dst_flag": "DST"}
+    base = {"interval_minutes": 60, "time_style": "hour_ending", "cadence": "hourly", "lookback_hours": 24, "stale_after_min": 90}
+    series = {"delivery_date": "Day", "hour_ending": "Hour", "a": "A", "b": "B", "t": "T", "repeated_flag": "DST"}
+    prices = {"delivery_date": "Day", "hour_ending": "Hour", "point": "P", "point_type": "K", "price": "V", "repeated_flag": "DST"}
+    return json.dumps({"products": [
+        *({"product": f"ev-{t}", "table": "series", "columns": series, "series": {"a": "z:a", "b": "z:b"}, **base} for t in ("click", "error", "signup", "view")),
+        {"product": "zones", "table": "series", "columns": series, "series": {"a": "z:a", "b": "z:b", "t": "z:total"}, "total": "z:total",
+         "collected_from": "2024-01-04T06:00:00+00:00", **base},
+        {"product": "prices", "table": "spp", "columns": prices, **base}]})
+
+
+@query
+def verify_products(spark, sf):
+    """A lake of two table families, verified product by product: a missing day, repeated keys, NULLs, an unknown version,
+    a column too many in one batch of prices, zones that do not sum to their total, and zones without one."""
+    from asofspark.plans import products as PR
+    from asofspark.plans.verify_lake import verify_lake
+
+    rows = _curated_events(spark, sf)
+    second = F.second("posted_at")
+    base = rows.filter("product <> 'ev-purchase'").filter(~((F.col("product") == "ev-click") & (F.col("date") == F.lit("2024-01-05").cast("date"))))
+    base = base.withColumn("source", F.when((F.col("product") != "ev-error") | (second % 17 != 0), F.col("source")))
+    base = base.withColumn("schema_version", F.when((F.col("product") == "ev-signup") & (second % 13 == 0), 2).otherwise(F.col("schema_version")))
+    dup = rows.filter((F.col("product") == "ev-view") & (second % 11 == 0)).withColumn("batch", F.lit("part-20240201T000000Z"))
+    order = ["interval_start", "interval_minutes", "posted_at", "ingested_at", "source", "schema_version"]
+    place = ["product", "date", "batch"]
+    series = [*order, "series", "value", "dst_flag", *place]
+    # hourly counts of clicks and views as zones, their sum as the total; some totals wrong, some not there
+    hour = F.unix_seconds(F.col("interval_start").cast("timestamp")) / 3600
+    per = (rows.filter("product in ('ev-click', 'ev-view')").groupBy("interval_start", "date").agg(
+        F.count_if(F.col("product") == "ev-click").cast("double").alias("a"), F.count_if(F.col("product") == "ev-view").cast("double").alias("b"))
+        .withColumn("h", hour.cast("bigint")))
+    zone = F.array(F.struct(F.lit("z:a").alias("series"), F.col("a").alias("value")),
+                   F.struct(F.lit("z:b").alias("series"), F.col("b").alias("value")),
+                   F.struct(F.lit("z:total").alias("series"), (F.col("a") + F.col("b") + F.when(F.col("h") % 50 == 0, 500.0).otherwise(0.0)).alias("value")))
+    z = per.select("*", F.inline(zone)).filter(~((F.col("h") % 70 == 0) & (F.col("series") == "z:a"))
+                                               & ~((F.col("h") % 3 == 0) & (F.col("series") == "z:total"))
+                                               & ~F.col("date").isin(_datetime.date(2024, 1, 3), _datetime.date(2024, 1, 9)))
+    z = z.select("interval_start", F.lit(60).alias("interval_minutes"), F.col("interval_start").alias("posted_at"),
+                 F.col("interval_start").alias("ingested_at"), F.lit("archive").alias("source"), F.lit(1).alias("schema_version"), "series",
+                 "value", F.lit(False).alias("dst_flag"), F.lit("zones").alias("product"), "date", F.lit("part-20240201T000000Z").alias("batch"))
+    price = rows.filter("product = 'ev-purchase'").select(
+        *order, F.col("series").alias("settlement_point"), F.lit("N").alias("settlement_point_type"), F.col("value").alias("price_mwh"), "dst_flag",
+        F.lit("prices").alias("product"), "date", "batch")
+    odd = F.col("batch") == "part-20240110T000000Z"
+    root = scratch_path(spark, "verify")
+    LK.write_curated(base.unionByName(dup).select(*series), root)
+    LK.write_curated(z.select(*series), root)
+    LK.write_curated(price.filter(~odd), root)
+    LK.write_curated(price.filter(odd).withColumn("note", F.lit("x")), root)
+    return verify_lake(spark, root, PR.parse_products(_product_document()))
+
+
 # --- API pages, JSON objects, listings, source planning, workbook rows -----------------------
 
 import json as _json  # noqa: E402
@@ -1320,6 +1415,23 @@ def json_objects(spark, sf):
     return p.select("event_id", F.when(F.col("status") == "ok", F.col("obj.k")).alias("k"), "status")
 
 
+@query
+def json_object_files(spark, sf):
+    """State objects as files of their own, some of them broken, against the list of those expected."""
+    root = scratch_path(spark, "objects")
+    e = read(spark, sf, "events").filter("event_type = 'signup'")
+    name = F.concat(F.lit("user-"), F.col("user_id").cast("string"), F.lit(".json"))
+    newest = e.groupBy("user_id").agg(F.max_by("props", F.struct("ts", "event_id")).alias("props"))
+    content = F.when(F.col("user_id") % 13 == 0, F.concat(F.lit("{broken "), "props")).otherwise(F.col("props"))
+    files = newest.filter("user_id % 5 <> 0").select(name.alias("name"), content.cast("binary").alias("content"))
+    AR.export_files(files, root).write.format("noop").mode("overwrite").save()
+    folder = root.removeprefix("file:") if root.startswith("file:") else root
+    path = F.concat(F.lit(("file://" if root.startswith(("file:", "/")) else "") + folder + "/"), name)
+    found = DOC.read_json_objects(spark, root, "k bigint", expected=newest.select(path.alias("path")))
+    return found.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"),
+                        F.when(F.col("status") == "ok", F.col("obj.k")).alias("k"), "status")
+
+
 def _listing(spark, sf):
     e = read(spark, sf, "events")
     u = e.select("event_id", (F.col("ts") + F.make_dt_interval(F.lit(SHIFT_DAYS))).alias("utc"), "event_type")
@@ -1334,6 +1446,15 @@ def listing_window(spark, sf):
     return DOC.listing_docs(_listing(spark, sf), "2024-11-03 05:00:00", "2024-11-04 00:00:00")
 
 
+@query
+def listing_broken_stamps(spark, sf):
+    """A listing in which some stamps cannot be read or are not there: their documents are reported, none is lost."""
+    text = (F.when(F.col("doc_id") % 61 == 0, F.lit(None).cast("string"))
+            .when(F.col("doc_id") % 53 == 0, F.concat(F.lit("at "), F.col("doc_id").cast("string"))).otherwise(F.col("post_local_text")))
+    broken = _listing(spark, sf).withColumn("post_local_text", text)
+    return DOC.listing_docs(broken, "2024-11-03 08:00:00", "2024-11-04 00:00:00")
+
+
 @query
 def history_window(spark, sf):
     products = spark.createDataFrame([("ev-live", "history"), ("ev-other", None)], "product string, history_archive string")

@@ -53,7 +53,9 @@ def read_json_objects(spark: SparkSession, root: str, schema: str, expected: Dat
              .option("recursiveFileLookup", "true").text(root)
              .select(F.col("_metadata.file_path").alias("path"), "value"))
     if expected is not None:
-        files = expected.select("path").join(files, on="path", how="left")
+        plain = lambda c: F.regexp_replace(c, "^file:/+", "/")  # noqa: E731  (one file, written three ways)
+        found = files.select(plain("path").alias("found"), "value")
+        files = expected.select("path").join(found, plain("path") == F.col("found"), how="left").drop("found")
     return parse_json_objects(files, "value", schema)
 
 
@@ -61,13 +63,15 @@ def listing_docs(listing: DataFrame, post_from, post_to, *, by=(), tz: str = T.C
     """SRC06 + FLT08 + SRT04: a listing ``(doc_id, post_local_text, friendly_name)`` ->
     ``(doc_id, posted_at, name)`` with the repeated hour resolved by doc order, kept when
     ``post_from < posted_at <= post_to``, oldest first (ties by doc id); the name falls back to
-    the doc id."""
+    the doc id. A document whose stamp cannot be read is in every window, first, without a time and
+    with a ``problem``: where it belongs is not known, and it is never passed over."""
     df = listing.withColumn("__local", T.parse_post_local(F.col("post_local_text")))
     r = resolve_repeated_hour(df, order="doc_id", local="__local", by=list(by), tz=tz, out="posted_at")
     lo, hi = F.lit(post_from).cast("timestamp_ntz"), F.lit(post_to).cast("timestamp_ntz")
-    r = r.filter((F.col("posted_at") > lo) & (F.col("posted_at") <= hi))
+    bad = F.when(F.col("__local").isNull(), F.concat(F.lit("unreadable posting time: "), F.coalesce("post_local_text", F.lit("none"))))
+    r = r.withColumn("problem", bad).filter(((F.col("posted_at") > lo) & (F.col("posted_at") <= hi)) | F.col("problem").isNotNull())
     name = F.coalesce(F.col("friendly_name"), F.col("doc_id").cast("string"))
-    return r.select(*by, "doc_id", "posted_at", name.alias("name")).orderBy("posted_at", "doc_id")
+    return r.select(*by, "doc_id", "posted_at", name.alias("name"), "problem").orderBy("posted_at", "doc_id")
 
 
 def history_docs(listing: DataFrame, products: DataFrame, product: str, post_from, post_to) -> DataFrame:
