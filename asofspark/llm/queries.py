@@ -47,12 +47,12 @@ def _quoted(values) -> str:
 
 
 def _license_oracle() -> str:
-    """Brute force: every line against every notice, every place against every phrase."""
+    """Brute force: every window of every notice's width that starts at one of its words, every place of every phrase."""
     phrases = " UNION ALL ".join(
         f"SELECT {_quoted(p.split())} AS parts, '{label}' AS label" for p, label in licenses.PHRASES.items())
     notices = " UNION ALL ".join(
-        f"SELECT {_quoted(sorted({w.decode() for w in licenses.words_of(t)}))} AS parts, '{label}' AS label"
-        for label, t in licenses.NOTICES)
+        f"SELECT {k} AS notice, {_quoted(sorted({w.decode() for w in licenses.words_of(t)}))} AS parts, {_quoted(core.split())} AS core, "
+        f"{licenses.span_of(len(licenses.words_of(t)))} AS span, '{label}' AS label" for k, (label, t, core) in enumerate(licenses.NOTICES))
     lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
     return f"""
@@ -63,17 +63,17 @@ def _license_oracle() -> str:
                FROM d, phrase),
     base AS (SELECT doc_id, count(*) AS n, min(pos) AS lo, max(pos) AS hi, list(DISTINCT label) AS labels
              FROM places GROUP BY doc_id),
-    block AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS no
-              FROM d),
-    met AS (SELECT doc_id, no, label, len(list_intersect(list_distinct(regexp_extract_all(line, {word})), parts))
-                   / len(parts) AS c FROM block, notice),
-    best AS (SELECT doc_id, max(c) AS c, list(DISTINCT label) AS labels, count(DISTINCT no) AS n
+    windows AS (SELECT doc_id, notice, label, parts, core, unnest(list_transform(
+                  list_filter(range(len(w)), lambda i: list_contains(parts, w[i+1])),
+                  lambda i: list_intersect(list_distinct(w[i+1:i+span]), parts))) AS held FROM d, notice),
+    met AS (SELECT doc_id, notice, label, len(held) / len(parts) AS c FROM windows WHERE list_has_all(held, core)),
+    best AS (SELECT doc_id, max(c) AS c, list(DISTINCT label) AS labels, count(DISTINCT notice) AS n
              FROM met WHERE c >= {licenses.THRESHOLD} - 1e-9 GROUP BY doc_id)
     SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n_base, lo::BIGINT AS first_word,
            hi::BIGINT AS last_word, coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
            coalesce(array_to_string(list_sort(list_distinct(coalesce(base.labels, []) || coalesce(best.labels, []))), ','), '')
              AS labels,
-           coalesce(best.c, 0.0) AS score, coalesce(best.n, 0)::BIGINT AS n_blocks
+           coalesce(best.c, 0.0) AS score, coalesce(best.n, 0)::BIGINT AS n_notices
     FROM d LEFT JOIN base USING (doc_id) LEFT JOIN best USING (doc_id)"""
 
 

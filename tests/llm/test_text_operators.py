@@ -23,13 +23,33 @@ def words(t):
     return WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
 
 
+def wrapped(text, width, mark):
+    lines, line = [], mark
+    for w in text.split():
+        if len(line) + len(w) >= width:
+            lines.append(line)
+            line = mark
+        line += " " + w
+    return "\n".join([*lines, line])
+
+
+#: Every notice broken over lines, as comments too.
+WRAPPED = ["some words before\n\n" + wrapped(t, width, mark) + "\nand after it" for width, mark in ((20, ""), (60, "#"), (76, " *"), (80, "//"))
+           for _, t, _ in licenses.NOTICES]
+#: Sentences that share many words with a short notice of another licence.
+STRANGERS = ["Licensed under CC BY 4.0.", "Released under the Apache License", "The museum released its plans under the new press license agreement",
+             "released and under way, the license"]
+
+
 @pytest.fixture(scope="session")
 def licensed(spark, docs, doc_rows):
     extra = [(900 + k, t, "en", "s") for k, t in enumerate([
         "x\nLicensed under the Apache License, Version 2.0 and more",
         "licensed under apache version 2 0",  # 6 of 7 words
         "Licensed under the Apache", "GNU General\nPublic License", "MIT-License mit license MIT License x mit",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License", "cc by cc by"])]
+        "This work is licensed under a Creative Commons Attribution 4.0 International License", "cc by cc by",
+        *WRAPPED, *STRANGERS, "Released under " + "w " * 4 + "the MIT License", "released " * 9 + "mit license under the mit license the",
+        " ".join(t for _, t, _ in licenses.NOTICES) * 3])]
     return docs.select("doc_id", "text").union(spark.createDataFrame([e[:2] for e in extra], "doc_id long, text string")), \
         [(i, t) for i, t, _ in doc_rows] + [e[:2] for e in extra]
 
@@ -43,20 +63,42 @@ def test_licenses_match_brute_force(spark, licensed):
         for phrase, label in licenses.PHRASES.items():
             p = phrase.split()
             places += [(k, label) for k in range(len(w)) if w[k:k + len(p)] == p]
-        best, found, blocks = 0.0, set(), set()
-        for no, line in enumerate((t or "").split("\n")):
-            for label, notice in licenses.NOTICES:
-                own = set(words(notice))
-                c = len(own & set(words(line))) / len(own)
-                if c >= licenses.THRESHOLD - 1e-9:
-                    best, found = max(best, c), found | {label}
-                    blocks.add(no)
+        best, found, met = 0.0, set(), set()
+        for k, (label, notice, core) in enumerate(licenses.NOTICES):
+            own, span = set(words(notice)), math.ceil(1.25 * len(words(notice)))
+            for s in range(len(w)):
+                if w[s] in own:  # a window that starts elsewhere holds no more
+                    held = own & set(w[s:s + span])
+                    if len(held) / len(own) >= licenses.THRESHOLD - 1e-9 and held >= set(core.split()):
+                        best, found, met = max(best, len(held) / len(own)), found | {label}, met | {k}
         base = {x for _, x in places}
         want[i, len(w), len(places), min(places)[0] if places else None, max(places)[0] if places else None,
-             ",".join(sorted(base)), ",".join(sorted(base | found)), round(best, 9), len(blocks)] += 1
+             ",".join(sorted(base)), ",".join(sorted(base | found)), round(best, 9), len(met)] += 1
     assert Counter((r.id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, round(r.score, 9),
-                    r.n_blocks) for r in out) == want
-    assert sum(1 for r in out if r.score) >= 3
+                    r.n_notices) for r in out) == want
+    text = dict(rows)
+    for r in out:
+        if text[r.id] in WRAPPED:
+            (label,) = {label for label, t, _ in licenses.NOTICES if words(t) == words(text[r.id])[3:-3]}
+            assert label in r.labels.split(",") and r.score == 1.0
+        if text[r.id] in STRANGERS:
+            assert r.labels == r.base_labels and r.score == 0.0
+    assert sum(text[r.id] in WRAPPED for r in out) == 4 * len(licenses.NOTICES)
+
+
+def test_the_positional_filter_can_reject(spark):
+    # words of other notices come before the first common word: enough words in all, too few from there on
+    other, notice = ("y", "aa bb", "aa"), ("x", "cc dd ee ff", "")
+    text = "aa bb cc dd"
+    rank = licenses.ranking([b"aa", b"bb", b"cc", b"dd", b"ee", b"ff"], np.arange(6))
+    n = licenses.index([other, notice], rank, 0.75)[1]
+    own = sorted(rank[w.encode()] for w in text.split())
+    first = min(set(own) & set(n["ranks"]))
+    assert len(own) >= n["need"] == 3 and first in n["prefix"]
+    assert min(len(own) - own.index(first), len(n["ranks"]) - n["ranks"].index(first)) < n["need"]
+    docs = spark.createDataFrame([(1, text), (2, "aa cc dd ee")], "doc_id long, text string")
+    _, matches = licenses.scan(spark, docs, threshold=0.75, notices=[other, notice])
+    assert [(r.id, r.label) for r in matches.orderBy("id", "label").collect()] == [(1, "y"), (2, "x")]
 
 
 def key_of(i, t):
@@ -239,5 +281,5 @@ def test_empty_tables(spark, no_docs):
 
 def test_threshold_is_a_share_of_the_notice():
     rank = licenses.ranking([b"a", b"b", b"c", b"d", b"e"], np.array([5, 1, 3, 3, 2]))
-    (n,) = licenses.index([("x", "a b c d e")], rank, 0.8)
+    (n,) = licenses.index([("x", "a b c d e", "b")], rank, 0.8)
     assert n["need"] == math.ceil(0.8 * 5) and n["prefix"] == [0, 1] and rank[b"b"] == 0
