@@ -244,7 +244,7 @@ def op7_packing(spark, sf_dir):
 
 @query
 def op8_exact_dedup(spark, sf_dir):
-    out = exactdedup.exact_dedup(documents(spark, sf_dir), carry={"text_sha256": exactdedup.full_hash(F.col("text"))})
+    out = exactdedup.exact_dedup(spark, documents(spark, sf_dir), digests=True)
     return out.withColumnRenamed("id", "doc_id")
 
 

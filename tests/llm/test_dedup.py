@@ -163,17 +163,49 @@ def test_one_edit_and_variants_agree(a, b):
             assert set(linededup.halves(a)) & set(linededup.halves(b))
 
 
-def test_exact_groups_match_brute_force(spark, docs, doc_rows):
-    got = Counter((r.id, r.keep_id, r.group_size, r.kept, r.sha) for r in exactdedup.exact_dedup(
-        docs, prefix=8, carry={"sha": exactdedup.full_hash(exactdedup.F.col("text"))}).collect())
-    norm = [SPACE.sub(" ", t or "") for _, t, _ in doc_rows]
+def brute_exact(rows):
+    norm = [SPACE.sub(" ", t or "") for _, t, _ in rows]
     size, least = Counter(norm), {}
-    for (i, _, _), t in zip(doc_rows, norm, strict=True):
+    for (i, _, _), t in zip(rows, norm, strict=True):
         if i is not None:
             least[t] = min(least.get(t, i), i)
-    want = Counter((i, least.get(t), size[t], i == least.get(t), hashlib.sha256(t.encode()).hexdigest())
-                   for (i, _, _), t in zip(doc_rows, norm, strict=True))
-    assert got == want
+    return Counter((i, least.get(t), size[t], i == least.get(t), hashlib.sha256(t.encode()).hexdigest())
+                   for (i, _, _), t in zip(rows, norm, strict=True))
+
+
+def test_exact_groups_match_brute_force(spark, docs, doc_rows):
+    want = brute_exact(doc_rows)
+    got = exactdedup.exact_dedup(spark, docs, prefix=8, digests=True)
+    assert Counter((r.id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in got.collect()) == want
+    short = Counter()
+    for (*row, _), n in want.items():
+        short[tuple(row)] += n
+    for words in (exactdedup.WORDS, 2):  # few words: every bit is set, every text is hashed
+        got = exactdedup.exact_dedup(spark, docs, prefix=8, words=words)
+        assert Counter((r.id, r.keep_id, r.group_size, r.kept) for r in got.collect()) == short
+
+
+def test_only_survivors_are_hashed_in_full(spark, monkeypatch):
+    rows = [(k, "x" * (k + 1), "s") for k in range(200)] + [(500, "same text", "s"), (501, "same  text", "s"), (502, "same t3xt", "s")]
+    kept = {}
+    real = exactdedup.written
+    monkeypatch.setattr(exactdedup, "written", lambda s, df, name: kept.setdefault(name, real(s, df, name)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = exactdedup.exact_dedup(spark, docs, prefix=4)
+    hashed = {r.id for r in kept["exact"].where("full is not null").collect()}
+    assert {500, 501, 502} <= hashed and len(hashed) < 10
+    assert {r.id: r.keep_id for r in out.collect() if r.group_size > 1} == {500: 500, 501: 500}
+
+
+def test_no_text_is_shuffled(spark, docs, monkeypatch):
+    plans, real = {}, exactdedup.written
+    show = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(exactdedup, "written", lambda s, df, name: (plans.__setitem__(name, show(df)), real(s, df, name))[1])
+    for digests in (True, False):
+        last = show(exactdedup.exact_dedup(spark, docs, digests=digests))
+        # the tasks that read texts shuffle nothing, and where rows are shuffled there is no text
+        assert "hashpartitioning" not in plans["exact"].split("BroadcastExchange")[0] and "text" in plans["exact"]
+        assert "hashpartitioning" in last and "text" not in last.replace("text_sha256", "")
 
 
 def test_empty_tables(spark, no_docs):
@@ -181,4 +213,4 @@ def test_empty_tables(spark, no_docs):
     assert simhash.near_dedup(spark, no_docs).count() == 0
     assert linededup.report(spark, no_docs).count() == 0
     assert linededup.line_dedup(spark, no_docs).count() == 0
-    assert exactdedup.exact_dedup(no_docs).count() == 0
+    assert exactdedup.exact_dedup(spark, no_docs).count() == exactdedup.exact_dedup(spark, no_docs, digests=True).count() == 0
