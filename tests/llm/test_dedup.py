@@ -197,7 +197,8 @@ def test_only_survivors_are_hashed_in_full(spark, monkeypatch):
     assert {r.id: r.keep_id for r in out.collect() if r.group_size > 1} == {500: 500, 501: 500}
 
 
-def test_no_text_is_shuffled(spark, docs, monkeypatch):
+def test_no_text_is_shuffled(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a  b"), (2, "a b"), (3, None)], "doc_id long, text string")
     plans, real = {}, exactdedup.written
     show = lambda df: df._jdf.queryExecution().executedPlan().toString()
     monkeypatch.setattr(exactdedup, "written", lambda s, df, name: (plans.__setitem__(name, show(df)), real(s, df, name))[1])
