@@ -1051,6 +1051,18 @@ SELECT day, user_id, event_type, posted_at, event_id, value FROM {LOG} l
 QUALIFY row_number() OVER (PARTITION BY day, user_id, event_type ORDER BY posted_at DESC) = 1
 """
 
+ORACLES["stream_current"] = """
+SELECT user_id, event_type, ts AS posted_at, event_id, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1
+"""
+
+ORACLES["listing_stream"] = f"""
+SELECT event_id AS doc_id, strftime({_local("ts + INTERVAL 304 DAY")}, '%Y-%m-%dT%H:%M:%S.%g') AS post_local_text,
+       CASE WHEN event_id % 5 <> 0 THEN 'ev_' || event_type END AS friendly_name,
+       CASE WHEN event_id <= (SELECT max(event_id) * 3 // 4 FROM events) THEN 1 ELSE 2 END AS run, true AS fewer
+FROM events
+"""
+
 ORACLES["stream_hourly_counts"] = """
 SELECT date_trunc('hour', ts) AS hour_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS hour_end, event_type,
        count(*) AS n

@@ -1263,6 +1263,45 @@ def stream_latest(spark, sf):
     return ST.read_table(spark, out, "complete")
 
 
+@query
+def stream_current(spark, sf):
+    """Current values per (user, event type) over two triggers: what the first brought in, then everything, of
+    which only the keys with newer rows are written."""
+    from asofspark.streaming import current as CU
+
+    landing, out, ckpt = (scratch_path(spark, n) for n in ("events", "current", "ckpt"))
+    e = read(spark, sf, "events").select("user_id", "event_type", F.col("ts").alias("posted_at"), "event_id", "value")
+    early = F.col("posted_at") < F.lit("2024-01-12").cast("timestamp_ntz")
+    how = {"key": ["user_id", "event_type"], "posted": "posted_at", "tie": "event_id"}
+    for part in (e.filter(early), e.filter(~early)):
+        part.write.mode("append").parquet(landing)
+        CU.run_current(spark.readStream.schema(e.schema).parquet(landing), out, ckpt, **how)
+    return CU.read_current(spark, out, e.schema, **how)
+
+
+@query
+def listing_stream(spark, sf):
+    """A listing streamed over two polls: each document once, with the run that took it, and whether the
+    second run opened fewer pages than the listing has."""
+    from asofspark.sources import listing as LS
+
+    root, out, ckpt = (scratch_path(spark, n) for n in ("listing", "listed", "ckpt"))
+    docs = _listing(spark, sf).select("doc_id", "post_local_text", "friendly_name")
+    cut = docs.agg(F.expr("max(doc_id) * 3 div 4")).first()[0]
+    pages = 0
+    for run, part in enumerate((docs.filter(F.col("doc_id") <= cut), docs), 1):
+        pages = LS.write_poll(part, root, run, size=100)
+
+        def write(batch, batch_id, run=run):
+            batch.withColumn("run", F.lit(run)).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+        LS.stream_listing(spark, root).writeStream.foreachBatch(write).option("checkpointLocation", ckpt).trigger(
+            availableNow=True).start().awaitTermination()
+    found = spark.read.option("basePath", out).parquet(f"{out}/batch_id=*")
+    fewer = found.filter("run = 2").select((F.count_distinct("page") < pages).alias("fewer")).first()[0]
+    return found.select("doc_id", "post_local_text", "friendly_name", "run", F.lit(fewer).alias("fewer"))
+
+
 @query
 def stream_hourly_counts(spark, sf):
     s = _event_stream(spark, sf).select("ts", "event_type")
