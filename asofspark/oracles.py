@@ -945,6 +945,20 @@ WHERE posted_at <= TIMESTAMP '2024-01-11 00:00:00' AND interval_start >= TIMESTA
 QUALIFY row_number() OVER (PARTITION BY product, names, interval_start, series ORDER BY posted_at DESC, ingested_at DESC) = 1
 """
 
+ORACLES["lake_difference"] = f"""
+WITH {_CURATED},
+one AS (SELECT min(posted_at) AS t FROM cu WHERE product = 'ev-view' AND date = DATE '2024-01-12'),
+b AS (SELECT product, date, batch, interval_start, posted_at, series, value + CASE WHEN product = 'ev-view' AND posted_at = t THEN 1 ELSE 0 END AS value
+      FROM cu, one WHERE NOT (product = 'ev-click' AND batch = 'part-20240108T000000Z')
+      UNION ALL SELECT product, date, 'part-20240201T000000Z', interval_start, posted_at, series, value FROM cu
+      WHERE product = 'ev-error' AND date = DATE '2024-01-12'),
+x AS (SELECT product, date, batch, count(*) AS n, list_sort(list(posted_at || '|' || series || '|' || value)) AS l FROM cu GROUP BY ALL),
+y AS (SELECT product, date, batch, count(*) AS n, list_sort(list(posted_at || '|' || series || '|' || value)) AS l FROM b GROUP BY ALL)
+SELECT coalesce(x.product, y.product) AS product, coalesce(x.date, y.date) AS date, coalesce(x.batch, y.batch) AS batch, x.n, y.n AS o_n
+FROM x FULL JOIN y ON x.product = y.product AND x.date = y.date AND x.batch = y.batch
+WHERE x.l IS DISTINCT FROM y.l
+"""
+
 ORACLES["leftover_files"] = """
 SELECT 'part-' || CAST(l_suppkey % 5 AS VARCHAR) AS batch, count(*) AS n_rows, l_suppkey % 5 < 3 AS held
 FROM lineitem GROUP BY l_suppkey % 5

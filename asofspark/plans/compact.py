@@ -5,7 +5,8 @@ Per (product, delivery date) partition with at least two eligible batches (name
 ``merged-<now>`` batch sorted by key, posted and ingested time, then the source batches are
 deleted. Duplicates are kept (the dedupe happens at read time). A merged batch left by an
 interrupted run is recognised: source batches whose rows it already holds in full (multiset
-containment, NULL-safe) are leftovers and are deleted, not merged twice.
+containment, NULL-safe) are leftovers and are deleted, not merged twice. Order-free digests of the batches
+tell this for a whole partition; only where they disagree are rows compared.
 
 Every batch's own file schema is read from its footers on executors. A partition is off the
 contract, and is skipped and reported with its sources untouched, when a batch differs from the
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
 from asofspark.functions import time as T
+from asofspark.operators import digest as DG
 from asofspark.session import scratch_path
 from asofspark.sources import fileindex as FI
 from asofspark.sources import lake as L
@@ -40,7 +42,14 @@ REQUIRED = ("interval_start", "interval_minutes", "posted_at", "ingested_at", "s
 def held_batches(df: DataFrame, *, batch: str, merged: str, by=()) -> DataFrame:
     """JN05: per source batch, whether every row of it (with multiplicity) is held by the
     ``merged`` batch of the same ``by`` group. ``df`` has ``batch`` and a ``merged`` column
-    naming the group's newest merged batch (NULL when there is none)."""
+    naming the group's newest merged batch (NULL when there is none). Groups whose digests agree
+    are told without their rows (:mod:`asofspark.operators.digest`)."""
+    return DG.held_by_digest(df, batch=batch, merged=merged, by=by,
+                             exact=lambda rows: held_rows(rows, batch=batch, merged=merged, by=by))
+
+
+def held_rows(df: DataFrame, *, batch: str, merged: str, by=()) -> DataFrame:
+    """:func:`held_batches` row by row."""
     by = list(by)
     data = [c for c in df.columns if c not in (batch, merged, *by)]
     counts = df.groupBy(*by, batch, merged, *data).agg(F.count(F.lit(1)).alias("__n"))

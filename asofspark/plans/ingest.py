@@ -24,9 +24,11 @@ from pyspark.sql import functions as F
 
 from asofspark.functions import time as T
 from asofspark.operators import checks as CK
+from asofspark.operators import digest as DG
 from asofspark.operators import progress as PG
 from asofspark.plans import transform as TR
 from asofspark.plans.declare import Declaration
+from asofspark.session import scratch_path
 from asofspark.sources import archive as AR
 from asofspark.sources import fileindex as FI
 from asofspark.sources import lake as LK
@@ -69,20 +71,30 @@ def newest_copy(raw: DataFrame) -> DataFrame:
     return raw.withColumn("__copy", F.row_number().over(w)).filter(F.col("__copy") == 1).drop("__copy")
 
 
-def transform_postings(raw: DataFrame, decls: dict[str, Declaration], *, ingested_at) -> tuple[DataFrame, DataFrame]:
-    """(curated rows of every posting, status per posting). ``raw``: (product, posted_at,
-    doc_id, name, content); a NULL content is a listed posting not yet available (deferred)."""
+def transform_postings(raw: DataFrame, decls: dict[str, Declaration], *, ingested_at) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(curated rows of every posting, status per posting, the persisted records, for the caller to
+    release). ``raw``: (product, posted_at, doc_id, name, content); a NULL content is a listed
+    posting not yet available (deferred)."""
     keyed = raw.withColumn("posting", _posting_key())
     avail = keyed.filter(F.col("content").isNotNull())
     deferred = keyed.filter(F.col("content").isNull()).select(
         "product", "posting", "posted_at", "doc_id", F.lit("deferred").alias("status"),
         F.lit("not yet available").alias("problem"))
-    rec = AR.unpack(avail.select(F.col("posting").alias("path"), "content"))
-    rec = rec.withColumnRenamed("path", "posting")
     meta = avail.select("posting", "product", "posted_at", "doc_id")
-    rec = rec.join(meta, on="posting", how="inner").withColumn("ingested_at", F.lit(ingested_at).cast("timestamp_ntz"))
+    # what names a posting comes with its records through the unpacking: they are not joined or shuffled
+    rec = AR.unpack(avail, "posting", "content", carry=["product", "posted_at", "doc_id"]).withColumnRenamed("path", "posting")
+    rec = rec.withColumn("ingested_at", F.lit(ingested_at).cast("timestamp_ntz"))
     # unpacked once: every product's transform, drift check and key check read these records
     rec = rec.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return *_transformed(rec, meta, deferred, decls), rec
+    except BaseException:
+        rec.unpersist()
+        raise
+
+
+def _transformed(rec: DataFrame, meta: DataFrame, deferred: DataFrame, decls: dict[str, Declaration]) -> tuple[DataFrame, DataFrame]:
+    """Curated rows and status of the postings whose records are ``rec``."""
     lines = rec.filter(F.col("cells").isNotNull())
     broken = rec.groupBy("posting").agg(F.min("problem").alias("broken")).filter(F.col("broken").isNotNull())
     # per product only the declared expressions differ; the checks run once over all products
@@ -106,8 +118,7 @@ def transform_postings(raw: DataFrame, decls: dict[str, Declaration], *, ingeste
         "product", "posting", "posted_at", "doc_id",
         F.when(problem.isNull(), F.lit("ok")).otherwise(F.lit("failed")).alias("status"), problem.alias("problem"))
     status = status.unionByName(deferred)
-    rows = rows.drop("__key")
-    return rows, status, rec
+    return rows.drop("__key"), status
 
 
 def ingest(spark: SparkSession, raw: DataFrame, decls: dict[str, Declaration], root: str, *,
@@ -228,3 +239,25 @@ def rebuild(spark: SparkSession, root: str, decls: dict[str, Declaration], targe
     """JOB16: regenerate a curated lake from the raw postings kept under ``root``."""
     raw = LK.read_raw(spark, root).select("product", "posted_at", "doc_id", "name", "content")
     return ingest(spark, raw, decls, target, ingested_at=ingested_at, update_progress=False, land=False)
+
+
+def lake_digests(spark: SparkSession, root: str) -> DataFrame:
+    """The digest of every live batch of a lake: ``(product, date, batch, n, s1, s2)``. The time of ingestion is left out,
+    so a rebuilt lake has the digests of the lake it was rebuilt from."""
+    rows = spark.read.option("mergeSchema", "true").parquet(f"{root}/curated")
+    live = SN.live(spark, root)
+    if live is not None:
+        rows = rows.join(live, SN.DIRECTORY, "left_semi")
+    return DG.digests(rows.drop("ingested_at"), SN.DIRECTORY)
+
+
+def lake_difference(spark: SparkSession, root: str, other: str) -> DataFrame:
+    """The batches in which two lakes differ, found from product to day to batch: ``(product, date, batch, n, o_n)``
+    with the rows in each; none where the lakes are the same."""
+    a, b = lake_digests(spark, root), lake_digests(spark, other)
+    kept = []
+    for df, name in ((a, "digests"), (b, "digests-other")):
+        path = scratch_path(spark, name)
+        df.write.parquet(path)  # rows are read once; the descent works on digests
+        kept.append(spark.read.schema(df.schema).parquet(path))
+    return DG.differing(*kept, [["product"], ["product", "date"], SN.DIRECTORY])

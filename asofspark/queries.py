@@ -1112,6 +1112,22 @@ def indexed_reads(spark, sf):
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def lake_difference(spark, sf):
+    """Two lakes of the same events, the second with a value changed on one day, a batch left out and one more:
+    the batches that differ, and their rows in both."""
+    a, b = (scratch_path(spark, n) for n in ("lake", "other"))
+    rows = _curated_events(spark, sf)
+    LK.write_curated(rows, a)
+    day = F.col("date") == F.lit("2024-01-12").cast("date")
+    one = rows.filter(day & (F.col("product") == "ev-view")).agg(F.min("posted_at")).first()[0]
+    changed = F.when((F.col("product") == "ev-view") & (F.col("posted_at") == F.lit(one)), F.col("value") + 1).otherwise(F.col("value"))
+    gone = (F.col("product") == "ev-click") & (F.col("batch") == "part-20240108T000000Z")
+    again = rows.filter((F.col("product") == "ev-error") & day).withColumn("batch", F.lit("part-20240201T000000Z"))
+    LK.write_curated(rows.withColumn("value", changed).filter(~gone).unionByName(again), b)
+    return IN.lake_difference(spark, a, b)
+
+
 @query
 def leftover_files(spark, sf):
     li = read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_suppkey")

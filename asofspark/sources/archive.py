@@ -2,7 +2,7 @@
 
 A posting is one immutable zip holding CSV members; a bundle is a zip of posting zips. Both are
 read as binary rows (``binaryFile`` on files, or landed raw rows) and unpacked on executors by
-``mapInPandas``: each task opens its own archives with the standard library and yields lines in
+``mapInArrow``: each task opens its own archives with the standard library and yields lines in
 batches of 50,000, so memory is bounded by a member, not by an archive. Header cells
 are trimmed, all-blank lines dropped, cells kept verbatim, a UTF-8 BOM stripped; other member
 types are ignored.
@@ -14,11 +14,13 @@ import csv
 import io
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from asofspark.functions import time as T
 
@@ -80,26 +82,38 @@ def _records(path: str, content: bytes):
         yield path, None, None, None, None, None, None, None, "archive without a CSV member"
 
 
-def _unzip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    rows: list[tuple] = []
-    for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"], strict=True):
-            for row in _records(path, bytes(content)):
+def _unzip_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of ``(path, content, *carried)`` batches; carried values are taken as they are."""
+    types = [pa.string(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.string()),
+             pa.list_(pa.string()), pa.string()]
+
+    def out(b: pa.RecordBatch, rows: list[tuple], at: list[int]) -> pa.RecordBatch:
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+        carried = [b.column(k).take(pa.array(at, pa.int32())) for k in range(2, b.num_columns)]
+        return pa.record_batch([*columns, *carried], names=[*_COLUMNS, *b.schema.names[2:]])
+
+    for b in batches:
+        rows: list[tuple] = []
+        at: list[int] = []
+        for n, (path, content) in enumerate(zip(b.column(0), b.column(1), strict=True)):
+            for row in _records(path.as_py(), content.as_py()):
                 rows.append(row)
+                at.append(n)
                 if len(rows) >= _FLUSH_ROWS:
-                    yield pd.DataFrame(rows, columns=_COLUMNS)
-                    rows = []
-    if rows:
-        yield pd.DataFrame(rows, columns=_COLUMNS)
+                    yield out(b, rows, at)
+                    rows, at = [], []
+        if rows:
+            yield out(b, rows, at)
 
 
-def unpack(raw: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
+def unpack(raw: DataFrame, path: str = "path", content: str = "content", carry: Sequence[str] = ()) -> DataFrame:
     """SRC01 + SRC02 + SRC05: binary archives -> one row per CSV line. Per member also a row for its
     header (``cells`` NULL), so that members without data lines are seen; per archive that
     cannot be read, in whole or in part, a row with a ``problem``: one damaged archive never
-    fails the run. ``doc`` is the posting zip's name inside a bundle (NULL for a plain posting)."""
-    return raw.select(F.col(path).alias("path"), F.col(content).alias("content")).mapInPandas(
-        _unzip_batches, RECORD_SCHEMA)
+    fails the run. ``doc`` is the posting zip's name inside a bundle (NULL for a plain posting).
+    The columns ``carry`` of an archive's row come with each of its records: no join brings them back."""
+    rows = raw.select(F.col(path).alias("path"), F.col(content).alias("content"), *carry)
+    return rows.mapInArrow(_unzip_batches, ST.StructType([*ST.StructType.fromDDL(RECORD_SCHEMA), *rows.schema.fields[2:]]))
 
 
 def csv_records(raw: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
