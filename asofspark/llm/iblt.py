@@ -13,7 +13,7 @@ occurrence is its own. Empty paragraphs do not count.
 Likeness of two texts is the share of all their distinct digests that both have; two texts
 without paragraphs are alike (1).
 
-Neighbours: rows are dealt in ascending ranges of (id, text hash); the first row of a range also
+Neighbours: rows are dealt in ascending ranges of (id, text hash), also inside one id or none; the first row of a range also
 travels to the range before it, and the very first to the last range. So each text moves
 once, and no task holds more than a slice of rows.
 
@@ -195,7 +195,7 @@ def _with_next(docs: DataFrame, spark: SparkSession, parts: int) -> DataFrame:
     """``docs(id, text)`` dealt by ranges of id, with the guests that close each range."""
     keyed = docs.withColumn("text_key", F.xxhash64("text"))
     cuts = bounds(docs, "id", parts)
-    place = keyed.withColumn("bucket", bucket_of(F.col("id"), cuts).cast("int"))
+    place = keyed.withColumn("bucket", bucket_of(F.col("id"), F.col("text_key"), cuts).cast("int"))
     firsts = sorted((r.bucket, r.first) for r in place.groupBy("bucket").agg(  # one row per range
         F.min(F.struct("id", "text_key")).alias("first")).collect())
     if not firsts:

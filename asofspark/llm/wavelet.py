@@ -2,15 +2,16 @@
 
 A shard file holds whole documents in ascending id order: a header, the documents' ids and
 lengths, and the wavelet matrix of their tokens. The matrix has one bit plane per id bit, the most
-significant first; after each plane the sequence is split stably, zeros before ones. Every
-plane carries its number of zeros and a rank sample per block, so a token, a count of a token or
-its j-th occurrence takes one rank or select per plane. The planes are compressed apart from one
-another, and a reader opens only what it asks for.
+significant first; after each plane the sequence is split stably, zeros before ones. A plane is cut into
+blocks of ``BLOCK`` bits that are compressed one by one; its table has for every block where it ends
+and the ones before it. A token, a count of a token or its j-th occurrence takes one rank or select
+per plane, and a rank or select reads the plane's table and one block: a reader opens that much of a file
+and no more (:meth:`Shard.over` takes any function that reads a range).
 
-Layout, little-endian: magic ``WMX1``; unsigned 32-bit header length; JSON header (bucket, file,
-tokens, documents, bits, and for every section its compressed length); then the sections,
-zstandard-compressed: document ids (64-bit), token counts (64-bit), and per plane its rank samples
-(32-bit, one for each ``BLOCK`` bits) and its bits, packed low bit first.
+Layout, little-endian: magic ``WMX2``; unsigned 32-bit header length; JSON header (bucket, file,
+tokens, documents, bits, and for every section its length); then the sections: document ids (64-bit) and
+token counts (64-bit), zstandard-compressed, and per plane its table (pairs of 32-bit integers: end of the
+block in the plane, ones up to its end) and its blocks, packed low bit first, zstandard-compressed.
 
 Documents are dealt to buckets of ascending id ranges, one task each; a bucket is cut into files
 of about ``shard_tokens``. A file is written under a temporary name and moved into place, and its
@@ -26,7 +27,7 @@ from __future__ import annotations
 import json
 import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +40,8 @@ from asofspark.llm.ranges import by_range
 from asofspark.llm.tokens import encoder
 from asofspark.session import scratch_path
 
-MAGIC = b"WMX1"
-BLOCK = 4096
+MAGIC = b"WMX2"
+BLOCK = 1 << 15
 SHARD_TOKENS = 4 << 20
 SLICE = 256
 _LEVEL = 1
@@ -50,33 +51,35 @@ def _pack(array: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=_LEVEL).compress(array.tobytes())
 
 
-def build(tokens: np.ndarray) -> tuple[int, list[tuple[np.ndarray, np.ndarray]]]:
-    """``(bits, planes)``; a plane is (rank samples, packed bits)."""
+def build(tokens: np.ndarray) -> tuple[int, list[np.ndarray]]:
+    """``(bits, planes)``; a plane is its packed bits."""
     bits = max(1, int(tokens.max()).bit_length()) if len(tokens) else 1
     seq = tokens.astype(np.uint16 if bits <= 16 else np.uint32)
     planes = []
     for level in range(bits - 1, -1, -1):
         ones = (seq & seq.dtype.type(1 << level)) != 0
-        packed = np.packbits(ones, bitorder="little")
+        planes.append(np.packbits(ones, bitorder="little"))
         seq = np.concatenate([np.compress(~ones, seq), np.compress(ones, seq)])
-        planes.append((_samples(packed), packed))
     return bits, planes
 
 
-def _samples(packed: np.ndarray) -> np.ndarray:
-    """Ones before every block of ``BLOCK`` bits."""
-    step = BLOCK // 8
-    counts = np.add.reduceat(np.bitwise_count(packed).astype(np.uint32), np.arange(0, len(packed), step)) \
-        if len(packed) else np.zeros(0, np.uint32)
-    return np.r_[np.uint32(0), np.cumsum(counts, dtype=np.uint32)].astype("<u4")
+def _blocks(packed: np.ndarray) -> tuple[bytes, bytes]:
+    """``(table, blocks)`` of a plane."""
+    step, squeeze = BLOCK // 8, zstandard.ZstdCompressor(level=_LEVEL).compress
+    if not len(packed):
+        return b"", b""
+    parts = [squeeze(packed[s:s + step]) for s in range(0, len(packed), step)]
+    ones = np.add.reduceat(np.bitwise_count(packed).astype(np.int64), np.arange(0, len(packed), step))
+    table = np.stack([np.cumsum([len(p) for p in parts]), np.cumsum(ones)], 1).astype("<u4")
+    return table.tobytes(), b"".join(parts)
 
 
 def to_bytes(bucket: int, file: int, ids: list, counts: list[int], tokens: np.ndarray) -> bytes:
     """One shard. ``ids`` may hold None, written as a flag beside a zero."""
     bits, planes = build(tokens)
     sections = [_pack(np.array([0 if i is None else i for i in ids], "<i8")), _pack(np.array(counts, "<i8"))]
-    for samples, packed in planes:
-        sections += [_pack(samples), _pack(packed)]
+    for packed in planes:
+        sections += _blocks(packed)
     header = json.dumps({"bucket": bucket, "file": file, "tokens": len(tokens), "documents": len(ids), "bits": bits,
                          "nulls": [k for k, i in enumerate(ids) if i is None],
                          "sections": [len(s) for s in sections]}).encode()
@@ -84,24 +87,35 @@ def to_bytes(bucket: int, file: int, ids: list, counts: list[int], tokens: np.nd
 
 
 class Shard:
-    """A shard read from its bytes; planes are unpacked when first needed."""
+    """A shard read from its bytes, or over a function that reads ranges of it."""
 
     def __init__(self, data: bytes):
-        if data[:4] != MAGIC:
+        self._open(lambda at, size: data[at:at + size])
+
+    @classmethod
+    def over(cls, read: Callable[[int, int], bytes]) -> Shard:
+        """A shard of which ``read(place, size)`` gives the bytes that are asked for."""
+        shard = cls.__new__(cls)
+        shard._open(read)
+        return shard
+
+    def _open(self, read: Callable[[int, int], bytes]) -> None:
+        head = read(0, 8)
+        if head[:4] != MAGIC:
             raise ValueError("not a wavelet matrix shard")
-        (n,) = struct.unpack_from("<I", data, 4)
-        self.header = json.loads(data[8:8 + n])
-        self._data, at = data, 8 + n
+        (n,) = struct.unpack_from("<I", head, 4)
+        self.header = json.loads(read(8, n))
+        self._read, at = read, 8 + n
         self._at = []
         for size in self.header["sections"]:
-            self._at.append((at, at + size))
+            self._at.append((at, size))
             at += size
-        self._planes: dict[int, tuple] = {}
+        self._tables: dict[int, np.ndarray] = {}
+        self._held: dict[tuple[int, int], np.ndarray] = {}
         self.n, self.bits = self.header["tokens"], self.header["bits"]
 
     def _section(self, k: int, dtype: str) -> np.ndarray:
-        a, b = self._at[k]
-        return np.frombuffer(zstandard.ZstdDecompressor().decompress(self._data[a:b]), dtype)
+        return np.frombuffer(zstandard.ZstdDecompressor().decompress(self._read(*self._at[k])), dtype)
 
     def documents(self) -> tuple[list, np.ndarray]:
         """Document ids and token counts, in file order."""
@@ -110,47 +124,62 @@ class Shard:
             ids[k] = None
         return ids, self._section(1, "<i8")
 
-    def _plane(self, level: int):
-        """(packed bits, rank samples, zeros) of the plane."""
-        if level not in self._planes:
-            samples, packed = self._section(2 + 2 * level, "<u4"), self._section(3 + 2 * level, "u1")
-            self._planes[level] = packed, samples, self.n - int(samples[-1]) if self.n else 0
-        return self._planes[level]
+    def _table(self, level: int) -> np.ndarray:
+        """(end, ones up to it) of every block of a plane, after a row of zeros."""
+        if level not in self._tables:
+            table = np.frombuffer(self._read(*self._at[2 + 2 * level]), "<u4").reshape(-1, 2).astype(np.int64)
+            self._tables[level] = np.concatenate([np.zeros((1, 2), np.int64), table])
+        return self._tables[level]
+
+    def _zeros(self, level: int) -> int:
+        return self.n - int(self._table(level)[-1, 1])
+
+    def _block(self, level: int, block: int) -> np.ndarray:
+        """Packed bits of one block; the last few that were asked for are kept."""
+        key = (level, block)
+        if key not in self._held:
+            table = self._table(level)
+            a, b = int(table[block, 0]), int(table[block + 1, 0])
+            data = self._read(self._at[3 + 2 * level][0] + a, b - a)
+            while len(self._held) >= 4 * self.bits:
+                self._held.pop(next(iter(self._held)))
+            self._held[key] = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+        return self._held[key]
 
     def _rank1(self, level: int, i: int) -> int:
         """Ones among the first ``i`` bits of a plane."""
-        packed, samples, _ = self._plane(level)
-        block = i // BLOCK
-        a, b = block * (BLOCK // 8), i // 8
-        ones = int(samples[block]) + int(np.bitwise_count(packed[a:b]).sum())
-        return ones + (int(packed[b] & ((1 << (i % 8)) - 1)).bit_count() if i % 8 else 0)
+        block, inside = divmod(i, BLOCK)
+        ones = int(self._table(level)[block, 1])
+        if not inside:
+            return ones
+        packed = self._block(level, block)
+        ones += int(np.bitwise_count(packed[:inside // 8]).sum())
+        return ones + (int(packed[inside // 8] & ((1 << (inside % 8)) - 1)).bit_count() if inside % 8 else 0)
 
     def _select(self, level: int, bit: int, j: int) -> int:
         """Place of the j-th (from 0) ``bit`` of a plane."""
-        packed, samples, _ = self._plane(level)
-        ones = samples.astype(np.int64)
+        ones = self._table(level)[:, 1]
         before = ones if bit else np.arange(len(ones)) * BLOCK - ones
         block = int(np.searchsorted(before[:-1], j, side="right")) - 1
-        a = block * (BLOCK // 8)
-        inside = np.unpackbits(packed[a:a + BLOCK // 8], bitorder="little")[:self.n - block * BLOCK]
+        inside = np.unpackbits(self._block(level, block), bitorder="little")[:self.n - block * BLOCK]
         return block * BLOCK + int(np.flatnonzero(inside == bit)[j - int(before[block])])
 
     def access(self, i: int) -> int:
         """The i-th token."""
         value = 0
         for level in range(self.bits):
-            packed, _, zeros = self._plane(level)
-            bit = (int(packed[i // 8]) >> (i % 8)) & 1
+            block, inside = divmod(i, BLOCK)
+            bit = (int(self._block(level, block)[inside // 8]) >> (inside % 8)) & 1
             ones = self._rank1(level, i)
-            i = zeros + ones if bit else i - ones
+            i = self._zeros(level) + ones if bit else i - ones
             value = value << 1 | bit
         return value
 
     def _range(self, token: int, start: int, end: int) -> tuple[int, int]:
         for level in range(self.bits):
-            zeros = self._plane(level)[2]
             a, b = self._rank1(level, start), self._rank1(level, end)
             if token >> (self.bits - 1 - level) & 1:
+                zeros = self._zeros(level)
                 start, end = zeros + a, zeros + b
             else:
                 start, end = start - a, end - b
@@ -173,15 +202,21 @@ class Shard:
         at = a + j
         for level in range(self.bits - 1, -1, -1):
             bit = token >> (self.bits - 1 - level) & 1
-            at = self._select(level, bit, at - self._plane(level)[2] if bit else at)
+            at = self._select(level, bit, at - self._zeros(level) if bit else at)
         return at
 
+    def _plane(self, level: int) -> np.ndarray:
+        """A whole plane's packed bits."""
+        ends, data = self._table(level)[:, 0].tolist(), self._read(*self._at[3 + 2 * level])
+        unpack = zstandard.ZstdDecompressor().decompress
+        return np.frombuffer(b"".join(unpack(data[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)), np.uint8)
+
     def tokens(self) -> np.ndarray:
         """All tokens: the stable splits undone from the last plane to the first."""
         seq = np.zeros(self.n, np.uint16 if self.bits <= 16 else np.uint32)
         for level in range(self.bits - 1, -1, -1):
-            packed, _, zeros = self._plane(level)
-            ones = np.unpackbits(packed, count=self.n, bitorder="little").view(bool)
+            zeros = self._zeros(level)
+            ones = np.unpackbits(self._plane(level), count=self.n, bitorder="little").view(bool)
             merged = np.empty_like(seq)
             merged[np.flatnonzero(~ones)] = seq[:zeros]
             merged[np.flatnonzero(ones)] = seq[zeros:] | seq.dtype.type(1 << (self.bits - 1 - level))
@@ -190,9 +225,11 @@ class Shard:
 
 
 def _store(folder: str):
-    """The folder's file system and the folder's path in it."""
+    """The folder's file system and the folder's path in it. Hadoop's names for S3 are pyarrow's ``s3``."""
     from pyarrow import fs
 
+    for name in ("s3a://", "s3n://"):
+        folder = "s3://" + folder[len(name):] if folder.startswith(name) else folder
     return fs.FileSystem.from_uri(folder if ":/" in folder else f"file://{folder}")
 
 
@@ -212,7 +249,7 @@ def write_shards(spark: SparkSession, docs: DataFrame, folder: str, tokenizer_pa
     store, root = _store(folder)
     store.create_dir(root, recursive=True)
     slim = docs.select(docs[id_col].cast("long").alias("id"), text_of(docs, text_col).alias("text"))
-    dealt = by_range(spark, slim.withColumn("text_key", F.xxhash64("text")), "id", ["id", "text_key"])
+    dealt = by_range(spark, slim.withColumn("text_key", F.xxhash64("text")), "id", "text_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path).encode

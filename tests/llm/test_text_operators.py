@@ -164,13 +164,51 @@ def test_wavelet_rank_and_select(values, token):
 
 
 def test_wavelet_beyond_one_block():
-    tokens = np.random.default_rng(1).integers(0, 70000, 20000).astype(np.uint32)
-    shard = wavelet.Shard(wavelet.to_bytes(0, 0, [1], [20000], tokens))
+    tokens = np.random.default_rng(1).integers(0, 70000, 100000).astype(np.uint32)
+    shard = wavelet.Shard(wavelet.to_bytes(0, 0, [1], [100000], tokens))
     assert shard.bits == 17 and (shard.tokens() == tokens).all()
-    for k in (0, 4095, 4096, 12345, 19999):
+    for k in (0, 32767, 32768, 12345, 65536, 99999):
         assert shard.access(k) == tokens[k]
         same = np.flatnonzero(tokens == tokens[k])
         assert [shard.locate(int(tokens[k]), j) for j in range(len(same))] == same.tolist()
+        assert shard.count(int(tokens[k]), 100, 70000) == ((same >= 100) & (same < 70000)).sum()
+
+
+def test_an_access_reads_one_block_of_a_plane():
+    tokens = np.random.default_rng(2).integers(0, 50000, 1 << 20).astype(np.uint32)
+    data = wavelet.to_bytes(0, 0, [1], [len(tokens)], tokens)
+    ranges = []
+
+    def read(at, size):
+        ranges.append(size)
+        return data[at:at + size]
+
+    shard = wavelet.Shard.over(read)
+    opening = sum(ranges)
+    tables, block = 8 * len(tokens) // wavelet.BLOCK * shard.bits, wavelet.BLOCK // 8 + 64
+    for ask in (lambda s: s.access(777_777) == tokens[777_777],
+                lambda s: s.count(int(tokens[5]), 0, 500_000) == (tokens[:500_000] == tokens[5]).sum(),
+                lambda s: tokens[s.locate(int(tokens[99]), 0)] == tokens[99]):
+        ranges.clear()
+        assert ask(wavelet.Shard.over(read))
+        # a rank or select at either end of the range, and one on the way back
+        assert sum(ranges) <= opening + tables + 4 * shard.bits * block and sum(ranges) < len(data) / 5
+    ranges.clear()
+    assert shard.access(3) == tokens[3] and sum(ranges) <= tables + shard.bits * block
+
+
+def test_one_id_and_rows_without_one_are_split(spark):
+    from asofspark.llm.ranges import by_range
+
+    rows = [(None, f"n{k}") for k in range(300)] + [(7, f"s{k}") for k in range(300)] + [(k, "x") for k in range(300)]
+    df = spark.createDataFrame(rows, "id long, text string").withColumn("text_key", queries.F.xxhash64("text"))
+    dealt = by_range(spark, df, "id", "text_key", 9).withColumn("task", queries.F.spark_partition_id()).collect()
+    per = Counter(r.bucket for r in dealt)
+    assert len(dealt) == 900 and 8 <= len(per) <= 10 and max(per.values()) < 250
+    assert all(len({r.task for r in dealt if r.bucket == b}) == 1 for b in per)
+    order = sorted(dealt, key=lambda r: (r.id is not None, r.id or 0, r.text_key))
+    assert [r.bucket for r in order] == sorted(r.bucket for r in dealt)
+    assert len({r.bucket for r in dealt if r.id is None}) >= 3 and len({r.bucket for r in dealt if r.id == 7}) >= 3
 
 
 def test_shards_hold_every_document(spark, docs, doc_rows):
