@@ -2,6 +2,14 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a
 DataFrame that is written as Parquet and reread as the next one's ``docs``.
+
+Cases: a null or empty text has no features, lines or words: the quality stage judges it like any text of
+weight zero, line dedup leaves it as it is, null and empty texts have fingerprint zero and are
+near-duplicates of one another, mixing repeats it at no cost in words, and packing gives it its end id alone.
+Rows without an id all stay in near-dedup; a null source is a source of its own. Rows that share id and
+text are judged alike, and one of their group stays. Columns beside those of ``documents`` are kept, whatever
+their names. Without labelled good texts the target is the prior, all weights are equal and no text is
+rejected for its words; an empty table goes through all stages empty.
 """
 
 from __future__ import annotations

@@ -168,3 +168,16 @@ def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, SF)
     rows = out.collect()
     assert rows and all(len(r.ids) == 4 * r.length for r in rows)
+
+
+def test_pipeline_on_empty_tables(spark, docs, tmp_path):
+    some = "doc_id long, text string, lang string, source string, n_chars long"
+    labels = "doc_id long, quality int, toxic int"
+    rows = [(k, f"one line of text number {k}\nand another {k * 7} that differs", "en", "s", 20) for k in range(30)]
+    rows += [(40, None, None, None, None), (41, "", "en", "s", 0), (None, "no id here at all, truly none", "en", None, 3)]
+    for name, table, labelled in (("none", [], [(1, 1, 0)]), ("unlabelled", rows, []), ("both", rows, [(k, k % 2, 0) for k in range(30)])):
+        sf = str(tmp_path / name)
+        spark.createDataFrame(table, some).write.parquet(f"{sf}/documents.parquet")
+        spark.createDataFrame(labelled, labels).write.parquet(f"{sf}/labels.parquet")
+        out = corpus_pipeline.run(spark, sf).collect()
+        assert bool(out) == bool(table) and all(len(r.ids) == 4 * r.length for r in out)
