@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asofspark.llm.common import bounded_batches, text_of, written
-from asofspark.llm.tokens import encoder
+from asofspark.llm.tokens import REMEMBERED, encoder
 
 WINDOW = 2048
 OPEN = 32
@@ -116,15 +116,16 @@ def _base(level: int) -> int:
 
 def pack(spark: SparkSession, docs: DataFrame, tokenizer_path: str, *, end_id: int, window: int = WINDOW,
          open_windows: int = OPEN, max_pad: int = MAX_PAD, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
+         text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece: sequence_id, offset in the sequence, doc_id, start in the document,
-    doc_tokens and the piece's ids (little-endian unsigned 32-bit integers).
+    doc_tokens and the piece's ids (little-endian unsigned 32-bit integers). ``remembered`` words are
+    kept encoded by each worker (some 200 bytes each).
     """
     bounded_batches(spark)
     slim = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text"))
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, encode = Packer(window, open_windows, max_pad, _base(0)), encoder(tokenizer_path).encode
+        packer, encode = Packer(window, open_windows, max_pad, _base(0)), encoder(tokenizer_path, remembered).encode
         for b in batches:
             for s in range(0, b.num_rows, SLICE):
                 part = b.slice(s, SLICE)

@@ -18,7 +18,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Distinct words an encoder remembers; when it is full, those met once since are forgotten.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 _JOINED = 400
 _INSIDE_RUN = re.compile(r"\s (?=\s|\Z)")
 _RUN = re.compile(r"\s\s|\s\Z")
@@ -156,6 +156,6 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> WordEncoder:
     """One encoder per Python worker: what it remembers serves every task that the worker runs."""
-    return WordEncoder(path)
+    return WordEncoder(path, remembered)

@@ -51,7 +51,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of fixed windows."""
-    pieces = packing.pack(spark, docs, word_bpe_path(), end_id=1)
+    # the workers of earlier stages still hold memory: a smaller store of encoded words
+    pieces = packing.pack(spark, docs, word_bpe_path(), end_id=1, remembered=400_000)
     return pieces.withColumn("length", (F.length("ids") / 4).cast("long"))
 
 
