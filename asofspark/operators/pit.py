@@ -122,7 +122,7 @@ def _bucket_start(time: Column, width: str) -> Column:
 
 def point_in_time_join(decisions: DataFrame, facts: DataFrame, *, on: Sequence[str] | str,
                        decision_time: str, posted: str, value_cols: Sequence[str],
-                       rows: int = CA.ROWS, bucket: str | None = None) -> DataFrame:
+                       rows: int | None = CA.ROWS, bucket: str | None = None) -> DataFrame:
     """JN06: for every decision row, the fact values known at its ``decision_time``.
 
     A fact counts as known when ``posted <= decision_time`` (equality included). Decisions with
@@ -135,7 +135,7 @@ def point_in_time_join(decisions: DataFrame, facts: DataFrame, *, on: Sequence[s
     rows share one time, and the fact that comes into a segment from earlier ones is an exclusive scan
     over one row per segment: no width to choose, and a hot key keeps every task busy. With
     ``bucket`` (such as ``1 day``) every key is cut at fixed times instead, without a count of the keys
-    before. The answer depends on neither: keys match null-safely, a decision
+    before; with ``rows=None`` no key is cut and none is counted, for keys known to be small. The answer depends on none of these: keys match null-safely, a decision
     without a time knows nothing and is kept, a fact without a time is never known.
     """
     keys = _cols(on)
@@ -150,7 +150,7 @@ def point_in_time_join(decisions: DataFrame, facts: DataFrame, *, on: Sequence[s
     f = f.filter(F.col("__time").isNotNull()).withColumn("__dec", F.lit(None).cast(d.schema["__dec"].dataType))
     both = f.unionByName(d)
     part = [F.col(k) for k in keys]
-    if bucket is None:
+    if bucket is None and rows is not None:
         # facts before decisions of the same time; decisions of one time may be cut anywhere
         both = both.withColumns({"__at": F.coalesce(T.ntz_micros("__time"), F.lit(-(1 << 63))),
                                  "__tie": F.when(F.col("__side") == 1, F.rand(0)).otherwise(F.lit(0.0))})
@@ -164,7 +164,7 @@ def point_in_time_join(decisions: DataFrame, facts: DataFrame, *, on: Sequence[s
                 F.col("carry").alias("__fact"), F.lit(None).cast(d.schema["__dec"].dataType).alias("__dec"))
             both = both.drop(CA.HOT).unionByName(seeds)
             part = part + [F.col(CA.SEGMENT)]
-    else:
+    elif bucket is not None:
         both = both.withColumn("__bucket", _bucket_start(F.col("__time"), bucket))
         # every bucket of a key with its newest fact, if any (grouping is null-safe)
         fact = F.col("__side") == 0

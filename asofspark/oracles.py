@@ -1352,3 +1352,15 @@ ORACLES["lake_postings"] = f"""
 WITH {_CURATED}
 SELECT product, interval_start, series, posted_at, ingested_at, value FROM cu {_LAKE_MONTH}
 """
+
+
+# --- calendar bitmaps and the pre-shuffled layout --------------------------------------------
+
+ORACLES["coverage_bitmaps"] = f"""
+WITH {_COV15}
+SELECT 'events' AS product, delivery_date, expected, present, CAST(len(coalesce(missing, [])) AS INTEGER) AS n_missing,
+       {_missing_text('missing', 8)} AS missing_text FROM c
+"""
+
+ORACLES["layout_by_range"] = ORACLES["lake_by_range"]
+ORACLES["layout_pit_join"] = _PIT_JOIN

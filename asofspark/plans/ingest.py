@@ -26,6 +26,7 @@ from asofspark.functions import time as T
 from asofspark.operators import checks as CK
 from asofspark.operators import digest as DG
 from asofspark.operators import progress as PG
+from asofspark.operators import slots as SL
 from asofspark.plans import transform as TR
 from asofspark.plans.declare import Declaration
 from asofspark.session import scratch_path
@@ -164,6 +165,8 @@ def ingest(spark: SparkSession, raw: DataFrame, decls: dict[str, Declaration], r
             SN.commit(spark, root, out.select("product", "date", "batch"))
             if FI.indexed(spark, root):
                 FI.update(spark, root)
+        if read_state(spark, root, "slots") is not None:
+            record_slots(spark, root, out)
         if pending is not None:
             left = raw.withColumn("posting", _posting_key()).join(taken, on="posting", how="left_anti")
             path, version = pending
@@ -235,6 +238,28 @@ def write_state(spark: SparkSession, df: DataFrame, root: str, name: str) -> Non
     LK.write_version(spark, df, f"{root}/state/{name}")
 
 
+def record_slots(spark: SparkSession, root: str, rows: DataFrame) -> None:
+    """Merge the calendar bitmaps of ``rows`` into ``state/slots``; recording rows again changes nothing. A lake
+    that has this state keeps it up to date on every ingest."""
+    now, before = SL.bitmaps(rows), read_state(spark, root, "slots")
+    write_state(spark, now if before is None else SL.merged(before, now), root, "slots")
+
+
+def start_slots(spark: SparkSession, root: str) -> None:
+    """Record the slots of all live rows of a lake: the one read of its data that coverage ever needs."""
+    rows = spark.read.option("mergeSchema", "true").parquet(f"{root}/curated")
+    live = SN.live(spark, root)
+    record_slots(spark, root, rows if live is None else rows.join(live, SN.DIRECTORY, "left_semi"))
+
+
+def slot_coverage(spark: SparkSession, root: str, expected: DataFrame) -> DataFrame:
+    """Coverage of the expected slots from ``state/slots`` alone."""
+    found = read_state(spark, root, "slots")
+    if found is None:
+        raise ValueError(f"{root} has no calendar bitmaps: call start_slots first")
+    return SL.coverage(expected, found)
+
+
 def rebuild(spark: SparkSession, root: str, decls: dict[str, Declaration], target: str, *, ingested_at) -> DataFrame:
     """JOB16: regenerate a curated lake from the raw postings kept under ``root``."""
     raw = LK.read_raw(spark, root).select("product", "posted_at", "doc_id", "name", "content")

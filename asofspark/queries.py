@@ -1653,3 +1653,47 @@ def stream_repost(spark, sf):
     return pit.latest_as_of(lake, key=["product", "interval_start", "settlement_point", "settlement_point_type"],
                             posted="posted_at", tie="ingested_at", as_of="2100-01-01 00:00:00").select(
         "product", "interval_start", "settlement_point", "settlement_point_type", "price_mwh", "posted_at")
+
+
+# --- calendar bitmaps and the pre-shuffled layout (AGG06 SET04 JN01, WIN01 JOB02 JN06) --------
+
+
+@query
+def coverage_bitmaps(spark, sf):
+    """Coverage from the bitmaps of three runs, one of them recorded twice; rows are not read for it."""
+    root = scratch_path(spark, "slots")
+    present = _events_present(spark, sf)
+    for k in (0, 1, 2, 1):
+        IN.record_slots(spark, root, present.filter(F.pmod(F.dayofyear("interval_start") + F.hour("interval_start"), F.lit(3)) == k))
+    days = present.select(T.delivery_date("interval_start").alias("d")).agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+    days = days.select(F.lit("events").alias("product"), F.lit(15).alias("interval_minutes"),
+                       F.explode(F.sequence("lo", "hi")).alias("delivery_date"))
+    c = IN.slot_coverage(spark, root, MO.calendar(days))
+    return c.select("product", "delivery_date", "expected", "present", "n_missing", MO.missing_text("missing", 8).alias("missing_text"))
+
+
+@query
+def layout_by_range(spark, sf):
+    """``lake_by_range`` on a pre-shuffled layout of the rows posted until mid-month, and the later rows beside it."""
+    from asofspark.sources import layout as LY
+
+    rows = _curated_events(spark, sf)
+    old = F.col("posted_at") < F.lit("2024-01-15").cast("timestamp_ntz")
+    key = ["product", "interval_start", "series"]
+    laid = LY.write(spark, rows.filter(old), scratch_path(spark, "layout"), key, sort=["posted_at", "ingested_at"])
+    lo, hi = (F.lit(f"2024-0{m}-01 06:00:00").cast("timestamp_ntz") for m in (1, 2))
+    df = laid.latest(key, as_of="2024-01-20 00:00:00", extra=rows.filter(~old),
+                     where=(F.col("interval_start") >= lo) & (F.col("interval_start") < hi))
+    return df.select("product", "interval_start", "series", "posted_at", "value")
+
+
+@query
+def layout_pit_join(spark, sf):
+    """``pit_join`` on two pre-shuffled layouts by user; users with over 150 rows of a side lie outside the buckets."""
+    from asofspark.sources import layout as LY
+
+    decisions, facts = _purchases_and_views(spark, sf)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = LY.write(spark, decisions, scratch_path(spark, "layout"), ["user_id"], sort=["decision_ts"], buckets=buckets, hot_rows=150)
+    f = LY.write(spark, facts, scratch_path(spark, "layout"), ["user_id"], buckets=buckets, hot_rows=150)
+    return LY.as_of_join(d, f, decision_time="decision_ts", posted="posted_at", value_cols=["view_value"])
