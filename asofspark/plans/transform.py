@@ -225,7 +225,8 @@ def transform(records: DataFrame, decl: Declaration, *, posting: str = "posting"
 
 
 def posting_status(rows: DataFrame, drift: DataFrame | None = None, posting: str = "posting") -> DataFrame:
-    """Per posting: rows, problem rows, the first problem, and ``status`` ok/failed."""
+    """Per posting: rows, problem rows, the first problem, and ``status`` ok/failed. The status comes from counts: a
+    job that asks for it alone is planned without the texts, as a hash aggregate."""
     agg = rows.groupBy(posting).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count("problem").alias("n_problems"),
@@ -233,12 +234,13 @@ def posting_status(rows: DataFrame, drift: DataFrame | None = None, posting: str
     )
     if drift is not None:
         agg = agg.join(drift.select(posting, F.col("problem").alias("drift")), on=posting, how="full")
-        first = F.coalesce(F.col("drift"), F.col("first_problem"))
+        first, drifted = F.coalesce(F.col("drift"), F.col("first_problem")), F.col("drift").isNotNull()
     else:
-        first = F.col("first_problem")
+        first, drifted = F.col("first_problem"), F.lit(False)
+    failed = drifted | (F.coalesce("n_problems", F.lit(0)) > 0)
     return agg.select(posting, F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
                       F.coalesce("n_problems", F.lit(0)).alias("n_problems"), first.alias("problem"),
-                      F.when(first.isNull(), F.lit("ok")).otherwise(F.lit("failed")).alias("status"))
+                      F.when(failed, F.lit("failed")).otherwise(F.lit("ok")).alias("status"))
 
 
 def accepted(rows: DataFrame, status: DataFrame, posting: str = "posting") -> DataFrame:
