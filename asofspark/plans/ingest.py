@@ -29,6 +29,7 @@ from asofspark.operators import progress as PG
 from asofspark.operators import slots as SL
 from asofspark.plans import transform as TR
 from asofspark.plans.declare import Declaration
+from asofspark.plans.read import read_curated
 from asofspark.session import scratch_path
 from asofspark.sources import archive as AR
 from asofspark.sources import fileindex as FI
@@ -247,7 +248,7 @@ def record_slots(spark: SparkSession, root: str, rows: DataFrame) -> None:
 
 def start_slots(spark: SparkSession, root: str) -> None:
     """Record the slots of all live rows of a lake: the one read of its data that coverage ever needs."""
-    rows = spark.read.option("mergeSchema", "true").parquet(f"{root}/curated")
+    rows = read_curated(spark, root)
     live = SN.live(spark, root)
     record_slots(spark, root, rows if live is None else rows.join(live, SN.DIRECTORY, "left_semi"))
 
@@ -269,7 +270,7 @@ def rebuild(spark: SparkSession, root: str, decls: dict[str, Declaration], targe
 def lake_digests(spark: SparkSession, root: str) -> DataFrame:
     """The digest of every live batch of a lake: ``(product, date, batch, n, s1, s2)``. The time of ingestion is left out,
     so a rebuilt lake has the digests of the lake it was rebuilt from."""
-    rows = spark.read.option("mergeSchema", "true").parquet(f"{root}/curated")
+    rows = read_curated(spark, root)
     live = SN.live(spark, root)
     if live is not None:
         rows = rows.join(live, SN.DIRECTORY, "left_semi")

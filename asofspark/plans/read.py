@@ -33,6 +33,20 @@ CURATED_SCHEMA = {
 }
 
 
+def read_curated(spark: SparkSession, root: str, table: str | None = None) -> DataFrame:
+    """Every row under ``root/curated``, in the declared columns of ``table`` or, without one, in those of the files.
+    A lake that no posting was taken into yet (every product stopped at its first one) has no
+    file to read a schema from: it has the declared columns and no rows."""
+    base = f"{root.rstrip('/')}/curated"
+    place = "product string, date date, batch string"
+    fs, p = LK._fs(spark, base)
+    if not fs.exists(p) or not any(s.getPath().getName().startswith("product=") for s in fs.listStatus(p)):
+        return spark.createDataFrame([], f"{CURATED_SCHEMA[table] if table else _COMMON}, {place}")
+    if table is None:
+        return spark.read.option("mergeSchema", "true").parquet(base)
+    return spark.read.schema(f"{CURATED_SCHEMA[table]}, {place}").parquet(base)
+
+
 def _utc(moment: dt.datetime, what: str) -> dt.datetime:
     """A timezone-aware moment as a naive UTC wall clock (the lake's NTZ convention)."""
     if not isinstance(moment, dt.datetime) or moment.tzinfo is None:

@@ -984,7 +984,7 @@ def scan_days(spark, sf):
 
 import datetime as _datetime  # noqa: E402
 
-from asofspark.plans.read import Lake  # noqa: E402
+from asofspark.plans.read import Lake, read_curated  # noqa: E402
 
 _UTC = _datetime.UTC
 _DT = _datetime.datetime
@@ -1157,7 +1157,7 @@ def _ingested_lake(spark, sf):
 @query
 def ingest_end_to_end(spark, sf):
     root, _, _ = _ingested_lake(spark, sf)
-    return spark.read.parquet(f"{root}/curated").select(*_CURATED_COLS)
+    return read_curated(spark, root, "spp").select(*_CURATED_COLS)
 
 
 @query
@@ -1206,14 +1206,14 @@ def backfill_rows(spark, sf):
     these days: all rows that are there afterwards."""
     root, raw, _ = _ingested_lake(spark, sf)
     kept = scratch_path(spark, "backfill")
-    whole = spark.read.parquet(f"{root}/curated")
+    whole = read_curated(spark, root, "spp")
     lost = F.col("date") < F.lit("2024-01-08").cast("date")
     LK.write_curated(whole.filter(~lost), kept)
     window = {"now": END, "explicit": ("2024-01-01 00:00:00", "2024-01-09 12:00:00")}
     IN.ingest(spark, raw, FX.event_declarations(), kept, ingested_at="2024-02-02 00:00:00", update_progress=False, land=False,
               delivery_range=("2024-01-01", "2024-01-07"), window=window)
     assert IN.read_state(spark, kept, "watermarks") is None, "a backfill wrote watermarks"
-    return spark.read.parquet(f"{kept}/curated").select(*_CURATED_COLS)
+    return read_curated(spark, kept, "spp").select(*_CURATED_COLS)
 
 
 @query
@@ -1236,7 +1236,7 @@ def rebuild_identity(spark, sf):
     root, _, _ = _ingested_lake(spark, sf)
     target = scratch_path(spark, "rebuild")
     IN.rebuild(spark, root, FX.event_declarations(), target, ingested_at=_INGESTED)
-    return spark.read.parquet(f"{target}/curated").select(*_CURATED_COLS)
+    return read_curated(spark, target, "spp").select(*_CURATED_COLS)
 
 
 # --- Structured Streaming (STR01-STR07) -------------------------------------------------------
@@ -1261,7 +1261,7 @@ def stream_ingest(spark, sf):
     ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=_INGESTED, product=FX.event_product).awaitTermination()
     _drop_zips(spark, sf, landing, after="2024-01-15")  # the second drop resumes from the checkpoint
     ST.stream_ingest(spark, landing, decls, root, ckpt, ingested_at=_INGESTED, product=FX.event_product).awaitTermination()
-    return spark.read.parquet(f"{root}/curated").select(*_CURATED_COLS)
+    return read_curated(spark, root, "spp").select(*_CURATED_COLS)
 
 
 def _event_stream(spark, sf):
@@ -1606,7 +1606,7 @@ def stream_replay(spark, sf):
     for _ in range(2):
         ST.stream_ingest(spark, landing, decls, root, scratch_path(spark, "ckpt"), ingested_at=_INGESTED,
                          product=FX.event_product).awaitTermination()
-    return spark.read.parquet(f"{root}/curated").select(*_CURATED_COLS)
+    return read_curated(spark, root, "spp").select(*_CURATED_COLS)
 
 
 def _stream_drops(spark, drops) -> str:
@@ -1626,7 +1626,7 @@ def stream_resume(spark, sf):
     redelivers them corrected and the product resumes at the failed posting."""
     rows = FX.zip_rows(spark, sf)
     root = _stream_drops(spark, [FX.zips_of(rows), FX.zips_of(FX.corrected(rows))])
-    return spark.read.parquet(f"{root}/curated").select(*_CURATED_COLS)
+    return read_curated(spark, root, "spp").select(*_CURATED_COLS)
 
 
 DEFERRED_DAY = "2024-01-02"
@@ -1640,7 +1640,7 @@ def stream_defer(spark, sf):
     late = F.col("day") == F.lit(DEFERRED_DAY).cast("date")
     first = z.filter(~late).unionByName(FX.placeholders(z.filter(late)))
     root = _stream_drops(spark, [first, z.filter(late)])
-    return spark.read.parquet(f"{root}/curated").select(*_CURATED_COLS)
+    return read_curated(spark, root, "spp").select(*_CURATED_COLS)
 
 
 @query
@@ -1649,7 +1649,7 @@ def stream_repost(spark, sf):
     postings, never dropped as late, and win the point-in-time read."""
     rows = FX.zip_rows(spark, sf)
     root = _stream_drops(spark, [FX.zips_of(rows), FX.zips_of(FX.reposts(rows))])
-    lake = spark.read.parquet(f"{root}/curated")
+    lake = read_curated(spark, root, "spp")
     return pit.latest_as_of(lake, key=["product", "interval_start", "settlement_point", "settlement_point_type"],
                             posted="posted_at", tie="ingested_at", as_of="2100-01-01 00:00:00").select(
         "product", "interval_start", "settlement_point", "settlement_point_type", "price_mwh", "posted_at")
