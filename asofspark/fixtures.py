@@ -3,14 +3,20 @@
 ``events`` becomes a stream of postings: one zipped CSV per (event type, local day), named like
 a market posting (``cdr.<doc>.0000000000000000.<yyyyMMdd>.<HHmmss>.<TYPE>.csv``, stamped with the
 local time of the group's last event), and a monthly bundle per type holding the day zips plus
-a noise file. Zips are produced by ``applyInPandas`` per posting and written by executors.
+a noise file. Zips are written by executors, line by line from sorted rows.
 """
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Callable, Iterator, Sequence
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from asofspark.functions import time as T
 from asofspark.sources import archive as A
@@ -38,20 +44,34 @@ def posting_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.withColumn("posted_local", posted).withColumn("doc_id", doc.cast("bigint")).drop("__local")
 
 
-def _zip_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("event_id")
-    first = pdf.iloc[0]
-    stamp = pd.Timestamp(first["posted_local"])
-    member = (f"cdr.{int(first['doc_id']):08d}.0000000000000000.{stamp:%Y%m%d}.{stamp:%H%M%S}."
-              f"{str(first['event_type']).upper()}.csv")
-    rows = [[str(r.event_id), pd.Timestamp(r.ts).strftime("%Y-%m-%d %H:%M:%S.%f"), str(r.user_id),
-             r.event_type, repr(float(r.value)), pd.Timestamp(r.local_ts).strftime("%m/%d/%Y %H:%M:%S"), "N"]
-            for r in pdf.itertuples()]
-    content = A.zip_members([(member, A.csv_bytes(CSV_HEADER, rows))])
-    name = f"{first['event_type']}/date={first['day']}/posted={stamp:%Y%m%dT%H%M%S}-{int(first['doc_id'])}.zip"
-    return pd.DataFrame({"event_type": [first["event_type"]], "day": [first["day"]],  # noqa: E501
-                         "doc_id": [int(first["doc_id"])], "posted_local": [first["posted_local"]],
-                         "member": [member], "name": [name], "content": [content]})
+def documents_of(rows: DataFrame, key: Sequence[str], order: str, build: Callable[..., dict], schema: str) -> DataFrame:
+    """One row of ``schema`` per ``key``, built by ``build(key values, rows)`` from the rows in ``order`` as they pass: a
+    task holds a batch of rows and the document it writes, never a group. The key's columns come first in a row."""
+    types = [f.type for f in to_arrow_schema(ST.StructType.fromDDL(schema))]
+    n = len(key)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passing = (row for b in batches for row in zip(*[c.to_pylist() for c in b.columns], strict=True))
+        for at, group in itertools.groupby(passing, lambda row: row[:n]):
+            made = build(at, (row[n:] for row in group))
+            yield pa.record_batch([pa.array([v], t) for v, t in zip(made.values(), types, strict=True)], names=list(made))
+
+    rest = [c for c in rows.columns if c not in key]
+    dealt = rows.select(*key, *rest).repartition(*key).sortWithinPartitions(*key, order)
+    return dealt.mapInArrow(run, schema)
+
+
+def _zip_posting(key: tuple, rows: Iterator[tuple]) -> dict:
+    """A posting's zip: lines go into the archive as they come."""
+    event_type, day, doc_id = key
+    first = next(rows)
+    stamp = first[1]
+    member = f"cdr.{doc_id:08d}.0000000000000000.{stamp:%Y%m%d}.{stamp:%H%M%S}.{str(event_type).upper()}.csv"
+    lines = ((no, ts, user, event_type, repr(float("nan") if value is None else value), local, "N")
+             for no, _, ts, user, value, local in itertools.chain([first], rows))
+    return {"event_type": event_type, "day": day, "doc_id": doc_id, "posted_local": stamp, "member": member,
+            "name": f"{event_type}/date={day}/posted={stamp:%Y%m%dT%H%M%S}-{doc_id}.zip",
+            "content": A.zip_csv(member, CSV_HEADER, lines)}
 
 
 POSTING_SCHEMA = ("event_type string, day date, doc_id bigint, posted_local timestamp_ntz, member string, "
@@ -67,8 +87,11 @@ def zip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zips_of(rows: DataFrame) -> DataFrame:
-    """One zipped CSV posting per (event type, day, doc id) of ``rows``, built by ``applyInPandas``."""
-    return rows.groupBy("event_type", "day", "doc_id").applyInPandas(_zip_group, POSTING_SCHEMA)
+    """One zipped CSV posting per (event type, day, doc id) of ``rows``, its lines by event id."""
+    cells = rows.select("event_type", "day", "doc_id", "event_id", "posted_local",
+                        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "user_id", "value",
+                        F.date_format("local_ts", "MM/dd/yyyy HH:mm:ss").alias("local_ts"))
+    return documents_of(cells, ["event_type", "day", "doc_id"], "event_id", _zip_posting, POSTING_SCHEMA)
 
 
 def posting_zips(spark: SparkSession, sf_dir: str) -> DataFrame:

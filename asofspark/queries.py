@@ -1407,28 +1407,31 @@ def verify_products(spark, sf):
 
 # --- API pages, JSON objects, listings, source planning, workbook rows -----------------------
 
+import io as _io  # noqa: E402
 import json as _json  # noqa: E402
 
-import pandas as _pd  # noqa: E402
-
 from asofspark.sources import documents as DOC  # noqa: E402
 
 
-def _page_group(pdf):
-    pdf = pdf.sort_values("event_id")
-    first = pdf.iloc[0]
-    doc = {"fields": [{"name": n} for n in ("eventId", "timestamp", "userId", "eventType", "value")],
-           "data": [[int(r.event_id), _pd.Timestamp(r.ts).strftime("%Y-%m-%dT%H:%M:%S.%f"), int(r.user_id),
-                     r.event_type, float(r.value)] for r in pdf.itertuples()]}
-    return _pd.DataFrame({"name": [f"{first['event_type']}/{first['day']}.json"],
-                          "content": [_json.dumps(doc).encode()]})
+def _page(key: tuple, rows) -> dict:
+    """An API page, its data rows written as they come."""
+    event_type, day = key
+    fields = [{"name": n} for n in ("eventId", "timestamp", "userId", "eventType", "value")]
+    out = _io.BytesIO()
+    out.write(b'{"fields": %s, "data": [' % _json.dumps(fields).encode())
+    for n, (event_id, ts, user_id, value) in enumerate(rows):
+        out.write(b", " if n else b"")
+        out.write(_json.dumps([event_id, ts, user_id, event_type, value]).encode())
+    out.write(b"]}")
+    return {"name": f"{event_type}/{day}.json", "content": out.getvalue()}
 
 
 @query
 def api_json_pages(spark, sf):
     root = scratch_path(spark, "pages")
     e = read(spark, sf, "events").withColumn("day", T.delivery_date("ts"))
-    pages = e.groupBy("event_type", "day").applyInPandas(_page_group, "name string, content binary")
+    rows = e.select("event_type", "day", "event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"), "user_id", "value")
+    pages = FX.documents_of(rows, ["event_type", "day"], "event_id", _page, "name string, content binary")
     AR.export_files(pages, root).write.format("noop").mode("overwrite").save()
     rows = DOC.read_api_pages(spark, root)
     c = F.col("cells")

@@ -2,19 +2,21 @@
 
 A posting is one immutable zip holding CSV members; a bundle is a zip of posting zips. Both are
 read as binary rows (``binaryFile`` on files, or landed raw rows) and unpacked on executors by
-``mapInArrow``: each task opens its own archives with the standard library and yields lines in
-batches of 50,000, so memory is bounded by a member, not by an archive. Header cells
+``mapInArrow``: each task opens its own archives with the standard library, reads a member as a stream (once
+through for damage, once for its lines) and yields lines in batches of 10,000, so beside the archive's own
+bytes memory is bounded by a batch, not by a member. Header cells
 are trimmed, all-blank lines dropped, cells kept verbatim, a UTF-8 BOM stripped; other member
 types are ignored.
 """
 
 from __future__ import annotations
 
+import codecs
 import csv
 import io
 import zipfile
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
@@ -32,14 +34,28 @@ _COLUMNS = [f.split(" ")[0] for f in RECORD_SCHEMA.split(", ")]
 # what a damaged archive, member or text raises
 _BROKEN = (zipfile.BadZipFile, zlib.error, EOFError, UnicodeDecodeError, csv.Error, NotImplementedError, RuntimeError)
 
-_FLUSH_ROWS = 50_000
+_FLUSH_ROWS = 10_000
 
 
-def _csv_rows(data: bytes):
+def _check(z: zipfile.ZipFile, info: zipfile.ZipInfo) -> None:
+    """Read a member once through, a piece at a time: a damaged one raises before any of its lines is passed on."""
+    decoder, wrong = codecs.getincrementaldecoder("utf-8-sig")(), None
+    with z.open(info) as stream:
+        while piece := stream.read(1 << 20):
+            if wrong is None:
+                try:
+                    decoder.decode(piece)
+                except UnicodeDecodeError as e:
+                    wrong = e
+    if wrong is not None:
+        raise wrong
+    decoder.decode(b"", final=True)
+
+
+def _csv_rows(stream):
     """The header as line 0 without cells, then every line that is not blank."""
-    text = data.decode("utf-8-sig")
     header = None
-    for line_no, row in enumerate(csv.reader(io.StringIO(text))):
+    for line_no, row in enumerate(csv.reader(io.TextIOWrapper(stream, encoding="utf-8-sig", newline="\n"))):
         if header is None:
             header = [h.strip() for h in row]
             yield line_no, header, None
@@ -48,7 +64,8 @@ def _csv_rows(data: bytes):
 
 
 def _members(z: zipfile.ZipFile, doc: str | None, doc_index: int | None):
-    """CSV members at any depth; ``doc`` is the outermost zip inside the archive."""
+    """CSV members at any depth, as (document, member's name and number, its rows); ``doc`` is the outermost zip inside
+    the archive."""
     index = 0
     for info in z.infolist():
         name = info.filename
@@ -58,7 +75,9 @@ def _members(z: zipfile.ZipFile, doc: str | None, doc_index: int | None):
                 yield from _members(inner, name if doc is None else doc, index if doc is None else doc_index)
             index += 1
         elif lower.endswith(".csv"):
-            yield doc, doc_index, name, index, z.read(info)
+            _check(z, info)
+            with z.open(info) as stream:
+                yield doc, doc_index, name, index, _csv_rows(stream)
             index += 1
 
 
@@ -67,10 +86,10 @@ def _records(path: str, content: bytes):
     found = False
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as z:
-            for doc, doc_index, member, member_index, data in _members(z, None, None):
+            for doc, doc_index, member, member_index, rows in _members(z, None, None):
                 found = True
                 lines = False
-                for line_no, header, cells in _csv_rows(data):
+                for line_no, header, cells in rows:
                     lines = True
                     yield path, doc, doc_index, member, member_index, line_no, header, cells, None
                 if not lines:
@@ -166,6 +185,20 @@ def zip_members(members: list[tuple[str, bytes]]) -> bytes:
     return buf.getvalue()
 
 
+def zip_csv(name: str, header: Sequence[str], rows: Iterable[Sequence]) -> bytes:
+    """A zip with one CSV member, its lines compressed as they come."""
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as z, z.open(name, "w", force_zip64=True) as f:
+        f.write(codecs.BOM_UTF8)
+        text = io.TextIOWrapper(f, encoding="utf-8", newline="")
+        w = csv.writer(text, lineterminator="\r\n")
+        w.writerow(header)
+        w.writerows(rows)
+        text.flush()
+        text.detach()
+    return buf.getvalue()
+
+
 def csv_bytes(header: list[str], rows: list[list[str]], bom: bool = True) -> bytes:
     buf = io.StringIO()
     w = csv.writer(buf, lineterminator="\r\n")

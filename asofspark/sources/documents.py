@@ -30,8 +30,9 @@ def parse_api_pages(pages: DataFrame, value: str) -> DataFrame:
     data row, ready for the declared transform of the product's API format."""
     rest = [c for c in pages.columns if c != value]
     p = pages.select(*rest, F.from_json(value, PAGE_SCHEMA).alias("p"))
-    return p.select(*rest, F.transform("p.fields", lambda f: f["name"]).alias("header"),
-                    F.posexplode("p.data").alias("row_no", "cells"))
+    # the header is a column before the explode: a row carries the header, never the whole page
+    p = p.select(*rest, F.transform("p.fields", lambda f: f["name"]).alias("header"), F.col("p.data").alias("data"))
+    return p.select(*rest, "header", F.posexplode("data").alias("row_no", "cells"))
 
 
 def parse_json_objects(df: DataFrame, value: str, schema: str) -> DataFrame:
