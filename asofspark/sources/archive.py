@@ -215,12 +215,15 @@ def _export(batches: Iterator[pd.DataFrame], root: str) -> Iterator[pd.DataFrame
     else:
         filesystem, base = pafs.LocalFileSystem(), root
     filesystem.create_dir(base, recursive=True)
+    made = {base}
     for pdf in batches:
         written = []
         for name, content in zip(pdf["name"], pdf["content"], strict=True):
             target = f"{base}/{name}"
             parent = target.rsplit("/", 1)[0]
-            filesystem.create_dir(parent, recursive=True)
+            if parent not in made:
+                filesystem.create_dir(parent, recursive=True)
+                made.add(parent)
             with filesystem.open_output_stream(target) as f:
                 f.write(bytes(content))
             written.append(target)

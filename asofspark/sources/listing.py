@@ -5,8 +5,8 @@ A poll of a listing is a folder ``poll=<n>`` of pages ``page-<k>.json``, newest
 changed; one is complete when all its pages are there, and an incomplete one is passed over.
 
 The stream's offset is ``{"poll", "doc", "posted"}``: the poll it was read from and its newest document. A
-micro-batch holds the documents after the last offset up to the next, one partition per page, from the pages
-of one poll, so a replay reads the same rows whatever has been listed since. Progress is
+micro-batch holds the documents after the last offset up to the next, its pages dealt in runs to at most ``TASKS``
+partitions (a page each where there are fewer), from the pages of one poll, so a replay reads the same rows whatever has been listed since. Progress is
 by document id, which ascends with publication; posting times are wall clocks without offset and run
 backwards in the repeated hour. Only the pages that hold newer documents are opened: the driver finds the
 last of them by bisection. So a stream resumes from its checkpoint alone: nothing has to remember which
@@ -18,6 +18,7 @@ takes them. A stamp is passed on as it is; one that cannot be read is reported t
 
 from __future__ import annotations
 
+import itertools
 import json
 from collections.abc import Iterator
 
@@ -30,6 +31,8 @@ from asofspark.sources import lake as LK
 
 NAME = "asof_listing"
 SCHEMA = "doc_id bigint, post_local_text string, friendly_name string, page int"
+#: The most partitions of a micro-batch: the number of tasks does not grow with the listing, only their runs of pages do.
+TASKS = 256
 START = {"poll": -1, "doc": -1, "posted": None}
 
 
@@ -67,16 +70,18 @@ class Polls:
             low, high = (mid, high) if archives and int(archives[0]["docId"]) > doc else (low, mid - 1)
         return low
 
-    def rows(self, poll: int, k: int, after: int, upto: int) -> Iterator[tuple]:
-        for a in self.page(poll, k)["archives"]:
-            doc = int(a["docId"])
-            if after < doc <= upto:
-                yield doc, a.get("postDatetime"), a.get("friendlyName"), k
+    def rows(self, poll: int, first: int, last: int, after: int, upto: int) -> Iterator[tuple]:
+        """The documents of the pages ``first`` to ``last``, page by page."""
+        for k in range(first, last + 1):
+            for a in self.page(poll, k)["archives"]:
+                doc = int(a["docId"])
+                if after < doc <= upto:
+                    yield doc, a.get("postDatetime"), a.get("friendlyName"), k
 
 
 class PagePartition(InputPartition):
-    def __init__(self, poll: int, page: int, after: int, upto: int):
-        super().__init__((poll, page, after, upto))
+    def __init__(self, poll: int, first: int, last: int, after: int, upto: int):
+        super().__init__((poll, first, last, after, upto))
 
 
 class _Pages:
@@ -89,7 +94,9 @@ class _Pages:
         if end["poll"] < 0 or end["doc"] <= start["doc"]:
             return []
         last = Polls(self.root).pages_after(end["poll"], start["doc"])
-        return [PagePartition(end["poll"], k, start["doc"], end["doc"]) for k in range(1, last + 1)]
+        tasks = min(last, TASKS)
+        cuts = [last * n // tasks for n in range(tasks + 1)] if tasks else []
+        return [PagePartition(end["poll"], a + 1, b, start["doc"], end["doc"]) for a, b in itertools.pairwise(cuts)]
 
     def _latest(self, known: dict) -> dict:
         polls = Polls(self.root)
@@ -105,7 +112,7 @@ class _Pages:
 
 class ListingReader(_Pages, DataSourceReader):
     def partitions(self) -> list[PagePartition]:
-        return self._between(START, self._latest(START)) or [PagePartition(-1, 0, 0, 0)]
+        return self._between(START, self._latest(START)) or [PagePartition(-1, 1, 0, 0, 0)]
 
     def read(self, partition: PagePartition) -> Iterator[tuple]:
         if partition.value[0] >= 0:
