@@ -18,6 +18,17 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
 
 
+_METHOD_LIMIT_KEY, _METHOD_LIMIT_DEFAULT, _JIT_LIMIT = "spark.sql.codegen.hugeMethodLimit", "65535", "8000"
+
+
+def fit_methods(spark: SparkSession, java_options: str) -> None:
+    """Where the executors lack :data:`JIT_OPTIONS`, have Spark give up whole-stage code whose method the JIT would
+    refuse: the same expressions then run as many small methods, which it compiles. A limit that the
+    session has set itself stays."""
+    if JIT_OPTIONS not in java_options.split() and spark.conf.get(_METHOD_LIMIT_KEY, _METHOD_LIMIT_DEFAULT) == _METHOD_LIMIT_DEFAULT:
+        spark.conf.set(_METHOD_LIMIT_KEY, _JIT_LIMIT)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and the bench. On a cluster the caller supplies the session."""
     builder = (
@@ -69,6 +80,7 @@ def ship_library(spark: SparkSession) -> None:
     """Send this package to the executors, once a session: functions that run inside tasks are
     found there whatever folder the driver was started in."""
     sc = spark.sparkContext
+    fit_methods(spark, sc.getConf().get("spark.executor.extraJavaOptions", ""))
     if getattr(sc, "_asofspark_shipped", False):
         return
     package = os.path.dirname(os.path.abspath(__file__))
