@@ -70,13 +70,11 @@ class Polls:
             low, high = (mid, high) if archives and int(archives[0]["docId"]) > doc else (low, mid - 1)
         return low
 
-    def rows(self, poll: int, first: int, last: int, after: int, upto: int) -> Iterator[tuple]:
-        """The documents of the pages ``first`` to ``last``, page by page."""
-        for k in range(first, last + 1):
-            for a in self.page(poll, k)["archives"]:
-                doc = int(a["docId"])
-                if after < doc <= upto:
-                    yield doc, a.get("postDatetime"), a.get("friendlyName"), k
+    def rows(self, poll: int, k: int, after: int, upto: int) -> Iterator[tuple]:
+        for a in self.page(poll, k)["archives"]:
+            doc = int(a["docId"])
+            if after < doc <= upto:
+                yield doc, a.get("postDatetime"), a.get("friendlyName"), k
 
 
 class PagePartition(InputPartition):
@@ -107,7 +105,10 @@ class _Pages:
         return {"poll": poll, "doc": int(archives[0]["docId"]), "posted": archives[0].get("postDatetime")}
 
     def read(self, partition: PagePartition) -> Iterator[tuple]:
-        yield from Polls(self.root).rows(*partition.value)
+        poll, first, last, after, upto = partition.value
+        polls = Polls(self.root)
+        for k in range(first, last + 1):
+            yield from polls.rows(poll, k, after, upto)
 
 
 class ListingReader(_Pages, DataSourceReader):
