@@ -1,9 +1,12 @@
 """Current values as they change (STR06): state per key, and a table written in proportion to the changes.
 
-:func:`changes` keeps the newest row per key in the state store (``transformWithState``, one value per key) and emits a
+:func:`changes` keeps the newest row per key in the state store, one row per key, and emits a
 key only when a micro-batch brought a newer row for it; a late row that is older than what is known changes
-nothing. With ``idle`` a key's state expires when no newer row came for that long (processing time); the
-table keeps its value.
+nothing. It is an aggregate: a micro-batch's rows are brought down to one per key before they are shuffled, and a key's
+state is read and written once, without a Python worker. The newest row keeps the time of the micro-batch that
+brought it (its log has it, so a replay finds the same), which tells a key that changed from one that only had
+late rows. With ``idle`` a key's state expires when no newer row came for that long (processing time), which takes
+``transformWithState``; the table keeps its value.
 
 :func:`run_current` writes each micro-batch's changes as a directory of its own, which a replay replaces. Once the
 changes since the last base outgrow it, base and changes are folded into a new base, so the total
@@ -54,10 +57,17 @@ class Newest(StatefulProcessor):
 
 def changes(sdf: DataFrame, *, key: Sequence[str], posted: str, tie: str | None = None, idle_ms: int | None = None) -> DataFrame:
     """The rows of a stream that become the newest of their key (all columns; latest ``posted``, then ``tie``).
-    The session's state store must be RocksDB (:data:`STORE`)."""
+    With ``idle_ms`` the session's state store must be RocksDB (:data:`STORE`)."""
     order = [posted, *([tie] if tie else [])]
+    if not idle_ms:
+        # the micro-batch's own time; of equal rows the one that is known stays
+        seen = sdf.withColumn("__seen", F.unix_micros(F.current_timestamp()))
+        row, rank = F.struct(*sdf.columns, "__seen"), F.struct(*order, -F.col("__seen"))
+        newest = seen.groupBy(*[F.col(k).alias(f"__key{n}") for n, k in enumerate(key)]).agg(F.max_by(row, rank).alias("__newest"))
+        return newest.where(F.col("__newest.__seen") == F.unix_micros(F.current_timestamp())).select(
+            *[F.col("__newest").getField(c).alias(c) for c in sdf.columns])
     processor = Newest(sdf.schema, key, order, idle_ms)
-    return sdf.groupBy(*key).transformWithState(processor, sdf.schema, "Update", "ProcessingTime" if idle_ms else "None")
+    return sdf.groupBy(*key).transformWithState(processor, sdf.schema, "Update", "ProcessingTime")
 
 
 def _rows(df: DataFrame | None) -> int:

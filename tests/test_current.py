@@ -88,3 +88,24 @@ def test_a_lost_checkpoint_gives_the_same_table(spark, at):
     other = {**at, "ckpt": scratch_path(spark, "ckpt"), "out": scratch_path(spark, "out")}
     step(spark, other)
     assert table(spark, other) == want == {"a": (START + dt.timedelta(minutes=2), 0, 2.0), "b": (START + dt.timedelta(minutes=1), 0, 3.0)}
+
+
+def test_state_is_kept_without_a_python_worker(spark, at):
+    drop(spark, at["landing"], [("a", 1, 0, 1.0)])
+    stream = spark.readStream.schema(SCHEMA).parquet(at["landing"])
+    plan = CU.changes(stream, **HOW)._jdf.queryExecution().analyzed().toString()
+    assert "max_by" in plan and "Python" not in plan and "TransformWithState" not in plan
+    assert "TransformWithState" in CU.changes(stream, idle_ms=1000, **HOW)._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_replayed_batch_writes_the_same_changes(spark, at):
+    drop(spark, at["landing"], [(f"k{n}", 5, 0, 0.0) for n in range(20)])
+    step(spark, at)
+    drop(spark, at["landing"], [(f"k{n}", 9 * (n % 2), 0, 1.0) for n in range(20)] + [("k1", 9, 0, 1.0), ("k0", 5, 0, 7.0)])
+    step(spark, at)
+    want = table(spark, at)
+    assert written(spark, at) == [20, 10] and want["k0"][2] == 0.0  # an equal row changes nothing
+    fs, p = LK._fs(spark, f"{at['ckpt']}/commits")
+    assert fs.delete(spark._jvm.org.apache.hadoop.fs.Path(p, "1"), False)  # as if the run had ended before its commit
+    step(spark, at)
+    assert written(spark, at) == [20, 10] and table(spark, at) == want
