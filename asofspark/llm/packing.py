@@ -119,7 +119,7 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer_path: str, *, end_id: i
          text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece: sequence_id, offset in the sequence, doc_id, start in the document,
     doc_tokens and the piece's ids (little-endian unsigned 32-bit integers). ``remembered`` words are
-    kept encoded by each worker (some 200 bytes each).
+    kept encoded by each worker (some 60 bytes each).
     """
     bounded_batches(spark)
     slim = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text"))
@@ -127,9 +127,9 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer_path: str, *, end_id: i
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, encode = Packer(window, open_windows, max_pad, _base(0)), encoder(tokenizer_path, remembered).encode
         for b in batches:
-            for s in range(0, b.num_rows, SLICE):
-                part = b.slice(s, SLICE)
-                for doc_id, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist()), strict=True):
+            rows = list(zip(b.column(0).to_pylist(), encode(b.column(1)), strict=True))
+            for s in range(0, len(rows), SLICE):
+                for doc_id, ids in rows[s:s + SLICE]:
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                     packer.add(doc_id, 0, len(ids), ids)
                 yield packer.batch()

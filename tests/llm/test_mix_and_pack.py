@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -117,6 +118,30 @@ def test_remembered_words_encode_as_whole_texts(path, doc_rows):
                 assert got.tolist() == w, t
 
 
+@pytest.mark.parametrize("path", [byte_bpe_path(), word_bpe_path()])
+def test_words_before_a_mark_or_a_line_feed_are_not_learnt_again(path, monkeypatch):
+    enc, seen = WordEncoder(path), []
+    whole = enc.whole
+    monkeypatch.setattr(enc, "whole", lambda texts: seen.extend(texts) or whole(texts))
+    enc.encode(["x alpha beta élan\nx"])
+    assert seen
+    seen.clear()
+    texts = ["x alpha, beta. élan;\nx alpha\nx beta\nx"]
+    got = enc.encode(texts)
+    assert got[0].tolist() == Tokenizer.from_file(path).encode(texts[0], add_special_tokens=False).ids and not seen, seen
+
+
+@pytest.mark.parametrize("path", [byte_bpe_path(), word_bpe_path()])
+def test_marks_and_line_feeds_after_any_character(path):
+    lib, enc = Tokenizer.from_file(path), WordEncoder(path, remembered=500)
+    texts = [f"a{chr(c)}{m} {chr(c)}{m}\nb" for c in [*range(0, 0x500), 0x1E9E, 0x3000, 0xFEFF, 0x4E2D, 0x1F642] for m in "_,|"]
+    texts += ["\n", "\n\n", "a\n", "\na", "a \nb", "a\n b", "a\n\nb", "a\0\nb", "a, ,b ,", "\0 a", "<|endoftext|>\na<|endoftext|>.", "İ_ İ.", ""]
+    for s in range(0, len(texts), 300):
+        for t, got, w in zip(texts[s:s + 300], enc.encode(pa.array(texts[s:s + 300], pa.large_string())), lib.encode_batch(texts[s:s + 300], add_special_tokens=False), strict=True):
+            assert got.tolist() == w.ids, repr(t)
+    assert enc.encode([]) == []
+
+
 @pytest.mark.parametrize(("fan", "open_windows", "window"), [(64, 8, 2048), (2, 2, 64)])
 def test_packing_loses_no_token(spark, docs, doc_rows, monkeypatch, fan, open_windows, window):
     monkeypatch.setattr(packing, "FAN", fan)
