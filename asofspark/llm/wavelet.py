@@ -44,6 +44,8 @@ MAGIC = b"WMX2"
 BLOCK = 1 << 15
 SHARD_TOKENS = 4 << 20
 SLICE = 256
+#: Tokens that are split or merged at a time: their places stay in a core's cache.
+PART = 1 << 16
 _LEVEL = 1
 
 
@@ -55,11 +57,20 @@ def build(tokens: np.ndarray) -> tuple[int, list[np.ndarray]]:
     """``(bits, planes)``; a plane is its packed bits."""
     bits = max(1, int(tokens.max()).bit_length()) if len(tokens) else 1
     seq = tokens.astype(np.uint16 if bits <= 16 else np.uint32)
-    planes = []
+    split, planes = np.empty_like(seq), []
     for level in range(bits - 1, -1, -1):
         ones = (seq & seq.dtype.type(1 << level)) != 0
         planes.append(np.packbits(ones, bitorder="little"))
-        seq = np.concatenate([np.compress(~ones, seq), np.compress(ones, seq)])
+        zero, one = 0, len(seq) - int(np.count_nonzero(ones))
+        for s in range(0, len(seq) if level else 0, PART):
+            mask, part = ones[s:s + PART], seq[s:s + PART]
+            found = part.take(np.flatnonzero(mask))
+            split[one:one + len(found)] = found
+            one += len(found)
+            found = part.take(np.flatnonzero(~mask))
+            split[zero:zero + len(found)] = found
+            zero += len(found)
+        seq, split = split, seq
     return bits, planes
 
 
@@ -214,13 +225,19 @@ class Shard:
     def tokens(self) -> np.ndarray:
         """All tokens: the stable splits undone from the last plane to the first."""
         seq = np.zeros(self.n, np.uint16 if self.bits <= 16 else np.uint32)
+        merged = np.empty_like(seq)
         for level in range(self.bits - 1, -1, -1):
-            zeros = self._zeros(level)
+            zero, one, bit = 0, self._zeros(level), seq.dtype.type(1 << (self.bits - 1 - level))
             ones = np.unpackbits(self._plane(level), count=self.n, bitorder="little").view(bool)
-            merged = np.empty_like(seq)
-            merged[np.flatnonzero(~ones)] = seq[:zeros]
-            merged[np.flatnonzero(ones)] = seq[zeros:] | seq.dtype.type(1 << (self.bits - 1 - level))
-            seq = merged
+            for s in range(0, self.n, PART):
+                mask, part = ones[s:s + PART], merged[s:s + PART]
+                places = np.flatnonzero(mask)
+                part[places] = seq[one:one + len(places)] | bit
+                one += len(places)
+                places = np.flatnonzero(~mask)
+                part[places] = seq[zero:zero + len(places)]
+                zero += len(places)
+            seq, merged = merged, seq
         return seq.astype("<u4")
 
 
@@ -266,17 +283,14 @@ def write_shards(spark: SparkSession, docs: DataFrame, folder: str, tokenizer_pa
 
         done = 0
         for b in batches:
-            for s in range(0, b.num_rows, SLICE):
-                part = b.slice(s, SLICE)
-                rows = zip(*(part.column(k).to_pylist() for k in (0, 1)), encode(part.column(2).to_pylist()), strict=True)
-                for at, doc_id, tokens in rows:
-                    if at != bucket or held >= shard_tokens:
-                        done += close()
-                        if at != bucket:
-                            bucket, file = at, 0
-                    ids.append(doc_id)
-                    parts.append(np.append(tokens, np.uint32(end_id)))
-                    held += len(parts[-1])
+            for at, doc_id, tokens in zip(*(b.column(k).to_pylist() for k in (0, 1)), encode(b.column(2)), strict=True):
+                if at != bucket or held >= shard_tokens:
+                    done += close()
+                    if at != bucket:
+                        bucket, file = at, 0
+                ids.append(doc_id)
+                parts.append(np.append(tokens, np.uint32(end_id)))
+                held += len(parts[-1])
         done += close()
         yield pa.record_batch([pa.array([done], pa.int64())], names=["files"])
 

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -321,3 +322,17 @@ def test_threshold_is_a_share_of_the_notice():
     rank = licenses.ranking([b"a", b"b", b"c", b"d", b"e"], np.array([5, 1, 3, 3, 2]))
     (n,) = licenses.index([("x", "a b c d e", "b")], rank, 0.8)
     assert n["need"] == math.ceil(0.8 * 5) and n["prefix"] == [0, 1] and rank[b"b"] == 0
+
+
+def test_planes_are_split_and_merged_in_parts():
+    tokens = np.random.default_rng(7).integers(0, 50_000, 1_500_000).astype("<u4")
+    data = wavelet.to_bytes(0, 0, [1], [len(tokens)], tokens)
+    for work in (lambda: wavelet.build(tokens), lambda: wavelet.Shard(data).tokens()):
+        tracemalloc.start()
+        out = work()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 10.5 * len(tokens), peak / len(tokens)  # planes and two copies; no places of all tokens
+    assert np.array_equal(out, tokens)
+    for part in (np.zeros(0, "<u4"), tokens[:1], tokens[:wavelet.PART], tokens[:wavelet.PART + 1], np.zeros(9, "<u4")):
+        assert np.array_equal(wavelet.Shard(wavelet.to_bytes(0, 0, [1], [len(part)], part)).tokens(), part)
